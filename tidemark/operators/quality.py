@@ -88,7 +88,7 @@ def freshness(df: DataFrame, source: str, now, warn_hours: int, error_hours: int
               loaded_at: str = "_synced") -> DataFrame:
     """One row: latest load time, age in seconds, and pass / warn / error (empty table = error)."""
     latest = F.max(loaded_at)
-    age = F.timestampdiff("SECOND", latest, ts_lit(now))
+    age = F.timestamp_diff("SECOND", latest, ts_lit(now))
     status = (F.when(latest.isNull(), "error")
               .when(age > error_hours * 3600, "error")
               .when(age > warn_hours * 3600, "warn")

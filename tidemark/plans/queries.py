@@ -1,23 +1,59 @@
 """Driver queries: each maps (spark, sf_dir) -> DataFrame over the driver tables.
 
 Every query reads whole tables (or data Spark derives from them); the matching
-DuckDB text lives in ``tidemark.plans.oracle``. Fixed ``now`` / run ids make
+DuckDB text lives in ``tidemark.plans.oracle``. Fixed clocks and run ids make
 the results deterministic and replayable.
+
+Scenarios
+* coupon   - lineitem as a ticket-coupon bronze (versions per key, soft deletes).
+* state    - events as a user-state bronze; purchase events land 2 days late.
+  Run 1 at T1 sees what had landed, run 2 at T2 sees the whole table.
+* leg      - orders as a flight-leg bronze with text-typed fields.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.functions.cleanse import active
+from tidemark.functions import governance as gov
+from tidemark.functions.cleanse import (
+    active, composite_key, date_text, email_structure_valid, email_test_valid,
+)
+from tidemark.operators.dedup import latest_per_key
+from tidemark.operators.merge import merge_upsert
+from tidemark.operators.quality import (
+    check_column_type, check_rows, check_unique, check_unique_combination, freshness, orphans, run_checks,
+)
+from tidemark.operators.scd2 import scd2_apply
 from tidemark.plans import views
-from tidemark.plans.models import refine
-from tidemark.specs import Col, TableSpec
+from tidemark.plans.models import refine, snapshot_source
+from tidemark.session import scratch_path
+from tidemark.sources.bronze import high_water_mark, incremental_filter, load_profile
+from tidemark.sources.changes import api_delta, apply_changes, snapshot_diff
+from tidemark.sources.tables import VersionedTable
+from tidemark.specs import Check, Col, SnapshotSpec, TableSpec
+from tidemark.streaming.ingest import file_stream, stream_scd1
 
-# Scenario clocks and run ids.
+# ---------------------------------------------------------------------------
+# Scenario clocks and run ids
+# ---------------------------------------------------------------------------
 COUPON_NOW = "2002-01-01 00:00:00"
-RUN_1 = "run-0001"
+LEG_NOW = "2002-01-01 00:00:00"
+DEV_TODAY = "1998-08-02"
+T1 = "2024-01-31 00:00:00"          # state run 1
+T2 = "2024-02-02 00:00:00"          # state run 2 (everything has landed)
+SNAP_CUTOFFS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00", "2024-02-01 00:00:00")
+FEED_SPLIT = "2024-01-16 00:00:00"  # change-feed scenario: first feed before, second feed from here
+DIFF_CUTOFF = "1999-01-01 00:00:00"  # snapshot-diff scenario: earlier copy taken here
+FRESH_NOW = "2024-01-31 01:30:00"
+RUN_1, RUN_2 = "run-0001", "run-0002"
+# Token separator for the email scan: ASCII whitespace, spelled out so every regex engine agrees.
+WHITESPACE = r"[ \t\n\x0B\f\r]+"
 
+# ---------------------------------------------------------------------------
+# Specs of the scenario outputs
+# ---------------------------------------------------------------------------
 COUPON_SPEC = TableSpec(
     "ticket_coupon", "b_coupon", ("ticket_number", "coupon_number"),
     (Col("ticket_number"), Col("coupon_number"), Col("flight_number"), Col("flight_date", "date"),
@@ -27,20 +63,340 @@ COUPON_SPEC = TableSpec(
     include={"ticket_status": ("FLOWN",)},
     exclude={"ticket_status": ("VOID", "REFUNDED")},
     tiebreak=tuple(views.COUPON_TIEBREAK),
+    checks=(Check("not_null", ("ticket_number",)),
+            Check("expression", ("total_amount",), "error", "> 0"),
+            Check("unique_combination", ("ticket_number", "coupon_number")),
+            Check("regex", ("flight_number",), "warn", r"^[A-Z]+$"),
+            Check("not_null", ("commission_amount",), "warn"),
+            Check("unique", ("ticket_number",), "warn")),
+)
+
+STATE_SPEC = TableSpec("user_state", "b_state", ("user_id",),
+                       (Col("user_id"), Col("event_id"), Col("event_type"), Col("value")),
+                       tiebreak=("event_id",))
+EVENT_SPEC = TableSpec("event_log", "b_state", ("event_id",),
+                       (Col("event_id"), Col("user_id"), Col("event_type"), Col("value")))
+EVENT_SPEC_V1 = TableSpec("event_log", "b_state", ("event_id",),
+                          (Col("event_id"), Col("user_id"), Col("event_type")))
+STATE_HISTORY = SnapshotSpec("user_state_history", "b_state", ("user_id",),
+                             ("user_id", "event_id", "event_type", "value"))
+
+LEG_SPEC = TableSpec(
+    "flight_leg", "b_leg", ("flight_id",),
+    (Col("flight_id"), Col("flight_number", "varchar"), Col("flight_date", "date"),
+     Col("scheduled_dep", "ts"), Col("actual_dep", "ts"), Col("block_hours", "dec"), Col("flight_status")),
+    dev_date_col="flight_date",
 )
+WAYBILL_SPEC = TableSpec(
+    "air_waybill", "b_waybill", ("awb_number",),
+    (Col("awb_number"), Col("flight_id"), Col("cargo_revenue", src="fjd_amount"), Col("status")),
+    exclude={"status": ("CANCELLED",)},
+)
+JOURNAL_SPEC = TableSpec(
+    "gl_journal_entry", "b_journal", ("journal_id",),
+    (Col("journal_id"), Col("gl_account_code"), Col("base_amount"), Col("flight_id"), Col("approved_flag")),
+    include={"approved_flag": ("Y",)},
+    tiebreak=tuple(views.JOURNAL_TIEBREAK),
+)
+DIFF_KEYS = ("ticket_number", "coupon_number")
+DIFF_COMPARE = ("flight_number", "flight_date", "total_amount", "commission_amount", "ticket_status")
+
+# Expected column types checked by q_type_check: (table, column, expected).
+TYPE_EXPECTATIONS = (("lineitem", "l_quantity", "double"), ("lineitem", "l_linenumber", "bigint"),
+                     ("orders", "o_orderdate", "timestamp"), ("customer", "c_name", "string"),
+                     ("events", "user_id", "BIGINT"))
+# Sync column per driver table for the load profile (tables without one report NULL).
+PROFILE_SYNC = {"lineitem": "l_shipdate", "orders": "o_orderdate", "events": "ts"}
+ALL_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+              "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+
+
+# ---------------------------------------------------------------------------
+# Shared building blocks
+# ---------------------------------------------------------------------------
+def silver_coupon(spark: SparkSession, sf: str) -> DataFrame:
+    return refine(COUPON_SPEC, views.b_coupon(spark, sf), COUPON_NOW, RUN_1)
 
 
-def q_active(spark: SparkSession, sf: str) -> DataFrame:
+def typed_leg(spark: SparkSession, sf: str) -> DataFrame:
+    return refine(LEG_SPEC, views.b_leg(spark, sf), LEG_NOW, RUN_1)
+
+
+def state_runs(spark: SparkSession, sf: str, spec: TableSpec, spec_run1: TableSpec | None = None):
+    """Run 1 over what had landed by T1, the watermark, and the run-2 update batch over the whole table."""
+    bronze = views.b_state(spark, sf)
+    target1 = refine(spec_run1 or spec, views.landed_by(bronze, T1), T1, RUN_1)
+    wm = high_water_mark(target1)
+    updates2 = refine(spec, bronze, T2, RUN_2, watermark=wm)
+    return target1, wm, updates2
+
+
+def state_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Three snapshot runs; the replicated bronze at each cutoff holds one row per user."""
+    bronze = views.b_state(spark, sf)
+    history = None
+    for cut in SNAP_CUTOFFS:
+        upserted = latest_per_key(bronze.filter(F.col("_synced") < F.lit(cut).cast("timestamp_ntz")),
+                                  ["user_id"], "_synced", ["event_id"])
+        current = snapshot_source(STATE_HISTORY, upserted)
+        history = scd2_apply(history, current, STATE_HISTORY.keys, cut).checkpoint()
+    return history
+
+
+def state_feed(df: DataFrame) -> DataFrame:
+    """Events as a change feed: an error event is a delete, anything else an update."""
+    op = F.when(F.col("event_type") == "error", F.lit("D")).otherwise(F.lit("U"))
+    return df.select("user_id", "event_id", "event_type", "value", "_synced", op.alias("op"))
+
+
+# ---------------------------------------------------------------------------
+# Queries
+# ---------------------------------------------------------------------------
+def q_active(spark, sf):
     """rows whose soft-delete flag is FALSE or NULL."""
     return active(views.b_coupon(spark, sf))
 
 
-def q_silver_ticket_coupon(spark: SparkSession, sf: str) -> DataFrame:
+def q_silver_ticket_coupon(spark, sf):
     """The ticket-coupon silver batch (filter, then latest per key)."""
-    return refine(COUPON_SPEC, views.b_coupon(spark, sf), COUPON_NOW, RUN_1)
+    return silver_coupon(spark, sf)
+
+
+def q_silver_air_waybill(spark, sf):
+    """NULL-dropping NOT IN on status, fjd_amount renamed to cargo_revenue."""
+    return refine(WAYBILL_SPEC, views.b_waybill(spark, sf), LEG_NOW, RUN_1)
+
+
+def q_silver_gl_journal(spark, sf):
+    """approved_flag = 'Y' before dedup (an unapproved newest version lets an older one win)."""
+    return refine(JOURNAL_SPEC, views.b_journal(spark, sf), COUPON_NOW, RUN_1)
+
+
+def q_typed_leg(spark, sf):
+    """try_to_date, try_to_timestamp_ntz, decimal(10,2), varchar."""
+    return typed_leg(spark, sf)
+
+
+def q_dev_limit(spark, sf):
+    """Dev limiter keeps flights whose parsed date is within 90 days of 'today'."""
+    return refine(LEG_SPEC, views.b_leg(spark, sf), LEG_NOW, RUN_1, dev_today=DEV_TODAY)
+
+
+def q_incremental_candidates(spark, sf):
+    """S3 A1: run-2 rows past the high-water mark or inside the 3-day lookback."""
+    _, wm, _ = state_runs(spark, sf, STATE_SPEC)
+    bronze = views.b_state(spark, sf)
+    return (bronze.filter(incremental_filter(wm, T2))
+            .withColumn("via_lookback", ~(F.col("_synced") > F.lit(str(wm)).cast("timestamp_ntz"))))
+
+
+def q_late_rows_lost(spark, sf):
+    """S3 detail 7: rows that landed after run 1 at or below the mark and outside the lookback."""
+    _, wm, _ = state_runs(spark, sf, STATE_SPEC)
+    bronze = views.b_state(spark, sf)
+    landed_late = bronze.filter(views.arrival() >= F.lit(T1).cast("timestamp_ntz"))
+    return landed_late.filter(~incremental_filter(wm, T2))
+
+
+def q_merge_state(spark, sf):
+    """Two incremental runs keyed by user_id; first load time is kept on update."""
+    target1, _, updates2 = state_runs(spark, sf, STATE_SPEC)
+    return merge_upsert(target1, updates2, STATE_SPEC.keys)
+
+
+def q_merge_events(spark, sf):
+    """K1: two runs keyed by event_id (auto strategy: broadcast when the batch is small)."""
+    target1, _, updates2 = state_runs(spark, sf, EVENT_SPEC)
+    return merge_upsert(target1, updates2, EVENT_SPEC.keys)
+
+
+def q_merge_events_shuffle(spark, sf):
+    """K1 with the full-outer shuffle join shape forced."""
+    target1, _, updates2 = state_runs(spark, sf, EVENT_SPEC)
+    return merge_upsert(target1, updates2, EVENT_SPEC.keys, strategy="shuffle")
+
+
+def q_merge_only_newer(spark, sf):
+    """K1 option: a matched update applies only when its sync time is newer."""
+    target1, _, updates2 = state_runs(spark, sf, STATE_SPEC)
+    return merge_upsert(target1, updates2, STATE_SPEC.keys, only_if_newer=True, strategy="shuffle")
+
+
+def q_schema_drift(spark, sf):
+    """Run 2 adds the 'value' column; untouched older rows hold NULL."""
+    target1, _, updates2 = state_runs(spark, sf, EVENT_SPEC, EVENT_SPEC_V1)
+    return merge_upsert(target1, updates2, EVENT_SPEC.keys)
+
+
+def q_scd2(spark, sf):
+    """K2 K3 K4 K6: three snapshot runs with tombstones for vanished users."""
+    return state_history(spark, sf)
+
+
+def q_fk_orphans(spark, sf):
+    """Line items whose order is not a finished order."""
+    li = views.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    orders = views.table(spark, sf, "orders")
+    return orphans(li, orders.filter(F.col("o_orderstatus") == "F"), ["l_orderkey"], ["o_orderkey"])
+
+
+def q_fk_composite(spark, sf):
+    """Coupons whose (flight_number, flight_date) has no flight leg; NULL date is an orphan."""
+    child = silver_coupon(spark, sf).select("ticket_number", "coupon_number", "flight_number", "flight_date")
+    return orphans(child, typed_leg(spark, sf), ["flight_number", "flight_date"])
+
+
+def q_fk_current(spark, sf):
+    """Events whose user has no current history row (a current tombstone counts as parent)."""
+    child = views.b_state(spark, sf).select("event_id", "user_id")
+    return orphans(child, state_history(spark, sf), ["user_id"], parent_filter=F.col("is_current"))
+
+
+def q_fk_current_live(spark, sf):
+    """J3 option: only live current history rows are parents."""
+    child = views.b_state(spark, sf).select("event_id", "user_id")
+    return orphans(child, state_history(spark, sf), ["user_id"],
+                   parent_filter=F.col("is_current") & ~F.col("is_deleted"))
+
+
+def q_unique(spark, sf):
+    """Q4 A3: duplicated (l_orderkey, l_linenumber) tuples."""
+    li = views.table(spark, sf, "lineitem")
+    return check_unique_combination(li, ["l_orderkey", "l_linenumber"])
+
+
+def q_unique_value(spark, sf):
+    """Q1: customers with more than one order (NULL ignored)."""
+    return check_unique(views.table(spark, sf, "orders"), "o_custkey")
+
+
+def q_not_null(spark, sf):
+    """Q2: typed flight legs whose flight_date did not parse."""
+    return check_rows(typed_leg(spark, sf), Check("not_null", ("flight_date",))).select("flight_id", "flight_date")
+
+
+def q_positive(spark, sf):
+    """Q3: customers violating c_acctbal > 0 (NULL passes)."""
+    cust = views.table(spark, sf, "customer")
+    return check_rows(cust, Check("expression", ("c_acctbal",), arg="> 0")).select("c_custkey", "c_acctbal")
+
+
+def q_positive_amount(spark, sf):
+    """Q6: suppliers with a non-null balance <= 0."""
+    sup = views.table(spark, sf, "supplier")
+    return check_rows(sup, Check("positive", ("s_acctbal",))).select("s_suppkey", "s_acctbal")
+
+
+def q_email(spark, sf):
+    """Every whitespace token containing '@' in every document, both validators."""
+    docs = views.table(spark, sf, "documents")
+    tokens = docs.select("doc_id", F.explode(F.split(F.col("text"), WHITESPACE)).alias("token"))
+    return (tokens.filter(F.col("token").contains("@"))
+            .select("doc_id", "token", email_structure_valid("token").alias("macro_valid"),
+                    email_test_valid("token").alias("test_valid")))
+
+
+def q_regex(spark, sf):
+    """Q5: market segments and brands not matching ^[A-Z0-9]+$."""
+    chk = Check("regex", ("v",), arg=r"^[A-Z0-9]+$")
+    cust = views.table(spark, sf, "customer").select(F.lit("customer").alias("table_name"),
+                                                       F.col("c_mktsegment").alias("v"))
+    part = views.table(spark, sf, "part").select(F.lit("part").alias("table_name"), F.col("p_brand").alias("v"))
+    return check_rows(cust.unionByName(part), chk).withColumnRenamed("v", "value")
+
+
+def q_type_check(spark, sf):
+    """Q8: (col, expected, actual) for columns whose type differs, case-insensitively."""
+    parts = [check_column_type(views.table(spark, sf, t), c, e) for t, c, e in TYPE_EXPECTATIONS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_checks_suite(spark, sf):
+    """Q11: the coupon check suite in one aggregation pass plus grouped uniqueness checks."""
+    return run_checks("ticket_coupon", silver_coupon(spark, sf), COUPON_SPEC.checks)
+
+
+def q_freshness(spark, sf):
+    """Q10: latest sync per source against fixed warn/error limits."""
+    return (freshness(views.b_state(spark, sf), "events", FRESH_NOW, 1, 4)
+            .unionByName(freshness(views.b_coupon(spark, sf), "coupons", FRESH_NOW, 26, 30))
+            .unionByName(freshness(views.b_leg(spark, sf), "legs", FRESH_NOW, 26, 30)))
+
+
+def q_profile(spark, sf):
+    """Q12 A2: row count and latest sync per driver table."""
+    tables = {}
+    for t in ALL_TABLES:
+        df = views.table(spark, sf, t)
+        sync = PROFILE_SYNC.get(t)
+        tables[t] = df.select(F.col(sync).alias("_synced")) if sync else df.select(F.lit(1).alias("_one"))
+    return load_profile(tables)
+
+
+def q_snapshot_diff(spark, sf):
+    """Live coupon state at an earlier copy vs now, compared null-safely per column."""
+    b = views.b_coupon(spark, sf)
+    cols = list(DIFF_KEYS) + list(DIFF_COMPARE)
+
+    def state(df):
+        upserted = latest_per_key(df, DIFF_KEYS, "_synced", views.COUPON_TIEBREAK)
+        return active(upserted).select(*cols)
+
+    prev = state(b.filter(F.col("_synced") < F.lit(DIFF_CUTOFF).cast("timestamp_ntz")))
+    return snapshot_diff(prev, state(b), DIFF_KEYS)
+
+
+def q_apply_changes(spark, sf):
+    """Two change feeds applied; a delete keeps the last bronze payload."""
+    feed = state_feed(views.b_state(spark, sf))
+    split = F.lit(FEED_SPLIT).cast("timestamp_ntz")
+    bronze0 = apply_changes(None, feed.filter(F.col("_synced") < split), ["user_id"], tiebreak=["event_id"])
+    return apply_changes(bronze0, feed.filter(F.col("_synced") >= split), ["user_id"], tiebreak=["event_id"])
+
+
+def q_api_delta(spark, sf):
+    """Full historical load of what had landed, then only rows past the cursor."""
+    bronze = views.b_state(spark, sf).drop("_deleted")
+    first = views.landed_by(bronze, T1).withColumn("op", F.lit("U"))
+    bronze0 = apply_changes(None, first, ["user_id"], tiebreak=["event_id"])
+    cursor = bronze0.agg(F.max("_synced")).first()[0]
+    return apply_changes(bronze0, api_delta(bronze, cursor), ["user_id"], tiebreak=["event_id"])
+
+
+def q_mask_customer(spark, sf):
+    """Tagged customer name masked for an unprivileged role; untagged columns clear."""
+    cust = views.table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return gov.masked_view(gov.tag_pii(cust, {"c_name": "FULL_NAME"}), roles=["ANALYST_ROLE"])
+
+
+def q_mask_orders(spark, sf):
+    """A tagged date masked to January 1 of its year."""
+    o = views.table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("order_date"))
+    return gov.masked_view(gov.tag_pii(o, {"order_date": "DOB"}), roles=["ANALYST_ROLE"])
+
+
+def q_composite_key(spark, sf):
+    """K5: priority || '-' || status || '-' || date text; a NULL part makes the key NULL."""
+    o = views.table(spark, sf, "orders")
+    status = F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus"))   # pending: not yet known
+    return o.select("o_orderkey",
+                    composite_key(F.col("o_orderpriority"), status, date_text(F.col("o_orderdate").cast("date")))
+                    .alias("business_key"))
+
+
+def q_stream_scd1(spark, sf):
+    """Events landed as files, streamed exactly once, merged per micro-batch."""
+    base = scratch_path(spark, "stream-scd1")
+    landing = f"{base}/landing"
+    bronze = views.b_state(spark, sf)
+    bronze.repartitionByRange(4, "_synced").write.parquet(landing)
+    table = VersionedTable(spark, f"{base}/silver")
+    stream = file_stream(spark, landing, bronze.schema, max_files_per_trigger=1)
+    stream_scd1(stream, STATE_SPEC, table, f"{base}/_checkpoint", T2)
+    return table.read().select("user_id", "event_id", "event_type", "value", "_bronze_sync_timestamp")
 
 
-QUERIES = {
-    "q_active": q_active,
-    "q_silver_ticket_coupon": q_silver_ticket_coupon,
-}
+QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)}

@@ -8,9 +8,11 @@ Every view reads whole tables; nothing is sampled or capped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.cleanse import ts_lit
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -111,3 +113,80 @@ FROM orders
 """
 
 SQL_COUPON_TIEBREAK = "l_partkey DESC, l_suppkey DESC, l_quantity DESC, total_amount DESC"
+
+
+def b_waybill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Air-waybill bronze over orders: pending orders have no status yet (NULL)."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        F.col("o_orderkey").cast("string").alias("awb_number"),
+        F.col("o_custkey").cast("string").alias("flight_id"),
+        F.col("o_totalprice").alias("fjd_amount"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("DELIVERED"))
+         .when(F.col("o_orderstatus") == "O", F.lit("CANCELLED")).alias("status"),
+        F.col("o_orderdate").alias("_synced"),
+        F.lit(None).cast("boolean").alias("_deleted"),
+    )
+
+
+def b_journal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GL-journal bronze over lineitem: approval flag from the return flag (A -> not yet decided)."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+         .alias("journal_id"),
+        F.col("l_partkey").cast("string").alias("gl_account_code"),
+        F.col("l_extendedprice").alias("base_amount"),
+        F.col("l_orderkey").cast("string").alias("flight_id"),
+        F.when(F.col("l_returnflag") == "N", F.lit("Y"))
+         .when(F.col("l_returnflag") == "R", F.lit("N")).alias("approved_flag"),
+        "l_partkey", "l_suppkey", "l_quantity",
+        F.col("l_shipdate").alias("_synced"),
+        F.when((F.col("l_linestatus") == "O") & (F.col("l_quantity") > 45), F.lit(True))
+         .when(F.col("l_linestatus") == "F", F.lit(False))
+         .otherwise(F.lit(None).cast("boolean")).alias("_deleted"),
+    )
+
+
+JOURNAL_TIEBREAK = ["l_partkey", "l_suppkey", "l_quantity", "base_amount"]
+
+# Replication delay: purchase events come through a slower connector and land
+# this many days after their sync time; everything else lands immediately.
+PURCHASE_DELAY_DAYS = 5
+
+
+def arrival() -> Column:
+    """Instant a bronze event row landed: its sync time plus the connector delay."""
+    return F.when(F.col("event_type") == "purchase",
+                  F.col("_synced") + F.expr(f"INTERVAL {PURCHASE_DELAY_DAYS} DAYS")).otherwise(F.col("_synced"))
+
+
+def landed_by(df: DataFrame, t) -> DataFrame:
+    """Rows of an event bronze that had landed before instant ``t`` (the bronze a run at ``t`` sees)."""
+    return df.filter(arrival() < ts_lit(t))
+
+
+SQL_B_WAYBILL = """
+SELECT CAST(o_orderkey AS VARCHAR) AS awb_number,
+       CAST(o_custkey AS VARCHAR) AS flight_id,
+       o_totalprice AS fjd_amount,
+       CASE WHEN o_orderstatus = 'F' THEN 'DELIVERED' WHEN o_orderstatus = 'O' THEN 'CANCELLED' END AS status,
+       o_orderdate AS _synced,
+       CAST(NULL AS BOOLEAN) AS _deleted
+FROM orders
+"""
+
+SQL_B_JOURNAL = """
+SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS journal_id,
+       CAST(l_partkey AS VARCHAR) AS gl_account_code,
+       l_extendedprice AS base_amount,
+       CAST(l_orderkey AS VARCHAR) AS flight_id,
+       CASE WHEN l_returnflag = 'N' THEN 'Y' WHEN l_returnflag = 'R' THEN 'N' END AS approved_flag,
+       l_partkey, l_suppkey, l_quantity,
+       l_shipdate AS _synced,
+       CASE WHEN l_linestatus = 'O' AND l_quantity > 45 THEN TRUE
+            WHEN l_linestatus = 'F' THEN FALSE ELSE NULL END AS _deleted
+FROM lineitem
+"""
+
+SQL_ARRIVAL = "CASE WHEN event_type = 'purchase' THEN _synced + INTERVAL 5 DAY ELSE _synced END"
