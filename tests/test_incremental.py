@@ -40,4 +40,4 @@ def test_filter_pushes_into_parquet_scan(spark, tmp_path, capsys):
     target = spark.createDataFrame([(ts("2024-01-10"),)], "_bronze_sync_timestamp TIMESTAMP_NTZ")
     incremental(spark.read.parquet(path), target, "2024-01-12").explain()
     plan = capsys.readouterr().out
-    assert "PushedFilters: [Or(GreaterThan(_synced" in plan
+    assert "PushedFilters: [IsNotNull(_synced), GreaterThanOrEqual(_synced" in plan

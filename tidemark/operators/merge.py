@@ -15,7 +15,8 @@ Physical shapes (same result):
   target is never shuffled: a broadcast left join rewrites matched rows in place
   and a broadcast semi/anti pair finds the inserts. At 1 % change ratio on a very
   large target this removes the target shuffle entirely.
-NULL-key rows bypass the join in both shapes, so they cannot pile into one task.
+NULL keys never match; in the shuffle shape a deterministic salt spreads them over
+all partitions (``tidemark.operators.keys``), in the broadcast shape nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -26,19 +27,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.keys import key_match, with_null_salt
+
 
 def bounded(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows; the scan stops after max_rows + 1."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def _any_null(keys: Sequence[str], prefix: str = "") -> Column:
-    cond = F.lit(False)
-    for k in keys:
-        cond = cond | F.col(f"{prefix}{k}").isNull()
-    return cond
-
-
 def _output_columns(target: DataFrame, updates: DataFrame) -> list[tuple[str, T.DataType, str]]:
     """(name, type, origin) with origin in both | target | update, target order first."""
     tf = {f.name: f.dataType for f in target.schema.fields}
@@ -88,11 +84,8 @@ def merge_upsert(target: DataFrame | None, updates: DataFrame, keys: Sequence[st
         return updates
     cols = _output_columns(target, updates)
     keep = [k for k in keep if k in target.columns]
-
-    t_null = target.filter(_any_null(keys))
-    t_live = target.filter(~_any_null(keys)).withColumn("__t", F.lit(True))
-    u_null = updates.filter(_any_null(keys))
-    u_live = updates.filter(~_any_null(keys)).withColumn("__u", F.lit(True))
+    t = target.withColumn("__t", F.lit(True))
+    u = updates.withColumn("__u", F.lit(True))
 
     def tcol(c: str) -> Column:
         return F.col(f"t.{c}")
@@ -107,29 +100,25 @@ def merge_upsert(target: DataFrame | None, updates: DataFrame, keys: Sequence[st
         newer = F.coalesce(ucol(order_col) > tcol(order_col),
                            tcol(order_col).isNull() & ucol(order_col).isNotNull(), F.lit(False))
         take_update = u_present & (~t_present | newer)
-    cond = [F.col(f"t.{k}") == F.col(f"u.{k}") for k in keys]
     resolve = lambda: _resolve(cols, keys, keep, tcol, ucol, t_present, u_present, take_update)
 
     if strategy == "auto":
         strategy = "broadcast" if bounded(updates, broadcast_rows) else "shuffle"
     if strategy == "shuffle":
-        merged = t_live.alias("t").join(u_live.alias("u"), cond, "full_outer").select(*resolve())
-    elif strategy == "broadcast":
-        rewritten = t_live.alias("t").join(F.broadcast(u_live.alias("u")), cond, "left").select(*resolve())
-        matched = t_live.select(*keys).join(F.broadcast(u_live.select(*keys)), keys, "left_semi")
-        inserts = u_live.join(F.broadcast(matched), keys, "left_anti")
-        merged = rewritten.unionByName(_as_insert(inserts, cols))
-    else:
-        raise ValueError(f"unknown merge strategy {strategy!r}")
-
-    return merged.unionByName(_as_passthrough(t_null, cols)).unionByName(_as_insert(u_null, cols))
-
-
-def _as_insert(u: DataFrame, cols) -> DataFrame:
-    have = set(u.columns)
-    return u.select(*[(F.col(n) if n in have else F.lit(None)).cast(t).alias(n) for n, t, _ in cols])
-
-
-def _as_passthrough(t: DataFrame, cols) -> DataFrame:
-    have = set(t.columns)
-    return t.select(*[(F.col(n) if n in have else F.lit(None)).cast(t_).alias(n) for n, t_, _ in cols])
+        # one full-outer join; NULL-key rows spread by a salt instead of sharing one partition
+        ts_, us_ = with_null_salt(t, keys), with_null_salt(u, keys)
+        return ts_.alias("t").join(us_.alias("u"), key_match(keys, "t", "u"), "full_outer").select(*resolve())
+    if strategy == "broadcast":
+        # the target is scanned and rewritten in place, never shuffled
+        cond = key_match(keys, "t", "u", salted=False)
+        rewritten = t.alias("t").join(F.broadcast(u.alias("u")), cond, "left").select(*resolve())
+        matched = target.select(*keys).join(F.broadcast(updates.select(*keys)), keys, "left_semi")
+        inserts = updates.join(F.broadcast(matched), keys, "left_anti")
+        return rewritten.unionByName(_fill(inserts, cols))
+    raise ValueError(f"unknown merge strategy {strategy!r}")
+
+
+def _fill(df: DataFrame, cols) -> DataFrame:
+    """Project ``df`` onto the output columns, NULL where it lacks one."""
+    have = set(df.columns)
+    return df.select(*[(F.col(n) if n in have else F.lit(None)).cast(t).alias(n) for n, t, _ in cols])

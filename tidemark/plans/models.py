@@ -4,7 +4,7 @@
 scan -> incremental filter (literal bounds, pushed to Parquet) -> dev limiter ->
 active + business filter -> latest-per-key (partial top-1, key shuffle, final top-1)
 -> typed projection + audit columns. ``run_model`` stages that batch (a reliable
-checkpoint cuts lineage and gives the merge an exact size), merges it into the
+staged Parquet write cuts lineage and gives the merge an exact size), merges it into the
 current version and commits a new version. ``run_snapshot`` does the same for
 history outputs with ``scd2_apply``.
 """
@@ -24,6 +24,7 @@ from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.merge import merge_upsert
 from tidemark.operators.scd2 import scd2_apply
 from tidemark.sources.bronze import high_water_mark, incremental_filter
+from tidemark.sources.tables import stage
 from tidemark.specs import Col, SnapshotSpec, TableSpec
 
 log = logging.getLogger(__name__)
@@ -89,7 +90,7 @@ def run_model(spec: TableSpec, bronze: DataFrame, table, now, run_id: str,
     target = None if full_refresh else table.read()
     wm = high_water_mark(target) if target is not None else None
     updates = refine(spec, bronze, now, run_id, wm, lookback_days, dev_today)
-    staged = updates.checkpoint(eager=True)
+    staged = stage(updates, f"{spec.name}-updates")
     merged = merge_upsert(target, staged, spec.keys, spec.keep_on_update, only_if_newer=only_if_newer,
                           broadcast_rows=broadcast_rows)
     return table.commit(merged, run_id=run_id, batch_id=batch_id)

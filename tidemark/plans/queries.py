@@ -31,7 +31,7 @@ from tidemark.plans.models import refine, snapshot_source
 from tidemark.session import scratch_path
 from tidemark.sources.bronze import high_water_mark, incremental_filter, load_profile
 from tidemark.sources.changes import api_delta, apply_changes, snapshot_diff
-from tidemark.sources.tables import VersionedTable
+from tidemark.sources.tables import VersionedTable, stage
 from tidemark.specs import Check, Col, SnapshotSpec, TableSpec
 from tidemark.streaming.ingest import file_stream, stream_scd1
 
@@ -139,7 +139,7 @@ def state_history(spark: SparkSession, sf: str) -> DataFrame:
         upserted = latest_per_key(bronze.filter(F.col("_synced") < F.lit(cut).cast("timestamp_ntz")),
                                   ["user_id"], "_synced", ["event_id"])
         current = snapshot_source(STATE_HISTORY, upserted)
-        history = scd2_apply(history, current, STATE_HISTORY.keys, cut).checkpoint()
+        history = stage(scd2_apply(history, current, STATE_HISTORY.keys, cut), "state-history")
     return history
 
 
@@ -394,7 +394,7 @@ def q_stream_scd1(spark, sf):
     bronze = views.b_state(spark, sf)
     bronze.repartitionByRange(4, "_synced").write.parquet(landing)
     table = VersionedTable(spark, f"{base}/silver")
-    stream = file_stream(spark, landing, bronze.schema, max_files_per_trigger=1)
+    stream = file_stream(spark, landing, bronze.schema, max_files_per_trigger=2)
     stream_scd1(stream, STATE_SPEC, table, f"{base}/_checkpoint", T2)
     return table.read().select("user_id", "event_id", "event_type", "value", "_bronze_sync_timestamp")
 

@@ -41,10 +41,17 @@ def high_water_mark(target: DataFrame | None, col: str = "_bronze_sync_timestamp
 
 
 def incremental_filter(wm, now, lookback_days: int = LOOKBACK_DAYS, synced: str = SYNCED) -> Column:
-    """S3 predicate with literal bounds: rows past the mark, or inside the late-data lookback."""
+    """S3 predicate ``synced > wm OR synced >= now - lookback`` folded to ONE literal bound.
+
+    Both bounds are known on the driver, so the disjunction is a single range:
+    ``synced >= floor`` when the lookback floor is at or below the mark, else
+    ``synced > wm``. A single comparison prunes Parquet row groups (and date
+    partitions) directly.
+    """
     floor = _as_ts(now) - dt.timedelta(days=lookback_days)
+    wm = _as_ts(wm)
     c = F.col(synced)
-    return (c > ts_lit(_as_ts(wm))) | (c >= ts_lit(floor))
+    return c >= ts_lit(floor) if floor <= wm else c > ts_lit(wm)
 
 
 def incremental(src: DataFrame, target: DataFrame | None, now, lookback_days: int = LOOKBACK_DAYS,

@@ -16,22 +16,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.cleanse import ts_lit
 from tidemark.operators.dedup import latest_per_key
+from tidemark.operators.keys import key_match, with_null_salt
 
 OP_INSERT, OP_UPDATE, OP_DELETE = "I", "U", "D"
 
 
-def _any_null(keys: Sequence[str], prefix: str = "") -> Column:
-    cond = F.lit(False)
-    for k in keys:
-        cond = cond | F.col(f"{prefix}{k}").isNull()
-    return cond
-
-
 def apply_changes(bronze: DataFrame | None, feed: DataFrame, keys: Sequence[str], op_col: str = "op",
                   seq_col: str = "_synced", tiebreak: Sequence[str] = ()) -> DataFrame:
     """Return the new bronze state (payload columns + ``_synced`` + ``_deleted``).
@@ -47,10 +41,9 @@ def apply_changes(bronze: DataFrame | None, feed: DataFrame, keys: Sequence[str]
     if bronze is None:
         return changes
     cols = payload + ["_synced", "_deleted"]
-    b = bronze.select(*cols)
-    b_null, b_live = b.filter(_any_null(keys)), b.filter(~_any_null(keys)).withColumn("__b", F.lit(True))
-    c_null, c_live = changes.filter(_any_null(keys)), changes.filter(~_any_null(keys)).withColumn("__c", F.lit(True))
-    j = b_live.alias("b").join(c_live.alias("c"), [F.col(f"b.{k}") == F.col(f"c.{k}") for k in keys], "full_outer")
+    b = with_null_salt(bronze.select(*cols).withColumn("__b", F.lit(True)), keys)
+    c = with_null_salt(changes.withColumn("__c", F.lit(True)), keys)
+    j = b.alias("b").join(c.alias("c"), key_match(keys, "b", "c"), "full_outer")
     has_b, has_c = F.col("b.__b").isNotNull(), F.col("c.__c").isNotNull()
     c_del = F.col("c._deleted")
     out = []
@@ -64,7 +57,7 @@ def apply_changes(bronze: DataFrame | None, feed: DataFrame, keys: Sequence[str]
             # a delete keeps the last bronze payload when there is one
             e = F.when(has_c & ~(c_del & has_b), c_).otherwise(b_)
         out.append(e.alias(name))
-    return j.select(*out).unionByName(b_null).unionByName(c_null)
+    return j.select(*out)
 
 
 def snapshot_diff(prev: DataFrame, curr: DataFrame, keys: Sequence[str],
@@ -77,9 +70,9 @@ def snapshot_diff(prev: DataFrame, curr: DataFrame, keys: Sequence[str],
     keys = list(keys)
     payload = [c for c in curr.columns if c not in keys]
     compare = list(compare) if compare is not None else payload
-    p = prev.withColumn("__p", F.lit(True))
-    c = curr.withColumn("__c", F.lit(True))
-    j = p.alias("p").join(c.alias("c"), [F.col(f"p.{k}") == F.col(f"c.{k}") for k in keys], "full_outer")
+    p = with_null_salt(prev.withColumn("__p", F.lit(True)), keys)
+    c = with_null_salt(curr.withColumn("__c", F.lit(True)), keys)
+    j = p.alias("p").join(c.alias("c"), key_match(keys, "p", "c"), "full_outer")
     has_p, has_c = F.col("p.__p").isNotNull(), F.col("c.__c").isNotNull()
     differs = F.lit(False)
     for col in compare:
