@@ -41,3 +41,14 @@ def test_batch_replay_is_noop_and_vacuum(spark, tmp_path):
     assert t.read().count() == 2
     assert t.vacuum(keep=1) == [1]
     assert not os.path.exists(tmp_path / "t" / "data" / "v000001")
+
+
+def test_observed_metrics_travel_with_the_commit(spark, tmp_path):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+    t = VersionedTable(spark, str(tmp_path / "t"))
+    df = spark.createDataFrame([(1, dt.datetime(2024, 1, 2, 3, 4, 5, 6)), (2, dt.datetime(2024, 1, 1))],
+                               "id INT, _bronze_sync_timestamp TIMESTAMP_NTZ")
+    t.commit(df, observe={"rows": F.count(F.lit(1)), "high_water_mark": F.max("_bronze_sync_timestamp")})
+    assert t.metrics() == {"rows": 2, "high_water_mark": dt.datetime(2024, 1, 2, 3, 4, 5, 6)}

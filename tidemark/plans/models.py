@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.cleanse import (
-    LOOKBACK_DAYS, audit_columns, is_active, net_amount, status_filter, to_decimal, to_varchar,
+    LOOKBACK_DAYS, MIN_DATE, audit_columns, is_active, net_amount, status_filter, to_decimal, to_varchar,
     try_to_date, try_to_timestamp_ntz, within_days,
 )
 from tidemark.operators.dedup import latest_per_key
@@ -88,12 +88,21 @@ def run_model(spec: TableSpec, bronze: DataFrame, table, now, run_id: str,
         log.warning("%s: full refresh requested but disabled; running incrementally", spec.name)
         full_refresh = False
     target = None if full_refresh else table.read()
-    wm = high_water_mark(target) if target is not None else None
+    wm = None
+    if target is not None:
+        # the mark was observed while the current version was written; scan only if it is missing
+        wm = table.metrics().get("high_water_mark") or high_water_mark(target)
     updates = refine(spec, bronze, now, run_id, wm, lookback_days, dev_today)
     staged = stage(updates, f"{spec.name}-updates")
     merged = merge_upsert(target, staged, spec.keys, spec.keep_on_update, only_if_newer=only_if_newer,
                           broadcast_rows=broadcast_rows)
-    return table.commit(merged, run_id=run_id, batch_id=batch_id)
+    return table.commit(merged, run_id=run_id, batch_id=batch_id, observe=output_metrics())
+
+
+def output_metrics() -> dict:  # noqa: N802 - a factory of Column expressions
+    """Observed during every keyed-output write: row count and the next run's high-water mark."""
+    return {"rows": F.count(F.lit(1)),
+            "high_water_mark": F.coalesce(F.max("_bronze_sync_timestamp"), F.lit(MIN_DATE).cast("timestamp_ntz"))}
 
 
 def run_snapshot(spec: SnapshotSpec, bronze: DataFrame, table, now, run_id: str) -> int:

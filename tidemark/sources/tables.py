@@ -12,9 +12,10 @@ racing for the same version number fails instead of overwriting.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 class ConcurrentCommit(RuntimeError):
@@ -67,20 +68,41 @@ class VersionedTable:
         return self.spark.read.parquet(self._data(n))
 
     # --- writing -----------------------------------------------------------------------
+    def metrics(self, version: int | None = None) -> dict:
+        """Metrics observed while the version was written (e.g. row count, high-water mark)."""
+        n = self.current_version() if version is None else version
+        if n is None:
+            return {}
+        out = {}
+        for k, v in self.commit_info(n).get("metrics", {}).items():
+            out[k] = dt.datetime.fromisoformat(v[3:]) if isinstance(v, str) and v.startswith("ts:") else v
+        return out
+
     def commit(self, df: DataFrame, run_id: str = "", batch_id: int | None = None,
-               partition_by: list[str] | None = None) -> int:
-        """Write ``df`` as the next version and publish it. A batch id already committed is a no-op."""
+               partition_by: list[str] | None = None, observe: dict[str, Column] | None = None) -> int:
+        """Write ``df`` as the next version and publish it. A batch id already committed is a no-op.
+
+        ``observe`` maps names to aggregate expressions computed by the write job itself
+        (``DataFrame.observe``: no second pass) and stored with the commit.
+        """
         cur = self.current_version()
         if batch_id is not None and cur is not None:
             done = self.commit_info(cur).get("batch_id")
             if done is not None and batch_id <= done:
                 return cur
         n = (cur or 0) + 1
+        obs = None
+        if observe:
+            obs = Observation(f"commit-{n}")
+            df = df.observe(obs, *[e.alias(k) for k, e in observe.items()])
         w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self._data(n))
         info = {"version": n, "run_id": run_id, "batch_id": batch_id}
+        if obs is not None:
+            info["metrics"] = {k: (f"ts:{v.isoformat()}" if isinstance(v, dt.datetime) else v)
+                               for k, v in obs.get.items()}
         try:
             out = self._fs.create(self._Path(self._commit_file(n)), False)
         except Exception as e:  # the file exists: another writer published version n first
