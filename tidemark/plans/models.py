@@ -59,24 +59,37 @@ def row_filter(spec: TableSpec) -> Column:
     return cond
 
 
+def tiebreak_columns(spec: TableSpec) -> list[str]:
+    """The spec's tiebreak, or by default every selected source column plus the delete flag.
+
+    The source warehouse leaves ties on (key, sync time) to chance; a total order
+    makes every run reproducible (rows equal in all of these project identically).
+    """
+    if spec.tiebreak:
+        return list(spec.tiebreak)
+    return [c for c in spec.source_columns if c not in spec.keys] + ["_deleted"]
+
+
 def refine(spec: TableSpec, bronze: DataFrame, now, run_id: str, watermark=None,
            lookback_days: int = LOOKBACK_DAYS, dev_today=None, dev_days: int = 90) -> DataFrame:
     """The update batch of one keyed output (no I/O). ``watermark=None`` means first run."""
-    extra = [t for t in spec.tiebreak if t not in spec.source_columns]
+    tiebreak = tiebreak_columns(spec)
+    extra = [t for t in tiebreak if t not in spec.source_columns and t != "_deleted"]
     src = bronze.select(*spec.source_columns, *extra, "_synced", "_deleted")
     if watermark is not None:
         src = src.filter(incremental_filter(watermark, now, lookback_days))
     if dev_today is not None and spec.dev_date_col:
         src = src.filter(within_days(spec.dev_date_col, dev_days, dev_today))
     live = src.filter(row_filter(spec))
-    latest = latest_per_key(live, spec.keys, "_synced", spec.tiebreak)
+    latest = latest_per_key(live, spec.keys, "_synced", tiebreak)
     return latest.select(*[column_expr(c) for c in spec.columns], *audit_columns(now, run_id))
 
 
 def snapshot_source(spec: SnapshotSpec, bronze: DataFrame) -> DataFrame:
     """The ephemeral relation of a history output: live rows, newest per key."""
     src = bronze.select(*spec.payload, "_synced", "_deleted")
-    return latest_per_key(src.filter(is_active("_deleted")), spec.keys, spec.updated_at)
+    tiebreak = [c for c in spec.payload if c not in spec.keys] + ["_deleted"]
+    return latest_per_key(src.filter(is_active("_deleted")), spec.keys, spec.updated_at, tiebreak)
 
 
 def run_model(spec: TableSpec, bronze: DataFrame, table, now, run_id: str,

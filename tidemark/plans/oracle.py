@@ -7,7 +7,10 @@ closed-form (LAG/LEAD over batches) history for the SCD2 runs.
 
 from __future__ import annotations
 
+from tidemark.plans import airline
 from tidemark.plans import queries as Q
+from tidemark.plans.models import tiebreak_columns
+from tidemark.specs import MODELS, SNAPSHOTS
 from tidemark.plans.views import (
     SQL_ARRIVAL, SQL_B_COUPON, SQL_B_JOURNAL, SQL_B_LEG, SQL_B_STATE, SQL_B_WAYBILL,
 )
@@ -373,3 +376,98 @@ WITH b AS ({SQL_B_STATE})
 SELECT user_id, event_id, event_type, value, _synced AS _bronze_sync_timestamp
 FROM ({latest('b', 'user_id', STATE_ORDER, 'NOT _deleted')})
 """
+
+
+# ---------------------------------------------------------------------------
+# M1-M13 over the airline-shaped bronze, generated from the specs
+# ---------------------------------------------------------------------------
+def _col_sql(c) -> str:
+    src = c.src or c.name
+    if c.kind == "keep":
+        return f"{src} AS {c.name}"
+    if c.kind == "varchar":
+        return f"CAST({src} AS VARCHAR) AS {c.name}"
+    if c.kind == "date":
+        return f"TRY_CAST({src} AS DATE) AS {c.name}"
+    if c.kind == "ts":
+        return f"TRY_CAST({src} AS TIMESTAMP) AS {c.name}"
+    if c.kind == "dec":
+        return f"CAST({src} AS DECIMAL(10,2)) AS {c.name}"
+    if c.kind == "net":
+        return f"{c.args[0]} - COALESCE({c.args[1]}, 0) AS {c.name}"
+    raise ValueError(c.kind)
+
+
+def _in_list(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+def model_sql(name: str) -> str:
+    spec = MODELS[name]
+    keys = ", ".join(spec.keys)
+    where = " AND ".join([ACTIVE]
+                         + [f"{c} IN ({_in_list(v)})" for c, v in spec.include.items()]
+                         + [f"{c} NOT IN ({_in_list(v)})" for c, v in spec.exclude.items()])
+    order = "_synced DESC NULLS FIRST, " + ", ".join(f"{c} DESC NULLS LAST" for c in tiebreak_columns(spec))
+    proj = ", ".join(_col_sql(c) for c in spec.columns)
+    k0 = spec.keys[0]
+    out_cols = [c.name for c in spec.columns if c.name not in spec.keys] + ["_bronze_sync_timestamp", "_run_id",
+                                                                           "_is_deleted"]
+    sel = [f"COALESCE(u.{k}, t.{k}) AS {k}" for k in spec.keys]
+    sel += [f"CASE WHEN u.{k0} IS NOT NULL THEN u.{c} ELSE t.{c} END AS {c}" for c in out_cols]
+    sel.append(f"CASE WHEN t.{k0} IS NOT NULL THEN t._silver_load_timestamp "
+               f"ELSE u._silver_load_timestamp END AS _silver_load_timestamp")
+    on = " AND ".join(f"t.{k} = u.{k}" for k in spec.keys)
+    return f"""
+WITH b AS ({airline.bronze_sql(spec.source)}),
+t1 AS (SELECT {proj}, {audit(Q.MODEL_T1, Q.RUN_1)}
+       FROM ({latest('b', keys, order, f'{where} AND _synced < {ts(Q.MODEL_T1)}')})),
+wm AS (SELECT COALESCE(MAX(_bronze_sync_timestamp), TIMESTAMP '2000-01-01') AS wm FROM t1),
+cand AS (SELECT * FROM b WHERE _synced > (SELECT wm FROM wm) OR _synced >= {ts(Q.MODEL_T2)} - INTERVAL 3 DAY),
+u2 AS (SELECT {proj}, {audit(Q.MODEL_T2, Q.RUN_2)} FROM ({latest('cand', keys, order, where)}))
+SELECT {', '.join(sel)} FROM t1 t FULL OUTER JOIN u2 u ON {on}
+"""
+
+
+def history_sql(name: str) -> str:
+    spec = SNAPSHOTS[name]
+    keys = ", ".join(spec.keys)
+    rest = [c for c in spec.payload if c not in spec.keys] + ["_deleted"]
+    order = "_synced DESC NULLS FIRST, " + ", ".join(f"{c} DESC NULLS LAST" for c in rest)
+    types = dict(airline.fields(spec.source))
+    parts = [f"strftime({k}, '%Y-%m-%d')" if types[k] == "date" else f"CAST({k} AS VARCHAR)" for k in spec.keys]
+    key_text = " || '-' || ".join(parts)
+    cols = ", ".join(list(spec.payload) + ["_synced", "_deleted"])
+    w = f"PARTITION BY {keys} ORDER BY batch"
+    return f"""
+WITH b AS ({airline.bronze_sql(spec.source)}),
+s AS (
+  SELECT 1 AS batch, {cols} FROM ({latest('b', keys, order, f'{ACTIVE} AND _synced < {ts(Q.MODEL_T1)}')})
+  UNION ALL
+  SELECT 2 AS batch, {cols} FROM ({latest('b', keys, order, ACTIVE)})
+),
+f AS (SELECT *, LAG(_synced) OVER ({w}) AS prev_synced, LAG(batch) OVER ({w}) AS prev_batch FROM s),
+v AS (SELECT * FROM f WHERE prev_batch IS NULL OR _synced > prev_synced)
+SELECT {cols},
+       md5({key_text} || '|' || strftime(_synced, '%Y-%m-%d %H:%M:%S.%f') || '|false') AS scd_id,
+       _synced AS valid_from,
+       COALESCE(LEAD(_synced) OVER ({w}), TIMESTAMP '9999-12-31') AS valid_to,
+       LEAD(_synced) OVER ({w}) IS NULL AS is_current,
+       FALSE AS is_deleted
+FROM v
+"""
+
+
+for _n in MODELS:
+    ORACLE[f"q_model_{_n}"] = model_sql(_n)
+for _n in SNAPSHOTS:
+    ORACLE[f"q_history_{_n}"] = history_sql(_n)
+
+_PNR = MODELS["passenger_name_record"]
+ORACLE["q_model_pnr_masked"] = f"""
+WITH m AS ({model_sql("passenger_name_record")})
+SELECT pnr_locator, pax_id, '***MASKED***' AS pax_first_name, '***MASKED***' AS pax_last_name,
+       '***MASKED***' AS passport_number, make_date(year(date_of_birth), 1, 1) AS date_of_birth,
+       _bronze_sync_timestamp, _silver_load_timestamp, _run_id, _is_deleted
+FROM m
+"""

@@ -6,6 +6,7 @@ built without a Spark session; ``tidemark.plans.models`` turns them into plans.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 # ---------------------------------------------------------------------------
@@ -55,6 +56,14 @@ class ForeignKey:
     severity: str = "error"
 
 
+_FIELD = re.compile(r"(\w+)\s+([A-Za-z_]+(?:\(\d+\s*,\s*\d+\))?)")
+
+
+def ddl_fields(ddl: str) -> list[tuple[str, str]]:
+    """(name, lower-case Spark type) pairs of a flat ``name TYPE, ...`` schema string."""
+    return [(m.group(1), m.group(2).lower().replace(" ", "")) for m in _FIELD.finditer(ddl)]
+
+
 @dataclass(frozen=True)
 class SourceSpec:
     domain: str
