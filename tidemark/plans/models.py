@@ -106,6 +106,8 @@ def run_model(spec: TableSpec, bronze: DataFrame, table, now, run_id: str,
         # the mark was observed while the current version was written; scan only if it is missing
         wm = table.metrics().get("high_water_mark") or high_water_mark(target)
     updates = refine(spec, bronze, now, run_id, wm, lookback_days, dev_today)
+    if target is None:  # first run (S9): the batch is the table
+        return table.commit(updates, run_id=run_id, batch_id=batch_id, observe=output_metrics())
     staged = stage(updates, f"{spec.name}-updates")
     merged = merge_upsert(target, staged, spec.keys, spec.keep_on_update, only_if_newer=only_if_newer,
                           broadcast_rows=broadcast_rows)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from tidemark.plans import airline
 from tidemark.plans import queries as Q
 from tidemark.plans.models import tiebreak_columns
-from tidemark.specs import MODELS, SNAPSHOTS
+from tidemark.specs import FOREIGN_KEYS, MODELS, SNAPSHOTS
 from tidemark.plans.views import (
     SQL_ARRIVAL, SQL_B_COUPON, SQL_B_JOURNAL, SQL_B_LEG, SQL_B_STATE, SQL_B_WAYBILL,
 )
@@ -471,3 +471,51 @@ SELECT pnr_locator, pax_id, '***MASKED***' AS pax_first_name, '***MASKED***' AS
        _bronze_sync_timestamp, _silver_load_timestamp, _run_id, _is_deleted
 FROM m
 """
+
+
+
+def _check_failures(rel: str, c) -> str:
+    col = c.columns[0]
+    if c.kind == "not_null":
+        return f"SELECT COUNT(*) FROM {rel} WHERE {col} IS NULL"
+    if c.kind == "unique":
+        return f"SELECT COUNT(*) FROM (SELECT {col} FROM {rel} WHERE {col} IS NOT NULL GROUP BY {col} HAVING COUNT(*) > 1)"
+    if c.kind == "unique_combination":
+        cols = ", ".join(c.columns)
+        return f"SELECT COUNT(*) FROM (SELECT 1 FROM {rel} GROUP BY {cols} HAVING COUNT(*) > 1)"
+    if c.kind == "expression":
+        return f"SELECT COUNT(*) FROM {rel} WHERE NOT ({col} {c.arg})"
+    if c.kind == "regex":
+        return f"SELECT COUNT(*) FROM {rel} WHERE NOT regexp_full_match({col}, '{c.arg}')"
+    raise ValueError(c.kind)
+
+
+def _summary_row(table: str, name: str, severity: str, failures: str) -> str:
+    return (f"SELECT '{table}' AS table_name, '{name}' AS check_name, '{severity}' AS severity, "
+            f"CAST(({failures}) AS BIGINT) AS failures, "
+            f"CASE WHEN ({failures}) = 0 THEN 'pass' ELSE '{severity}' END AS status")
+
+
+def _outputs_cte(names) -> str:
+    parts = [f"m_{n} AS ({model_sql(n)})" for n in MODELS if n in names]
+    parts += [f"m_{n} AS ({history_sql(n)})" for n in SNAPSHOTS if n in names]
+    return ",\n".join(parts)
+
+
+_ALL_OUTPUTS = list(MODELS) + list(SNAPSHOTS)
+ORACLE["q_model_checks"] = f"WITH {_outputs_cte(_ALL_OUTPUTS)}\n" + "\nUNION ALL\n".join(
+    _summary_row(n, c.name, c.severity, _check_failures(f"m_{n}", c))
+    for n in _ALL_OUTPUTS for c in (MODELS[n].checks if n in MODELS else SNAPSHOTS[n].checks))
+
+
+def _fk_failures(fk) -> str:
+    match = " AND ".join(f"p.{pc} = c.{cc}" for cc, pc in zip(fk.child_cols, fk.parent_cols))
+    if fk.parent_current_only:
+        match = "p.is_current AND " + match
+    return (f"SELECT COUNT(*) FROM m_{fk.child} c WHERE c.{fk.child_cols[0]} IS NOT NULL "
+            f"AND NOT EXISTS (SELECT 1 FROM m_{fk.parent} p WHERE {match})")
+
+
+_FK_TABLES = {fk.child for fk in FOREIGN_KEYS} | {fk.parent for fk in FOREIGN_KEYS}
+ORACLE["q_model_fk_suite"] = f"WITH {_outputs_cte(_FK_TABLES)}\n" + "\nUNION ALL\n".join(
+    _summary_row(fk.child, fk.name, fk.severity, _fk_failures(fk)) for fk in FOREIGN_KEYS)

@@ -24,15 +24,16 @@ from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.merge import merge_upsert
 from tidemark.operators.quality import (
     check_column_type, check_rows, check_unique, check_unique_combination, freshness, orphans, run_checks,
+    run_fk_checks,
 )
 from tidemark.operators.scd2 import scd2_apply
 from tidemark.plans import airline, views
-from tidemark.plans.models import refine, snapshot_source
+from tidemark.plans.models import refine, run_model, run_snapshot, snapshot_source
 from tidemark.session import scratch_path
 from tidemark.sources.bronze import high_water_mark, incremental_filter, load_profile
 from tidemark.sources.changes import api_delta, apply_changes, snapshot_diff
 from tidemark.sources.tables import VersionedTable, stage
-from tidemark.specs import MODELS, SNAPSHOTS, Check, Col, SnapshotSpec, TableSpec
+from tidemark.specs import FOREIGN_KEYS, MODELS, SNAPSHOTS, Check, Col, SnapshotSpec, TableSpec
 from tidemark.streaming.ingest import file_stream, stream_scd1
 
 # ---------------------------------------------------------------------------
@@ -407,29 +408,30 @@ MODEL_T2 = "2001-11-05 00:00:00"    # run 2 sees every row
 
 
 def model_query(name: str):
-    """Two incremental runs of a keyed output, merged."""
+    """Two incremental runs of a keyed output through ``run_model``."""
     spec = MODELS[name]
 
     def q(spark, sf):
         bronze = airline.bronze(spark, sf, spec.source)
-        target1 = refine(spec, bronze.filter(F.col("_synced") < ts_lit(MODEL_T1)), MODEL_T1, RUN_1)
-        wm = high_water_mark(target1)
-        updates2 = refine(spec, bronze, MODEL_T2, RUN_2, watermark=wm)
-        return merge_upsert(target1, updates2, spec.keys, spec.keep_on_update)
+        table = VersionedTable(spark, scratch_path(spark, f"model-{name}"))
+        run_model(spec, bronze.filter(F.col("_synced") < ts_lit(MODEL_T1)), table, MODEL_T1, RUN_1)
+        run_model(spec, bronze, table, MODEL_T2, RUN_2)
+        return table.read()
 
     q.__doc__ = f"M: keyed output {name}, two runs merged."
     return q
 
 
 def history_query(name: str):
-    """Two snapshot runs of a history output."""
+    """Two snapshot runs of a history output through ``run_snapshot``."""
     spec = SNAPSHOTS[name]
 
     def q(spark, sf):
         bronze = airline.bronze(spark, sf, spec.source)
-        first = snapshot_source(spec, bronze.filter(F.col("_synced") < ts_lit(MODEL_T1)))
-        h1 = stage(scd2_apply(None, first, spec.keys, MODEL_T1, spec.updated_at), name)
-        return scd2_apply(h1, snapshot_source(spec, bronze), spec.keys, MODEL_T2, spec.updated_at)
+        table = VersionedTable(spark, scratch_path(spark, f"history-{name}"))
+        run_snapshot(spec, bronze.filter(F.col("_synced") < ts_lit(MODEL_T1)), table, MODEL_T1, RUN_1)
+        run_snapshot(spec, bronze, table, MODEL_T2, RUN_2)
+        return table.read()
 
     q.__doc__ = f"M: history output {name}, two snapshot runs."
     return q
@@ -441,6 +443,30 @@ def q_model_pnr_masked(spark, sf):
     return gov.masked_view(gov.tag_pii(out, gov.PASSENGER_TAGS), roles=["ANALYST_ROLE"])
 
 
+def model_outputs(spark, sf, names=None) -> dict[str, DataFrame]:
+    """The committed outputs (checks read tables, as after a run)."""
+    wanted = set(names) if names else set(MODELS) | set(SNAPSHOTS)
+    out = {n: model_query(n)(spark, sf) for n in MODELS if n in wanted}
+    out.update({n: history_query(n)(spark, sf) for n in SNAPSHOTS if n in wanted})
+    return out
+
+
+def q_model_checks(spark, sf):
+    """Q1-Q5 Q11: every declared check of the 13 outputs, one summary row each, with severity."""
+    outs = model_outputs(spark, sf)
+    parts = [run_checks(n, outs[n], spec.checks) for n, spec in list(MODELS.items()) + list(SNAPSHOTS.items())]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_model_fk_suite(spark, sf):
+    """The five referential assertions over the model outputs."""
+    names = {fk.child for fk in FOREIGN_KEYS} | {fk.parent for fk in FOREIGN_KEYS}
+    return run_fk_checks(model_outputs(spark, sf, names), FOREIGN_KEYS)
+
+
 QUERIES = {name: fn for name, fn in list(globals().items()) if name.startswith("q_") and callable(fn)}
 QUERIES.update({f"q_model_{n}": model_query(n) for n in MODELS})
 QUERIES.update({f"q_history_{n}": history_query(n) for n in SNAPSHOTS})
