@@ -125,3 +125,21 @@ def run_snapshot(spec: SnapshotSpec, bronze: DataFrame, table, now, run_id: str)
     current = snapshot_source(spec, bronze)
     history = table.read()
     return table.commit(scd2_apply(history, current, spec.keys, now, spec.updated_at), run_id=run_id)
+
+
+# Fixed value: parallel model threads of a production run (the reference's client setting).
+MODEL_THREADS = 4
+
+
+def run_outputs(jobs: dict, threads: int = MODEL_THREADS) -> dict:
+    """Run independent output builds concurrently, like the reference's 4 model threads.
+
+    ``jobs`` maps a name to a zero-argument callable that runs one output (its own
+    Spark jobs) and returns its result. Spark schedules the concurrent jobs across
+    the cluster; nothing but the per-job results passes through the driver.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        futures = {name: pool.submit(fn) for name, fn in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}

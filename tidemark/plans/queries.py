@@ -28,7 +28,7 @@ from tidemark.operators.quality import (
 )
 from tidemark.operators.scd2 import scd2_apply
 from tidemark.plans import airline, views
-from tidemark.plans.models import refine, run_model, run_snapshot, snapshot_source
+from tidemark.plans.models import refine, run_model, run_outputs, run_snapshot, snapshot_source
 from tidemark.session import scratch_path
 from tidemark.sources.bronze import high_water_mark, incremental_filter, load_profile
 from tidemark.sources.changes import api_delta, apply_changes, snapshot_diff
@@ -446,9 +446,9 @@ def q_model_pnr_masked(spark, sf):
 def model_outputs(spark, sf, names=None) -> dict[str, DataFrame]:
     """The committed outputs (checks read tables, as after a run)."""
     wanted = set(names) if names else set(MODELS) | set(SNAPSHOTS)
-    out = {n: model_query(n)(spark, sf) for n in MODELS if n in wanted}
-    out.update({n: history_query(n)(spark, sf) for n in SNAPSHOTS if n in wanted})
-    return out
+    jobs = {n: (lambda n=n: model_query(n)(spark, sf)) for n in MODELS if n in wanted}
+    jobs.update({n: (lambda n=n: history_query(n)(spark, sf)) for n in SNAPSHOTS if n in wanted})
+    return run_outputs(jobs)
 
 
 def q_model_checks(spark, sf):

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -93,7 +94,7 @@ class VersionedTable:
         n = (cur or 0) + 1
         obs = None
         if observe:
-            obs = Observation(f"commit-{n}")
+            obs = Observation(f"commit-{n}-{uuid.uuid4().hex[:12]}")  # unique across concurrent runs
             df = df.observe(obs, *[e.alias(k) for k, e in observe.items()])
         w = df.write.mode("overwrite")
         if partition_by:
