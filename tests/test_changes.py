@@ -5,7 +5,11 @@ from tidemark.sources.changes import api_delta, apply_changes, snapshot_diff
 FEED = "k STRING, v INT, _synced TIMESTAMP_NTZ, op STRING"
 
 
-def test_apply_changes_latest_wins_and_delete_keeps_payload(spark):
+import pytest
+
+
+@pytest.mark.parametrize("strategy", ["shuffle", "broadcast"])
+def test_apply_changes_latest_wins_and_delete_keeps_payload(spark, strategy):
     bronze = spark.createDataFrame([("a", 1, ts("2024-01-01"), False), ("b", 1, ts("2024-01-01"), False),
                                     ("c", 1, ts("2024-01-01"), False)],
                                    "k STRING, v INT, _synced TIMESTAMP_NTZ, _deleted BOOLEAN")
@@ -14,7 +18,7 @@ def test_apply_changes_latest_wins_and_delete_keeps_payload(spark):
         ("b", 0, ts("2024-01-02"), "D"),                                     # delete keeps payload v=1
         ("d", 5, ts("2024-01-02"), "I"), ("e", 7, ts("2024-01-02"), "D"),    # insert; delete of unknown key
     ], FEED)
-    out = {r["k"]: r for r in rows(apply_changes(bronze, feed, ["k"]), "k")}
+    out = {r["k"]: r for r in rows(apply_changes(bronze, feed, ["k"], strategy=strategy), "k")}
     assert (out["a"]["v"], out["a"]["_deleted"]) == (3, False)
     assert (out["b"]["v"], out["b"]["_deleted"], out["b"]["_synced"]) == (1, True, ts("2024-01-02"))
     assert (out["c"]["v"], out["c"]["_deleted"]) == (1, False)

@@ -7,9 +7,10 @@
   null-safe equality per column and emit I/U/D rows.
 * ``api_delta``      - only rows past a cursor are fetched; they are upserts.
 
-Each is one full-outer join on the key (both sides hash-partitioned once);
-the feed is reduced to one row per key (partial top-1 before its shuffle) first,
+The feed is reduced to one row per key first (partial top-1 before its shuffle),
 so a hot key costs one row per map task, not a third of the feed in one task.
+Applying it is one keyed join: broadcast when the change set is proven small,
+otherwise one full-outer join with NULL keys salted.
 """
 
 from __future__ import annotations
@@ -22,16 +23,20 @@ from pyspark.sql import functions as F
 from tidemark.functions.cleanse import ts_lit
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.keys import key_match, with_null_salt
+from tidemark.operators.merge import bounded
 
 OP_INSERT, OP_UPDATE, OP_DELETE = "I", "U", "D"
 
 
 def apply_changes(bronze: DataFrame | None, feed: DataFrame, keys: Sequence[str], op_col: str = "op",
-                  seq_col: str = "_synced", tiebreak: Sequence[str] = ()) -> DataFrame:
+                  seq_col: str = "_synced", tiebreak: Sequence[str] = (), strategy: str = "auto",
+                  broadcast_rows: int = 1_000_000) -> DataFrame:
     """Return the new bronze state (payload columns + ``_synced`` + ``_deleted``).
 
     ``feed`` carries the payload, ``op_col`` and ``seq_col`` (the change time, which
-    becomes ``_synced``). Bronze columns = payload + _synced + _deleted.
+    becomes ``_synced``). Shapes as in the merge: ``broadcast`` when the per-key
+    changes are proven small (a frequent CDC feed against a large bronze: bronze is
+    rewritten in place, never shuffled), ``shuffle`` (one full-outer join) otherwise.
     """
     keys = list(keys)
     payload = [c for c in feed.columns if c not in (op_col, seq_col, "_deleted")]
@@ -41,23 +46,32 @@ def apply_changes(bronze: DataFrame | None, feed: DataFrame, keys: Sequence[str]
     if bronze is None:
         return changes
     cols = payload + ["_synced", "_deleted"]
-    b = with_null_salt(bronze.select(*cols).withColumn("__b", F.lit(True)), keys)
-    c = with_null_salt(changes.withColumn("__c", F.lit(True)), keys)
-    j = b.alias("b").join(c.alias("c"), key_match(keys, "b", "c"), "full_outer")
+    b = bronze.select(*cols).withColumn("__b", F.lit(True))
+    c = changes.withColumn("__c", F.lit(True))
     has_b, has_c = F.col("b.__b").isNotNull(), F.col("c.__c").isNotNull()
     c_del = F.col("c._deleted")
     out = []
     for name in cols:
         b_, c_ = F.col(f"b.{name}"), F.col(f"c.{name}")
-        if name in keys:
-            e = F.when(has_c, c_).otherwise(b_)
-        elif name in ("_synced", "_deleted"):
+        if name in keys or name in ("_synced", "_deleted"):
             e = F.when(has_c, c_).otherwise(b_)
         else:
             # a delete keeps the last bronze payload when there is one
             e = F.when(has_c & ~(c_del & has_b), c_).otherwise(b_)
         out.append(e.alias(name))
-    return j.select(*out)
+
+    if strategy == "auto":
+        strategy = "broadcast" if bounded(changes, broadcast_rows) else "shuffle"
+    if strategy == "shuffle":
+        bs, cs = with_null_salt(b, keys), with_null_salt(c, keys)
+        return bs.alias("b").join(cs.alias("c"), key_match(keys, "b", "c"), "full_outer").select(*out)
+    if strategy == "broadcast":
+        cond = key_match(keys, "b", "c", salted=False)
+        rewritten = b.alias("b").join(F.broadcast(c.alias("c")), cond, "left").select(*out)
+        matched = bronze.select(*keys).join(F.broadcast(changes.select(*keys)), keys, "left_semi")
+        inserts = changes.join(F.broadcast(matched), keys, "left_anti").select(*cols)
+        return rewritten.unionByName(inserts)
+    raise ValueError(f"unknown strategy {strategy!r}")
 
 
 def snapshot_diff(prev: DataFrame, curr: DataFrame, keys: Sequence[str],
