@@ -49,8 +49,12 @@ def duck():
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
-def test_query_matches_oracle(spark, duck, name):
+def test_query_matches_oracle(spark, duck, name, capsys):
     sdf = E.queries()[name](spark, SF)
+    sdf.explain()
+    plan = capsys.readouterr().out
+    # no pairing of all rows: every join is keyed
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     cols = sdf.columns
     cur = duck.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in cur.description]

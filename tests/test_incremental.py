@@ -41,3 +41,19 @@ def test_filter_pushes_into_parquet_scan(spark, tmp_path, capsys):
     incremental(spark.read.parquet(path), target, "2024-01-12").explain()
     plan = capsys.readouterr().out
     assert "PushedFilters: [IsNotNull(_synced), GreaterThanOrEqual(_synced" in plan
+
+
+def test_landed_bronze_prunes_partitions(spark, tmp_path, capsys):
+    from tidemark.plans.models import refine
+    from tidemark.sources.bronze import land
+    from tidemark.specs import Col, TableSpec
+
+    path = str(tmp_path / "landed")
+    data = [("a", i, ts(f"2024-01-{d:02d} 10:00"), False) for i, d in enumerate(range(1, 11))]
+    land(spark.createDataFrame(data, "k STRING, v INT, _synced TIMESTAMP_NTZ, _deleted BOOLEAN"), path)
+    spec = TableSpec("t", "b", ("k",), (Col("k"), Col("v")))
+    out = refine(spec, spark.read.parquet(path), "2024-01-12 00:00:00", "r", watermark=ts("2024-01-10 10:00"))
+    assert [r.v for r in out.collect()] == [9]
+    out.explain()
+    plan = capsys.readouterr().out
+    assert "PartitionFilters: [isnotnull(_sync_date" in plan and "(_sync_date#" in plan

@@ -23,7 +23,7 @@ from tidemark.functions.cleanse import (
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.merge import merge_upsert
 from tidemark.operators.scd2 import scd2_apply
-from tidemark.sources.bronze import high_water_mark, incremental_filter
+from tidemark.sources.bronze import SYNC_DATE, high_water_mark, incremental_filter
 from tidemark.sources.tables import stage
 from tidemark.specs import Col, SnapshotSpec, TableSpec
 
@@ -75,9 +75,10 @@ def refine(spec: TableSpec, bronze: DataFrame, now, run_id: str, watermark=None,
     """The update batch of one keyed output (no I/O). ``watermark=None`` means first run."""
     tiebreak = tiebreak_columns(spec)
     extra = [t for t in tiebreak if t not in spec.source_columns and t != "_deleted"]
-    src = bronze.select(*spec.source_columns, *extra, "_synced", "_deleted")
     if watermark is not None:
-        src = src.filter(incremental_filter(watermark, now, lookback_days))
+        part = SYNC_DATE if SYNC_DATE in bronze.columns else None
+        bronze = bronze.filter(incremental_filter(watermark, now, lookback_days, partition_col=part))
+    src = bronze.select(*spec.source_columns, *extra, "_synced", "_deleted")
     if dev_today is not None and spec.dev_date_col:
         src = src.filter(within_days(spec.dev_date_col, dev_days, dev_today))
     live = src.filter(row_filter(spec))

@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 from tidemark.functions.cleanse import DEV_DAYS, LOOKBACK_DAYS, MIN_DATE, ts_lit, within_days
 
 SYNCED, DELETED = "_synced", "_deleted"
+# Partition column of landed bronze: the calendar day of the sync time.
+SYNC_DATE = "_sync_date"
 
 
 def scan(spark: SparkSession, path: str, schema: str | T.StructType | None = None,
@@ -40,7 +42,8 @@ def high_water_mark(target: DataFrame | None, col: str = "_bronze_sync_timestamp
     return row["wm"] if row is not None and row["wm"] is not None else floor_ts
 
 
-def incremental_filter(wm, now, lookback_days: int = LOOKBACK_DAYS, synced: str = SYNCED) -> Column:
+def incremental_filter(wm, now, lookback_days: int = LOOKBACK_DAYS, synced: str = SYNCED,
+                       partition_col: str | None = None) -> Column:
     """S3 predicate ``synced > wm OR synced >= now - lookback`` folded to ONE literal bound.
 
     Both bounds are known on the driver, so the disjunction is a single range:
@@ -51,7 +54,17 @@ def incremental_filter(wm, now, lookback_days: int = LOOKBACK_DAYS, synced: str
     floor = _as_ts(now) - dt.timedelta(days=lookback_days)
     wm = _as_ts(wm)
     c = F.col(synced)
-    return c >= ts_lit(floor) if floor <= wm else c > ts_lit(wm)
+    bound = floor if floor <= wm else wm
+    cond = c >= ts_lit(floor) if floor <= wm else c > ts_lit(wm)
+    if partition_col:
+        # the same bound on the day partition: whole folders are skipped before any file is opened
+        cond = cond & (F.col(partition_col) >= F.lit(bound.date().isoformat()).cast("date"))
+    return cond
+
+
+def land(df: DataFrame, path: str, synced: str = SYNCED, mode: str = "append") -> None:
+    """Write bronze the way it is laid out at rest: Parquet partitioned by the sync day."""
+    df.withColumn(SYNC_DATE, F.to_date(F.col(synced))).write.mode(mode).partitionBy(SYNC_DATE).parquet(path)
 
 
 def incremental(src: DataFrame, target: DataFrame | None, now, lookback_days: int = LOOKBACK_DAYS,
