@@ -35,6 +35,22 @@ def bounded(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+# Bytes per value used to turn a broadcast byte budget into a row bound (strings: average guess).
+_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
+          T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
+          T.DecimalType: 16, T.StringType: 32}
+BROADCAST_BYTES = 256 * 1024 * 1024
+
+
+def row_width(schema: T.StructType) -> int:
+    return sum(_WIDTH.get(type(f.dataType), 64) for f in schema.fields) + 16
+
+
+def broadcast_row_bound(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_BYTES) -> int:
+    """Rows allowed on the broadcast side: the smaller of a row cap and a byte budget / row width."""
+    return max(1, min(max_rows, max_bytes // row_width(df.schema)))
+
+
 def _output_columns(target: DataFrame, updates: DataFrame) -> list[tuple[str, T.DataType, str]]:
     """(name, type, origin) with origin in both | target | update, target order first."""
     tf = {f.name: f.dataType for f in target.schema.fields}
@@ -103,7 +119,7 @@ def merge_upsert(target: DataFrame | None, updates: DataFrame, keys: Sequence[st
     resolve = lambda: _resolve(cols, keys, keep, tcol, ucol, t_present, u_present, take_update)
 
     if strategy == "auto":
-        strategy = "broadcast" if bounded(updates, broadcast_rows) else "shuffle"
+        strategy = "broadcast" if bounded(updates, broadcast_row_bound(updates, broadcast_rows)) else "shuffle"
     if strategy == "shuffle":
         # one full-outer join; NULL-key rows spread by a salt instead of sharing one partition
         ts_, us_ = with_null_salt(t, keys), with_null_salt(u, keys)
@@ -112,7 +128,9 @@ def merge_upsert(target: DataFrame | None, updates: DataFrame, keys: Sequence[st
         # the target is scanned and rewritten in place, never shuffled
         cond = key_match(keys, "t", "u", salted=False)
         rewritten = t.alias("t").join(F.broadcast(u.alias("u")), cond, "left").select(*resolve())
-        matched = target.select(*keys).join(F.broadcast(updates.select(*keys)), keys, "left_semi")
+        # distinct: bounded by the batch's keys even if the target held duplicate keys
+        matched = (target.select(*keys).join(F.broadcast(updates.select(*keys)), keys, "left_semi")
+                   .dropDuplicates(keys))
         inserts = updates.join(F.broadcast(matched), keys, "left_anti")
         return rewritten.unionByName(_fill(inserts, cols))
     raise ValueError(f"unknown merge strategy {strategy!r}")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.cleanse import ts_lit
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.keys import key_match, with_null_salt
-from tidemark.operators.merge import bounded
+from tidemark.operators.merge import bounded, broadcast_row_bound
 
 OP_INSERT, OP_UPDATE, OP_DELETE = "I", "U", "D"
 
@@ -61,14 +61,15 @@ def apply_changes(bronze: DataFrame | None, feed: DataFrame, keys: Sequence[str]
         out.append(e.alias(name))
 
     if strategy == "auto":
-        strategy = "broadcast" if bounded(changes, broadcast_rows) else "shuffle"
+        strategy = "broadcast" if bounded(changes, broadcast_row_bound(changes, broadcast_rows)) else "shuffle"
     if strategy == "shuffle":
         bs, cs = with_null_salt(b, keys), with_null_salt(c, keys)
         return bs.alias("b").join(cs.alias("c"), key_match(keys, "b", "c"), "full_outer").select(*out)
     if strategy == "broadcast":
         cond = key_match(keys, "b", "c", salted=False)
         rewritten = b.alias("b").join(F.broadcast(c.alias("c")), cond, "left").select(*out)
-        matched = bronze.select(*keys).join(F.broadcast(changes.select(*keys)), keys, "left_semi")
+        matched = (bronze.select(*keys).join(F.broadcast(changes.select(*keys)), keys, "left_semi")
+                   .dropDuplicates(keys))
         inserts = changes.join(F.broadcast(matched), keys, "left_anti").select(*cols)
         return rewritten.unionByName(inserts)
     raise ValueError(f"unknown strategy {strategy!r}")
