@@ -85,7 +85,6 @@ STATE_COLS = "user_id, event_id, event_type, value"
 EVENT_COLS = "event_id, user_id, event_type, value"
 STATE_ORDER = "_synced DESC NULLS FIRST, event_id DESC NULLS LAST"
 EVENT_ORDER = "_synced DESC NULLS FIRST"
-AUDIT_NAMES = ("_bronze_sync_timestamp", "_silver_load_timestamp", "_run_id", "_is_deleted")
 
 
 def merge_sql(key: str, cols: list[str], target_cols: list[str] | None = None, only_newer: bool = False) -> str:
@@ -463,7 +462,6 @@ for _n in MODELS:
 for _n in SNAPSHOTS:
     ORACLE[f"q_history_{_n}"] = history_sql(_n)
 
-_PNR = MODELS["passenger_name_record"]
 ORACLE["q_model_pnr_masked"] = f"""
 WITH m AS ({model_sql("passenger_name_record")})
 SELECT pnr_locator, pax_id, '***MASKED***' AS pax_first_name, '***MASKED***' AS pax_last_name,

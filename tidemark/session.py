@@ -8,7 +8,6 @@ Only when the setting is missing (local tests) do we create one.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -56,16 +55,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder below the shared checkpoint dir."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_local_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_fs_path(path), exist_ok=True)
