@@ -18,7 +18,7 @@ def test_uncommitted_write_is_invisible(spark, tmp_path):
     t = VersionedTable(spark, str(tmp_path / "t"))
     t.commit(spark.range(3))
     # a crash after the data write but before the commit file leaves v1 current
-    spark.range(7).write.parquet(str(tmp_path / "t" / "data" / "v000002"))
+    spark.range(7).write.parquet(str(tmp_path / "t" / "data" / "tm_version=000002"))
     assert t.current_version() == 1 and t.read().count() == 3
     assert t.commit(spark.range(4)) == 2 and t.read().count() == 4  # the next run overwrites the debris
 
@@ -40,7 +40,7 @@ def test_batch_replay_is_noop_and_vacuum(spark, tmp_path):
     assert t.commit(spark.range(9), batch_id=1) == 2  # replayed micro-batch
     assert t.read().count() == 2
     assert t.vacuum(keep=1) == [1]
-    assert not os.path.exists(tmp_path / "t" / "data" / "v000001")
+    assert not os.path.exists(tmp_path / "t" / "data" / "tm_version=000001")
 
 
 def test_observed_metrics_travel_with_the_commit(spark, tmp_path):
@@ -52,3 +52,25 @@ def test_observed_metrics_travel_with_the_commit(spark, tmp_path):
                                "id INT, _bronze_sync_timestamp TIMESTAMP_NTZ")
     t.commit(df, observe={"rows": F.count(F.lit(1)), "high_water_mark": F.max("_bronze_sync_timestamp")})
     assert t.metrics() == {"rows": 2, "high_water_mark": dt.datetime(2024, 1, 2, 3, 4, 5, 6)}
+
+
+def test_history_commits_append_closed_rows(spark, tmp_path):
+    import datetime as dt
+
+    from tidemark.operators.scd2 import scd2_apply
+    t = VersionedTable(spark, str(tmp_path / "h"))
+    s = "k STRING, v INT, _synced TIMESTAMP_NTZ"
+    c1 = spark.createDataFrame([("a", 1, dt.datetime(2024, 1, 1)), ("b", 1, dt.datetime(2024, 1, 1))], s)
+    t.commit_history(scd2_apply(None, c1, ["k"], "2024-01-01", include_closed=False))
+    c2 = spark.createDataFrame([("a", 2, dt.datetime(2024, 1, 2))], s)
+    t.commit_history(scd2_apply(t.read(), c2, ["k"], "2024-01-03", include_closed=False))
+    c3 = spark.createDataFrame([("a", 3, dt.datetime(2024, 1, 4))], s)
+    t.commit_history(scd2_apply(t.read(), c3, ["k"], "2024-01-05", include_closed=False))
+    parts = t.parts()
+    # closed rows of runs 2 and 3 stay in their own folders; only run 3's current slice is new
+    assert [p.rsplit("/", 2)[-2:] for p in parts] == [
+        ["tm_version=000002", "is_current=false"], ["tm_version=000003", "is_current=false"], ["tm_version=000003", "is_current=true"]]
+    out = {(r.k, r.v, r.is_current, r.is_deleted) for r in t.read().collect()}
+    assert out == {("a", 1, False, False), ("a", 2, False, False), ("a", 3, True, False),
+                   ("b", 1, False, False), ("b", 1, True, True)}
+    assert t.vacuum(keep=1) == [1]  # v1 is no longer referenced; v2's closed rows are

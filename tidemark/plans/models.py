@@ -122,10 +122,15 @@ def output_metrics() -> dict:  # noqa: N802 - a factory of Column expressions
 
 
 def run_snapshot(spec: SnapshotSpec, bronze: DataFrame, table, now, run_id: str) -> int:
-    """Snapshot a history output into a ``VersionedTable``; returns the new version."""
+    """Snapshot a history output into a ``VersionedTable``; returns the new version.
+
+    Only the current slice is read for the join and only this run's rows are written;
+    closed rows of earlier runs stay in their folders (append-only history).
+    """
     current = snapshot_source(spec, bronze)
     history = table.read()
-    return table.commit(scd2_apply(history, current, spec.keys, now, spec.updated_at), run_id=run_id)
+    produced = scd2_apply(history, current, spec.keys, now, spec.updated_at, include_closed=False)
+    return table.commit_history(produced, run_id=run_id)
 
 
 # Fixed value: parallel model threads of a production run (the reference's client setting).

@@ -17,6 +17,11 @@ import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+
+# Folder key of a version's data ("<key>=000042"); a multi-folder read drops the derived column.
+VERSION_KEY = "tm_version"
 
 
 class ConcurrentCommit(RuntimeError):
@@ -33,7 +38,7 @@ class VersionedTable:
 
     # --- layout ------------------------------------------------------------------
     def _data(self, n: int) -> str:
-        return f"{self.path}/data/v{n:06d}"
+        return f"{self.path}/data/{VERSION_KEY}={n:06d}"
 
     def _commit_file(self, n: int) -> str:
         return f"{self.path}/_commits/{n:06d}.json"
@@ -62,11 +67,24 @@ class VersionedTable:
         finally:
             stream.close()
 
-    def read(self, version: int | None = None) -> DataFrame | None:
+    def parts(self, version: int | None = None) -> list[str]:
+        """Data folders making up a version: its own folder, or the list recorded at commit."""
         n = self.current_version() if version is None else version
         if n is None:
+            return []
+        return self.commit_info(n).get("parts") or [self._data(n)]
+
+    def read(self, version: int | None = None) -> DataFrame | None:
+        parts = self.parts(version)
+        if not parts:
             return None
-        return self.spark.read.parquet(self._data(n))
+        if len(parts) == 1 and parts[0].rsplit("/", 1)[-1].startswith(f"{VERSION_KEY}="):
+            return self.spark.read.parquet(parts[0])
+        # several folders (an append-only history): one scan; partition values come from the paths
+        df = self.spark.read.option("basePath", f"{self.path}/data").parquet(*parts).drop(VERSION_KEY)
+        if "is_current" in df.columns:  # partition values are inferred as text, not boolean
+            df = df.withColumn("is_current", F.col("is_current").cast("boolean"))
+        return df
 
     # --- writing -----------------------------------------------------------------------
     def metrics(self, version: int | None = None) -> dict:
@@ -104,6 +122,28 @@ class VersionedTable:
         if obs is not None:
             info["metrics"] = {k: (f"ts:{v.isoformat()}" if isinstance(v, dt.datetime) else v)
                                for k, v in obs.get.items()}
+        return self._publish(n, info)
+
+    def commit_history(self, rows: DataFrame, run_id: str = "", batch_id: int | None = None) -> int:
+        """Append-only history commit: write only this run's rows, partitioned by ``is_current``.
+
+        The new version = every closed-row folder of the previous version (never rewritten)
+        + this run's closed rows + this run's current slice. A run therefore writes
+        O(current slice + changes), not O(whole history).
+        """
+        cur = self.current_version()
+        if batch_id is not None and cur is not None:
+            done = self.commit_info(cur).get("batch_id")
+            if done is not None and batch_id <= done:
+                return cur
+        n = (cur or 0) + 1
+        rows.write.mode("overwrite").partitionBy("is_current").parquet(self._data(n))
+        kept = [p for p in self.parts(cur) if p.endswith("is_current=false")] if cur else []
+        new = [f"{self._data(n)}/is_current={flag}" for flag in ("false", "true")]
+        parts = kept + [p for p in new if self._fs.exists(self._Path(p))]
+        return self._publish(n, {"version": n, "run_id": run_id, "batch_id": batch_id, "parts": parts})
+
+    def _publish(self, n: int, info: dict) -> int:
         try:
             out = self._fs.create(self._Path(self._commit_file(n)), False)
         except Exception as e:  # the file exists: another writer published version n first
@@ -115,10 +155,14 @@ class VersionedTable:
         return n
 
     def vacuum(self, keep: int = 2) -> list[int]:
-        """Delete data folders of all but the newest ``keep`` versions (their commit files stay)."""
+        """Delete data folders no longer referenced by the newest ``keep`` versions."""
+        live = {p for n in self.versions()[-keep:] for p in self.parts(n)} if keep else set()
         gone = []
         for n in self.versions()[:-keep] if keep else self.versions():
-            p = self._Path(self._data(n))
+            folder = self._data(n)
+            if any(p == folder or p.startswith(folder + "/") for p in live):
+                continue
+            p = self._Path(folder)
             if self._fs.exists(p):
                 self._fs.delete(p, True)
                 gone.append(n)
