@@ -55,8 +55,9 @@ def stream_scd2(stream: DataFrame, spec: SnapshotSpec, table: VersionedTable, ch
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         src = batch.select(*spec.payload, spec.updated_at, "_deleted")
         changes = latest_per_key(src, spec.keys, spec.updated_at)
-        history = scd2_apply(table.read(), changes, spec.keys, now, spec.updated_at, changes_only=True)
-        table.commit(history, run_id=f"{run_prefix}-{batch_id}", batch_id=batch_id)
+        produced = scd2_apply(table.read(), changes, spec.keys, now, spec.updated_at, changes_only=True,
+                              include_closed=False)
+        table.commit_history(produced, run_id=f"{run_prefix}-{batch_id}", batch_id=batch_id)
 
     _drain(stream, per_batch, checkpoint)
 
