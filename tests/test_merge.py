@@ -77,3 +77,34 @@ def test_replay_is_stable(spark):
 
 def test_first_run_without_target(spark):
     assert merge_upsert(None, _updates(spark), ["k"]).count() == 4
+
+
+def test_row_level_merge_is_refused_on_builtin_parquet_tables(spark):
+    from pyspark.errors import PySparkException
+
+    from tidemark.operators.merge import merge_into_table
+    spark.sql("DROP TABLE IF EXISTS tm_merge_target")
+    _target(spark).filter("k IS NOT NULL").write.format("parquet").saveAsTable("tm_merge_target")
+    with pytest.raises(PySparkException) as err:
+        merge_into_table("tm_merge_target", _updates(spark).filter("k IS NOT NULL"), ["k"])
+    assert "UNSUPPORTED" in str(err.value) or "not support" in str(err.value).lower()
+    spark.sql("DROP TABLE IF EXISTS tm_merge_target")
+
+
+def test_hot_key_holding_a_third_of_rows(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.dedup import latest_per_key
+    from tidemark.operators.quality import check_unique
+    n = 3000
+    df = (spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.col("id").cast("int").alias("v"),
+        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id"))).alias("_synced")))
+    latest = latest_per_key(df, ["k"])
+    assert latest.count() == 1 + 2 * n // 3
+    assert latest.filter("k = 'hot'").first().v == n - 3
+    assert [tuple(r) for r in check_unique(df, "k").collect()] == [("hot", n // 3)]
+    t = latest.select("k", "v", F.col("_synced").alias("_bronze_sync_timestamp"))
+    merged = merge_upsert(t, t.filter("k = 'hot'").withColumn("v", F.lit(-1)), ["k"], strategy="shuffle")
+    assert merged.count() == t.count() and merged.filter("v = -1").count() == 1

@@ -140,3 +140,20 @@ def _fill(df: DataFrame, cols) -> DataFrame:
     """Project ``df`` onto the output columns, NULL where it lacks one."""
     have = set(df.columns)
     return df.select(*[(F.col(n) if n in have else F.lit(None)).cast(t).alias(n) for n, t, _ in cols])
+
+
+def merge_into_table(table_name: str, updates: DataFrame, keys: Sequence[str],
+                     keep: Sequence[str] = ("_silver_load_timestamp",)) -> None:
+    """K1 as a row-level MERGE on a catalog table that supports it (``DataFrame.mergeInto``).
+
+    On a table format with row-level operations only the files holding matched keys
+    are rewritten. Built-in Parquet tables refuse MERGE
+    (``UNSUPPORTED_FEATURE.TABLE_OPERATION``); use ``merge_upsert`` + ``VersionedTable``
+    there. Same contract: matched -> every column but ``keep``; unmatched -> insert.
+    """
+    cond = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
+    set_cols = {c: F.col(f"s.`{c}`") for c in updates.columns if c not in keep and c not in keys}
+    (updates.alias("s").mergeInto(table_name, F.expr(cond.replace("t.", f"{table_name}.")))
+     .whenMatched().update(set_cols)
+     .whenNotMatched().insertAll()
+     .merge())
