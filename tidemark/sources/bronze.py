@@ -98,7 +98,7 @@ def load_profile(tables: dict[str, DataFrame], synced: str = SYNCED) -> DataFram
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out.orderBy("table_name")  # W4: the admin listing is ordered (one row per table)
 
 
 # --- S10 schema drift ---------------------------------------------------------
