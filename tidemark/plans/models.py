@@ -24,7 +24,7 @@ from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.merge import merge_upsert
 from tidemark.operators.scd2 import scd2_apply
 from tidemark.sources.bronze import SYNC_DATE, high_water_mark, incremental_filter
-from tidemark.sources.tables import stage
+from tidemark.sources.tables import remove_path, stage, staged_paths
 from tidemark.specs import Col, SnapshotSpec, TableSpec
 
 log = logging.getLogger(__name__)
@@ -112,7 +112,11 @@ def run_model(spec: TableSpec, bronze: DataFrame, table, now, run_id: str,
     staged = stage(updates, f"{spec.name}-updates")
     merged = merge_upsert(target, staged, spec.keys, spec.keep_on_update, only_if_newer=only_if_newer,
                           broadcast_rows=broadcast_rows)
-    return table.commit(merged, run_id=run_id, batch_id=batch_id, observe=output_metrics())
+    version = table.commit(merged, run_id=run_id, batch_id=batch_id, observe=output_metrics())
+    # the staged batch is only needed until the new version is published
+    for folder in {f.rsplit("/", 1)[0] for f in staged_paths(staged)}:
+        remove_path(table.spark, folder)
+    return version
 
 
 def output_metrics() -> dict:  # noqa: N802 - a factory of Column expressions

@@ -183,3 +183,16 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def staged_paths(df: DataFrame) -> list[str]:
+    """The folders a staged DataFrame reads (for removal once its consumer has committed)."""
+    return list(df.inputFiles())
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        fs.delete(p, True)
