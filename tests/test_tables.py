@@ -74,3 +74,17 @@ def test_history_commits_append_closed_rows(spark, tmp_path):
     assert out == {("a", 1, False, False), ("a", 2, False, False), ("a", 3, True, False),
                    ("b", 1, False, False), ("b", 1, True, True)}
     assert t.vacuum(keep=1) == [1]  # v1 is no longer referenced; v2's closed rows are
+
+
+def test_history_folders_with_an_added_column_read_together(spark, tmp_path):
+    import datetime as dt
+
+    from tidemark.operators.scd2 import scd2_apply
+    t = VersionedTable(spark, str(tmp_path / "h"))
+    c1 = spark.createDataFrame([("a", 1, dt.datetime(2024, 1, 1))], "k STRING, v INT, _synced TIMESTAMP_NTZ")
+    t.commit_history(scd2_apply(None, c1, ["k"], "2024-01-01", include_closed=False))
+    c2 = spark.createDataFrame([("a", 2, dt.datetime(2024, 1, 2), "x")],
+                               "k STRING, v INT, _synced TIMESTAMP_NTZ, w STRING")
+    t.commit_history(scd2_apply(t.read(), c2, ["k"], "2024-01-03", include_closed=False))
+    out = sorted((r.v, r.w) for r in t.read().collect())
+    assert out == [(1, None), (2, "x")]

@@ -81,7 +81,9 @@ class VersionedTable:
         if len(parts) == 1 and parts[0].rsplit("/", 1)[-1].startswith(f"{VERSION_KEY}="):
             return self.spark.read.parquet(parts[0])
         # several folders (an append-only history): one scan; partition values come from the paths
-        df = self.spark.read.option("basePath", f"{self.path}/data").parquet(*parts).drop(VERSION_KEY)
+        # mergeSchema: a column added by a later run (K7) must not depend on which footer is read first
+        df = (self.spark.read.option("basePath", f"{self.path}/data").option("mergeSchema", "true")
+              .parquet(*parts).drop(VERSION_KEY))
         if "is_current" in df.columns:  # partition values are inferred as text, not boolean
             df = df.withColumn("is_current", F.col("is_current").cast("boolean"))
         return df
