@@ -42,10 +42,11 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--select", nargs="*")
     ap.add_argument("--now", help="run clock (default: current UTC time)")
     ap.add_argument("--threads", type=int, default=MODEL_THREADS)
-    ap.add_argument("--master", default="local[*]")
+    ap.add_argument("--master", default=None, help="default: as set by spark-submit, else local")
+    ap.add_argument("--shuffle-partitions", type=int, default=200)
     args = ap.parse_args(argv)
 
-    spark = build_session(master=args.master)
+    spark = build_session(master=args.master, shuffle_partitions=args.shuffle_partitions)
     now = dt.datetime.fromisoformat(args.now) if args.now else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     run_id = uuid.uuid4().hex
     chosen = set(args.select or [])

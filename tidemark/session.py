@@ -19,14 +19,24 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # shuffle partitions are sized at runtime: start high, AQE coalesces to ~128 MB each,
+    # and splits skewed ones; scans split files into <= 256 MB tasks
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def build_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "tidemark", extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """``master=None`` keeps whatever the launcher (spark-submit, a cluster manager) set.
+
+    On a large cluster pass ``shuffle_partitions`` in the thousands; AQE coalesces.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
