@@ -517,3 +517,6 @@ def _fk_failures(fk) -> str:
 _FK_TABLES = {fk.child for fk in FOREIGN_KEYS} | {fk.parent for fk in FOREIGN_KEYS}
 ORACLE["q_model_fk_suite"] = f"WITH {_outputs_cte(_FK_TABLES)}\n" + "\nUNION ALL\n".join(
     _summary_row(fk.child, fk.name, fk.severity, _fk_failures(fk)) for fk in FOREIGN_KEYS)
+
+ORACLE["q_apply_changes_shuffle"] = ORACLE["q_apply_changes"]
+ORACLE["q_incremental_landed"] = ORACLE["q_incremental_candidates"]

@@ -30,7 +30,7 @@ from tidemark.operators.scd2 import scd2_apply
 from tidemark.plans import airline, views
 from tidemark.plans.models import refine, run_model, run_outputs, run_snapshot, snapshot_source
 from tidemark.session import scratch_path
-from tidemark.sources.bronze import high_water_mark, incremental_filter, load_profile
+from tidemark.sources.bronze import SYNC_DATE, high_water_mark, incremental_filter, land, load_profile
 from tidemark.sources.changes import api_delta, apply_changes, snapshot_diff
 from tidemark.sources.tables import VersionedTable, stage
 from tidemark.specs import FOREIGN_KEYS, MODELS, SNAPSHOTS, Check, Col, SnapshotSpec, TableSpec
@@ -360,6 +360,26 @@ def q_apply_changes(spark, sf):
     return apply_changes(bronze0, feed.filter(F.col("_synced") >= split), ["user_id"], tiebreak=["event_id"])
 
 
+def q_apply_changes_shuffle(spark, sf):
+    """S5 with the full-outer shuffle shape forced (same result as the broadcast shape)."""
+    feed = state_feed(views.b_state(spark, sf))
+    split = F.lit(FEED_SPLIT).cast("timestamp_ntz")
+    bronze0 = apply_changes(None, feed.filter(F.col("_synced") < split), ["user_id"], tiebreak=["event_id"])
+    return apply_changes(bronze0, feed.filter(F.col("_synced") >= split), ["user_id"], tiebreak=["event_id"],
+                         strategy="shuffle")
+
+
+def q_incremental_landed(spark, sf):
+    """S3 over bronze landed by sync day: the run-2 bound also prunes whole day folders."""
+    path = scratch_path(spark, "landed-events")
+    land(views.b_state(spark, sf), path)
+    landed = spark.read.parquet(path)
+    _, wm, _ = state_runs(spark, sf, STATE_SPEC)
+    cols = [c for c in landed.columns if c != SYNC_DATE]
+    return (landed.filter(incremental_filter(wm, T2, partition_col=SYNC_DATE)).select(*cols)
+            .withColumn("via_lookback", ~(F.col("_synced") > F.lit(str(wm)).cast("timestamp_ntz"))))
+
+
 def q_api_delta(spark, sf):
     """Full historical load of what had landed, then only rows past the cursor."""
     bronze = views.b_state(spark, sf).drop("_deleted")
