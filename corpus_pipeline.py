@@ -24,7 +24,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Keeps what passes the base rules and the log-likelihood ratio threshold."""
     judged = quality_llr.quality_rules(docs.select(F.struct("*").alias("__doc"), "doc_id", "text"),
                                        read_table(spark, sf_dir, "labels"))
-    return judged.where("kept").select("__doc.*")
+    # The verdict goes through an outer generator: a plain filter is pushed below every projection, and the
+    # optimizer then writes out each array expression at each of its uses.
+    one = F.when(F.col("kept"), F.array(F.struct(F.lit(True).alias("__kept"), F.col("__doc"))))
+    return judged.select(F.inline_outer(one)).where("__kept").select("__doc.*")
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
