@@ -6,10 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import best_fit, quality_llr, secret_scan, simhash_mih, winnow
+from tidemark.llm import (best_fit, context_tree, hilbert, license_rules, pii_bootstrap, quality_llr, repair_ids, secret_scan,
+                          simhash_mih, winnow)
 from tidemark.llm.common import read_table
 
 
+def op1_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_bootstrap.extract(read_table(spark, sf_dir, "documents"))
+
+
 def op2_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_llr.quality_rules(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
                                        read_table(spark, sf_dir, "labels"))
@@ -17,6 +22,10 @@ def op2_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept", "llr_score")
 
 
+def op3_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score(read_table(spark, sf_dir, "documents"))
+
+
 def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnow.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
@@ -24,22 +33,37 @@ def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op5_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = hilbert.assign_shards(read_table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"), "curve")
+
+
 def op6_token_efficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(read_table(spark, sf_dir, "documents"))
 
 
+def op7_signature_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_rules.scan(read_table(spark, sf_dir, "documents")).drop("detections")
+
+
 def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op9_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_ids.round_trip(read_table(spark, sf_dir, "documents"))
+
+
 def op10_simhash_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_mih.near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
                         F.col("component").alias("component_id"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_llr, op4_winnowing, op6_token_efficiency, op8_best_fit,
-                                   op10_simhash_mih)}
+QUERIES = {f.__name__: f for f in (
+    op1_bootstrap, op2_quality_llr, op3_context_tree, op4_winnowing, op5_hilbert, op6_token_efficiency, op7_signature_rules,
+    op8_best_fit, op9_repair, op10_simhash_mih)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE: dict[str, str] = {}
