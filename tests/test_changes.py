@@ -8,7 +8,7 @@ FEED = "k STRING, v INT, _synced TIMESTAMP_NTZ, op STRING"
 import pytest
 
 
-@pytest.mark.parametrize("strategy", ["shuffle", "broadcast"])
+@pytest.mark.parametrize("strategy", ["shuffle", "lookup"])
 def test_apply_changes_latest_wins_and_delete_keeps_payload(spark, strategy):
     bronze = spark.createDataFrame([("a", 1, ts("2024-01-01"), False), ("b", 1, ts("2024-01-01"), False),
                                     ("c", 1, ts("2024-01-01"), False)],

@@ -21,11 +21,11 @@ def _frames(spark):
     return target, updates
 
 
-def test_broadcast_merge_never_shuffles_the_target(spark, capsys):
+def test_small_staged_batch_never_shuffles_the_target(spark, capsys):
     target, updates = _frames(spark)
-    plan = _plan(merge_upsert(target, updates, ["k"], strategy="broadcast"), capsys)
+    plan = _plan(merge_upsert(target, updates, ["k"], strategy="lookup"), capsys)
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
-    assert merge_upsert(target, updates, ["k"]).count() == 201  # auto picks the same shape here
+    assert merge_upsert(target, updates, ["k"]).count() == 201
 
 
 def test_shuffle_merge_is_one_full_outer_join(spark, capsys):

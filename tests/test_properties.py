@@ -52,7 +52,7 @@ def test_final_state_independent_of_arrival_when_inside_lookback(spark, data, sp
 def test_replaying_a_batch_changes_nothing(spark, data):
     updates = refine(SPEC, _df(spark, data), BASE, "r")
     once = merge_upsert(updates, updates, ["k"], strategy="shuffle")
-    twice = merge_upsert(once, updates, ["k"], strategy="broadcast")
+    twice = merge_upsert(once, updates, ["k"], strategy="lookup")
     assert _state(once) == _state(twice) == _state(updates)
 
 

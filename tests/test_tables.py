@@ -1,4 +1,3 @@
-import os
 
 import pytest
 
@@ -40,7 +39,7 @@ def test_batch_replay_is_noop_and_vacuum(spark, tmp_path):
     assert t.commit(spark.range(9), batch_id=1) == 2  # replayed micro-batch
     assert t.read().count() == 2
     assert t.vacuum(keep=1) == [1]
-    assert not os.path.exists(tmp_path / "t" / "data" / "tm_version=000001")
+    assert [p.name.rsplit("-", 1)[0] for p in (tmp_path / "t" / "data").iterdir()] == ["tm_version=000002"]
 
 
 def test_observed_metrics_travel_with_the_commit(spark, tmp_path):
@@ -68,12 +67,12 @@ def test_history_commits_append_closed_rows(spark, tmp_path):
     t.commit_history(scd2_apply(t.read(), c3, ["k"], "2024-01-05", include_closed=False))
     parts = t.parts()
     # closed rows of runs 2 and 3 stay in their own folders; only run 3's current slice is new
-    assert [p.rsplit("/", 2)[-2:] for p in parts] == [
+    assert [[p.rsplit("/", 2)[-2].rsplit("-", 1)[0], p.rsplit("/", 1)[-1]] for p in parts] == [
         ["tm_version=000002", "is_current=false"], ["tm_version=000003", "is_current=false"], ["tm_version=000003", "is_current=true"]]
     out = {(r.k, r.v, r.is_current, r.is_deleted) for r in t.read().collect()}
     assert out == {("a", 1, False, False), ("a", 2, False, False), ("a", 3, True, False),
                    ("b", 1, False, False), ("b", 1, True, True)}
-    assert t.vacuum(keep=1) == [1]  # v1 is no longer referenced; v2's closed rows are
+    assert t.vacuum(keep=1) == [1, 2]  # v1 is no longer referenced; v2's closed rows are
 
 
 def test_history_folders_with_an_added_column_read_together(spark, tmp_path):
@@ -88,3 +87,40 @@ def test_history_folders_with_an_added_column_read_together(spark, tmp_path):
     t.commit_history(scd2_apply(t.read(), c2, ["k"], "2024-01-03", include_closed=False))
     out = sorted((r.v, r.w) for r in t.read().collect())
     assert out == [(1, None), (2, "x")]
+
+
+def test_losing_writer_leaves_the_winners_data_alone(spark, tmp_path, monkeypatch):
+    a, b = VersionedTable(spark, str(tmp_path / "t")), VersionedTable(spark, str(tmp_path / "t"))
+    a.commit(spark.range(3))
+    monkeypatch.setattr(b, "current_version", lambda: 1)  # both writers saw version 1
+    a.commit(spark.range(10, 15))
+    with pytest.raises(ConcurrentCommit):
+        b.commit(spark.range(100, 200))
+    assert sorted(r.id for r in a.read().collect()) == [10, 11, 12, 13, 14]
+
+
+def test_crash_before_publishing_keeps_the_old_version(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path / "t"))
+    t.commit(spark.range(3))
+    (tmp_path / "t" / "_commits" / ".000002-abc.tmp").write_text("")
+    assert t.current_version() == 1 and t.read().count() == 3
+    assert t.commit(spark.range(5)) == 2 and t.read().count() == 5
+
+
+def test_empty_first_history_reads_back(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path / "h"))
+    rows = spark.createDataFrame([], "k string, v int, is_current boolean")
+    t.commit_history(rows)
+    assert t.read().count() == 0 and t.read().columns == ["k", "v", "is_current"]
+
+
+def test_pii_tags_survive_commit_and_read(spark, tmp_path):
+    from tidemark.functions.governance import masked_view, pii_columns, tag_pii
+
+    t = VersionedTable(spark, str(tmp_path / "p"))
+    df = spark.createDataFrame([("a", "Jo")], "id string, name string")
+    t.commit(tag_pii(df, {"name": "FIRST_NAME"}))
+    assert pii_columns(t.read()) == {"name": "FIRST_NAME"}
+    assert masked_view(t.read(), ["ANALYST_ROLE"], required={"name": "FIRST_NAME"}).first().name == "***MASKED***"
+    with pytest.raises(ValueError):
+        masked_view(df, ["ANALYST_ROLE"], required={"name": "FIRST_NAME"})
