@@ -41,7 +41,7 @@ def main() -> None:
 
     target = stage(silver, "plans-target")
     batch = stage(refine(COUPON_SPEC, bronze.filter(F.col("_synced") >= "2001-06-01"), COUPON_NOW, "r2"), "b")
-    show("merge, broadcast shape", merge_upsert(target, batch, COUPON_SPEC.keys, strategy="broadcast"))
+    show("merge, broadcast shape", merge_upsert(target, batch, COUPON_SPEC.keys, strategy="lookup"))
     show("merge, shuffle shape", merge_upsert(target, batch, COUPON_SPEC.keys, strategy="shuffle"))
 
     cols = list(DIFF_KEYS) + list(DIFF_COMPARE) + ["_synced", "_deleted"]
@@ -52,7 +52,7 @@ def main() -> None:
 
     feed = state_feed(views.b_state(spark, sf))
     show("change apply, broadcast shape",
-         apply_changes(stage(apply_changes(None, feed, ["user_id"]), "b0"), feed, ["user_id"], strategy="broadcast"))
+         apply_changes(stage(apply_changes(None, feed, ["user_id"]), "b0"), feed, ["user_id"], strategy="lookup"))
 
     li = views.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
     show("FK orphans", orphans(li, views.table(spark, sf, "orders"), ["l_orderkey"], ["o_orderkey"]))

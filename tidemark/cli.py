@@ -40,13 +40,15 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--bronze")
     ap.add_argument("--silver")
     ap.add_argument("--select", nargs="*")
+    ap.add_argument("--scratch", help="folder shared by the driver and all executors (spark.checkpoint.dir)")
     ap.add_argument("--now", help="run clock (default: current UTC time)")
     ap.add_argument("--threads", type=int, default=MODEL_THREADS)
     ap.add_argument("--master", default=None, help="default: as set by spark-submit, else local")
     ap.add_argument("--shuffle-partitions", type=int, default=200)
     args = ap.parse_args(argv)
 
-    spark = build_session(master=args.master, shuffle_partitions=args.shuffle_partitions)
+    spark = build_session(master=args.master, shuffle_partitions=args.shuffle_partitions,
+                          extra={"spark.checkpoint.dir": args.scratch} if args.scratch else None)
     now = dt.datetime.fromisoformat(args.now) if args.now else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     run_id = uuid.uuid4().hex
     chosen = set(args.select or [])
@@ -65,13 +67,14 @@ def main(argv: list[str] | None = None) -> int:
                 for n in wanted(SNAPSHOTS)}
         out = run_outputs(jobs, args.threads)
     elif args.command == "test":
-        tables = {}
-        for n in list(MODELS) + list(SNAPSHOTS):
-            df = _table(spark, args.silver, n).read()
-            if df is not None:
-                tables[n] = df
-        parts = [run_checks(n, tables[n], (MODELS.get(n) or SNAPSHOTS[n]).checks) for n in wanted(tables)]
-        fks = [fk for fk in FOREIGN_KEYS if fk.child in tables and fk.parent in tables]
+        names = wanted({**MODELS, **SNAPSHOTS})
+        fks = [fk for fk in FOREIGN_KEYS if fk.child in names]
+        tables = {n: _table(spark, args.silver, n).read() for n in {*names, *(fk.parent for fk in fks)}}
+        absent = sorted(n for n, df in tables.items() if df is None)
+        if absent:  # an output that was never built has not passed its checks
+            print(json.dumps({"status": "error", "detail": f"outputs not built: {', '.join(absent)}"}))
+            return 1
+        parts = [run_checks(n, tables[n], (MODELS.get(n) or SNAPSHOTS[n]).checks) for n in names]
         if fks:
             parts.append(run_fk_checks(tables, fks))
         summary = parts[0]

@@ -64,8 +64,16 @@ def mask_date(col: str | Column, clear: bool) -> Column:
     return c if clear else F.trunc(c, "year")
 
 
-def masked_view(df: DataFrame, roles: Iterable[str], privileged: Iterable[str] = PRIVILEGED_ROLES) -> DataFrame:
-    """One projection masking every tagged column by its type; untagged columns pass."""
+def masked_view(df: DataFrame, roles: Iterable[str], privileged: Iterable[str] = PRIVILEGED_ROLES,
+                required: Mapping[str, str] | None = None) -> DataFrame:
+    """One projection masking every tagged column by its type; untagged columns pass.
+
+    ``required`` (the spec's tags) makes masking fail closed: a column that should carry
+    a tag and does not raises instead of passing in clear.
+    """
+    untagged = sorted(set(required or ()) & set(df.columns) - set(pii_columns(df)))
+    if untagged:
+        raise ValueError(f"columns without their PII tag: {', '.join(untagged)}")
     clear = can_see_clear(roles, privileged)
     out = []
     for f in df.schema.fields:

@@ -9,14 +9,12 @@ Contract (per business key, plain ``=`` matching):
 * a NULL key never matches: such target rows pass through, such update rows are
   inserted (each run adds a copy, as the source warehouse does).
 
-Physical shapes (same result):
-* ``shuffle``   - one full-outer sort-merge join; both sides hash-partitioned by key.
-* ``broadcast`` - when the update batch is proven small (bounded row count), the
-  target is never shuffled: a broadcast left join rewrites matched rows in place
-  and a broadcast semi/anti pair finds the inserts. At 1 % change ratio on a very
-  large target this removes the target shuffle entirely.
-NULL keys never match; in the shuffle shape a deterministic salt spreads them over
-all partitions (``tidemark.operators.keys``), in the broadcast shape nothing is shuffled.
+Physical shapes (same result), neither of which forces a broadcast:
+* ``lookup``  - the target left-joins the batch and the batch anti-joins the target's keys. Spark picks
+  broadcast or sort-merge from the real sizes of the staged batch: with a small batch the target is
+  never shuffled.
+* ``shuffle`` - one full-outer sort-merge join; both sides hash-partitioned by key, the target read once.
+NULL keys never match; a deterministic salt spreads them over all partitions (``tidemark.operators.keys``).
 """
 
 from __future__ import annotations
@@ -27,28 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.keys import key_match, with_null_salt
-
-
-def bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; the scan stops after max_rows + 1."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-# Bytes per value used to turn a broadcast byte budget into a row bound (strings: average guess).
-_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
-          T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
-          T.DecimalType: 16, T.StringType: 32}
-BROADCAST_BYTES = 256 * 1024 * 1024
-
-
-def row_width(schema: T.StructType) -> int:
-    return sum(_WIDTH.get(type(f.dataType), 64) for f in schema.fields) + 16
-
-
-def broadcast_row_bound(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_BYTES) -> int:
-    """Rows allowed on the broadcast side: the smaller of a row cap and a byte budget / row width."""
-    return max(1, min(max_rows, max_bytes // row_width(df.schema)))
+from tidemark.operators.keys import SALT, key_match, with_null_salt
 
 
 def _output_columns(target: DataFrame, updates: DataFrame) -> list[tuple[str, T.DataType, str]]:
@@ -88,12 +65,10 @@ def _resolve(cols, keys, keep, t: Callable[[str], Column], u: Callable[[str], Co
 
 def merge_upsert(target: DataFrame | None, updates: DataFrame, keys: Sequence[str],
                  keep: Sequence[str] = ("_silver_load_timestamp",), only_if_newer: bool = False,
-                 order_col: str = "_bronze_sync_timestamp", strategy: str = "auto",
-                 broadcast_rows: int = 1_000_000) -> DataFrame:
+                 order_col: str = "_bronze_sync_timestamp", strategy: str = "lookup") -> DataFrame:
     """Return the new full state of the target after upserting ``updates``.
 
-    ``strategy``: ``shuffle`` | ``broadcast`` | ``auto`` (broadcast only when the update
-    batch has at most ``broadcast_rows`` rows, checked with a bounded count).
+    ``updates`` is read twice in the ``lookup`` shape: stage it first when it is more than a scan.
     """
     keys = list(keys)
     if target is None:
@@ -118,20 +93,13 @@ def merge_upsert(target: DataFrame | None, updates: DataFrame, keys: Sequence[st
         take_update = u_present & (~t_present | newer)
     resolve = lambda: _resolve(cols, keys, keep, tcol, ucol, t_present, u_present, take_update)
 
-    if strategy == "auto":
-        strategy = "broadcast" if bounded(updates, broadcast_row_bound(updates, broadcast_rows)) else "shuffle"
+    ts_, us_ = with_null_salt(t, keys), with_null_salt(u, keys)
     if strategy == "shuffle":
-        # one full-outer join; NULL-key rows spread by a salt instead of sharing one partition
-        ts_, us_ = with_null_salt(t, keys), with_null_salt(u, keys)
         return ts_.alias("t").join(us_.alias("u"), key_match(keys, "t", "u"), "full_outer").select(*resolve())
-    if strategy == "broadcast":
-        # the target is scanned and rewritten in place, never shuffled
-        cond = key_match(keys, "t", "u", salted=False)
-        rewritten = t.alias("t").join(F.broadcast(u.alias("u")), cond, "left").select(*resolve())
-        # distinct: bounded by the batch's keys even if the target held duplicate keys
-        matched = (target.select(*keys).join(F.broadcast(updates.select(*keys)), keys, "left_semi")
-                   .dropDuplicates(keys))
-        inserts = updates.join(F.broadcast(matched), keys, "left_anti")
+    if strategy == "lookup":
+        rewritten = ts_.alias("t").join(us_.alias("u"), key_match(keys, "t", "u"), "left").select(*resolve())
+        known = ts_.select(*keys, SALT).alias("t")
+        inserts = us_.alias("u").join(known, key_match(keys, "t", "u"), "left_anti").select(*updates.columns)
         return rewritten.unionByName(_fill(inserts, cols))
     raise ValueError(f"unknown merge strategy {strategy!r}")
 

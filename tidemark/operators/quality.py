@@ -73,12 +73,13 @@ def orphans(child: DataFrame, parent: DataFrame, child_cols: Sequence[str],
     """Child rows whose first FK column is non-null and that have no parent.
 
     Only the first FK column must be non-null (a NULL second part is an orphan).
-    Written as a left-anti join on the parent's distinct keys: a duplicated parent
-    key cannot multiply rows, and Spark picks broadcast or shuffle from the sizes.
+    A left-anti join: a duplicated parent key cannot multiply rows, so the parent keys
+    need no distinct - which would also keep AQE from splitting a hot foreign key.
+    Spark picks broadcast or shuffle from the sizes.
     """
     parent_cols = list(parent_cols or child_cols)
     p = parent if parent_filter is None else parent.filter(parent_filter)
-    p = p.select(*[F.col(pc).alias(f"__p{i}") for i, pc in enumerate(parent_cols)]).distinct()
+    p = p.select(*[F.col(pc).alias(f"__p{i}") for i, pc in enumerate(parent_cols)])
     cond = [F.col(cc) == F.col(f"__p{i}") for i, cc in enumerate(child_cols)]
     return child.filter(F.col(child_cols[0]).isNotNull()).join(p, cond, "left_anti")
 

@@ -22,6 +22,7 @@ from tidemark.functions.cleanse import (
 )
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.merge import merge_upsert
+from tidemark.functions.governance import tag_pii
 from tidemark.operators.scd2 import scd2_apply
 from tidemark.sources.bronze import SYNC_DATE, high_water_mark, incremental_filter
 from tidemark.sources.tables import remove_path, stage, staged_paths
@@ -43,7 +44,7 @@ def column_expr(c: Col) -> Column:
     elif c.kind == "dec":
         e = to_decimal(src, 10, 2)
     elif c.kind == "net":
-        e = net_amount(*c.args)
+        e = to_decimal(net_amount(*c.args), 18, 2)  # the subtraction widened the type: cast back
     else:
         raise ValueError(f"unknown column kind {c.kind!r}")
     return e.alias(c.name)
@@ -95,8 +96,7 @@ def snapshot_source(spec: SnapshotSpec, bronze: DataFrame) -> DataFrame:
 
 def run_model(spec: TableSpec, bronze: DataFrame, table, now, run_id: str,
               lookback_days: int = LOOKBACK_DAYS, dev_today=None, full_refresh: bool = False,
-              only_if_newer: bool = False, broadcast_rows: int = 1_000_000,
-              batch_id: int | None = None) -> int:
+              only_if_newer: bool = False, batch_id: int | None = None) -> int:
     """Incremental run of a keyed output into a ``VersionedTable``; returns the new version."""
     if full_refresh and not spec.allow_full_refresh:
         log.warning("%s: full refresh requested but disabled; running incrementally", spec.name)
@@ -108,11 +108,11 @@ def run_model(spec: TableSpec, bronze: DataFrame, table, now, run_id: str,
         wm = table.metrics().get("high_water_mark") or high_water_mark(target)
     updates = refine(spec, bronze, now, run_id, wm, lookback_days, dev_today)
     if target is None:  # first run (S9): the batch is the table
-        return table.commit(updates, run_id=run_id, batch_id=batch_id, observe=output_metrics())
+        return table.commit(tag_pii(updates, spec.pii_tags), run_id=run_id, batch_id=batch_id, observe=output_metrics())
     staged = stage(updates, f"{spec.name}-updates")
-    merged = merge_upsert(target, staged, spec.keys, spec.keep_on_update, only_if_newer=only_if_newer,
-                          broadcast_rows=broadcast_rows)
-    version = table.commit(merged, run_id=run_id, batch_id=batch_id, observe=output_metrics())
+    merged = merge_upsert(target, staged, spec.keys, spec.keep_on_update, only_if_newer=only_if_newer)
+    # the merge's expressions drop column metadata: the tags are put back on every version
+    version = table.commit(tag_pii(merged, spec.pii_tags), run_id=run_id, batch_id=batch_id, observe=output_metrics())
     # the staged batch is only needed until the new version is published
     for folder in {f.rsplit("/", 1)[0] for f in staged_paths(staged)}:
         remove_path(table.spark, folder)

@@ -208,9 +208,8 @@ ORACLE["q_schema_drift"] = (f"WITH {state_cte('event_id', EVENT_COLS, EVENT_ORDE
 ORACLE["q_scd2"] = f"WITH {HISTORY_CTE} SELECT * FROM h"
 
 ORACLE["q_fk_orphans"] = """
-SELECT l_orderkey, l_linenumber FROM lineitem l
-WHERE l_orderkey IS NOT NULL
-  AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderstatus = 'F' AND o.o_orderkey = l.l_orderkey)
+SELECT doc_id, source FROM documents d
+WHERE doc_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
 """
 
 ORACLE["q_fk_composite"] = f"""

@@ -206,7 +206,7 @@ def q_merge_state(spark, sf):
 
 
 def q_merge_events(spark, sf):
-    """K1: two runs keyed by event_id (auto strategy: broadcast when the batch is small)."""
+    """K1: two runs keyed by event_id (lookup shape: Spark broadcasts the batch or not by its size)."""
     target1, _, updates2 = state_runs(spark, sf, EVENT_SPEC)
     return merge_upsert(target1, updates2, EVENT_SPEC.keys)
 
@@ -235,10 +235,9 @@ def q_scd2(spark, sf):
 
 
 def q_fk_orphans(spark, sf):
-    """Line items whose order is not a finished order."""
-    li = views.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
-    orders = views.table(spark, sf, "orders")
-    return orphans(li, orders.filter(F.col("o_orderstatus") == "F"), ["l_orderkey"], ["o_orderkey"])
+    """Documents that have no row among the labels."""
+    docs = views.table(spark, sf, "documents").select("doc_id", "source")
+    return orphans(docs, views.table(spark, sf, "labels"), ["doc_id"])
 
 
 def q_fk_composite(spark, sf):
@@ -461,8 +460,8 @@ def history_query(name: str):
 
 def q_model_pnr_masked(spark, sf):
     """G4 G5 on the passenger-name-record output: tagged PII masked for an unprivileged role."""
-    out = model_query("passenger_name_record")(spark, sf)
-    return gov.masked_view(gov.tag_pii(out, gov.PASSENGER_TAGS), roles=["ANALYST_ROLE"])
+    out = model_query("passenger_name_record")(spark, sf)  # the committed table carries its tags
+    return gov.masked_view(out, roles=["ANALYST_ROLE"], required=gov.PASSENGER_TAGS)
 
 
 def model_outputs(spark, sf, names=None) -> dict[str, DataFrame]:

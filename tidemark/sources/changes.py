@@ -22,21 +22,19 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.cleanse import ts_lit
 from tidemark.operators.dedup import latest_per_key
-from tidemark.operators.keys import key_match, with_null_salt
-from tidemark.operators.merge import bounded, broadcast_row_bound
+from tidemark.operators.keys import SALT, key_match, with_null_salt
+from tidemark.sources.tables import stage
 
 OP_INSERT, OP_UPDATE, OP_DELETE = "I", "U", "D"
 
 
 def apply_changes(bronze: DataFrame | None, feed: DataFrame, keys: Sequence[str], op_col: str = "op",
-                  seq_col: str = "_synced", tiebreak: Sequence[str] = (), strategy: str = "auto",
-                  broadcast_rows: int = 1_000_000) -> DataFrame:
+                  seq_col: str = "_synced", tiebreak: Sequence[str] = (), strategy: str = "lookup") -> DataFrame:
     """Return the new bronze state (payload columns + ``_synced`` + ``_deleted``).
 
     ``feed`` carries the payload, ``op_col`` and ``seq_col`` (the change time, which
-    becomes ``_synced``). Shapes as in the merge: ``broadcast`` when the per-key
-    changes are proven small (a frequent CDC feed against a large bronze: bronze is
-    rewritten in place, never shuffled), ``shuffle`` (one full-outer join) otherwise.
+    becomes ``_synced``). Shapes as in the merge: ``lookup`` (the per-key changes are staged, Spark
+    broadcasts them or not by their real size) or ``shuffle`` (one full-outer join).
     """
     keys = list(keys)
     payload = [c for c in feed.columns if c not in (op_col, seq_col, "_deleted")]
@@ -60,17 +58,15 @@ def apply_changes(bronze: DataFrame | None, feed: DataFrame, keys: Sequence[str]
             e = F.when(has_c & ~(c_del & has_b), c_).otherwise(b_)
         out.append(e.alias(name))
 
-    if strategy == "auto":
-        strategy = "broadcast" if bounded(changes, broadcast_row_bound(changes, broadcast_rows)) else "shuffle"
+    bs = with_null_salt(b, keys)
     if strategy == "shuffle":
-        bs, cs = with_null_salt(b, keys), with_null_salt(c, keys)
+        cs = with_null_salt(c, keys)
         return bs.alias("b").join(cs.alias("c"), key_match(keys, "b", "c"), "full_outer").select(*out)
-    if strategy == "broadcast":
-        cond = key_match(keys, "b", "c", salted=False)
-        rewritten = b.alias("b").join(F.broadcast(c.alias("c")), cond, "left").select(*out)
-        matched = (bronze.select(*keys).join(F.broadcast(changes.select(*keys)), keys, "left_semi")
-                   .dropDuplicates(keys))
-        inserts = changes.join(F.broadcast(matched), keys, "left_anti").select(*cols)
+    if strategy == "lookup":
+        cs = with_null_salt(stage(changes, "changes").withColumn("__c", F.lit(True)), keys)
+        rewritten = bs.alias("b").join(cs.alias("c"), key_match(keys, "b", "c"), "left").select(*out)
+        known = bs.select(*keys, SALT).alias("b")
+        inserts = cs.alias("c").join(known, key_match(keys, "b", "c"), "left_anti").select(*cols)
         return rewritten.unionByName(inserts)
     raise ValueError(f"unknown strategy {strategy!r}")
 

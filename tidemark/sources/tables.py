@@ -1,13 +1,15 @@
 """Versioned Parquet tables: the sink for merged (SCD1) and history (SCD2) outputs.
 
 Built-in Parquet tables support neither MERGE nor DELETE, so a run writes the
-whole new state to a fresh version folder and then publishes it by creating a
-small commit file (create-if-absent: atomic on HDFS and on object stores with
-conditional puts). Readers only ever see committed versions, a run never reads
-what it writes, and a crash between write and commit leaves the old version
-current. Paths go through the Hadoop FileSystem API so the same code works on
-local disk, HDFS or cloud storage. Single writer per table: a second committer
-racing for the same version number fails instead of overwriting.
+whole new state to a folder of its own attempt and then publishes it: a small
+commit file, written whole under another name, is renamed into place, and the
+rename refuses to replace. The commit names the folders and keeps the schema
+(with its PII tags), so an empty version reads back and no footer is merged.
+Readers only ever see committed versions, a run never reads what it writes, and
+a crash before the rename leaves the old version current. A second committer
+racing for the same version number fails and touches nothing of the winner's.
+Paths go through the Hadoop FileSystem API so the same code works on local
+disk, HDFS or cloud storage.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 # Folder key of a version's data ("<key>=000042"); a multi-folder read drops the derived column.
@@ -37,8 +40,9 @@ class VersionedTable:
         self._fs = self._Path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
 
     # --- layout ------------------------------------------------------------------
-    def _data(self, n: int) -> str:
-        return f"{self.path}/data/{VERSION_KEY}={n:06d}"
+    def _attempt(self, n: int) -> str:
+        """A data folder of this attempt alone."""
+        return f"{self.path}/data/{VERSION_KEY}={n:06d}-{uuid.uuid4().hex[:12]}"
 
     def _commit_file(self, n: int) -> str:
         return f"{self.path}/_commits/{n:06d}.json"
@@ -68,25 +72,23 @@ class VersionedTable:
             stream.close()
 
     def parts(self, version: int | None = None) -> list[str]:
-        """Data folders making up a version: its own folder, or the list recorded at commit."""
+        """Data folders making up a version, as recorded at commit; an empty history has none."""
         n = self.current_version() if version is None else version
         if n is None:
             return []
-        return self.commit_info(n).get("parts") or [self._data(n)]
+        return self.commit_info(n)["parts"]
 
     def read(self, version: int | None = None) -> DataFrame | None:
-        parts = self.parts(version)
-        if not parts:
+        n = self.current_version() if version is None else version
+        if n is None:
             return None
-        if len(parts) == 1 and parts[0].rsplit("/", 1)[-1].startswith(f"{VERSION_KEY}="):
-            return self.spark.read.parquet(parts[0])
-        # several folders (an append-only history): one scan; partition values come from the paths
-        # mergeSchema: a column added by a later run (K7) must not depend on which footer is read first
-        df = (self.spark.read.option("basePath", f"{self.path}/data").option("mergeSchema", "true")
-              .parquet(*parts).drop(VERSION_KEY))
-        if "is_current" in df.columns:  # partition values are inferred as text, not boolean
-            df = df.withColumn("is_current", F.col("is_current").cast("boolean"))
-        return df
+        info = self.commit_info(n)
+        schema = T.StructType.fromJson(info["schema"])
+        if not info["parts"]:
+            return self.spark.createDataFrame([], schema)
+        # one scan with the committed schema: a column added by a later run (K7) is NULL in older files
+        return (self.spark.read.option("basePath", f"{self.path}/data").schema(schema).parquet(*info["parts"])
+                .select(*[F.col(f.name).alias(f.name, metadata=f.metadata) for f in schema.fields]))
 
     # --- writing -----------------------------------------------------------------------
     def metrics(self, version: int | None = None) -> dict:
@@ -116,11 +118,13 @@ class VersionedTable:
         if observe:
             obs = Observation(f"commit-{n}-{uuid.uuid4().hex[:12]}")  # unique across concurrent runs
             df = df.observe(obs, *[e.alias(k) for k, e in observe.items()])
-        w = df.write.mode("overwrite")
+        folder = self._attempt(n)
+        w = df.write
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(self._data(n))
-        info = {"version": n, "run_id": run_id, "batch_id": batch_id}
+        w.parquet(folder)
+        info = {"version": n, "run_id": run_id, "batch_id": batch_id, "parts": [folder],
+                "schema": df.schema.jsonValue()}
         if obs is not None:
             info["metrics"] = {k: (f"ts:{v.isoformat()}" if isinstance(v, dt.datetime) else v)
                                for k, v in obs.get.items()}
@@ -139,21 +143,39 @@ class VersionedTable:
             if done is not None and batch_id <= done:
                 return cur
         n = (cur or 0) + 1
-        rows.write.mode("overwrite").partitionBy("is_current").parquet(self._data(n))
-        kept = [p for p in self.parts(cur) if p.endswith("is_current=false")] if cur else []
-        new = [f"{self._data(n)}/is_current={flag}" for flag in ("false", "true")]
+        folder = self._attempt(n)
+        rows.write.partitionBy("is_current").parquet(folder)
+        kept, schema = [], rows.schema
+        if cur:
+            kept = [p for p in self.parts(cur) if p.endswith("is_current=false")]
+            older = T.StructType.fromJson(self.commit_info(cur)["schema"])
+            schema = T.StructType(schema.fields + [f for f in older.fields if f.name not in schema.names])
+        new = [f"{folder}/is_current={flag}" for flag in ("false", "true")]
         parts = kept + [p for p in new if self._fs.exists(self._Path(p))]
-        return self._publish(n, {"version": n, "run_id": run_id, "batch_id": batch_id, "parts": parts})
+        return self._publish(n, {"version": n, "run_id": run_id, "batch_id": batch_id, "parts": parts,
+                                 "schema": schema.jsonValue()})
 
     def _publish(self, n: int, info: dict) -> int:
-        try:
-            out = self._fs.create(self._Path(self._commit_file(n)), False)
-        except Exception as e:  # the file exists: another writer published version n first
-            raise ConcurrentCommit(f"{self.path}: version {n} was committed concurrently") from e
+        target = self._Path(self._commit_file(n))
+        draft = self._Path(f"{self.path}/_commits/.{n:06d}-{uuid.uuid4().hex[:12]}.tmp")
+        out = self._fs.create(draft, False)
         try:
             out.write(bytearray(json.dumps(info).encode("utf-8")))
         finally:
             out.close()
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        no_options = self.spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+        files = hadoop.FileContext.getFileContext(target.makeQualified(self._fs.getUri(), self._fs.getWorkingDirectory()).toUri(),
+                                                  self.spark._jsc.hadoopConfiguration())
+        try:
+            files.rename(draft.makeQualified(self._fs.getUri(), self._fs.getWorkingDirectory()),
+                         target.makeQualified(self._fs.getUri(), self._fs.getWorkingDirectory()), no_options)
+        except Exception as e:
+            self._fs.delete(draft, False)
+            if not self._fs.exists(target):
+                raise
+            # another writer published version n first; its folders are not ours
+            raise ConcurrentCommit(f"{self.path}: version {n} was committed concurrently") from e
         return n
 
     def vacuum(self, keep: int = 2) -> list[int]:
@@ -161,12 +183,10 @@ class VersionedTable:
         live = {p for n in self.versions()[-keep:] for p in self.parts(n)} if keep else set()
         gone = []
         for n in self.versions()[:-keep] if keep else self.versions():
-            folder = self._data(n)
-            if any(p == folder or p.startswith(folder + "/") for p in live):
-                continue
-            p = self._Path(folder)
-            if self._fs.exists(p):
+            dead = [p for p in map(self._Path, set(self.parts(n)) - live) if self._fs.exists(p)]
+            for p in dead:
                 self._fs.delete(p, True)
+            if dead:
                 gone.append(n)
         return gone
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
+from tidemark.functions.governance import PASSENGER_TAGS
+
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference's for identical results)
 # ---------------------------------------------------------------------------
@@ -89,6 +91,7 @@ class TableSpec:
     keep_on_update: tuple[str, ...] = ("_silver_load_timestamp",)
     allow_full_refresh: bool = False
     checks: tuple[Check, ...] = ()
+    pii_tags: dict = field(default_factory=dict)  # column -> PII tag, kept with every committed version
 
     @property
     def source_columns(self) -> list[str]:
@@ -223,6 +226,7 @@ MODELS: dict[str, TableSpec] = {m.name: m for m in [
         checks=(Check("not_null", ("pnr_locator",)),
                 Check("regex", ("passport_number",), W, r"^[A-Z0-9]+$"),
                 Check("unique_combination", ("pnr_locator", "pax_id"))),
+        pii_tags=PASSENGER_TAGS,
     ),
     TableSpec(
         "reservation_pnr", "reservation_pnr", ("pnr_locator",),

@@ -17,10 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark.operators.dedup import latest_per_key
+from tidemark.functions.governance import tag_pii
 from tidemark.operators.merge import merge_upsert
 from tidemark.operators.scd2 import scd2_apply
 from tidemark.plans.models import refine
-from tidemark.sources.tables import VersionedTable
+from tidemark.sources.tables import VersionedTable, stage
 from tidemark.specs import SnapshotSpec, TableSpec
 
 
@@ -38,12 +39,10 @@ def stream_scd1(stream: DataFrame, spec: TableSpec, table: VersionedTable, check
     """F1 -> W1 -> F5 -> F8 per micro-batch, merged (newer wins) into ``table``."""
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        updates = refine(spec, batch, now, f"{run_prefix}-{batch_id}").persist()
-        try:
-            merged = merge_upsert(table.read(), updates, spec.keys, spec.keep_on_update, only_if_newer=True)
-            table.commit(merged, run_id=f"{run_prefix}-{batch_id}", batch_id=batch_id)
-        finally:
-            updates.unpersist()
+        # staged on shared storage: read twice by the merge, and safe when an executor is lost
+        updates = stage(refine(spec, batch, now, f"{run_prefix}-{batch_id}"), f"{spec.name}-micro-batch")
+        merged = merge_upsert(table.read(), updates, spec.keys, spec.keep_on_update, only_if_newer=True)
+        table.commit(tag_pii(merged, spec.pii_tags), run_id=f"{run_prefix}-{batch_id}", batch_id=batch_id)
 
     _drain(stream, per_batch, checkpoint)
 
