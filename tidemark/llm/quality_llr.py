@@ -145,4 +145,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     """``docs`` with the base counts, base_failed, llr_score and kept added; every row judged, none dropped."""
     ratios = ratio_table(docs, trusted_ids(labels, trusted_docs), key, text, buckets)
     scored = with_score(base_rules(docs, text), ratios, text, buckets)
-    return scored.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("llr_score") >= min_score, F.lit(False)))
+    judged = scored.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("llr_score") >= min_score, F.lit(False)))
+    # Results leave through an outer generator: a filter on them would else be pushed below every projection
+    # above, and the optimizer then writes out each array expression at each of its uses.
+    results = F.array(F.struct(*[c for c in judged.columns if c not in docs.columns]))
+    return judged.select(*docs.columns, F.inline_outer(results))
