@@ -15,6 +15,7 @@ import logging
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.cleanse import (
     LOOKBACK_DAYS, MIN_DATE, audit_columns, is_active, net_amount, status_filter, to_decimal, to_varchar,
@@ -31,7 +32,7 @@ from tidemark.specs import Col, SnapshotSpec, TableSpec
 log = logging.getLogger(__name__)
 
 
-def column_expr(c: Col) -> Column:
+def column_expr(c: Col, schema: StructType | None = None) -> Column:
     src = F.col(c.src or c.name)
     if c.kind == "keep":
         e = src
@@ -44,7 +45,9 @@ def column_expr(c: Col) -> Column:
     elif c.kind == "dec":
         e = to_decimal(src, 10, 2)
     elif c.kind == "net":
-        e = to_decimal(net_amount(*c.args), 18, 2)  # the subtraction widened the type: cast back
+        e = net_amount(*c.args)
+        if schema is not None:  # a decimal subtraction widens the type: cast back
+            e = e.cast(schema[c.args[0]].dataType)
     else:
         raise ValueError(f"unknown column kind {c.kind!r}")
     return e.alias(c.name)
@@ -84,7 +87,7 @@ def refine(spec: TableSpec, bronze: DataFrame, now, run_id: str, watermark=None,
         src = src.filter(within_days(spec.dev_date_col, dev_days, dev_today))
     live = src.filter(row_filter(spec))
     latest = latest_per_key(live, spec.keys, "_synced", tiebreak)
-    return latest.select(*[column_expr(c) for c in spec.columns], *audit_columns(now, run_id))
+    return latest.select(*[column_expr(c, latest.schema) for c in spec.columns], *audit_columns(now, run_id))
 
 
 def snapshot_source(spec: SnapshotSpec, bronze: DataFrame) -> DataFrame:
