@@ -24,10 +24,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Keeps what passes the base rules and the log-likelihood ratio threshold."""
     judged = quality_llr.quality_rules(docs.select(F.struct("*").alias("__doc"), "doc_id", "text"),
                                        read_table(spark, sf_dir, "labels"))
-    # The verdict goes through an outer generator: a plain filter is pushed below every projection, and the
-    # optimizer then writes out each array expression at each of its uses.
-    one = F.when(F.col("kept"), F.array(F.struct(F.lit(True).alias("__kept"), F.col("__doc"))))
-    return judged.select(F.inline_outer(one)).where("__kept").select("__doc.*")
+    return judged.where("kept").select("__doc.*")
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +33,9 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     found = simhash_mih.near_duplicates(rows, key=ROW)
     ids = found.join(rows.select(ROW, "doc_id"), ROW)
     first = ids.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("m"))
-    return rows.join(first.select(F.col(f"m.{ROW}").alias(ROW)), ROW, "left_semi").drop(ROW)
+    # the dropped rows are the smaller side: whole texts are only shuffled when those are too many to broadcast
+    others = stage(ids.select(ROW).join(first.select(F.col(f"m.{ROW}").alias(ROW)), ROW, "left_anti"), "dedup-others")
+    return rows.join(others, ROW, "left_anti").drop(ROW)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

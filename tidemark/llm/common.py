@@ -35,7 +35,7 @@ def item_words(text: str | None) -> list[bytes]:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write once to the shared scratch folder and read back: cuts lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
