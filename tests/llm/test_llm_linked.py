@@ -316,6 +316,28 @@ def test_held_out_code_length_beats_uniform_and_shallow_models(spark):
     assert mean(3) < 3.5
 
 
+def test_production_depth_scores_equal_brute_force_and_learn_long_contexts(spark):
+    """Words that differ only more than three bytes back: the answer is in the longer contexts."""
+    rows = [(d, " ".join(("abcxyz1", "dbcxyz2")[(d >> i) & 1] for i in range(6))) for d in range(120)]
+    low = [t.encode() for _, t in rows]
+    depth = context_tree.DEPTH
+    want = dict(zip(range(120), ctw_brute([t for (d, _), t in zip(rows, low) if not held(d)], low, depth)))
+    got = {r.doc_id: r for r in context_tree.score(frame(spark, rows)).collect()}
+    assert all(got[d].score == pytest.approx(want[d], abs=2e-5) for d in want)
+    shallow = {r.doc_id: r.score for r in context_tree.score(frame(spark, rows), depth=3).collect()}
+    # six words, each with a digit that depth 3 can only guess (0.30 = log10 2)
+    assert all(got[d].score - shallow[d] > 1.2 for d in want if held(d))
+
+
+@pytest.mark.parametrize("depth", [5, 7])
+def test_context_tree_other_depths(spark, depth):
+    rows = [(d, t[:200]) for d, t in documents(spark)[:15]] + [(900 + d, None) for d in range(3)]
+    low = [(t or "").encode().lower() for _, t in rows]
+    scores = ctw_brute([t for (d, _), t in zip(rows, low) if not held(d)], low, depth)
+    got = {r.doc_id: r.score for r in context_tree.score(frame(spark, rows), depth=depth, block_bytes=700).collect()}
+    assert all(got[d] == pytest.approx(s, abs=2e-5) for (d, _), s in zip(rows, scores))
+
+
 def test_context_tree_edges(spark):
     assert context_tree.score(frame(spark, [])).count() == 0
     only_held = [(d, "abc") for d in range(50) if held(d)][:2]

@@ -8,8 +8,8 @@ scoring follows the path of contexts and mixes the estimates by the posterior we
 
 How it runs on Spark: texts are cut into blocks of bounded size. Every block sends its distinct byte grams
 (context and byte) and distinct words with their training counts; they are summed over the corpus by key.
-The grams' trees are worked out per last two context bytes (a group is bounded by the alphabet, not by the
-corpus); only the two shallowest levels, at most 65,536 nodes, go to the driver. The scored grams and word
+The grams' trees are worked out two depths at a time, grouped by the context at the upper one (bounded by the
+alphabet, not by the corpus); only the two shallowest levels, at most 65,536 nodes, go to the driver. The scored grams and word
 counts go back to exactly the blocks that hold them, and each block scores its texts. Nothing that grows
 with the corpus is broadcast or collected, and no count is cut off.
 
@@ -34,7 +34,7 @@ from pyspark.sql.types import StructType
 
 from tidemark.llm.common import stage
 
-DEPTH = 3
+DEPTH = 6  # contexts deep enough that their number grows with the corpus; grams of depth + 1 bytes fit a long up to 7
 BLOCK_BYTES = 8 << 20
 END = 0xFF  # no byte of UTF-8: end symbol, and what precedes a text
 END_WORD = b"\xff"
@@ -102,74 +102,153 @@ class Level:
             self.log_pw = np.logaddexp(kt, below) - math.log(2)
             self.stop = np.exp(kt - math.log(2) - self.log_pw)
 
-    def mix(self, keys: np.ndarray, bit: np.ndarray, deeper: np.ndarray) -> np.ndarray:
-        """Probability of ``bit`` at each key, given what the next depth says; unseen nodes say one half."""
-        if not len(self.keys):
-            return np.full(keys.shape, 0.5)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        seen = self.keys[at] == keys
-        n0, n1 = np.where(seen, self.n0[at], 0), np.where(seen, self.n1[at], 0)
-        kt = (np.where(bit == 1, n1, n0) + 0.5) / (n0 + n1 + 1.0)
-        stop = np.where(seen, self.stop[at], 1.0)
-        return stop * kt + (1 - stop) * deeper
+    def mixed(self, state: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+        """``state`` of every key with this level's estimates mixed in.
+
+        A state is what the shallower levels say: (mass on 0, mass on 1, weight left for this level and deeper).
+        """
+        zero, one, left = state
+        own, n = left * self.stop, self.n0 + self.n1 + 1.0
+        return zero + own * (self.n0 + 0.5) / n, one + own * (self.n1 + 0.5) / n, left - own
+
+
+def parents(keys: np.ndarray, width: int) -> np.ndarray:
+    """Keys one depth shallower; the contexts of ``keys`` are ``width`` bytes."""
+    return ((keys >> 8) & ((1 << 8 * (width - 1)) - 1)) << 8 | (keys & 0xFF)
+
+
+def take(state: tuple[np.ndarray, ...], at: np.ndarray) -> tuple[np.ndarray, ...]:
+    return tuple(x[at] for x in state)
 
 
 def level_from_children(child: Level, width: int) -> Level:
     """The next shallower depth; contexts of the children are ``width`` bytes."""
-    parent = ((child.keys >> 8) & ((1 << 8 * (width - 1)) - 1)) << 8 | (child.keys & 0xFF)
-    keys, at = np.unique(parent, return_inverse=True)
+    keys, at = np.unique(parents(child.keys, width), return_inverse=True)
     total = lambda x: np.bincount(at, weights=x, minlength=len(keys))
     return Level(keys, total(child.n0), total(child.n1), total(child.log_pw))
 
 
-def deep_levels(codes: np.ndarray, counts: np.ndarray, depth: int, upto: int) -> list[Level]:
-    """Levels ``depth`` down to ``upto`` of the contexts in ``codes`` (gram codes with counts above 0)."""
+def gram_level(codes: np.ndarray, counts: np.ndarray) -> Level:
+    """The deepest level: the contexts of the gram codes; a count of 0 makes nodes that say one half."""
     nodes, bits = bit_path(codes & 0xFF)
     keys = (((codes >> 8)[:, None] << 8) | nodes).ravel()
     n = np.repeat(counts.astype(np.float64), BITS)
     found, at = np.unique(keys, return_inverse=True)
+    at = at.ravel()
     ones = np.bincount(at, weights=n * bits.ravel(), minlength=len(found))
-    out = [Level(found, np.bincount(at, weights=n, minlength=len(found)) - ones, ones, None)]
-    for width in range(depth, upto, -1):
-        out.append(level_from_children(out[-1], width))
-    return out
+    return Level(found, np.bincount(at, weights=n, minlength=len(found)) - ones, ones, None)
 
 
-def log10_probability(codes: np.ndarray, deep: list[Level], top: list[Level], depth: int) -> np.ndarray:
-    """log10 of the mixed probability of each gram's last byte; levels from the deepest to depth 0."""
-    nodes, bits = bit_path(codes & 0xFF)
-    p = np.full(nodes.shape, 0.5)
-    for width, level in zip(range(depth, -1, -1), [*deep, *top]):
-        context = (codes >> 8) & ((1 << 8 * width) - 1)
-        p = level.mix((context[:, None] << 8) | nodes, bits, p)
-    return np.log10(p).sum(axis=1)
+def levels_up(deepest: Level, width: int, base: int) -> list[Level]:
+    """Levels of depth ``width`` (the given one) to ``base``."""
+    out = [deepest]
+    for w in range(width, base, -1):
+        out.append(level_from_children(out[-1], w))
+    return out
 
 
-GROUP_BYTES = 2  # trees are grouped by so many nearest context bytes
+def states_down(levels: list[Level], base: int, state: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+    """State at each key of the deepest of ``levels`` (deepest first), before that level is mixed in.
 
+    ``state`` is that of the keys of the last level, whose contexts are ``base`` bytes.
+    """
+    for width, (child, level) in enumerate(zip(levels[-2::-1], levels[:0:-1]), base + 1):
+        state = take(level.mixed(state), np.searchsorted(level.keys, parents(child.keys, width)))
+    return state
 
-def gram_scores(total: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """``total(gram, n)`` -> (gram, value): log10 probability of every gram under the trees of those with n > 0."""
-    grouped = total.withColumn("g", F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * GROUP_BYTES) - 1)))
 
-    def roots(pdf: pd.DataFrame) -> pd.DataFrame:
-        root = deep_levels(pdf["gram"].to_numpy(), pdf["n"].to_numpy(), depth, GROUP_BYTES)[-1]
-        return pd.DataFrame({"node": root.keys, "n0": root.n0, "n1": root.n1, "log_pw": root.log_pw})
+GROUP_BYTES = 2  # the depths of a tree are worked out so many at a time
+GROUPS, GROUP_ROWS = 1024, 1 << 16  # groups at least, rows a group otherwise
 
-    second = grouped.where("n > 0").groupBy("g").applyInPandas(roots, "node bigint, n0 double, n1 double, log_pw double")
+
+def gram_scores(total: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """``total(gram, n)`` -> (gram, value): log10 probability of every gram under the trees of those with n > 0.
+
+    Up: the nodes at every second depth are found from those two depths deeper, grouped by their context there
+    (some contexts a group, as many groups as rows need), so a context's group is bounded by the alphabet.
+    Down: what the shallower depths say is handed to the nodes in the same steps.
+    """
+    bases = list(range(GROUP_BYTES, max(depth, GROUP_BYTES + 1), GROUP_BYTES))[::-1]
+    columns = "node bigint, n0 double, n1 double, log_pw double"
+    values = ["n0", "n1", "log_pw"]
+
+    def grouped(df: DataFrame, name: str, width: int, n: int) -> DataFrame:
+        context = F.shiftright(name, 8).bitwiseAND(F.lit((1 << 8 * width) - 1))
+        return df.withColumn("g", F.pmod(F.xxhash64(context), F.lit(n)))
+
+    def level_of(pdf: pd.DataFrame) -> Level:
+        """Nodes (node, n0, n1, log_pw) of one depth, or gram counts, as a level."""
+        if "gram" in pdf:
+            return gram_level(pdf["gram"].to_numpy(), pdf["n"].to_numpy())
+        pdf = pdf.sort_values("node")
+        level = Level(*(pdf[c].to_numpy() for c in ("node", "n0", "n1")), None)
+        level.log_pw = pdf["log_pw"].to_numpy()
+        return level
+
+    def roots(width: int, base: int):
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+            root = levels_up(level_of(pdf), width, base)[-1]
+            return pd.DataFrame({"node": root.keys, "n0": root.n0, "n1": root.n1, "log_pw": root.log_pw})
+        return run
+
+    nodes, sizes, width, n = {depth: total}, {}, depth, total.count()
+    for base in bases:
+        sizes[base] = max(GROUPS, n // GROUP_ROWS)
+        name = "gram" if width == depth else "node"
+        nodes[base] = stage(grouped(nodes[width], name, base, sizes[base]).groupBy("g").applyInPandas(roots(width, base), columns),
+                            "ctw-nodes")
+        n, width = nodes[base].count(), base
     # sums over the children of the 256 contexts of one byte: at most 65,536 rows
     parent = F.col("node").bitwiseAND(F.lit(0xFFFF))
-    rows = second.groupBy(parent.alias("node")).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"),
-                                                    F.sum("log_pw").alias("below")).toPandas().sort_values("node")
+    rows = nodes[width].groupBy(parent.alias("node")).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"),
+                                                          F.sum("log_pw").alias("below")).toPandas().sort_values("node")
     one = Level(*(rows[c].to_numpy() for c in ("node", "n0", "n1", "below")))
-    top = [one, level_from_children(one, 1)]
-
-    def score(pdf: pd.DataFrame) -> pd.DataFrame:
-        codes, n = pdf["gram"].to_numpy(), pdf["n"].to_numpy()
-        deep = deep_levels(codes[n > 0], n[n > 0], depth, GROUP_BYTES)
-        return pd.DataFrame({"gram": codes, "value": log10_probability(codes, deep, top, depth)})
-
-    return grouped.groupBy("g").applyInPandas(score, "gram bigint, value double")
+    zero = level_from_children(one, 1)
+    start = (np.zeros(len(zero.keys)), np.zeros(len(zero.keys)), np.ones(len(zero.keys)))
+    top_keys, top = one.keys, one.mixed(states_down([one, zero], 0, start))
+
+    def below_top(keys: np.ndarray) -> tuple[np.ndarray, ...]:
+        return take(top, np.searchsorted(top_keys, parents(keys, GROUP_BYTES)))
+
+    def handed(pdf: pd.DataFrame) -> tuple[np.ndarray, ...]:
+        pdf = pdf.sort_values("node")
+        return tuple(pdf[c].to_numpy() for c in ("zero", "one", "rest"))
+
+    def down(width: int, base: int):
+        """What a group gives: the states of its nodes or, at full depth, the scores of its grams."""
+        def run(pdf: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
+            return result(pdf, levels_up(level_of(pdf), width, base), handed(state))
+
+        def first(pdf: pd.DataFrame) -> pd.DataFrame:
+            levels = levels_up(level_of(pdf), width, base)
+            return result(pdf, levels, below_top(levels[-1].keys))
+
+        def result(pdf: pd.DataFrame, levels: list[Level], state: tuple[np.ndarray, ...]) -> pd.DataFrame:
+            state = states_down(levels, base, state)
+            if width == depth:
+                return score(pdf["gram"].to_numpy(), levels[0], state)
+            return pd.DataFrame({"node": levels[0].keys, "zero": state[0], "one": state[1], "rest": state[2]})
+        return first if base == GROUP_BYTES else run
+
+    def score(codes: np.ndarray, deepest: Level, state: tuple[np.ndarray, ...]) -> pd.DataFrame:
+        zero, one, _ = deepest.mixed(state)
+        path, bits = bit_path(codes & 0xFF)
+        at = np.searchsorted(deepest.keys, ((codes >> 8)[:, None] << 8) | path)
+        return pd.DataFrame({"gram": codes, "value": np.log10(np.where(bits == 1, one[at], zero[at])).sum(axis=1)})
+
+    state = None
+    for base, width in zip(bases[::-1], [*bases[-2::-1], depth]):
+        name = "gram" if width == depth else "node"
+        run = down(width, base)
+        out = "gram bigint, value double" if width == depth else "node bigint, zero double, one double, rest double"
+        rows = grouped(nodes[width], name, base, sizes[base]).groupBy("g")
+        if state is None:
+            state = rows.applyInPandas(run, out)
+        else:
+            state = rows.cogroup(grouped(state, "node", base, sizes[base]).groupBy("g")).applyInPandas(run, out)
+        if width != depth:
+            state = stage(state, "ctw-states")
+    return state
 
 
 # ---- blocks -----------------------------------------------------------------------------------------------
