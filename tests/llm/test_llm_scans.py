@@ -233,5 +233,38 @@ def test_pii_bootstrap_finds_an_unseen_identifier(spark):
     assert got[102].spans == "" and got[0].n_email == 1 and got[0].n_found == 0
 
 
+@pytest.mark.parametrize("written", [
+    "726 555 1586", "(726) 555-1586", "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "2001:db8::ff00:42:8329",
+    "dead:beef::cafe", "ab/12/cd-3", "bob [at] mail [dot] com", "иван77", "٣٤٥-٦٧٨", "A7", "k9" * 60])
+def test_pii_bootstrap_finds_whole_identifiers(spark, written):
+    rows = [(i, f"hello there write me at user{i}@mail{i}.com today") for i in range(12)]
+    rows += [(100, f"ok write me at {written} today"), (101, f"(write me at {written}) today, no {written}.")]
+    got = by_text(pii_bootstrap.extract(frame(spark, rows)).collect())
+    s = rows[12][1].index(written)
+    assert got[100].spans == f"found_email:{s}:{s + len(written)}" and got[100].n_found == 1
+    assert got[101].n_found == 2
+
+
+def test_pii_parts_stay_found_and_context_is_words(spark):
+    rows = [(i, f"hello there write me at user{i}@mail{i}.com today") for i in range(12)]
+    far = "." * 500
+    rows += [(100, "write me at zed-9981 today, zed-9981 2024"), (101, f"write me{far} at{far} qed-8812 {far} today")]
+    got = by_text(pii_bootstrap.extract(frame(spark, rows)).collect())
+    assert got[100].n_found == 2 and got[101].n_found == 1
+    assert pii_bootstrap.patterns("abcd " + "x" * 300 + " 77", 306, 308) == [f"abcd {'x' * 300} _"]
+
+
+def test_pii_bootstrap_goes_on_until_nothing_is_added(spark):
+    """Every link of a chain is found through the one before: more links than the former three rounds."""
+    links = 6
+    rows = [("email" if k == 0 else None, f"id{k}-{i}", [f"p{x} {j} _" for x in (k, k + 1) for j in range(4)], True)
+            for k in range(links + 1) for i in range(3)]
+    occ = spark.createDataFrame(rows, "kind string, inst string, pats array<string>, whole boolean")
+    known, _ = pii_bootstrap.bootstrap(occ, min_pattern=0.4, min_instance=0.6)
+    assert known.count() == len(rows)
+    with pytest.raises(RuntimeError):
+        pii_bootstrap.bootstrap(occ, rounds=3, min_pattern=0.4, min_instance=0.6)
+
+
 def test_pii_empty_table(spark):
     assert pii_bootstrap.extract(frame(spark, [])).count() == 0

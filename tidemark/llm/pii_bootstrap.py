@@ -4,8 +4,11 @@ Fixed-form identifiers (email, ip, card, phone) are the seed entities. The words
 its lexical patterns: the two words before it, and the words on both sides. Patterns and instances form a
 graph that Spark scores in rounds: a pattern's confidence in a kind is the share of its distinct instances
 known as that kind; patterns with enough support and confidence vote for the other instances in their
-places, and instances that enough votes agree on become known for the next round. Only tokens that look
-like identifiers (with a digit or an at-sign) can be instances, so clean prose has nothing to find.
+places, and instances that enough votes agree on become known for the next round, until a round adds none.
+Only token sequences that look like identifiers can be instances, so clean prose has nothing to find: chunks
+between blanks that hold a digit of any script, '@', '_', '[at]' or a mark between word characters, joined over
+single gaps ('726 555 1586', 'DE89 3704 0044', 'bob [at] mail [dot] com') to any length. Parts of a sequence
+that are identifiers by themselves stand as further candidates, which count only where the whole was not found.
 
 Base spans always stay. An instance found by context is reported wherever it stands, as ``found_<kind>``.
 The texts are read once; what the scan keeps (counts, spans, identifier occurrences) is staged and all
@@ -18,8 +21,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_columns, stage, with_row_id
@@ -35,10 +39,21 @@ LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012
 MIN_SUPPORT = 3       # distinct known instances of a pattern
 MIN_PATTERN = 0.8     # confidence of a pattern that may vote
 MIN_INSTANCE = 0.9    # 1 - product of (1 - confidence) over the patterns of an instance
-ROUNDS = 3
-WINDOW = 80           # characters looked at on either side for context words
-_CANDIDATE = re.compile(r"[A-Za-z0-9@._+-]{5,64}")
+ROUNDS = 200          # rounds end by themselves when nothing is added; reaching this is an error
+WINDOW = 80           # characters looked at first for context words; more until the words are there
+_MARK = r"[\[({<](?i:at|dot)[\])}>]"
+_ANCHOR = re.compile(rf"[\d@_]|\b[:/=+.]+\b|{_MARK}")
+_CHUNK = re.compile(r"\S+")
+_MARK_AT = re.compile(_MARK)
+_ENDS_IN_MARK = re.compile(rf"{_MARK}\Z")
+_NEXT = re.compile(r"[\x20\t\xa0]{1,2}(?=\S)")
+_JOIN = re.compile(r"[\x20\t\xa0]{1,2}(?:(?:[A-Z]{1,4}|[-/.\u2013]+)[\x20\t\xa0]{1,2})?")
+_PART = re.compile(r"[A-Za-z0-9@._+-]{5,}")
 _WORDS = re.compile(r"[^\W_]+")
+_BRACKETS = {"(": ")", "[": "]", "{": "}", "<": ">"}
+_OPENING = {b: a for a, b in _BRACKETS.items()}
+_BREAKS = frozenset(",;.!?:")
+_EDGE = "\"'`,;:!?*|.-"
 
 
 def _luhn(digits: str) -> bool:
@@ -84,10 +99,23 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+def _words(text: str, at: int, n: int, forward: bool) -> list[str]:
+    """The ``n`` nearest whole words before ``at`` (or behind it), lower-cased, however far they are."""
+    size = WINDOW
+    while True:
+        a, b = (at, min(len(text), at + size)) if forward else (max(0, at - size), at)
+        found = [m[0] for m in _WORDS.finditer(text, a, b)]
+        whole = b == len(text) if forward else a == 0
+        if not whole and found:  # the outermost may be a fragment
+            found = found[:-1] if forward else found[1:]
+        if whole or len(found) >= n:
+            return [w.lower() for w in (found[:n] if forward else found[-n:])]
+        size *= 4
+
+
 def patterns(text: str, start: int, end: int) -> list[str]:
     """The two words before, and the words on both sides, lower-cased."""
-    before = _WORDS.findall(text[max(0, start - WINDOW):start].lower())
-    after = _WORDS.findall(text[end:end + WINDOW].lower())
+    before, after = _words(text, start, 2, False), _words(text, end, 1, True)
     out = []
     if len(before) > 1:
         out.append(f"{before[-2]} {before[-1]} _")
@@ -96,15 +124,90 @@ def patterns(text: str, start: int, end: int) -> list[str]:
     return out
 
 
+def _trimmed(text: str, s: int, e: int) -> tuple[int, int]:
+    """Without outer punctuation and brackets that do not belong to the sequence."""
+    while s < e:
+        first, last = text[s], text[e - 1]
+        if first in _EDGE or _BRACKETS.get(first, "") and text.find(_BRACKETS[first], s, e) < 0:
+            s += 1
+        elif last in _EDGE or last in "_+" or last in _OPENING and text.find(_OPENING[last], s, e) < 0:
+            e -= 1
+        elif _BRACKETS.get(first) == last and text.find(last, s, e) == e - 1:
+            s, e = s + 1, e - 1
+        else:
+            break
+    return s, e
+
+
+def sequences(text: str, taken: list[tuple[int, int]]):
+    """(start, end) of the identifier-like token sequences outside ``taken`` (sorted, disjoint spans)."""
+    starts = [a for a, _ in taken]
+
+    def free(s: int, e: int) -> bool:
+        i = bisect_left(starts, e) - 1
+        return i < 0 or taken[i][1] <= s
+
+    def chunk_before(e: int, least: int) -> int:
+        s = e
+        while s > least and not text[s - 1].isspace():
+            s -= 1
+        return s
+
+    begin = end = -1
+    at = 0
+    while m := _ANCHOR.search(text, at):
+        s, e = chunk_before(m.start(), at), _CHUNK.match(text, m.start()).end()
+        at = e
+        if not free(s, e):
+            continue
+        joined = begin >= 0 and s > end and text[end - 1] not in _BREAKS and _JOIN.fullmatch(text, end, s) and free(end, s)
+        if not joined:
+            if begin >= 0:
+                yield begin, end
+            begin = s
+            if _MARK_AT.match(text, s):  # the word before belongs to it
+                gap = s
+                while gap > max(end, 0) and s - gap < 2 and text[gap - 1] in " \t\xa0":
+                    gap -= 1
+                before = chunk_before(gap, max(end, 0)) if gap < s else s
+                if before < gap and free(before, gap):
+                    begin = before
+        end = e
+        if _ENDS_IN_MARK.search(text, max(s, e - 5), e) and (gap := _NEXT.match(text, e)):
+            e = _CHUNK.match(text, gap.end()).end()
+            if free(gap.end(), e):
+                end = at = e
+    if begin >= 0:
+        yield begin, end
+
+
 def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
-    """Seeds and identifier-like tokens with their patterns; tokens inside base spans are the seeds themselves."""
-    out = [{"s": s, "e": e, "kind": KINDS[k], "inst": text[s:e].lower(), "pats": patterns(text, s, e)} for k, s, e in base]
-    taken = sorted((s, e) for _, s, e in base)
-    for m in _CANDIDATE.finditer(text):
-        tok = m[0].rstrip("._+-")
-        s, e = m.start(), m.start() + len(tok)
-        if len(tok) >= 5 and ("@" in tok or any("0" <= c <= "9" for c in tok)) and not any(a < e and s < b for a, b in taken):
-            out.append({"s": s, "e": e, "kind": None, "inst": tok.lower(), "pats": patterns(text, s, e)})
+    """Seeds and identifier-like sequences with their patterns; what is inside base spans are the seeds themselves.
+
+    ``seq`` is where the sequence begins; ``whole`` is false for its parts.
+    """
+    out = [{"s": s, "e": e, "kind": KINDS[k], "inst": text[s:e].lower(), "pats": patterns(text, s, e), "seq": s, "whole": True}
+           for k, s, e in base]
+    taken: list[tuple[int, int]] = []
+    for s, e in sorted((s, e) for _, s, e in base):
+        if taken and s < taken[-1][1]:
+            taken[-1] = (taken[-1][0], max(e, taken[-1][1]))
+        else:
+            taken.append((s, e))
+
+    def add(s: int, e: int, seq: int, whole: bool) -> None:
+        out.append({"s": s, "e": e, "kind": None, "inst": text[s:e].lower(), "pats": patterns(text, s, e), "seq": seq,
+                    "whole": whole})
+
+    for a, b in sequences(text, taken):
+        s, e = _trimmed(text, a, b)
+        if e - s > 1:
+            add(s, e, a, True)
+        for m in _PART.finditer(text, a, b):
+            part = m[0].rstrip("._+-")
+            if len(part) >= 5 and (m.start(), m.start() + len(part)) != (s, e) and \
+                    ("@" in part or any("0" <= c <= "9" for c in part)):
+                add(m.start(), m.start() + len(part), a, False)
     return out
 
 
@@ -131,23 +234,27 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     kind = docs.schema[key].dataType.simpleString()
     return map_columns(docs, [key, text], f"`{key}` {kind}, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, "
                        "base_sha256 string, base string, "
-                       "occ array<struct<s: int, e: int, kind: string, inst: string, pats: array<string>>>", rows)
+                       "occ array<struct<s: int, e: int, kind: string, inst: string, pats: array<string>, seq: int, "
+                       "whole: boolean>>", rows)
 
 
 def bootstrap(occ: DataFrame, rounds: int = ROUNDS, min_support: int = MIN_SUPPORT,
               min_pattern: float = MIN_PATTERN, min_instance: float = MIN_INSTANCE) -> tuple[DataFrame, DataFrame]:
     """(known instances (inst, kind, score), accepted patterns (pat, kind, conf)) from occurrences.
 
-    An instance seen as several kinds counts for the most frequent one (ties: by hash of the name).
+    An instance seen as several kinds counts for the most frequent one (ties: by hash of the name). Patterns are
+    judged by whole sequences only and vote for parts too. Rounds go on until one adds nothing.
     """
-    edges = stage(occ.select("inst", F.explode("pats").alias("pat")).distinct(), "pii-edges")
+    edges = stage(occ.select("inst", F.explode("pats").alias("pat"), "whole").groupBy("inst", "pat").agg(F.max("whole").alias("whole")),
+                  "pii-edges")
+    judged = edges.where("whole")
     known = stage(occ.where("kind is not null").groupBy("inst", "kind").agg(F.count("*").alias("n"))
                   .groupBy("inst").agg(F.max_by("kind", F.struct("n", F.hash("kind"))).alias("kind"))
                   .select("inst", "kind", F.lit(1.0).alias("score")), "pii-known")
     accepted = None
     for _ in range(rounds):
-        size = edges.groupBy("pat").agg(F.count("*").alias("size"))
-        votes = edges.join(known, "inst").groupBy("pat", "kind").agg(F.sum("score").alias("mass"), F.count("*").alias("n"))
+        size = judged.groupBy("pat").agg(F.count("*").alias("size"))
+        votes = judged.join(known, "inst").groupBy("pat", "kind").agg(F.sum("score").alias("mass"), F.count("*").alias("n"))
         accepted = stage(votes.join(size, "pat").select("pat", "kind", "n", (F.col("mass") / F.col("size")).alias("conf"))
                          .where((F.col("n") >= min_support) & (F.col("conf") >= min_pattern)).drop("n"), "pii-patterns")
         # ln(1 - conf) sums over patterns; a pattern never counts as fully certain
@@ -160,6 +267,8 @@ def bootstrap(occ: DataFrame, rounds: int = ROUNDS, min_support: int = MIN_SUPPO
         if not new.take(1):
             break
         known = stage(known.unionByName(new), "pii-known")
+    else:
+        raise RuntimeError(f"bootstrapping still added instances after {rounds} rounds")
     return known, accepted
 
 
@@ -169,7 +278,8 @@ def extract(docs: DataFrame, key: str = "doc_id", text: str = "text", **limits)
     rows = with_row_id(scan(docs, key, text), rid, "pii-scan")
     occ = rows.where(F.size("occ") > 0).select(rid, F.explode("occ").alias("o")).select(rid, "o.*")
     known, _ = bootstrap(occ, **limits)
-    found = (occ.where("kind is null").select(rid, "s", "e", "inst").join(known.select("inst", "kind"), "inst")
+    found = (occ.where("kind is null").select(rid, "s", "e", "inst", "seq", "whole").join(known.select("inst", "kind"), "inst")
+             .withColumn("covered", F.max("whole").over(Window.partitionBy(rid, "seq"))).where("whole or not covered")
              .groupBy(rid).agg(F.sort_array(F.collect_list(F.struct(
                  F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).alias("k"), "s", "e", "kind"))).alias("f")))
     text_of = F.transform("f", lambda x: F.concat(F.lit("found_"), x["kind"], F.lit(":"), x["s"].cast("string"),
