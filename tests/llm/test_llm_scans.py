@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import random
 import re
+import string
 
 import pytest
 import xxhash
@@ -143,6 +145,23 @@ def test_secret_entropy_and_exclusions():
     assert kinds("internationalisation_of_configuration_parameters_2024 and 2024-01-02-2024-01-03") == []
 
 
+@pytest.mark.parametrize("alphabet,tail", [
+    (string.ascii_letters, ""), (string.ascii_lowercase, ""), (string.ascii_letters, "4071"), (string.ascii_letters + "-_", "")])
+def test_random_keys_without_digits_are_secrets(alphabet, tail):
+    count = secret_scan.token_counter(secret_scan.vocabulary_path())
+    rnd = random.Random(7)
+    keys = ["x" + "".join(rnd.choice(alphabet) for _ in range(31)) + tail for _ in range(500)]
+    low = [k for k in keys if len(k) < secret_scan.MAX_RATIO * count(k)]
+    assert len(low) > 490 and all(secret_scan.spans_of(f"key {k} end", count)[1] == [(4, 4 + len(k), "entropy")] for k in low)
+    for name in ("get_the_new_job_for_the_big_red_box_12", "theNewJobForTheBigRedBoxOfMyCar", "src/app/web/api/run/the/job"):
+        assert secret_scan.spans_of(f"see {name} end", count)[1] == []
+
+
+def test_redaction_hides_a_key_of_letters(spark):
+    key = "qZkWvJxTbRmYcPqUdHsAeNfGtLwKoXiB"
+    assert [r.text for r in secret_scan.redact(frame(spark, [(1, f"use {key} now")])).collect()] == ["use [SECRET] now"]
+
+
 def test_redaction_keeps_rows_and_columns(spark):
     df = frame(spark).withColumn("n_chars", F.length("text").cast("bigint"))
     out = secret_scan.redact(df).collect()

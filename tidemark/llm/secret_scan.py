@@ -1,10 +1,10 @@
 """Secret scans by token efficiency.
 
 Random strings cost a byte-pair vocabulary many tokens: their characters-per-token ratio under a tiktoken
-vocabulary is far below that of words, however rare. Candidates are long runs of key characters that mix
-letters and digits; known digests (hex of a digest's length), UUIDs, dates, versions, dotted or snaked
-identifiers of plain words are excluded first, then runs below ``max_ratio`` characters per token are
-reported as kind ``entropy``. Fixed-form secrets (assignments, access keys, hex runs) are always reported.
+vocabulary is far below that of words, however rare. Candidates are long runs of key characters; known digests (hex of a
+digest's length), UUIDs, dates and numbers are excluded first, then runs below ``max_ratio`` characters per
+token are reported as kind ``entropy``, unless they are names whose every part (by marks or camel case) is a
+word by the same ratio. Fixed-form secrets (assignments, access keys, hex runs) are always reported.
 
 One pass per partition, one row out per row in; the vocabulary is loaded once per Python worker.
 Null text counts as empty; empty texts have no spans; repeated rows come out repeatedly.
@@ -39,8 +39,11 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN)
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 NOT_RANDOM = re.compile(
     r"(?:[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"      # UUID
-    r"|[0-9+/_=-]+"                                                  # numbers, dates, rules
-    r"|[A-Za-z]*(?:[-_/+=]+[A-Za-z]*)*[0-9]{0,4})\Z")                # words joined by marks, a number behind
+    r"|[0-9+/_=-]+)\Z")                                             # numbers, dates, rules
+NAME = re.compile(r"[A-Za-z]*(?:[-_/+=]+[A-Za-z]*)*[0-9]{0,4}\Z")   # letters joined by marks, a number behind
+PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")                  # of a name, by marks and camel case
+#: Words too short to reach any ratio.
+SHORT_WORDS = frozenset("a i an as at be by do go id if in io ip is it me my no of on or os so to ui up us we".split())
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -62,11 +65,17 @@ def is_identifier(run: str) -> bool:
     return len(run) in DIGEST_LENGTHS and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", run) is not None
 
 
+def is_name(run: str, count_tokens: Callable[[str], int], max_ratio: float = MAX_RATIO) -> bool:
+    """Identifiers whose every part is a word: cheap in tokens by itself."""
+    return NAME.match(run) is not None and all(
+        len(p) >= max_ratio * count_tokens(p) or p.lower() in SHORT_WORDS for p in PARTS.findall(run))
+
+
 def entropy_spans(text: str, count_tokens: Callable[[str], int], max_ratio: float = MAX_RATIO) -> list[tuple[int, int, str]]:
     out = []
     for m in CANDIDATE.finditer(text):
         run = m[0]
-        if not is_identifier(run) and len(run) < max_ratio * count_tokens(run):
+        if not is_identifier(run) and len(run) < max_ratio * count_tokens(run) and not is_name(run, count_tokens, max_ratio):
             out.append((m.start(), m.end(), ENTROPY))
     return out
 
