@@ -191,6 +191,52 @@ def test_license_places_and_labels(spark):
         assert set(r.base_labels.split(",")) <= set(r.labels.split(",")) and 0 <= r.score <= 1
 
 
+BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+       "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+       "conditions. 2. Redistributions in binary form must reproduce the above copyright notice. ")
+GRANT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+         "documentation files (the \"Software\"), to deal in the Software without restriction, including the rights to use, "
+         "and to permit persons to whom the Software is furnished to do so")
+
+
+@pytest.mark.parametrize("text,want", [
+    (GRANT + ", subject to the following conditions: The above copyright notice and this permission notice shall be included "
+             "in all copies or substantial portions of the Software.", {"mit"}),
+    (GRANT + ". THE SOFTWARE IS PROVIDED \"AS IS\"", {"mit-0"}),
+    (BSD, {"bsd-2-clause"}), (BSD.split(",")[0], {"bsd"}),
+    (BSD + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+           "products derived from this software", {"bsd-3-clause"}),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+     "provided that the above copyright notice appear", {"isc"}),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. "
+     "THE SOFTWARE IS PROVIDED \"AS IS\"", {"0bsd"}),
+    ("Permission is granted to anyone to use this software for any purpose, including commercial applications", {"zlib"}),
+    ("Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+     "accompanying documentation covered by this license", {"bsl-1"}),
+    ("you may not use this file except in compliance with the License. You may obtain a copy of the License at "
+     "http://www.apache.org/licenses/LICENSE-2.0", {"apache-2"}),
+    ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License "
+     "as published by the Free Software Foundation, either version 3", {"gpl", "gpl-3"}),
+    ("https://creativecommons.org/licenses/by-nc-sa/4.0/", {"cc-by-nc-sa"})])
+def test_license_bodies_and_notices_without_the_name(spark, text, want):
+    d = license_rules.Detector()
+    assert {r.label for _, _, r in d.detect(" ".join(words_of(text)))} == want
+    r = license_rules.scan(frame(spark, [(1, text)])).first()
+    assert set(r.labels.split(",")) == want and r.score > 0.8
+
+
+def test_license_signatures_are_reachable():
+    """The keyword that opens a signature stands in what its expression matches."""
+    from tidemark.llm.license_signatures import SIGNATURES
+    assert len({x for *_, x in SIGNATURES}) == len(SIGNATURES)
+    for label, confidence, keywords, form in SIGNATURES:
+        assert 0 < confidence <= 1 and all(k == " ".join(words_of(k)) for k in keywords), label
+        plain = re.sub(r"\(\?:([^()|]*)[^()]*\)\??", r"\1", form)
+        plain = re.sub(r"\.\{\d+,\d+\}\?", "x", plain.replace("[cs]", "s").replace("?", ""))
+        if len(keywords) == 1 and "|" not in plain:
+            assert keywords[0] in " ".join(plain.split()), (label, keywords, plain)
+
+
 def test_license_rules_suppress_contained_detections():
     assert len(license_rules.rules()) > 200
     d = license_rules.Detector()

@@ -1,12 +1,13 @@
 """License detection by ordered signature rules.
 
 Texts are normalised to their words (lower-cased, joined by one space). Every rule is a regular expression
-over that form with a priority, a label, a confidence and two keywords; an Aho-Corasick pass over the text
-finds the keywords, and only rules whose keywords both occur are tried. Detections are taken in order of
+over that form with a priority, a label, a confidence and keywords; an Aho-Corasick pass over the text
+finds the keywords, and only rules whose keywords all occur are tried. Detections are taken in order of
 priority, then start, then length: one whose words lie inside an interval already taken is suppressed, so
 "gnu lesser general public license" is never also "general public license".
 
-The rules are written as license names times the ways a text refers to a name. One pass per partition, one
+Two sorts of rules: signatures written by hand on a license's own wording (``license_signatures``), and license
+names times the ways a text refers to a name. One pass per partition, one
 row out per row in. Null and word-less texts have no detections, empty labels and score 0; repeated rows
 come out repeatedly.
 """
@@ -19,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from tidemark.llm.common import item_words, map_columns
+from tidemark.llm.license_signatures import SIGNATURES
 
 # The base phrases and their labels.
 BASE_PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -99,8 +101,9 @@ class Rule:
 
 
 def rules() -> list[Rule]:
-    """All rules in order: by kind of reference, then by the listed order of the names."""
-    out = []
+    """All rules in order: the signatures, then by kind of reference and the listed order of the names."""
+    out = [Rule(i, label, confidence, keywords, re.compile(r"(?<![^ ])(?:" + form + r")(?![^ ])"))
+           for i, (label, confidence, keywords, form) in enumerate(SIGNATURES)]
     for confidence, keyword, form in [*REFERENCES, ALONE]:
         for label, names in NAMES.items():
             for name in names:
@@ -124,7 +127,8 @@ class Detector:
         for k in {k for r in self.rules for k in r.keywords}:
             self.words.add_word(k, k)
         self.words.make_automaton()
-        self.gates = ("licen", "spdx", "under", "terms", *(n for ns in NAMES.values() for n in ns if len(n.split()) >= ALONE_WORDS))
+        self.gates = ("licen", "spdx", "under", "terms", *(n for ns in NAMES.values() for n in ns if len(n.split()) >= ALONE_WORDS),
+                      *(keywords[0] for _, _, keywords, _ in SIGNATURES))
         self.gate = ahocorasick.Automaton()
         for k in self.gates:
             self.gate.add_word(k, k)
