@@ -133,12 +133,15 @@ def state_runs(spark: SparkSession, sf: str, spec: TableSpec, spec_run1: TableSp
 
 
 def state_history(spark: SparkSession, sf: str) -> DataFrame:
-    """Three snapshot runs; the replicated bronze at each cutoff holds one row per user."""
+    """Three snapshot runs; the replicated bronze at each cutoff holds one row per user.
+
+    The earlier runs see what was synced before their clock, the last one the whole table.
+    """
     bronze = views.b_state(spark, sf)
     history = None
     for cut in SNAP_CUTOFFS:
-        upserted = latest_per_key(bronze.filter(F.col("_synced") < F.lit(cut).cast("timestamp_ntz")),
-                                  ["user_id"], "_synced", ["event_id"])
+        seen = bronze if cut == SNAP_CUTOFFS[-1] else bronze.filter(F.col("_synced") < F.lit(cut).cast("timestamp_ntz"))
+        upserted = latest_per_key(seen, ["user_id"], "_synced", ["event_id"])
         current = snapshot_source(STATE_HISTORY, upserted)
         history = stage(scd2_apply(history, current, STATE_HISTORY.keys, cut), "state-history")
     return history
