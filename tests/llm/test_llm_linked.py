@@ -234,6 +234,24 @@ def test_shard_files_hold_whole_rows(spark, tmp_path):
     assert back.drop("__shard").exceptAll(docs).count() == 0 and docs.exceptAll(back.drop("__shard")).count() == 0
 
 
+def test_sources_with_a_long_common_prefix_get_shards_of_their_own(spark):
+    names = ["common_crawl_2023", "common_crawl_2024", "common_crawl_2024_b", "common_crawl_ä"]
+    rows = [(i, f"text {i}", names[i % 4], "en", 10) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string, n_chars bigint")
+    got = hilbert.assign_shards(docs, shards=4).collect()
+    for shard in range(4):
+        assert {names[r.doc_id % 4] for r in got if r.shard == shard and r.slot >= 0} in [{n} for n in names]
+    assert len({r.curve for r in got}) == 4 and len(got) == 400
+
+
+def test_string_cells_are_exact_row_shares(spark):
+    values = ["https://a.example/x"] * 5 + ["https://a.example/y"] * 3 + [None] * 4 + ["https://b"] * 7 + [""]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = {r.v: r.cell for r in hilbert._string_cells(df, "v", "cell", 4).collect()}
+    whole = [v for v in values if v is not None]
+    assert got == {v: sum(x < v for x in whole) * 16 // len(whole) for v in set(whole)}
+
+
 # ---- op3 --------------------------------------------------------------------------------------------------
 
 def ctw_brute(train, texts, depth):

@@ -1,6 +1,7 @@
 """Sharding along a Hilbert curve: rows close in several metadata dimensions land in the same shards.
 
-Each dimension is quantised to ``2 ** bits`` cells by its own quantiles, the cells' curve index orders the
+Each dimension is quantised to ``2 ** bits`` cells by its own quantiles (strings as a whole, by the exact share
+of rows with a smaller value), the cells' curve index orders the
 rows (equal texts stay together through their checksum, then the id), and the order is cut into runs of
 equal row counts, so every shard holds a narrow box of values in all dimensions and files can be skipped
 by their minima and maxima. DataFrame functions only: the curve is a fold over the bits with two small
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -27,7 +28,6 @@ from tidemark.llm.common import stage
 SHARDS = 24
 BITS = 6
 DIMENSIONS = ("source", "lang", "n_chars")
-PREFIX_BYTES = 6  # of a string dimension, as a number in the same order
 ROW_OVERHEAD = 8
 
 
@@ -68,11 +68,28 @@ def curve_index(cells: list[Column], bits: int = BITS) -> Column:
 
 
 def _value(docs: DataFrame, name: str) -> Column:
-    """A dimension as a double in the same order; strings by their first bytes."""
-    if isinstance(docs.schema[name].dataType, NumericType):
-        return F.col(name).cast("double")
-    head = F.rpad(F.hex(F.substring(F.col(name).cast("string").cast("binary"), 1, PREFIX_BYTES)), 2 * PREFIX_BYTES, "0")
-    return F.conv(head, 16, 10).cast("double")
+    """A dimension as a double or a whole string, in the same order."""
+    return F.col(name).cast("double" if _is_number(docs, name) else "string")
+
+
+def _is_number(docs: DataFrame, name: str) -> bool:
+    return isinstance(docs.schema[name].dataType, NumericType)
+
+
+def _string_cells(slim: DataFrame, column: str, cell: str, bits: int) -> DataFrame:
+    """(value, cell) of the distinct strings of ``column``: the share of rows with a smaller value, in 2 ** bits steps."""
+    counts = stage(slim.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("__n"))
+                   .repartitionByRange(column).sortWithinPartitions(column)
+                   .withColumn("__part", F.spark_partition_id()), "hilbert-values")
+    total, offsets = 0, []
+    for part, n in sorted(tuple(r) for r in counts.groupBy("__part").agg(F.sum("__n")).collect()):  # one row a task
+        offsets.append((part, total))
+        total += n
+    shift = slim.sparkSession.createDataFrame(offsets, "__part int, __shift bigint")
+    earlier = Window.partitionBy("__part").orderBy(column).rowsBetween(Window.unboundedPreceding, -1)
+    return (counts.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+            .join(F.broadcast(shift), "__part")
+            .select(column, F.expr(f"cast(((__before + __shift) * {1 << bits}) div {max(total, 1)} as int)").alias(cell)))
 
 
 def assign_shards(docs: DataFrame, key: str = "doc_id", text: str = "text", dimensions: tuple = DIMENSIONS,
@@ -85,14 +102,20 @@ def assign_shards(docs: DataFrame, key: str = "doc_id", text: str = "text", dime
         (F.coalesce(F.octet_length(body), F.lit(0)) + ROW_OVERHEAD).cast("long").alias("size"),
         F.coalesce(F.crc32(body), F.lit(0).cast("long")).alias("text_crc32"),
         *[_value(docs, d).alias(f"__d{i}") for i, d in enumerate(dimensions)]), "hilbert-slim")
+    texts = [i for i, d in enumerate(dimensions) if not _is_number(docs, d)]
+    numbers = [i for i in range(len(dimensions)) if i not in texts]
     steps = [k / (1 << bits) for k in range(1, 1 << bits)]
-    cuts = slim.agg(*[F.percentile_approx(f"__d{i}", steps, 1 << (bits + 4)).alias(f"c{i}")
-                      for i in range(len(dimensions))]).first()  # 2 ** bits numbers a dimension
+    cuts = slim.agg(F.count("*"), *[F.percentile_approx(f"__d{i}", steps, 1 << (bits + 4)).alias(f"c{i}")
+                                    for i in numbers]).first()  # 2 ** bits numbers a dimension
 
     def cell(i: int) -> Column:
-        marks = F.array(*[F.lit(float(c)) for c in cuts[i] or []]).cast("array<double>")
+        if i in texts:
+            return F.coalesce(F.col(f"__t{i}"), F.lit(0))
+        marks = F.array(*[F.lit(float(c)) for c in cuts[f"c{i}"] or []]).cast("array<double>")
         return F.size(F.filter(marks, lambda c: F.coalesce(F.col(f"__d{i}") > c, F.lit(False))))
 
+    for i in texts:
+        slim = slim.join(_string_cells(slim, f"__d{i}", f"__t{i}", bits), f"__d{i}", "left")
     cells = slim.select("__key", "__rid", "size", "text_crc32", *[cell(i).alias(f"__c{i}") for i in range(len(dimensions))])
     order = ["curve", "text_crc32", "__key", "__rid"]
     curve = cells.select("__key", "__rid", "size", "text_crc32",
