@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import (best_fit, context_tree, hilbert, license_rules, pii_bootstrap, quality_llr, repair_ids, secret_scan,
-                          simhash_mih, winnow)
+from tidemark.llm import (best_fit, chunk_recipes, context_tree, hilbert, license_rules, permuterm, pii_bootstrap, quality_llr,
+                          repair_ids, secret_scan, simhash_mih, winnow)
 from tidemark.llm.common import read_table
 
 
@@ -61,11 +61,26 @@ def op10_simhash_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op12_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_recipes.exact_groups(read_table(spark, sf_dir, "documents"))
+
+
+def op13_permuterm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permuterm.variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bootstrap, op2_quality_llr, op3_context_tree, op4_winnowing, op5_hilbert, op6_token_efficiency, op7_signature_rules,
-    op8_best_fit, op9_repair, op10_simhash_mih)}
+    op8_best_fit, op9_repair, op10_simhash_mih, op12_chunk_recipes, op13_permuterm)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op12_chunk_recipes": """
+        WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+                   FROM documents)
+        SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+               doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+        FROM t WINDOW w AS (PARTITION BY t)""",
+}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
