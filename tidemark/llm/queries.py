@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import (best_fit, chunk_recipes, context_tree, hilbert, license_rules, permuterm, pii_bootstrap, quality_llr,
-                          repair_ids, secret_scan, simhash_mih, winnow)
+                          repair_ids, secret_scan, simhash_mih, son_phrases, winnow)
 from tidemark.llm.common import read_table
 
 
@@ -61,6 +61,10 @@ def op10_simhash_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op11_son_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return son_phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
 def op12_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_recipes.exact_groups(read_table(spark, sf_dir, "documents"))
 
@@ -71,10 +75,36 @@ def op13_permuterm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_bootstrap, op2_quality_llr, op3_context_tree, op4_winnowing, op5_hilbert, op6_token_efficiency, op7_signature_rules,
-    op8_best_fit, op9_repair, op10_simhash_mih, op12_chunk_recipes, op13_permuterm)}
+    op8_best_fit, op9_repair, op10_simhash_mih, op11_son_phrases, op12_chunk_recipes, op13_permuterm)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE: dict[str, str] = {
+    "op11_son_phrases": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        words AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w FROM pieces),
+        sizes AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang),
+        places AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (SELECT unnest(range(1, 6)) AS k)),
+        f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+              FROM places GROUP BY ALL HAVING count(*) >= 100),
+        parts AS (SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+        inner_starts AS (SELECT lang, w, f, m, unnest(range(1, k - m + 2)) AS i
+                         FROM (SELECT lang, k, w, f, unnest(range(2, k)) AS m FROM parts)),
+        around AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(f) AS around FROM inner_starts GROUP BY ALL),
+        own AS (SELECT p.* FROM parts p LEFT JOIN around a USING (lang, phrase) WHERE a.around IS NULL OR 100 * a.around < 100 * p.f),
+        cuts AS (SELECT lang, phrase, f AS a, j, array_to_string(w[:j], ' ') AS first, array_to_string(w[j + 1:], ' ') AS rest
+                 FROM (SELECT *, unnest(range(1, k)) AS j FROM own)),
+        scored AS (SELECT c.lang, c.phrase, c.a, c.j, l.f AS l, r.f AS r, s.n,
+                          (1000::HUGEINT * c.a * s.n) // (l.f::HUGEINT * r.f) AS score
+                   FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = c.first
+                   JOIN f r ON r.lang = c.lang AND r.phrase = c.rest JOIN sizes s ON s.lang = c.lang),
+        best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+        SELECT lang, row_number() OVER w AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n,
+               score::BIGINT AS score
+        FROM best WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+        QUALIFY rank <= 2000""",
     "op12_chunk_recipes": """
         WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
                    FROM documents)
