@@ -74,8 +74,9 @@ def recipes(docs: DataFrame, key: str = "doc_id", text: str = "text",
 def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row per row of ``docs``: key, keep_id, group_size, kept, text_sha256."""
     rows = recipes(docs, key, text, **options)
-    groups = (rows.groupBy("recipe").agg(F.count(F.lit(1)).alias("group_size"), F.max(F.struct("key", "row")).alias("top"))
-              .where("group_size > 1"))
+    # staged: joined straight behind its grouping, a hot recipe's rows could not be split
+    groups = stage(rows.groupBy("recipe").agg(F.count(F.lit(1)).alias("group_size"), F.max(F.struct("key", "row")).alias("top"))
+                   .where("group_size > 1"), "recipe-groups")
     found = rows.join(groups, "recipe", "left")
     alone = F.col("group_size").isNull()
     return found.select(
