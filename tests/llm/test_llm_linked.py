@@ -143,12 +143,16 @@ def check_packing(rows, capacity):
     return len(seqs)
 
 
+SPECIAL = [(3000 + i, t) for i, t in enumerate([
+    "a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "don't<|startoftext|>'s", "<|EndOfText|> <|ENDOFTEXT|>",
+    "<|endoftext", "x  <|endoftext|>  y", "<|startoftext|>é\u0301<|endoftext|>\n\n"])]
+
+
 def test_packing_query(spark):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(tokens.public_path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
-    rows = EDGE + documents(spark)
+    rows = EDGE + documents(spark) + SPECIAL
     got = best_fit.pack_documents(frame(spark, rows)).collect()
     n = check_packing(got, 2048)
     want = Counter()
@@ -369,8 +373,7 @@ def test_id_files_round_trip(spark):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(tokens.public_path("word_bpe_49k.json"))
-    tok.encode_special_tokens = True
-    rows = EDGE + documents(spark) + [(2000, "it's. 'x' a.'s don't, \"y\" # ### <|endoftext|> \x1c É İ ﬁ 1234")]
+    rows = EDGE + documents(spark) + SPECIAL + [(2000, "it's. 'x' a.'s don't, \"y\" # ### <|endoftext|> \x1c É İ ﬁ 1234")]
     unique = {}
     for d, t in rows:
         unique.setdefault(d, t)

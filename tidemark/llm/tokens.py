@@ -1,7 +1,8 @@
 """Token ids of whole texts under the public vocabularies.
 
 ``ByteTokenizer`` gives the ids of the byte-level vocabulary straight from its ranks (the tiktoken file of
-the same vocabulary gives the ids of the tokenizers file). ``WordTokenizer`` uses the tokenizers library
+the same vocabulary gives the ids of the tokenizers file). A vocabulary's special strings in a text get their
+own ids, as the tokenizers library does by default; what stands between them is tokenized by itself. ``WordTokenizer`` uses the tokenizers library
 behind a memo: that vocabulary lower-cases, drops white space and never joins over it, so a text's ids are
 those of its white-space separated chunks in a row, and every distinct chunk is encoded once per memo. A
 space put between plain letters and marks changes no id and makes chunks repeat more often. The memo is
@@ -18,6 +19,10 @@ import numpy as np
 
 from tidemark.llm.common import worker_cache
 
+# The special tokens of the vocabularies.
+BYTE_SPECIALS = {"<|endoftext|>": 50256}
+WORD_SPECIALS = {"<|startoftext|>": 49406, "<|endoftext|>": 49407}
+
 MEMO = 800_000
 PART = 4096  # chunks looked up at once
 _PLAIN = bytes(c + 32 if 0x41 <= c <= 0x5A else 0x20 if 0x09 <= c <= 0x0D else c for c in range(256))
@@ -35,11 +40,13 @@ class ByteTokenizer:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-                                          special_tokens={})
+                                          special_tokens=BYTE_SPECIALS)
 
     def ids(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, dtype="<u4")
+        if any(s in text for s in BYTE_SPECIALS):
+            return np.array(self.encoding.encode(text, allowed_special="all"), dtype="<u4")
         return np.array(self.encoding.encode_ordinary(text), dtype="<u4")
 
 
@@ -50,7 +57,8 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True  # split off beforehand: lower-casing must not make one
+        self.special = re.compile("(" + "|".join(map(re.escape, WORD_SPECIALS)) + ")")
         self.memo: dict[bytes, bytes] = {}
 
     def _learn(self, chunks: list[bytes]) -> None:
@@ -66,6 +74,9 @@ class WordTokenizer:
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if "<|" in text and self.special.search(text):
+            return b"".join(np.array([WORD_SPECIALS[x]], dtype="<u4").tobytes() if x in WORD_SPECIALS else self.ids(x)
+                            for x in self.special.split(text))
         plain = text.encode("utf-8", "surrogatepass").translate(_PLAIN)
         chunks = iter(_MARKS.sub(rb" \g<0> ", plain).split())
         out = []
