@@ -14,14 +14,15 @@ Base spans always stay. An instance found by context is reported wherever it sta
 The texts are read once; what the scan keeps (counts, spans, identifier occurrences) is staged and all
 later steps are grouped sums and joins over it. Null text counts as empty; an empty table gives an empty
 result; repeated rows come out repeatedly (rows carry a staged row id) and count as further occurrences,
-not as further instances.
+not as further instances. Very long texts take time in proportion to their length; only the key and the text
+are read, so no other column can clash.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,7 +41,6 @@ MIN_SUPPORT = 3       # distinct known instances of a pattern
 MIN_PATTERN = 0.8     # confidence of a pattern that may vote
 MIN_INSTANCE = 0.9    # 1 - product of (1 - confidence) over the patterns of an instance
 ROUNDS = 200          # rounds end by themselves when nothing is added; reaching this is an error
-WINDOW = 80           # characters looked at first for context words; more until the words are there
 _MARK = r"[\[({<](?i:at|dot)[\])}>]"
 _ANCHOR = re.compile(rf"[\d@_]|\b[:/=+.]+\b|{_MARK}")
 _CHUNK = re.compile(r"\S+")
@@ -99,23 +99,27 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def _words(text: str, at: int, n: int, forward: bool) -> list[str]:
-    """The ``n`` nearest whole words before ``at`` (or behind it), lower-cased, however far they are."""
-    size = WINDOW
-    while True:
-        a, b = (at, min(len(text), at + size)) if forward else (max(0, at - size), at)
-        found = [m[0] for m in _WORDS.finditer(text, a, b)]
-        whole = b == len(text) if forward else a == 0
-        if not whole and found:  # the outermost may be a fragment
-            found = found[:-1] if forward else found[1:]
-        if whole or len(found) >= n:
-            return [w.lower() for w in (found[:n] if forward else found[-n:])]
-        size *= 4
+class Words:
+    """The words of a text, found once; context words come by bisection, however far they are."""
 
+    def __init__(self, text: str):
+        spans = [m.span() for m in _WORDS.finditer(text)]
+        self.text, self.starts, self.ends = text, [a for a, _ in spans], [b for _, b in spans]
 
-def patterns(text: str, start: int, end: int) -> list[str]:
+    def before(self, at: int, n: int) -> list[str]:
+        """The ``n`` nearest words before ``at``, lower-cased; a word over ``at`` is cut there."""
+        i = bisect_left(self.starts, at)
+        return [self.text[self.starts[j]:min(self.ends[j], at)].lower() for j in range(max(0, i - n), i)]
+
+    def after(self, at: int) -> list[str]:
+        """The nearest word behind ``at``, lower-cased; a word over ``at`` is cut there."""
+        i = bisect_right(self.ends, at)
+        return [self.text[max(self.starts[i], at):self.ends[i]].lower()] if i < len(self.ends) else []
+
+
+def patterns(words: Words, start: int, end: int) -> list[str]:
     """The two words before, and the words on both sides, lower-cased."""
-    before, after = _words(text, start, 2, False), _words(text, end, 1, True)
+    before, after = words.before(start, 2), words.after(end)
     out = []
     if len(before) > 1:
         out.append(f"{before[-2]} {before[-1]} _")
@@ -126,11 +130,18 @@ def patterns(text: str, start: int, end: int) -> list[str]:
 
 def _trimmed(text: str, s: int, e: int) -> tuple[int, int]:
     """Without outer punctuation and brackets that do not belong to the sequence."""
+    absent: set[str] = set()  # what is not in a sequence is not in its parts
+
+    def lacks(c: str) -> bool:
+        if c not in absent and text.find(c, s, e) < 0:
+            absent.add(c)
+        return c in absent
+
     while s < e:
         first, last = text[s], text[e - 1]
-        if first in _EDGE or _BRACKETS.get(first, "") and text.find(_BRACKETS[first], s, e) < 0:
+        if first in _EDGE or first in _BRACKETS and lacks(_BRACKETS[first]):
             s += 1
-        elif last in _EDGE or last in "_+" or last in _OPENING and text.find(_OPENING[last], s, e) < 0:
+        elif last in _EDGE or last in "_+" or last in _OPENING and lacks(_OPENING[last]):
             e -= 1
         elif _BRACKETS.get(first) == last and text.find(last, s, e) == e - 1:
             s, e = s + 1, e - 1
@@ -186,7 +197,8 @@ def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
 
     ``seq`` is where the sequence begins; ``whole`` is false for its parts.
     """
-    out = [{"s": s, "e": e, "kind": KINDS[k], "inst": text[s:e].lower(), "pats": patterns(text, s, e), "seq": s, "whole": True}
+    words = Words(text) if base or _ANCHOR.search(text) else None
+    out = [{"s": s, "e": e, "kind": KINDS[k], "inst": text[s:e].lower(), "pats": patterns(words, s, e), "seq": s, "whole": True}
            for k, s, e in base]
     taken: list[tuple[int, int]] = []
     for s, e in sorted((s, e) for _, s, e in base):
@@ -196,12 +208,12 @@ def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
             taken.append((s, e))
 
     def add(s: int, e: int, seq: int, whole: bool) -> None:
-        out.append({"s": s, "e": e, "kind": None, "inst": text[s:e].lower(), "pats": patterns(text, s, e), "seq": seq,
+        out.append({"s": s, "e": e, "kind": None, "inst": text[s:e].lower(), "pats": patterns(words, s, e), "seq": seq,
                     "whole": whole})
 
     for a, b in sequences(text, taken):
         s, e = _trimmed(text, a, b)
-        if e - s > 1:
+        if e - s > 1 and _WORDS.search(text, s, e):  # marks alone identify nothing
             add(s, e, a, True)
         for m in _PART.finditer(text, a, b):
             part = m[0].rstrip("._+-")
