@@ -9,17 +9,19 @@ priority, then start, then length: one whose words lie inside an interval alread
 Two sorts of rules: signatures written by hand on a license's own wording (``license_signatures``), and license
 names times the ways a text refers to a name. One pass per partition, one
 row out per row in. Null and word-less texts have no detections, empty labels and score 0; repeated rows
-come out repeatedly.
+come out repeatedly; an empty table gives an empty result; very long texts take time in proportion to their length,
+however often a phrase is repeated in them. Only the key and the text are read, so no other column can clash.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import item_words, map_columns
+from tidemark.llm.common import item_words, map_columns, worker_cache
 from tidemark.llm.license_signatures import SIGNATURES
 
 # The base phrases and their labels.
@@ -145,20 +147,41 @@ class Detector:
                 if present.issuperset(r.keywords):
                     found += [(r.priority, m.start(), -m.end(), r) for m in r.pattern.finditer(joined)]
         kept: list[tuple[int, int, Rule]] = []
+        # spans kept so far that lie in no other kept span, by start: their ends ascend too
+        starts: list[int] = []
+        ends: list[int] = []
         for _, s, minus_end, r in sorted(found, key=lambda x: x[:3]):
-            if not any(a <= s and -minus_end <= b for a, b, _ in kept):
-                kept.append((s, -minus_end, r))
+            e = -minus_end
+            i = bisect_right(starts, s)
+            if i and ends[i - 1] >= e:
+                continue
+            kept.append((s, e, r))
+            lo, hi = bisect_left(starts, s), bisect_right(ends, e)  # kept spans inside the new one
+            starts[lo:max(lo, hi)] = [s]
+            ends[lo:max(lo, hi)] = [e]
         return kept
 
 
+def word_numbers(joined: str, places) -> dict[int, int]:
+    """The number of the word at each of the character places, in one pass over the text."""
+    out, at, n = {}, 0, 0
+    for p in sorted(set(places)):
+        n += joined.count(" ", at, p)
+        out[p], at = n, p
+    return out
+
+
 def base_places(joined: str) -> list[tuple[int, str]]:
     """(first word, label) of every place where a base phrase's words stand in a row."""
     hay, out = f" {joined} ", []
     for phrase, label in BASE_PHRASES.items():
         at = hay.find(f" {phrase} ")
+        n = hay.count(" ", 0, at)
         while at >= 0:
-            out.append((hay.count(" ", 0, at), label))
-            at = hay.find(f" {phrase} ", at + 1)
+            out.append((n, label))
+            after = hay.find(f" {phrase} ", at + 1)
+            n += hay.count(" ", at, after)
+            at = after
     return out
 
 
@@ -167,7 +190,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     names = (key, "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "detections")
 
     def rows(batches):
-        detector = Detector()
+        detector = worker_cache("license-detector", Detector)
         for b in batches:
             out: dict = {c: [] for c in names}
             for k, t in zip(b[key], b[text]):
@@ -176,11 +199,12 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
                 base = base_places(joined)
                 found = detector.detect(joined)
                 labels = {x for _, x in base}
+                first = word_numbers(joined, (s for s, _, _ in found))
                 row = (k, len(words), len(base), min((p for p, _ in base), default=None),
                        max((p for p, _ in base), default=None), ",".join(sorted(labels)),
                        ",".join(sorted(labels | {r.label for _, _, r in found})),
                        1.0 if base else max((r.confidence for _, _, r in found), default=0.0),
-                       [{"rule": r.priority, "label": r.label, "first": joined.count(" ", 0, s),
+                       [{"rule": r.priority, "label": r.label, "first": first[s],
                          "words": joined.count(" ", s, e) + 1} for s, e, r in found])
                 for c, v in zip(names, row):
                     out[c].append(v)
