@@ -5,6 +5,7 @@ import math
 import random
 import re
 import string
+import time
 
 import pytest
 import xxhash
@@ -316,7 +317,7 @@ def test_pii_parts_stay_found_and_context_is_words(spark):
     rows += [(100, "write me at zed-9981 today, zed-9981 2024"), (101, f"write me{far} at{far} qed-8812 {far} today")]
     got = by_text(pii_bootstrap.extract(frame(spark, rows)).collect())
     assert got[100].n_found == 2 and got[101].n_found == 1
-    assert pii_bootstrap.patterns("abcd " + "x" * 300 + " 77", 306, 308) == [f"abcd {'x' * 300} _"]
+    assert pii_bootstrap.patterns(pii_bootstrap.Words("abcd " + "x" * 300 + " 77"), 306, 308) == [f"abcd {'x' * 300} _"]
 
 
 def test_pii_bootstrap_goes_on_until_nothing_is_added(spark):
@@ -333,3 +334,114 @@ def test_pii_bootstrap_goes_on_until_nothing_is_added(spark):
 
 def test_pii_empty_table(spark):
     assert pii_bootstrap.extract(frame(spark, [])).count() == 0
+
+
+# ---- long repetitive texts, hidden keys, rules by brute force ---------------------------------------------
+
+def seconds(fn):
+    began = time.process_time()
+    fn()
+    return time.process_time() - began
+
+
+@pytest.mark.parametrize("unit", ["@@\n", "1.", "a@", "+1 ", "(", "@)", "a_b ", "1 1", "[at] x ", "12-34 "])
+def test_pii_scan_is_linear_in_repetitive_texts(unit):
+    text = unit * (1_000_000 // len(unit))
+    small = text[:250_000]
+    scan = lambda t: pii_bootstrap.occurrences(t, pii_bootstrap.base_spans(t))
+    scan(small)
+    quarter = seconds(lambda: scan(small))
+    assert seconds(lambda: scan(text)) < max(2, 8 * quarter)
+
+
+@pytest.mark.parametrize("unit", ["cc by nc ", "under the mit license and ", "gpl v3 license "])
+def test_license_scan_is_linear_in_repetitive_texts(unit):
+    detector = license_rules.Detector()
+    text = (unit * (1_000_000 // len(unit))).strip()
+
+    def whole():
+        found = detector.detect(text)
+        return license_rules.base_places(text), license_rules.word_numbers(text, [s for s, _, _ in found])
+    assert seconds(whole) < 4
+    n = text.count(" ") + 1
+    places, _ = whole()
+    assert [p for p, _ in places] == (list(range(0, n, len(unit.split()))) if unit != "gpl v3 license " else [])
+
+
+def test_license_priority_and_containment_by_brute_force():
+    detector = license_rules.Detector()
+    rng = random.Random(3)
+    names = [n for ns in license_rules.NAMES.values() for n in ns]
+    glue = ["licensed under the", "license", "the", "under", "spdx license identifier", "version 2", "or later", "see", "terms of the"]
+    for _ in range(150):
+        joined = " ".join(rng.choice(names if rng.random() < 0.5 else glue) for _ in range(25))
+        found = sorted(((r.priority, m.start(), -m.end(), r) for r in detector.rules
+                        if all(k in joined for k in r.keywords) for m in r.pattern.finditer(joined)), key=lambda x: x[:3])
+        kept = []
+        for _, s, e, r in found:
+            if not any(a <= s and -e <= b for a, b, _ in kept):
+                kept.append((s, -e, r))
+        assert detector.detect(joined) == (kept if any(g in joined for g in detector.gates) else [])
+        first = license_rules.word_numbers(joined, [s for s, _, _ in kept])
+        assert first == {s: joined.count(" ", 0, s) for s, _, _ in kept}
+
+
+def random_key(rng, n=24, alphabet=string.ascii_letters + string.digits):
+    return "".join(rng.choice(alphabet) for _ in range(n))
+
+
+@pytest.mark.parametrize("before", ["", "build-environment-production-", "https//example/organisation/repository/settings/",
+                                    "application_configuration_environment_variable="])
+def test_random_keys_are_found_behind_readable_text(before):
+    count, rng = secret_scan.token_counter(secret_scan.vocabulary_path()), random.Random(2)
+    hit = 0
+    for _ in range(300):
+        text = before + random_key(rng)
+        hit += any(s <= len(before) and e == len(text) for s, e, _ in secret_scan.entropy_spans(text, count))
+    assert hit >= 0.95 * 300
+
+
+def stretches_brute(run, count, ratio):
+    """Best stretch over all pairs of ends; then what lies left and right of it."""
+    pieces = [m.span() for m in re.finditer("[A-Za-z0-9]+", run)]
+    gains = []
+    for s, e in pieces:
+        p = run[s:e]
+        g = round(1000 * ratio) * count(p) - 1000 * (e - s)
+        gains.append(min(g, 0) if p.isdigit() else -1000 * len(run) if secret_scan.is_identifier(p) else g)
+
+    def best(lo, hi):
+        sums = [(sum(gains[i:j]), -j, i) for i in range(lo, hi) for j in range(i + 1, hi + 1)]
+        total, j, i = max(sums, default=(0, 0, 0))
+        if total <= 0:
+            return []
+        s, e = pieces[i][0], pieces[-j - 1][1]
+        p = run[s:e]
+        ok = len(p) >= 20 and not secret_scan.is_identifier(p) and len(p) < ratio * count(p) and not secret_scan.is_name(p, count, ratio)
+        return [(s, e)] * ok + best(lo, i) + best(-j, hi)
+    return sorted(best(0, len(pieces)))
+
+
+def test_entropy_spans_by_brute_force():
+    count, rng, ratio = secret_scan.token_counter(secret_scan.vocabulary_path()), random.Random(4), secret_scan.MAX_RATIO
+    words = ["production", "environment", "key", "v2", "2024", "config", "a" * 30, "0123456789", "deadbeef", "userName", "x86"]
+    for _ in range(300):
+        parts = [rng.choice(words) if rng.random() < 0.7 else random_key(rng, rng.randint(3, 40)) for _ in range(rng.randint(1, 9))]
+        text = " ".join(("".join(p + rng.choice("-_/=+") for p in parts), "plain words", rng.choice(words)))
+        want = []
+        for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text):
+            run = m[0]
+            if secret_scan.is_identifier(run):
+                continue
+            if len(run) >= ratio * count(run):
+                want += [(m.start() + s, m.start() + e, "entropy") for s, e in stretches_brute(run, count, ratio)]
+            elif not secret_scan.is_name(run, count, ratio):
+                want.append((m.start(), m.end(), "entropy"))
+        assert secret_scan.entropy_spans(text, count) == want
+    uuid = "request_of_the_production_environment=550e8400-e29b-41d4-a716-446655440000"
+    assert secret_scan.entropy_spans(uuid, count) == []
+
+
+def test_scans_of_empty_tables(spark):
+    assert secret_scan.scan(frame(spark, [])).count() == 0
+    assert license_rules.scan(frame(spark, [])).count() == 0

@@ -4,10 +4,14 @@ Random strings cost a byte-pair vocabulary many tokens: their characters-per-tok
 vocabulary is far below that of words, however rare. Candidates are long runs of key characters; known digests (hex of a
 digest's length), UUIDs, dates and numbers are excluded first, then runs below ``max_ratio`` characters per
 token are reported as kind ``entropy``, unless they are names whose every part (by marks or camel case) is a
-word by the same ratio. Fixed-form secrets (assignments, access keys, hex runs) are always reported.
+word by the same ratio. A run that reads well as a whole (a path, a name or an assignment with a key behind it) is
+taken apart at its marks, and its random stretches of parts are reported. Random strings of fewer than 20 characters are
+not found. Fixed-form secrets (assignments, access keys, hex runs) are always reported.
 
 One pass per partition, one row out per row in; the vocabulary is loaded once per Python worker.
-Null text counts as empty; empty texts have no spans; repeated rows come out repeatedly.
+Null text counts as empty; empty texts have no spans; repeated rows come out repeatedly; an empty table gives an empty
+result; spans of equal start come in the listed order of their kinds; very long texts are scanned whole. Only the key and
+the text are read (``redact`` keeps all columns as they are), so no other column can clash.
 """
 
 from __future__ import annotations
@@ -15,7 +19,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Callable
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +46,9 @@ DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 NOT_RANDOM = re.compile(
     r"(?:[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"      # UUID
     r"|[0-9+/_=-]+)\Z")                                             # numbers, dates, rules
+PIECE = re.compile(r"[A-Za-z0-9]+")
+UUID_OR_REST = re.compile(r"(?P<uuid>(?<![0-9a-fA-F])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![0-9a-fA-F]))"
+                          r"|(?:(?!(?<![0-9a-fA-F])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![0-9a-fA-F])).)+")
 NAME = re.compile(r"[A-Za-z]*(?:[-_/+=]+[A-Za-z]*)*[0-9]{0,4}\Z")   # letters joined by marks, a number behind
 PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")                  # of a name, by marks and camel case
 #: Words too short to reach any ratio.
@@ -71,11 +80,60 @@ def is_name(run: str, count_tokens: Callable[[str], int], max_ratio: float = MAX
         len(p) >= max_ratio * count_tokens(p) or p.lower() in SHORT_WORDS for p in PARTS.findall(run))
 
 
+def best_stretch(gains: list[int]) -> tuple[int, int, int]:
+    """(sum, first, end) of the stretch of largest sum: the one that ends first, then the shortest."""
+    best, total, first = (0, 0, 0), 0, 0
+    for i, g in enumerate(gains):
+        if total <= 0:
+            total, first = 0, i
+        total += g
+        if total > best[0]:
+            best = (total, first, i + 1)
+    return best
+
+
+def hidden_spans(run: str, count_tokens: Callable[[str], int], max_ratio: float = MAX_RATIO) -> list[tuple[int, int]]:
+    """Random stretches inside a run that reads well as a whole: a key behind a path, a name or an assignment.
+
+    The run's parts between marks gain what they cost in tokens beyond the ratio and lose what they spare; the stretch of
+    parts with the largest gain is a secret if it passes the tests of a whole run. So do the rest on both its sides.
+    """
+    thousandths = round(1000 * max_ratio)
+    out = []
+    for area in UUID_OR_REST.finditer(run):
+        if area.lastgroup:  # a known identifier
+            continue
+        pieces = [(m.start(), m.end()) for m in PIECE.finditer(run, area.start(), area.end())]
+        gains = []
+        for s, e in pieces:
+            gain = thousandths * count_tokens(run[s:e]) - 1000 * (e - s)
+            gains.append(min(gain, 0) if run[s:e].isdigit() else -1000 * len(run) if is_identifier(run[s:e]) else gain)
+        areas = [(0, len(pieces))]
+        while areas:
+            lo, hi = areas.pop()
+            total, i, j = best_stretch(gains[lo:hi])
+            if not total:
+                continue
+            i, j = i + lo, j + lo
+            s, e = pieces[i][0], pieces[j - 1][1]
+            found = run[s:e]
+            if len(found) >= MIN_RUN and not is_identifier(found) and len(found) < max_ratio * count_tokens(found) \
+                    and not is_name(found, count_tokens, max_ratio):
+                out.append((s, e))
+            areas += [(lo, i), (j, hi)]
+    return sorted(out)
+
+
 def entropy_spans(text: str, count_tokens: Callable[[str], int], max_ratio: float = MAX_RATIO) -> list[tuple[int, int, str]]:
+    """Runs that are random as a whole, and the random stretches of the other ones."""
     out = []
     for m in CANDIDATE.finditer(text):
         run = m[0]
-        if not is_identifier(run) and len(run) < max_ratio * count_tokens(run) and not is_name(run, count_tokens, max_ratio):
+        if is_identifier(run):
+            continue
+        if len(run) >= max_ratio * count_tokens(run):
+            out += [(m.start() + s, m.start() + e, ENTROPY) for s, e in hidden_spans(run, count_tokens, max_ratio)]
+        elif not is_name(run, count_tokens, max_ratio):
             out.append((m.start(), m.end(), ENTROPY))
     return out
 
@@ -105,8 +163,10 @@ def _counter(path: str | None) -> Callable[[str], int]:
 def spans_of(text: str, count_tokens: Callable[[str], int], max_ratio: float = MAX_RATIO):
     """All spans: base ones, and entropy runs that no base span covers; by start, then kind as listed."""
     base = base_spans(text)
+    starts = [b[0] for b in base]
+    reach = list(accumulate((b[1] for b in base), max))  # the farthest end so far
     extra = [s for s in entropy_spans(text, count_tokens, max_ratio)
-             if not any(b[0] <= s[0] and s[1] <= b[1] for b in base)]
+             if not (i := bisect_right(starts, s[0])) or reach[i - 1] < s[1]]
     order = {k: i for i, k in enumerate((*BASE_KINDS, ENTROPY))}
     return base, sorted(base + extra, key=lambda x: (x[0], order[x[2]]))
 
