@@ -1,31 +1,36 @@
 """Collocations by SON partitioning: phrases frequent in some shard are candidates, counted exactly over all.
 
-The table's partitions are dealt to ``shards`` shards. Where a phrase occurs ``min_count`` times in all, some shard
-holds at least its share of them, whatever the shares are, as long as they add up to one. So each shard is mined
-completely at ``min_count`` times its share of the words, the phrases locally frequent anywhere are united, and a
-last pass counts just these over the whole table, by their text. The number of shards is fixed, so the local
-support stays as strict on a large table as on a small one; a shard of any size is mined by as many tasks as it has
-partitions, and no task holds more than a group of documents (``GROUP_BYTES``, or one longer text).
-
-A shard is mined level by level: a phrase of n words can be frequent only if both its parts of n - 1 words are. The
-passes over the texts work on 64-bit hashes in numpy and carry the previous level as a bit filter of a fixed size
-(``FILTER_BITS``). Filters and equal hashes can only let phrases through in excess, never lose one: what is returned
-rests on the last pass, which counts phrases as text. Rows are counted per group of documents before they leave a
-task, so a phrase in a third of all rows costs one row a group.
+The table's partitions are dealt to ``shards`` shards of about equal size. Where a phrase occurs ``min_count`` times
+in all, some shard holds an equal share of them, ``min_count / shards``, whatever the shards' sizes. So each shard is
+mined completely at that lowered support, the phrases locally frequent anywhere are united, and a last pass counts
+just these over the whole table, by their text. The number of shards is fixed, so the local support is as strict on a
+large table as on a small one; a shard of any size is mined by as many tasks as it has partitions, and no task
+holds more than a group of documents (``GROUP_BYTES``, or one longer text) and some millions of counts.
+
+A shard is mined level by level: a phrase of n words can be frequent only if both its parts of n - 1 words are. These
+passes work on hashes in numpy: a task counts the hashed phrases of its texts and sends them as sorted, delta-coded
+blocks (some three bytes a phrase), one for each slot of the hash space; a slot's blocks are added up shard by shard.
+The previous level is carried as a bit filter of a fixed size (``FILTER_BITS``). Filters and equal hashes can only let
+phrases through in excess, never lose one: what is returned rests on the last pass, which counts phrases as text.
+Rows are counted per group of documents before they leave a task, so a phrase in a third of all rows costs one row a
+group.
 
 Defined results: a null text has no words; a null lang reads ``und``; repeated rows count again; a table without
 frequent phrases gives no rows; ties in score and count are settled by the phrase's bytes; very long texts are hashed
-in blocks, with their words' places and hashes in memory (some forty bytes a word). Only the two named columns are
+in blocks, with their words' places and hashes in memory (some sixty bytes a word). Only the two named columns are
 read, so no other column can clash.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,8 +38,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import stage
 
 LONGEST, MIN_COUNT, TOP, COVER = 5, 100, 2000, 100
-SHARDS = 16
-GROUP_BYTES = 12 << 20
+SHARDS = 4
+GROUP_BYTES = 8 << 20
+HELD = 1 << 22  # counted phrases a task holds before it sends them
+GRAM_BITS = 40  # of a hashed phrase
 BLOCK_BYTES = 1 << 20  # hashed at once
 FILTER_BITS = 26
 FILTER_PART = 16  # bits of a filter that one row carries, as a power of two
@@ -139,9 +146,13 @@ def _groups(batches: Iterator[pa.RecordBatch], hashes: list[WordHash]) -> Iterat
             lo = hi
 
 
+def _gram(h: np.ndarray) -> np.ndarray:
+    return h >> np.uint64(64 - GRAM_BITS)
+
+
 def _has(bits: np.ndarray, gram: np.ndarray) -> np.ndarray:
     low = gram & np.uint64((1 << FILTER_BITS) - 1)
-    high = gram >> np.uint64(64 - FILTER_BITS)
+    high = gram >> np.uint64(GRAM_BITS - FILTER_BITS)
     at = lambda i: bits[(i >> np.uint64(3)).astype(np.int64)] >> (i & np.uint64(7)).astype(np.uint8) & 1
     return (at(low) & at(high)).astype(bool)
 
@@ -159,7 +170,7 @@ def _levels(g: Group, filters: list[np.ndarray], upto: int) -> Iterator[tuple[in
             at = at[pair]
             grams = [_mix(x[pair] * np.uint64(0xA0761D6478BD642F) + h[at + n - 1]) for x, h in zip(grams, g.hash)]
         if n <= len(filters):
-            keep = _has(filters[n - 1], grams[0])
+            keep = _has(filters[n - 1], _gram(grams[0]))
             at, grams = at[keep], [x[keep] for x in grams]
         yield n, at, grams
 
@@ -176,59 +187,100 @@ def _runs(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return order[first], np.diff(np.append(first, len(order)))
 
 
-def _map(docs: DataFrame, lang: str, text: str, schema: str, hashes: int, rows) -> DataFrame:
-    """``rows(group, partition)`` yields lists of the columns of ``schema``."""
-    types = [f.split()[1] for f in schema.split(", ")]
-    arrow = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32()}
-    names = [f.split()[0] for f in schema.split(", ")]
+def _texts(docs: DataFrame, lang: str, text: str) -> DataFrame:
+    return docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
 
-    def run(batches):
-        part = TaskContext.get().partitionId()
-        for g in _groups(batches, [WordHash(i) for i in range(hashes)]):
-            for cols in rows(g, part):
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=arrow[t]) for c, t in zip(cols, types)], names=names)
 
-    return docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).mapInArrow(run, schema)
+def _added(gram: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams, ascending, with their counts added up."""
+    order = np.argsort(gram, kind="stable")
+    gram, n = gram[order], n[order]
+    first = np.flatnonzero(np.diff(gram, prepend=gram[:1] + np.uint64(1))) if len(gram) else np.zeros(0, dtype=np.int64)
+    return gram[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def word_totals(docs: DataFrame, lang: str, text: str, shards: int) -> DataFrame:
-    """``(shard, lang, word, n)`` summed per group of documents; the word null carries the words of the group."""
-    def rows(g: Group, part: int):
-        first, n = _runs(g.hash)
-        yield ([part % shards] * len(first), [g.names[i] for i in g.lang[first]], [g.text(i, 1) for i in first], n)
-        sizes = np.bincount(g.lang, minlength=len(g.names))
-        yield [part % shards] * len(sizes), g.names, [None] * len(sizes), sizes
+def _block(gram: np.ndarray, n: np.ndarray) -> bytes:
+    """Ascending grams of a slot and their counts: differences and counts by byte planes, compressed."""
+    steps = np.diff(gram, prepend=np.uint64(0)).astype("<u4")
+    planes = [np.ascontiguousarray(x.view(np.uint8).reshape(-1, 4).T) for x in (steps, np.minimum(n, 0xFFFFFFFF).astype("<u4"))]
+    return zstandard.compress(b"".join(x.tobytes() for x in planes), 1)
 
-    return _map(docs, lang, text, "shard int, lang string, word string, n bigint", 2, rows)
 
+def _unblock(block: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.decompress(block), dtype=np.uint8).reshape(2, 4, -1)
+    steps, n = (np.ascontiguousarray(x.T).view("<u4").ravel().astype(np.uint64) for x in planes)
+    return np.cumsum(steps, dtype=np.uint64), n.astype(np.int64)
 
-def gram_totals(docs: DataFrame, lang: str, text: str, shards: int, n: int, filters) -> DataFrame:
-    """``(shard, gram, n)``: hashed phrases of n words whose parts passed the filters, summed per group."""
-    def rows(g: Group, part: int):
-        for k, _, grams in _levels(g, filters.value, n):
-            if k == n:
-                first, count = _runs(grams)
-                yield [part % shards] * len(first), grams[0][first].view(np.int64), count
 
-    return _map(docs, lang, text, "shard int, gram bigint, n bigint", 1, rows)
+def gram_blocks(docs: DataFrame, lang: str, text: str, shards: int, n: int, filters, slot_bits: int) -> DataFrame:
+    """``(slot, shard, block)``: hashed phrases of n words whose parts passed the filters, counted per task."""
+    def run(batches):
+        shard = TaskContext.get().partitionId() % shards
+        kept, held = filters.value, []
+
+        def send():
+            gram, count = _added(*(np.concatenate(x) for x in zip(*held)))
+            slot = gram >> np.uint64(GRAM_BITS - slot_bits)
+            cuts = np.flatnonzero(np.diff(slot)) + 1
+            rest = gram & np.uint64((1 << GRAM_BITS - slot_bits) - 1)
+            blocks = [_block(g, c) for g, c in zip(np.split(rest, cuts), np.split(count, cuts))]
+            slots = slot[np.append(0, cuts)].astype(np.int32)
+            return pa.RecordBatch.from_arrays([pa.array(slots), pa.array([shard] * len(blocks), type=pa.int32()),
+                                               pa.array(blocks, type=pa.binary())], names=["slot", "shard", "block"])
+
+        for g in _groups(batches, [WordHash(0)]):
+            for k, _, grams in _levels(g, kept, n):
+                if k == n and len(grams[0]):
+                    held.append(_added(_gram(grams[0]), np.ones(len(grams[0]), dtype=np.int64)))
+            if sum(len(x) for x, _ in held) > HELD:
+                yield send()
+                held = []
+        if held:
+            yield send()
+
+    return _texts(docs, lang, text).mapInArrow(run, "slot int, shard int, block binary")
+
+
+def frequent_grams(blocks: DataFrame, support: int, slot_bits: int) -> DataFrame:
+    """``(gram)``: all that reach ``support`` in some shard."""
+    def merge(batches):
+        rows = (r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(3))))
+        for slot, of_slot in groupby(rows, key=itemgetter(0)):
+            found = []
+            for _, of_shard in groupby(of_slot, key=itemgetter(1)):
+                parts = [_unblock(r[2]) for r in of_shard]
+                gram, n = _added(*(np.concatenate(x) for x in zip(*parts)))
+                found.append(gram[n >= support])
+            gram = np.unique(np.concatenate(found)) | np.uint64(slot << GRAM_BITS - slot_bits)
+            yield pa.RecordBatch.from_arrays([pa.array(gram.astype(np.int64))], names=["gram"])
+
+    return blocks.repartition("slot").sortWithinPartitions("slot", "shard").mapInArrow(merge, "gram bigint")
 
 
 def phrase_totals(docs: DataFrame, lang: str, text: str, longest: int, filters) -> DataFrame:
-    """``(lang, phrase, words, n)``: the candidates as text, summed per group."""
-    def rows(g: Group, part: int):
-        for k, at, grams in _levels(g, filters.value, longest):
-            if k > 1 and len(at):
+    """``(lang, phrase, words, n)``: the candidates as text, summed per group; the null phrase carries all words."""
+    names = ["lang", "phrase", "words", "n"]
+
+    def run(batches):
+        kept = filters.value
+        for g in _groups(batches, [WordHash(i) for i in range(2)]):
+            sizes = np.bincount(g.lang, minlength=len(g.names))
+            cols = [list(g.names), [None] * len(sizes), [0] * len(sizes), sizes.tolist()]
+            for k, at, grams in _levels(g, kept, longest):
                 first, count = _runs(grams)
                 at = at[first]
-                yield [g.names[i] for i in g.lang[at]], [g.text(i, k) for i in at], [k] * len(at), count
+                for c, more in zip(cols, ([g.names[i] for i in g.lang[at]], [g.text(i, k) for i in at], [k] * len(at), count.tolist())):
+                    c += more
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(
+                cols, (pa.string(), pa.string(), pa.int32(), pa.int64()))], names=names)
 
-    return _map(docs, lang, text, "lang string, phrase string, words int, n bigint", 2, rows)
+    return _texts(docs, lang, text).mapInArrow(run, "lang string, phrase string, words int, n bigint")
 
 
 def gram_filter(grams: DataFrame) -> np.ndarray:
     """The bit filter of ``grams(gram)``: two bits each out of 2^FILTER_BITS. Only the filter reaches the driver."""
     place = F.explode(F.array(F.col("gram").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)),
-                              F.shiftrightunsigned("gram", 64 - FILTER_BITS)))
+                              F.shiftright("gram", GRAM_BITS - FILTER_BITS)))
     placed = (grams.select(place.alias("i"))
               .select(F.shiftright("i", FILTER_PART).cast("int").alias("part"),
                       F.col("i").bitwiseAND(F.lit((1 << FILTER_PART) - 1)).cast("int").alias("bit"))
@@ -255,24 +307,14 @@ def gram_filter(grams: DataFrame) -> np.ndarray:
     return out
 
 
-def candidates(docs: DataFrame, lang: str, text: str, words: DataFrame, sizes: list[int], min_count: int, longest: int) -> list:
-    """Filters of the words and of the locally frequent phrases of each length; a length without any ends the list.
-
-    ``words(lang, word)`` are the frequent words, ``sizes`` the words in each shard.
-    """
-    spark, total = docs.sparkSession, max(1, sum(sizes))
-    support = [max(1, -(-min_count * s // total)) for s in sizes]
-
-    def hashed(batches):
-        for g in _groups(batches, [WordHash(0)]):  # a word is a text of one word
-            yield pa.RecordBatch.from_arrays([pa.array(g.hash[0].view(np.int64), type=pa.int64())], names=["gram"])
-
-    filters = [gram_filter(words.select("lang", "word").mapInArrow(hashed, "gram bigint"))]
-    for n in range(2, longest + 1):
+def candidates(docs: DataFrame, lang: str, text: str, min_count: int, longest: int, shards: int) -> list[np.ndarray]:
+    """Filters of the locally frequent phrases of each length; a length without any ends the list."""
+    spark, filters = docs.sparkSession, []
+    support = -(-min_count // shards)
+    slot_bits = max(8, (8 * int(spark.conf.get("spark.sql.shuffle.partitions"))).bit_length())
+    for n in range(1, longest + 1):
         held = spark.sparkContext.broadcast(filters)
-        counted = gram_totals(docs, lang, text, len(sizes), n, held).groupBy("shard", "gram").agg(F.sum("n").alias("n"))
-        least = F.element_at(F.array(*[F.lit(s) for s in support]), F.col("shard") + 1)
-        found = gram_filter(counted.where(F.col("n") >= least).select("gram"))
+        found = gram_filter(frequent_grams(gram_blocks(docs, lang, text, shards, n, held, slot_bits), support, slot_bits))
         if not found.any():
             break
         filters = [*filters, found]
@@ -282,21 +324,13 @@ def candidates(docs: DataFrame, lang: str, text: str, words: DataFrame, sizes: l
 def frequent(docs: DataFrame, lang: str = "lang", text: str = "text", min_count: int = MIN_COUNT,
              longest: int = LONGEST, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
     """``(lang, phrase, words, f)`` of all phrases of up to ``longest`` words that occur ``min_count`` times or more,
-    single words included, and ``(lang, n)`` with all word occurrences; both staged."""
-    spark = docs.sparkSession
-    counted = word_totals(docs, lang, text, shards).groupBy("lang", "word", F.when(F.col("word").isNull(), F.col("shard")).alias("shard"))
-    totals = stage(counted.agg(F.sum("n").alias("f")).where(F.col("word").isNull() | (F.col("f") >= min_count)), "son-words")
-    sizes = [0] * shards
-    for r in totals.where("word is null").groupBy("shard").agg(F.sum("f").alias("n")).collect():  # a row a shard
-        sizes[r.shard] = r.n
-    words = totals.where("word is not null").select("lang", "word", "f")
-    filters = candidates(docs, lang, text, words, sizes, min_count, longest)
-    held = spark.sparkContext.broadcast(filters)
-    phrases = (phrase_totals(docs, lang, text, len(filters), held).groupBy("lang", "phrase", "words")
-               .agg(F.sum("n").alias("f")).where(F.col("f") >= min_count))
-    every = words.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("words"), "f").unionByName(phrases)
-    n = totals.where("word is null").groupBy("lang").agg(F.sum("f").alias("n"))
-    return stage(every, "son-phrases"), stage(n, "son-sizes")
+    single words included, and ``(lang, n)`` with all word occurrences; staged."""
+    filters = candidates(docs, lang, text, min_count, longest, shards)
+    held = docs.sparkSession.sparkContext.broadcast(filters)
+    counted = (phrase_totals(docs, lang, text, len(filters), held).groupBy("lang", "phrase", "words")
+               .agg(F.sum("n").alias("f")).where(F.col("phrase").isNull() | (F.col("f") >= min_count)))
+    every = stage(counted, "son-phrases")
+    return every.where("phrase is not null"), every.where("phrase is null").select("lang", F.col("f").alias("n"))
 
 
 def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", min_count: int = MIN_COUNT,
