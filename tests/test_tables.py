@@ -1,7 +1,12 @@
 
 import pytest
 
-from tidemark.sources.tables import ConcurrentCommit, VersionedTable
+from pyspark.sql import functions as F
+
+from tidemark.plans.models import refine, run_model, upsert
+from tidemark.sources.ranges import KeyRanges, rewrite_ranges
+from tidemark.sources.tables import ConcurrentCommit, VersionedTable, staged
+from tidemark.specs import Col, TableSpec
 
 
 def test_commit_read_and_versions(spark, tmp_path):
@@ -124,3 +129,104 @@ def test_pii_tags_survive_commit_and_read(spark, tmp_path):
     assert masked_view(t.read(), ["ANALYST_ROLE"], required={"name": "FIRST_NAME"}).first().name == "***MASKED***"
     with pytest.raises(ValueError):
         masked_view(df, ["ANALYST_ROLE"], required={"name": "FIRST_NAME"})
+
+
+# ---- key ranges -------------------------------------------------------------------------------------------
+
+RANGED = TableSpec("out", "b", ("k", "n"), (Col("k"), Col("n"), Col("v")))
+RANGED_SCHEMA = "k STRING, n INT, v INT, _synced TIMESTAMP_NTZ, _deleted BOOLEAN"
+
+
+def _bronze(spark, keys, v, day):
+    import datetime as dt
+    return spark.createDataFrame([(k, 1, v, dt.datetime(2024, 1, day), False) for k in keys], RANGED_SCHEMA)
+
+
+def _files(table):
+    import hashlib
+    import os
+    return {f"{p}/{f}": hashlib.sha256(open(f"{p}/{f}", "rb").read()).hexdigest()
+            for p in table.parts() for f in os.listdir(p) if f.startswith("part-")}
+
+
+def _state(table):
+    return {(r.k, r.n): r.v for r in table.read().collect()}
+
+
+def test_run_rewrites_only_the_ranges_of_changed_keys(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path / "t"))
+    keys = [f"k{i:04d}" for i in range(400)]
+    first = _bronze(spark, keys, 0, 1)
+    run_model(RANGED, first, t, "2024-01-01", "r1", rows_per_range=50)
+    ranges = KeyRanges.load(t.commit_info(t.current_version())["ranges"])
+    assert len(ranges.ids) == 8 and t.read().count() == 400
+    before, mark = _files(t), t.metrics()["high_water_mark"]
+    changed = keys[395:] + ["k9998", "k9999"]
+    run_model(RANGED, first.unionByName(_bronze(spark, changed, 1, 2)), t, "2024-01-09", "r2", rows_per_range=50)
+    after = _files(t)
+    kept = before.keys() & after.keys()
+    assert len({f.rsplit("/", 2)[1] for f in kept}) == 7 and all(before[f] == after[f] for f in kept)
+    assert _state(t) == {**{(k, 1): 0 for k in keys}, **{(k, 1): 1 for k in changed}}
+    assert t.metrics()["high_water_mark"] > mark and t.metrics()["rows_written"] < 60
+    # a late change of an old key moves neither the mark nor the other ranges
+    mark = t.metrics()["high_water_mark"]
+    with staged(refine(RANGED, _bronze(spark, ["k0000", "k0001"], 7, 1), "2024-01-10", "r3")) as late:
+        upsert(RANGED, t, late, "r3", rows_per_range=50)
+    assert t.metrics()["high_water_mark"] == mark and _state(t)["k0001", 1] == 7 and len(_state(t)) == 402
+
+
+def test_range_that_outgrows_its_size_is_split(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path / "t"))
+    sizes = []
+    for day in range(1, 7):  # keys grow with time, as business numbers do
+        keys = [f"k{i:05d}" for i in range(day * 100, day * 100 + 100)]
+        run_model(RANGED, _bronze(spark, keys, day, day), t, f"2024-01-{day:02d}", f"r{day}", rows_per_range=40)
+        sizes.append(len(KeyRanges.load(t.commit_info(t.current_version())["ranges"]).ids))
+    assert t.read().count() == 600 and sizes == sorted(sizes) and sizes[-1] >= 8
+    assert _state(t) == {(f"k{i:05d}", 1): i // 100 for i in range(100, 700)}
+
+
+def test_rows_without_a_leading_key_are_appended(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path / "t"))
+    for n in (1, 2, 3):
+        batch = _bronze(spark, [None, "a", f"b{n}"], n, n)
+        run_model(RANGED, batch, t, f"2024-01-0{n}", f"r{n}")
+    got = sorted((r.k or "", r.v) for r in t.read().collect())
+    assert got == [("", 1), ("", 2), ("", 3), ("a", 3), ("b1", 1), ("b2", 2), ("b3", 3)]
+
+
+def test_new_column_reads_null_in_untouched_ranges(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path / "t"))
+    keys = [f"k{i:04d}" for i in range(100)]
+    run_model(RANGED, _bronze(spark, keys, 0, 1), t, "2024-01-01", "r1", rows_per_range=20)
+    wider = TableSpec("out", "b", ("k", "n"), (Col("k"), Col("n"), Col("v"), Col("w")))
+    with staged(refine(wider, _bronze(spark, keys[-3:], 1, 2).withColumn("w", F.lit("x")), "2024-01-02", "r2")) as updates:
+        upsert(wider, t, updates, "r2")
+    assert {r.k for r in t.read().filter("w = 'x'").collect()} == set(keys[-3:]) and t.read().count() == 100
+
+
+@pytest.mark.parametrize("kind", ["INT", "BIGINT", "DATE", "TIMESTAMP_NTZ", "DECIMAL(9,2)", "STRING", "DOUBLE"])
+def test_ranges_of_every_key_type(spark, tmp_path, kind):
+    spec = TableSpec("out", "b", ("k",), (Col("k"), Col("v")))
+    cast = {"DATE": "date_add(DATE '2024-01-01', CAST(id AS INT))", "TIMESTAMP_NTZ": "CAST(date_add(DATE '2024-01-01', CAST(id AS INT)) AS TIMESTAMP_NTZ)"}
+    bronze = spark.range(60).selectExpr(f"CAST({cast.get(kind, 'id - 20')} AS {kind}) AS k", "CAST(id AS INT) AS v",
+                                        "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS _synced", "FALSE AS _deleted")
+    t = VersionedTable(spark, str(tmp_path / "t"))
+    run_model(spec, bronze, t, "2024-01-01", "r1", rows_per_range=10)
+    ranges = KeyRanges.load(t.commit_info(t.current_version())["ranges"])
+    assert len(ranges.ids) == (1 if kind == "DOUBLE" else 6)
+    run_model(spec, bronze.withColumn("v", F.col("v") + 100), t, "2024-01-02", "r2", rows_per_range=10)
+    assert sorted(r.v for r in t.read().collect()) == list(range(100, 160))
+
+
+def test_writer_based_on_an_older_version_fails(spark, tmp_path, monkeypatch):
+    t = VersionedTable(spark, str(tmp_path / "t"))
+    run_model(RANGED, _bronze(spark, ["a"], 0, 1), t, "2024-01-01", "r1")
+    other = VersionedTable(spark, str(tmp_path / "t"))
+    with staged(refine(RANGED, _bronze(spark, ["b"], 1, 2), "2024-01-02", "r2")) as updates:
+        def late(stored, changes):
+            run_model(RANGED, _bronze(spark, ["c"], 2, 3), other, "2024-01-03", "r3")  # publishes in between
+            return stored.unionByName(changes)
+        with pytest.raises(ConcurrentCommit):
+            rewrite_ranges(t, updates, "k", late, "r2")
+    assert _state(t) == {("a", 1): 0, ("c", 1): 2}

@@ -1,12 +1,13 @@
-"""Command line: the four things an operator runs on a schedule.
+"""Command line: the five things an operator runs on a schedule.
 
+    python -m tidemark.cli ingest     --landing ROOT --bronze ROOT [--select NAME ...] [--schema-policy POLICY]
     python -m tidemark.cli run        --bronze ROOT --silver ROOT [--select NAME ...]
     python -m tidemark.cli snapshot   --bronze ROOT --silver ROOT [--select NAME ...]
     python -m tidemark.cli test       --silver ROOT [--select NAME ...]
     python -m tidemark.cli freshness  --bronze ROOT
 
-Bronze table ``t`` lives at ``{bronze}/{t}`` (Parquet, optionally partitioned by
-``_sync_date``); output ``o`` at ``{silver}/{o}`` (a versioned table). Outputs run
+What replication delivers for table ``t`` lands at ``{landing}/{t}``. Bronze table ``t`` lives at
+``{bronze}/{t}`` (written by ``ingest``, or plain Parquet, optionally partitioned by ``_sync_date``); output ``o`` at ``{silver}/{o}`` (a versioned table). Outputs run
 on ``--threads`` concurrent driver threads (default 4), each as its own Spark jobs.
 """
 
@@ -21,13 +22,18 @@ import uuid
 from tidemark.operators.quality import enforce, freshness, run_checks, run_fk_checks
 from tidemark.plans.models import MODEL_THREADS, run_model, run_outputs, run_snapshot
 from tidemark.session import build_session
-from tidemark.sources.bronze import scan
+from tidemark.sources.bronze import ALLOW_ALL, ALLOW_COLUMNS, scan
+from tidemark.sources.ingest import admitted, ingest_source
 from tidemark.sources.tables import VersionedTable
 from tidemark.specs import FOREIGN_KEYS, MODELS, SNAPSHOTS, SOURCES
 
 
 def _bronze(spark, root: str, source: str):
-    return scan(spark, f"{root.rstrip('/')}/{source}")
+    """Ingested bronze, or plain Parquet read with the declared schema (and its day column, if landed by day)."""
+    table = _table(spark, root, source)
+    if table.current_version() is not None:
+        return table.read()
+    return scan(spark, table.path, SOURCES[source].schema_ddl)
 
 
 def _table(spark, root: str, name: str) -> VersionedTable:
@@ -36,7 +42,10 @@ def _table(spark, root: str, name: str) -> VersionedTable:
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="tidemark")
-    ap.add_argument("command", choices=["run", "snapshot", "test", "freshness"])
+    ap.add_argument("command", choices=["ingest", "run", "snapshot", "test", "freshness"])
+    ap.add_argument("--landing")
+    ap.add_argument("--schema-policy", choices=[ALLOW_ALL, ALLOW_COLUMNS], default=ALLOW_ALL,
+                    help="new tables flow, or only the declared ones (new columns always flow)")
     ap.add_argument("--bronze")
     ap.add_argument("--silver")
     ap.add_argument("--select", nargs="*")
@@ -56,7 +65,11 @@ def main(argv: list[str] | None = None) -> int:
     def wanted(names):
         return [n for n in names if not chosen or n in chosen]
 
-    if args.command == "run":
+    if args.command == "ingest":
+        jobs = {n: (lambda n=n: ingest_source(spark, n, f"{args.landing.rstrip('/')}/{n}", _table(spark, args.bronze, n), now, run_id))
+                for n in wanted(admitted(spark, args.landing, SOURCES, args.schema_policy))}
+        out = run_outputs(jobs, args.threads)
+    elif args.command == "run":
         jobs = {n: (lambda n=n: run_model(MODELS[n], _bronze(spark, args.bronze, MODELS[n].source),
                                           _table(spark, args.silver, n), now, run_id))
                 for n in wanted(MODELS)}

@@ -5,7 +5,7 @@ Contract (per business key, plain ``=`` matching):
 * unmatched update -> inserted as is;
 * untouched target row -> unchanged; nothing is ever deleted;
 * columns new in the update are appended (older rows NULL); columns missing from
-  the update keep their target value; a changed type is an error.
+  the update keep their target value; a type only ever widens (S10), any other change is an error.
 * a NULL key never matches: such target rows pass through, such update rows are
   inserted (each run adds a copy, as the source warehouse does).
 
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.keys import SALT, key_match, with_null_salt
+from tidemark.sources.bronze import widened
 
 
 def _output_columns(target: DataFrame, updates: DataFrame) -> list[tuple[str, T.DataType, str]]:
@@ -35,10 +36,10 @@ def _output_columns(target: DataFrame, updates: DataFrame) -> list[tuple[str, T.
     out = []
     for name, typ in tf.items():
         if name in uf:
-            if uf[name] != typ:
-                raise TypeError(f"merge: column {name} changes type {typ.simpleString()} -> "
-                                f"{uf[name].simpleString()}")
-            out.append((name, typ, "both"))
+            try:
+                out.append((name, widened(typ, uf[name]), "both"))
+            except TypeError as e:
+                raise TypeError(f"merge: column {name}: {e}") from None
         else:
             out.append((name, typ, "target"))
     out += [(n, t, "update") for n, t in uf.items() if n not in tf]

@@ -73,17 +73,16 @@ BRONZE: dict[str, tuple[str, dict[str, str]]] = {
         "ticket_status": "CASE WHEN l_returnflag = 'A' THEN 'VOID' WHEN l_linestatus = 'F' THEN 'FLOWN' "
                          "WHEN l_returnflag = 'R' THEN 'REFUNDED' ELSE 'OPEN' END",
         **LINE_SYS}),
-    "passenger_name_record": ("customer", {
-        "pnr_locator": "'P' || CAST(c_nationkey AS STRING)",
-        "pax_id": "CAST(c_custkey AS STRING)",
-        "pax_first_name": "c_name",
-        "pax_last_name": "c_mktsegment",
-        "passport_number": "CASE WHEN c_acctbal > 0 THEN 'X' || CAST(c_custkey AS STRING) "
-                           "ELSE 'x-' || CAST(c_custkey AS STRING) END",
-        "date_of_birth": "CASE WHEN c_acctbal > 5000 THEN '1980-01-15' WHEN c_acctbal > 0 THEN '1975-06-30' "
+    "passenger_name_record": ("orders", {  # a passenger's row changes with every booking
+        "pnr_locator": "'P' || CAST(o_custkey % 25 AS STRING)",
+        "pax_id": "CAST(o_custkey AS STRING)",
+        "pax_first_name": "'Passenger ' || CAST(o_custkey AS STRING)",
+        "pax_last_name": "o_orderpriority",
+        "passport_number": "CASE WHEN o_totalprice > 100000 THEN 'X' || CAST(o_custkey AS STRING) "
+                           "ELSE 'x-' || CAST(o_custkey AS STRING) END",
+        "date_of_birth": "CASE WHEN o_custkey % 3 = 0 THEN '1980-01-15' WHEN o_custkey % 3 = 1 THEN '1975-06-30' "
                          "ELSE 'unknown' END",
-        "_synced": "CAST('1996-01-01 00:00:00' AS {TS})",
-        "_deleted": "c_acctbal < -900"}),
+        **ORDER_SYS}),
     "reservation_pnr": ("orders", {
         "pnr_locator": "'P' || CAST(o_custkey AS STRING)",
         "creation_date": "CAST(CAST(o_orderdate AS DATE) AS STRING)",

@@ -5,7 +5,7 @@ scan -> incremental filter (literal bounds, pushed to Parquet) -> dev limiter ->
 active + business filter -> latest-per-key (partial top-1, key shuffle, final top-1)
 -> typed projection + audit columns. ``run_model`` stages that batch (a reliable
 staged Parquet write cuts lineage and gives the merge an exact size), merges it into the
-current version and commits a new version. ``run_snapshot`` does the same for
+key ranges it meets and commits a new version. ``run_snapshot`` does the same for
 history outputs with ``scd2_apply``.
 """
 
@@ -26,11 +26,14 @@ from tidemark.operators.merge import merge_upsert
 from tidemark.functions.governance import tag_pii
 from tidemark.operators.scd2 import scd2_apply
 from tidemark.sources.bronze import SYNC_DATE, high_water_mark, incremental_filter
-from tidemark.sources.tables import remove_path, stage, staged_paths
+from tidemark.sources.ranges import ROWS_PER_RANGE, KeyRanges, rewrite_ranges, split_ranges
+from tidemark.sources.tables import RANGE, VersionedTable, staged
 from tidemark.specs import Col, SnapshotSpec, TableSpec
 
 log = logging.getLogger(__name__)
 
+ROW_ORDER = "_row_order"
+
 
 def column_expr(c: Col, schema: StructType | None = None) -> Column:
     src = F.col(c.src or c.name)
@@ -75,8 +78,12 @@ def tiebreak_columns(spec: TableSpec) -> list[str]:
 
 
 def refine(spec: TableSpec, bronze: DataFrame, now, run_id: str, watermark=None,
-           lookback_days: int = LOOKBACK_DAYS, dev_today=None, dev_days: int = 90) -> DataFrame:
-    """The update batch of one keyed output (no I/O). ``watermark=None`` means first run."""
+           lookback_days: int = LOOKBACK_DAYS, dev_today=None, dev_days: int = 90, with_order: bool = False) -> DataFrame:
+    """The update batch of one keyed output (no I/O). ``watermark=None`` means first run.
+
+    ``with_order`` adds ``ROW_ORDER``: the row's place among the rows of its key, larger is later, as the
+    deduplication orders them (a NULL sync time last of all, then sync time, then tiebreak with NULLs lowest).
+    """
     tiebreak = tiebreak_columns(spec)
     extra = [t for t in tiebreak if t not in spec.source_columns and t != "_deleted"]
     if watermark is not None:
@@ -87,43 +94,60 @@ def refine(spec: TableSpec, bronze: DataFrame, now, run_id: str, watermark=None,
         src = src.filter(within_days(spec.dev_date_col, dev_days, dev_today))
     live = src.filter(row_filter(spec))
     latest = latest_per_key(live, spec.keys, "_synced", tiebreak)
-    return latest.select(*[column_expr(c, latest.schema) for c in spec.columns], *audit_columns(now, run_id))
+    place = [F.struct(F.col("_synced").isNull().alias("unsynced"), "_synced", *tiebreak).alias(ROW_ORDER)] if with_order else []
+    return latest.select(*[column_expr(c, latest.schema) for c in spec.columns], *audit_columns(now, run_id), *place)
 
 
 def snapshot_source(spec: SnapshotSpec, bronze: DataFrame) -> DataFrame:
-    """The ephemeral relation of a history output: live rows, newest per key."""
+    """The ephemeral relation of a history output: the newest row per key (W2), unless it is a deleted one.
+
+    Over bronze with one row per key the order of the two steps makes no difference; over append-only bronze a
+    key whose newest row is deleted must vanish, not fall back to an older live row.
+    """
     src = bronze.select(*spec.payload, "_synced", "_deleted")
     tiebreak = [c for c in spec.payload if c not in spec.keys] + ["_deleted"]
-    return latest_per_key(src.filter(is_active("_deleted")), spec.keys, spec.updated_at, tiebreak)
+    return latest_per_key(src, spec.keys, spec.updated_at, tiebreak).filter(is_active("_deleted"))
+
 
+def upsert(spec: TableSpec, table: VersionedTable, updates: DataFrame, run_id: str, only_if_newer: str | None = None,
+           batch_id: int | None = None, rows_per_range: int = ROWS_PER_RANGE) -> int:
+    """K1 into a ``VersionedTable``: merges a staged batch into the key ranges it meets; returns the new version.
 
-def run_model(spec: TableSpec, bronze: DataFrame, table, now, run_id: str,
+    ``only_if_newer`` names a column: a stored row gives way only to an update that is larger there.
+    """
+    def combine(stored: DataFrame | None, changes: DataFrame) -> DataFrame:
+        merged = merge_upsert(stored, changes, spec.keys, spec.keep_on_update, only_if_newer=only_if_newer is not None,
+                              order_col=only_if_newer or "_bronze_sync_timestamp")
+        return tag_pii(merged, spec.pii_tags)  # the merge's expressions drop column metadata
+
+    version = rewrite_ranges(table, updates, spec.keys[0], combine, run_id, batch_id, output_metrics(),
+                             largest=("high_water_mark",), rows_per_range=rows_per_range)
+    table.vacuum()
+    return version
+
+
+def run_model(spec: TableSpec, bronze: DataFrame, table: VersionedTable, now, run_id: str,
               lookback_days: int = LOOKBACK_DAYS, dev_today=None, full_refresh: bool = False,
-              only_if_newer: bool = False, batch_id: int | None = None) -> int:
+              batch_id: int | None = None, rows_per_range: int = ROWS_PER_RANGE) -> int:
     """Incremental run of a keyed output into a ``VersionedTable``; returns the new version."""
     if full_refresh and not spec.allow_full_refresh:
         log.warning("%s: full refresh requested but disabled; running incrementally", spec.name)
         full_refresh = False
-    target = None if full_refresh else table.read()
-    wm = None
-    if target is not None:
-        # the mark was observed while the current version was written; scan only if it is missing
-        wm = table.metrics().get("high_water_mark") or high_water_mark(target)
-    updates = refine(spec, bronze, now, run_id, wm, lookback_days, dev_today)
-    if target is None:  # first run (S9): the batch is the table
-        return table.commit(tag_pii(updates, spec.pii_tags), run_id=run_id, batch_id=batch_id, observe=output_metrics())
-    staged = stage(updates, f"{spec.name}-updates")
-    merged = merge_upsert(target, staged, spec.keys, spec.keep_on_update, only_if_newer=only_if_newer)
-    # the merge's expressions drop column metadata: the tags are put back on every version
-    version = table.commit(tag_pii(merged, spec.pii_tags), run_id=run_id, batch_id=batch_id, observe=output_metrics())
-    # the staged batch is only needed until the new version is published
-    for folder in {f.rsplit("/", 1)[0] for f in staged_paths(staged)}:
-        remove_path(table.spark, folder)
-    return version
+    if full_refresh or table.current_version() is None:  # S9: the batch is the table
+        updates = refine(spec, bronze, now, run_id, None, lookback_days, dev_today)
+        with_range = tag_pii(updates, spec.pii_tags).withColumn(RANGE, KeyRanges.of(updates, spec.keys[0]).column())
+        version = table.commit(with_range, run_id=run_id, batch_id=batch_id, partition_by=[RANGE], observe=output_metrics(),
+                               extra={"ranges": KeyRanges.of(updates, spec.keys[0]).dump()})
+        rows = table.metrics(version)["rows"]
+        return split_ranges(table, [0], rows, rows_per_range, run_id) if rows > 2 * rows_per_range else version
+    # the mark was observed while the current version was written; scan only if it is missing
+    wm = table.metrics().get("high_water_mark") or high_water_mark(table.read())
+    with staged(refine(spec, bronze, now, run_id, wm, lookback_days, dev_today), f"{spec.name}-updates") as updates:
+        return upsert(spec, table, updates, run_id, batch_id=batch_id, rows_per_range=rows_per_range)
 
 
 def output_metrics() -> dict:  # noqa: N802 - a factory of Column expressions
-    """Observed during every keyed-output write: row count and the next run's high-water mark."""
+    """Observed during every keyed-output write: rows written and the next run's high-water mark."""
     return {"rows": F.count(F.lit(1)),
             "high_water_mark": F.coalesce(F.max("_bronze_sync_timestamp"), F.lit(MIN_DATE).cast("timestamp_ntz"))}
 

@@ -113,8 +113,8 @@ def merge_sql(key: str, cols: list[str], target_cols: list[str] | None = None, o
 def _snap_batches() -> str:
     parts = []
     for i, cut in enumerate(Q.SNAP_CUTOFFS, start=1):
-        parts.append(f"SELECT {i} AS batch, {ts(cut)} AS now_ts, * FROM "
-                     f"({latest('b', 'user_id', STATE_ORDER, f'_synced < {ts(cut)}')})")
+        seen = "TRUE" if cut == Q.SNAP_CUTOFFS[-1] else f"_synced < {ts(cut)}"  # the last run sees every row
+        parts.append(f"SELECT {i} AS batch, {ts(cut)} AS now_ts, * FROM ({latest('b', 'user_id', STATE_ORDER, seen)})")
     return "\nUNION ALL\n".join(parts)
 
 
@@ -433,26 +433,29 @@ def history_sql(name: str) -> str:
     rest = [c for c in spec.payload if c not in spec.keys] + ["_deleted"]
     order = "_synced DESC NULLS FIRST, " + ", ".join(f"{c} DESC NULLS LAST" for c in rest)
     types = dict(airline.fields(spec.source))
-    parts = [f"strftime({k}, '%Y-%m-%d')" if types[k] == "date" else f"CAST({k} AS VARCHAR)" for k in spec.keys]
-    key_text = " || '-' || ".join(parts)
-    cols = ", ".join(list(spec.payload) + ["_synced", "_deleted"])
-    w = f"PARTITION BY {keys} ORDER BY batch"
+    cols = [*spec.payload, "_synced", "_deleted"]
+    on = " AND ".join(f"s1.{k} = s2.{k}" for k in spec.keys)
+
+    def version(src: str, valid_from: str, valid_to: str, deleted: str) -> str:
+        key = " || '-' || ".join(f"strftime({src}.{k}, '%Y-%m-%d')" if types[k] == "date" else f"CAST({src}.{k} AS VARCHAR)"
+                                 for k in spec.keys)
+        return (f"SELECT {', '.join(f'{src}.{c}' for c in cols)}, "
+                f"md5({key} || '|' || strftime({valid_from}, '%Y-%m-%d %H:%M:%S.%f') || '|{deleted}') AS scd_id, "
+                f"{valid_from} AS valid_from, {valid_to} AS valid_to, {valid_to} = {end} AS is_current, {deleted} AS is_deleted")
+
+    end = "TIMESTAMP '9999-12-31'"
+    t2 = ts(Q.MODEL_T2)
+    closed = (f"CASE WHEN s2.{spec.keys[0]} IS NULL THEN {t2} WHEN s2._synced > s1._synced THEN s2._synced ELSE {end} END")
     return f"""
 WITH b AS ({airline.bronze_sql(spec.source)}),
-s AS (
-  SELECT 1 AS batch, {cols} FROM ({latest('b', keys, order, f'{ACTIVE} AND _synced < {ts(Q.MODEL_T1)}')})
-  UNION ALL
-  SELECT 2 AS batch, {cols} FROM ({latest('b', keys, order, ACTIVE)})
-),
-f AS (SELECT *, LAG(_synced) OVER ({w}) AS prev_synced, LAG(batch) OVER ({w}) AS prev_batch FROM s),
-v AS (SELECT * FROM f WHERE prev_batch IS NULL OR _synced > prev_synced)
-SELECT {cols},
-       md5({key_text} || '|' || strftime(_synced, '%Y-%m-%d %H:%M:%S.%f') || '|false') AS scd_id,
-       _synced AS valid_from,
-       COALESCE(LEAD(_synced) OVER ({w}), TIMESTAMP '9999-12-31') AS valid_to,
-       LEAD(_synced) OVER ({w}) IS NULL AS is_current,
-       FALSE AS is_deleted
-FROM v
+s1 AS (SELECT * FROM ({latest('b', keys, order, f'_synced < {ts(Q.MODEL_T1)}')}) WHERE {ACTIVE}),
+s2 AS (SELECT * FROM ({latest('b', keys, order)}) WHERE {ACTIVE})
+{version('s1', 's1._synced', closed, 'false')} FROM s1 LEFT JOIN s2 ON {on}
+UNION ALL
+{version('s2', 's2._synced', end, 'false')} FROM s2 LEFT JOIN s1 ON {on}
+WHERE s1.{spec.keys[0]} IS NULL OR s2._synced > s1._synced
+UNION ALL
+{version('s1', t2, end, 'true')} FROM s1 LEFT JOIN s2 ON {on} WHERE s2.{spec.keys[0]} IS NULL
 """
 
 
@@ -519,3 +522,59 @@ ORACLE["q_model_fk_suite"] = f"WITH {_outputs_cte(_FK_TABLES)}\n" + "\nUNION ALL
 
 ORACLE["q_apply_changes_shuffle"] = ORACLE["q_apply_changes"]
 ORACLE["q_incremental_landed"] = ORACLE["q_incremental_candidates"]
+
+# --- K8, S1, S10, bronze ingest, streamed history ------------------------------------------------------
+ORACLE["q_full_refresh_guard"] = f"""
+WITH {state_cte('user_id', STATE_COLS, STATE_ORDER)},
+refused AS ({merge_sql("user_id", STATE_COLS.split(", "))}),
+rebuilt AS (SELECT {STATE_COLS}, {audit(Q.T2, Q.RUN_2)} FROM ({latest('b', 'user_id', STATE_ORDER, ACTIVE)}))
+SELECT *, FALSE AS refresh_allowed FROM refused UNION ALL BY NAME SELECT *, TRUE AS refresh_allowed FROM rebuilt
+"""
+
+ORACLE["q_scan_declared"] = (f"SELECT flight_id, flight_status, block_hours, _synced FROM ({airline.bronze_sql('flight_leg')})")
+
+_D1, _D2 = map(ts, Q.DRIFT_CUTS)
+ORACLE["q_schema_admission"] = f"""
+SELECT event_id, user_id, event_type,
+       CASE WHEN ts >= {_D2} THEN value WHEN ts >= {_D1} THEN CAST(CAST(value AS FLOAT) AS DOUBLE) END AS value,
+       'user_id:bigint,value:double' AS kinds, 'events,new_table,events' AS admitted
+FROM events
+"""
+
+_LIVE = f"_synced < {ts(Q.FEED_SPLIT)}"
+ORACLE["q_ingest_bronze"] = f"""
+WITH change_feed AS ({ORACLE["q_apply_changes"]}),
+api_delta AS ({ORACLE["q_api_delta"]}),
+b AS ({SQL_B_STATE}),
+file_drop AS (SELECT user_id, event_id, event_type, value, _synced, FALSE AS _deleted FROM ({latest('b', 'user_id', _FEED_ORDER)})),
+c1 AS (SELECT * FROM ({latest('b', 'user_id', STATE_ORDER, _LIVE)}) WHERE {ACTIVE}),
+c2 AS (SELECT * FROM ({latest('b', 'user_id', STATE_ORDER)}) WHERE {ACTIVE}),
+snapshot_diff AS (
+  SELECT COALESCE(c2.user_id, c1.user_id) AS user_id,
+         {', '.join(f'CASE WHEN c2.user_id IS NULL THEN c1.{x} ELSE c2.{x} END AS {x}' for x in ('event_id', 'event_type', 'value'))},
+         CASE WHEN c1.user_id IS NOT NULL AND c2.user_id IS NOT NULL AND c1.event_id IS NOT DISTINCT FROM c2.event_id
+                   AND c1.event_type IS NOT DISTINCT FROM c2.event_type AND c1.value IS NOT DISTINCT FROM c2.value
+              THEN {ts(Q.FEED_SPLIT)} ELSE {ts(Q.T2)} END AS _synced,
+         c2.user_id IS NULL AS _deleted
+  FROM c1 FULL OUTER JOIN c2 ON c1.user_id = c2.user_id
+)
+{' UNION ALL '.join(f"SELECT '{m}' AS method, user_id, event_id, event_type, value, _synced, _deleted FROM {m}"
+                    for m in ('change_feed', 'api_delta', 'file_drop', 'snapshot_diff'))}
+"""
+
+ORACLE["q_stream_scd2"] = f"""
+WITH b AS ({SQL_B_STATE}),
+one AS (SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id, _synced ORDER BY event_id DESC) AS rn FROM b)
+        WHERE rn = 1),
+told AS (SELECT *, _deleted AND COALESCE(LAG(_deleted) OVER w, TRUE) AS void,
+                MAX(CASE WHEN NOT _deleted THEN _synced END) OVER (PARTITION BY user_id ORDER BY _synced) AS live_at
+         FROM one WINDOW w AS (PARTITION BY user_id ORDER BY _synced))
+SELECT t.user_id, l.event_id, l.event_type, l.value, l._synced, l._deleted,
+       md5(CAST(t.user_id AS VARCHAR) || '|' || strftime(t._synced, '%Y-%m-%d %H:%M:%S.%f') || '|'
+           || CAST(t._deleted AS VARCHAR)) AS scd_id,
+       t._synced AS valid_from,
+       COALESCE(LEAD(t._synced) OVER v, TIMESTAMP '9999-12-31') AS valid_to,
+       LEAD(t._synced) OVER v IS NULL AS is_current, t._deleted AS is_deleted
+FROM told t JOIN one l ON l.user_id = t.user_id AND l._synced = t.live_at
+WHERE NOT t.void WINDOW v AS (PARTITION BY t.user_id ORDER BY t._synced)
+"""

@@ -13,6 +13,8 @@ Scenarios
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,15 +28,19 @@ from tidemark.operators.quality import (
     check_column_type, check_rows, check_unique, check_unique_combination, freshness, orphans, run_checks,
     run_fk_checks,
 )
-from tidemark.operators.scd2 import scd2_apply
+from tidemark.operators.scd2 import scd2_apply, spliced_history
 from tidemark.plans import airline, views
 from tidemark.plans.models import refine, run_model, run_outputs, run_snapshot, snapshot_source
 from tidemark.session import scratch_path
-from tidemark.sources.bronze import SYNC_DATE, high_water_mark, incremental_filter, land, load_profile
-from tidemark.sources.changes import api_delta, apply_changes, snapshot_diff
+from tidemark.sources.bronze import (
+    ALLOW_ALL, ALLOW_COLUMNS, DELETED, SYNC_DATE, SYNCED, admit_tables, high_water_mark, incremental_filter, land,
+    load_profile, scan,
+)
+from tidemark.sources.changes import api_delta, apply_changes
+from tidemark.sources.ingest import diff_against, ingest_api_delta, ingest_change_feed, ingest_file_drop, ingest_snapshot
 from tidemark.sources.tables import VersionedTable, stage
-from tidemark.specs import FOREIGN_KEYS, MODELS, SNAPSHOTS, Check, Col, SnapshotSpec, TableSpec
-from tidemark.streaming.ingest import file_stream, stream_scd1
+from tidemark.specs import FOREIGN_KEYS, MODELS, SNAPSHOTS, SOURCES, Check, Col, SnapshotSpec, TableSpec
+from tidemark.streaming.ingest import file_stream, stream_scd1, stream_scd2
 
 # ---------------------------------------------------------------------------
 # Scenario clocks and run ids
@@ -47,6 +53,7 @@ T2 = "2024-02-02 00:00:00"          # state run 2 (everything has landed)
 SNAP_CUTOFFS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00", "2024-02-01 00:00:00")
 FEED_SPLIT = "2024-01-16 00:00:00"  # change-feed scenario: first feed before, second feed from here
 DIFF_CUTOFF = "1999-01-01 00:00:00"  # snapshot-diff scenario: earlier copy taken here
+DRIFT_CUTS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")  # schema-drift scenario: a new column, then wider types
 FRESH_NOW = "2024-01-31 01:30:00"
 RUN_1, RUN_2 = "run-0001", "run-0002"
 # Token character for the email scan: not ASCII whitespace, spelled out so every regex engine agrees.
@@ -126,12 +133,21 @@ def typed_leg(spark: SparkSession, sf: str) -> DataFrame:
 def state_runs(spark: SparkSession, sf: str, spec: TableSpec, spec_run1: TableSpec | None = None):
     """Run 1 over what had landed by T1, the watermark, and the run-2 update batch over the whole table."""
     bronze = views.b_state(spark, sf)
-    target1 = refine(spec_run1 or spec, views.landed_by(bronze, T1), T1, RUN_1)
+    target1 = stage(refine(spec_run1 or spec, views.landed_by(bronze, T1), T1, RUN_1), "state-run1")
     wm = high_water_mark(target1)
     updates2 = refine(spec, bronze, T2, RUN_2, watermark=wm)
     return target1, wm, updates2
 
 
+def merged_runs(spark: SparkSession, sf: str, spec: TableSpec, spec_run1: TableSpec | None = None) -> DataFrame:
+    """The same two runs through a versioned table in key ranges, as the command line runs them."""
+    bronze = views.b_state(spark, sf)
+    table = VersionedTable(spark, scratch_path(spark, f"merge-{spec.name}"))
+    run_model(spec_run1 or spec, views.landed_by(bronze, T1), table, T1, RUN_1)
+    run_model(spec, bronze, table, T2, RUN_2)
+    return table.read()
+
+
 def state_history(spark: SparkSession, sf: str) -> DataFrame:
     """Three snapshot runs; the replicated bronze at each cutoff holds one row per user.
 
@@ -204,14 +220,12 @@ def q_late_rows_lost(spark, sf):
 
 def q_merge_state(spark, sf):
     """Two incremental runs keyed by user_id; first load time is kept on update."""
-    target1, _, updates2 = state_runs(spark, sf, STATE_SPEC)
-    return merge_upsert(target1, updates2, STATE_SPEC.keys)
+    return merged_runs(spark, sf, STATE_SPEC)
 
 
 def q_merge_events(spark, sf):
-    """K1: two runs keyed by event_id (lookup shape: Spark broadcasts the batch or not by its size)."""
-    target1, _, updates2 = state_runs(spark, sf, EVENT_SPEC)
-    return merge_upsert(target1, updates2, EVENT_SPEC.keys)
+    """K1: two runs keyed by event_id; the second reads and rewrites only the key ranges of its batch."""
+    return merged_runs(spark, sf, EVENT_SPEC)
 
 
 def q_merge_events_shuffle(spark, sf):
@@ -228,8 +242,69 @@ def q_merge_only_newer(spark, sf):
 
 def q_schema_drift(spark, sf):
     """Run 2 adds the 'value' column; untouched older rows hold NULL."""
-    target1, _, updates2 = state_runs(spark, sf, EVENT_SPEC, EVENT_SPEC_V1)
-    return merge_upsert(target1, updates2, EVENT_SPEC.keys)
+    return merged_runs(spark, sf, EVENT_SPEC, EVENT_SPEC_V1)
+
+
+def q_full_refresh_guard(spark, sf):
+    """K8: a refused full refresh runs incrementally (late rows stay lost); an allowed one rebuilds the table."""
+    bronze = views.b_state(spark, sf)
+    out = []
+    for allowed in (False, True):
+        spec = replace(STATE_SPEC, allow_full_refresh=allowed)
+        table = VersionedTable(spark, scratch_path(spark, "full-refresh"))
+        run_model(spec, views.landed_by(bronze, T1), table, T1, RUN_1)
+        run_model(spec, bronze, table, T2, RUN_2, full_refresh=True)
+        out.append(table.read().withColumn("refresh_allowed", F.lit(allowed)))
+    return out[0].unionByName(out[1])
+
+
+def q_scan_declared(spark, sf):
+    """Landed bronze read with its declared schema and the columns asked for."""
+    path = scratch_path(spark, "declared")
+    airline.bronze(spark, sf, "flight_leg").write.parquet(path)
+    return scan(spark, path, SOURCES["flight_leg"].schema_ddl, ["flight_id", "flight_status", "block_hours", SYNCED])
+
+
+def q_schema_admission(spark, sf):
+    """Three landings in turn - narrow types, a new column, wider types - into one keyed bronze table."""
+    ev = views.b_state(spark, sf).withColumn("op", F.lit("U"))
+    first, second = (F.lit(c).cast("timestamp_ntz") for c in DRIFT_CUTS)
+    landings = [
+        ev.filter(F.col(SYNCED) < first).select("event_id", F.col("user_id").cast("int"), "event_type", SYNCED, "op"),
+        ev.filter((F.col(SYNCED) >= first) & (F.col(SYNCED) < second)).select(
+            "event_id", F.col("user_id").cast("int"), "event_type", F.col("value").cast("float"), SYNCED, "op"),
+        ev.filter(F.col(SYNCED) >= second).select("event_id", "user_id", "event_type", "value", SYNCED, "op")]
+    table = VersionedTable(spark, scratch_path(spark, "drift"))
+    for i, landed in enumerate(landings):
+        ingest_change_feed(landed, ["event_id"], table, f"run-{i}")
+    out = table.read()
+    kinds = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in out.schema.fields if f.name in ("user_id", "value"))
+    tables = admit_tables(["events", "new_table"], ["events"], ALLOW_ALL) + admit_tables(["events", "new_table"], ["events"], ALLOW_COLUMNS)
+    return out.select("event_id", "user_id", "event_type", "value", F.lit(kinds).alias("kinds"), F.lit(",".join(tables)).alias("admitted"))
+
+
+def q_ingest_bronze(spark, sf):
+    """One bronze table per capture method, each fed twice, the cursor kept with the data."""
+    ev, keys = views.b_state(spark, sf).drop(DELETED), ["user_id"]
+    new = lambda m: VersionedTable(spark, scratch_path(spark, f"ingest-{m}"))
+    early = F.col(SYNCED) < F.lit(FEED_SPLIT).cast("timestamp_ntz")
+    feed = state_feed(views.b_state(spark, sf))
+    tables = {m: new(m) for m in ("change_feed", "api_delta", "file_drop", "snapshot_diff")}
+    for landed in (feed.filter(early), feed):
+        ingest_change_feed(landed, keys, tables["change_feed"], tiebreak=["event_id"])
+    for landed in (views.landed_by(ev, T1), ev):
+        ingest_api_delta(landed, keys, tables["api_delta"], tiebreak=["event_id"])
+    base = scratch_path(spark, "ingest-files")
+    for rows in (ev.filter(~early), ev.filter(early)):  # the later files land first
+        rows.repartition(2, "event_id").write.mode("append").parquet(f"{base}/landing")
+        ingest_file_drop(file_stream(spark, f"{base}/landing", ev.schema, 1), keys, tables["file_drop"], f"{base}/checkpoint",
+                         tiebreak=["event_id"])
+    for now, seen in ((FEED_SPLIT, views.b_state(spark, sf).filter(early)), (T2, views.b_state(spark, sf))):
+        copy = active(latest_per_key(seen, keys, SYNCED, ["event_id"])).drop(SYNCED, DELETED)
+        ingest_snapshot(copy, keys, tables["snapshot_diff"], now)
+    out = [t.read().select(F.lit(m).alias("method"), "user_id", "event_id", "event_type", "value", SYNCED, DELETED)
+           for m, t in tables.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
 
 
 def q_scd2(spark, sf):
@@ -350,15 +425,17 @@ def q_snapshot_diff(spark, sf):
         upserted = latest_per_key(df, DIFF_KEYS, "_synced", views.COUPON_TIEBREAK)
         return active(upserted).select(*cols)
 
-    prev = state(b.filter(F.col("_synced") < F.lit(DIFF_CUTOFF).cast("timestamp_ntz")))
-    return snapshot_diff(prev, state(b), DIFF_KEYS)
+    # the earlier copy as ingested bronze: per key range a digest tells whether the new copy must be joined there
+    table = VersionedTable(spark, scratch_path(spark, "diff"))
+    ingest_snapshot(state(b.filter(F.col("_synced") < F.lit(DIFF_CUTOFF).cast("timestamp_ntz"))), DIFF_KEYS, table, DIFF_CUTOFF)
+    return diff_against(table, stage(state(b), "diff-copy"), DIFF_KEYS)[0]
 
 
 def q_apply_changes(spark, sf):
     """Two change feeds applied; a delete keeps the last bronze payload."""
     feed = state_feed(views.b_state(spark, sf))
     split = F.lit(FEED_SPLIT).cast("timestamp_ntz")
-    bronze0 = apply_changes(None, feed.filter(F.col("_synced") < split), ["user_id"], tiebreak=["event_id"])
+    bronze0 = stage(apply_changes(None, feed.filter(F.col("_synced") < split), ["user_id"], tiebreak=["event_id"]), "bronze")
     return apply_changes(bronze0, feed.filter(F.col("_synced") >= split), ["user_id"], tiebreak=["event_id"])
 
 
@@ -386,7 +463,7 @@ def q_api_delta(spark, sf):
     """Full historical load of what had landed, then only rows past the cursor."""
     bronze = views.b_state(spark, sf).drop("_deleted")
     first = views.landed_by(bronze, T1).withColumn("op", F.lit("U"))
-    bronze0 = apply_changes(None, first, ["user_id"], tiebreak=["event_id"])
+    bronze0 = stage(apply_changes(None, first, ["user_id"], tiebreak=["event_id"]), "bronze")
     cursor = bronze0.agg(F.max("_synced")).first()[0]
     return apply_changes(bronze0, api_delta(bronze, cursor), ["user_id"], tiebreak=["event_id"])
 
@@ -424,6 +501,17 @@ def q_stream_scd1(spark, sf):
     return table.read().select("user_id", "event_id", "event_type", "value", "_bronze_sync_timestamp")
 
 
+def q_stream_scd2(spark, sf):
+    """Events landed as files in no order of time, streamed one file a batch, spliced into a history."""
+    base = scratch_path(spark, "stream-scd2")
+    bronze = views.b_state(spark, sf)
+    bronze.repartition(4, "event_id").write.parquet(f"{base}/landing")
+    table = VersionedTable(spark, f"{base}/history")
+    stream_scd2(file_stream(spark, f"{base}/landing", bronze.schema, max_files_per_trigger=1), STATE_HISTORY, table,
+                f"{base}/_checkpoint", tiebreak=("event_id",))
+    return spliced_history(table.read())
+
+
 # ---------------------------------------------------------------------------
 # The 13 whole-model compositions (M1-M13) over airline-shaped bronze
 # ---------------------------------------------------------------------------

@@ -115,27 +115,62 @@ def admit_tables(discovered: Iterable[str], enabled: Iterable[str], policy: str)
     raise ValueError(f"unknown schema change policy {policy!r}")
 
 
-def align_schema(df: DataFrame, target_schema: T.StructType) -> DataFrame:
-    """Both policies let new columns flow: target columns first (NULL when missing), then new ones.
-
-    A column whose type changed is an error, as in the append-new-columns evolution.
+# per type, the types it may widen to (Parquet files of the narrower type read as the wider one)
+_WIDER = {"tinyint": ("smallint", "int", "bigint", "double"), "smallint": ("int", "bigint", "double"),
+          "int": ("bigint", "double"), "float": ("double",), "date": ("timestamp_ntz",)}
+
+
+def widened(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The narrowest type that holds both, or TypeError where there is none without loss."""
+    if a == b:
+        return a
+    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
+        scale = max(a.scale, b.scale)
+        precision = max(a.precision - a.scale, b.precision - b.scale) + scale
+        if precision <= 38:
+            return T.DecimalType(precision, scale)
+    x, y = a.simpleString(), b.simpleString()
+    above = [t for t in (x, *_WIDER.get(x, ())) if t in (y, *_WIDER.get(y, ()))]
+    if not above:
+        raise TypeError(f"type changed from {x} to {y}")
+    return T._parse_datatype_string(above[0])
+
+
+def merged_schema(stored: T.StructType, arriving: T.StructType) -> T.StructType:
+    """The stored columns, widened where the arriving ones are wider, then new ones. Columns never go and never narrow.
+
+    Names are matched without regard to case, as sources rename so.
     """
+    have = {f.name.lower(): f for f in arriving.fields}
+    out = []
+    for f in stored.fields:
+        got = have.pop(f.name.lower(), None)
+        try:
+            out.append(T.StructField(f.name, widened(f.dataType, got.dataType) if got else f.dataType, True, f.metadata))
+        except TypeError as e:
+            raise TypeError(f"column {f.name}: {e}") from None
+    return T.StructType(out + [T.StructField(f.name, f.dataType, True, f.metadata) for f in have.values()])
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with exactly the columns and types of ``schema``: missing columns NULL, narrower ones cast up."""
     have = {f.name.lower(): f for f in df.schema.fields}
-    cols: list[Column] = []
-    for f in target_schema.fields:
+    cols = []
+    for f in schema.fields:
         got = have.get(f.name.lower())
         if got is None:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-        elif got.dataType != f.dataType:
-            raise TypeError(f"column {f.name}: type changed from {f.dataType.simpleString()} "
-                            f"to {got.dataType.simpleString()}")
         else:
-            cols.append(F.col(got.name).alias(f.name))
-    known = {f.name.lower() for f in target_schema.fields}
-    cols += [F.col(f.name) for f in df.schema.fields if f.name.lower() not in known]
+            widened(got.dataType, f.dataType)  # never down
+            cols.append(F.col(f"`{got.name}`").cast(f.dataType).alias(f.name, metadata=f.metadata))
     return df.select(*cols)
 
 
+def align_schema(df: DataFrame, target_schema: T.StructType) -> DataFrame:
+    """Both policies let new columns flow: target columns first (NULL when missing), then new ones."""
+    return conform(df, merged_schema(target_schema, df.schema))
+
+
 def _as_ts(v):
     if isinstance(v, dt.datetime):
         return v

@@ -9,8 +9,8 @@
 
 The feed is reduced to one row per key first (partial top-1 before its shuffle),
 so a hot key costs one row per map task, not a third of the feed in one task.
-Applying it is one keyed join: broadcast when the change set is proven small,
-otherwise one full-outer join with NULL keys salted.
+Applying it is one keyed join; NULL keys are salted. Over a bronze table in key ranges
+(``sources.ingest``) the join meets only the ranges that hold a changed key.
 """
 
 from __future__ import annotations
@@ -28,25 +28,41 @@ from tidemark.sources.tables import stage
 OP_INSERT, OP_UPDATE, OP_DELETE = "I", "U", "D"
 
 
+def latest_changes(feed: DataFrame, keys: Sequence[str], op_col: str = "op", seq_col: str = "_synced",
+                   tiebreak: Sequence[str] = ()) -> DataFrame:
+    """One row per key: payload, ``_synced`` (the change time) and ``_deleted``."""
+    payload = [c for c in feed.columns if c not in (op_col, seq_col, "_deleted")]
+    latest = latest_per_key(feed, list(keys), seq_col, tiebreak, nulls_first=False)
+    return latest.select(*payload, F.col(seq_col).alias("_synced"), (F.col(op_col) == F.lit(OP_DELETE)).alias("_deleted"))
+
+
 def apply_changes(bronze: DataFrame | None, feed: DataFrame, keys: Sequence[str], op_col: str = "op",
                   seq_col: str = "_synced", tiebreak: Sequence[str] = (), strategy: str = "lookup") -> DataFrame:
     """Return the new bronze state (payload columns + ``_synced`` + ``_deleted``).
 
     ``feed`` carries the payload, ``op_col`` and ``seq_col`` (the change time, which
     becomes ``_synced``). Shapes as in the merge: ``lookup`` (the per-key changes are staged, Spark
-    broadcasts them or not by their real size) or ``shuffle`` (one full-outer join).
+    broadcasts them or not by their real size; ``bronze`` is read twice) or ``shuffle`` (one full-outer join).
     """
+    changes = latest_changes(feed, keys, op_col, seq_col, tiebreak)
+    if bronze is not None and strategy == "lookup":
+        changes = stage(changes, "changes")
+    return apply_latest(bronze, changes, keys, strategy)
+
+
+def apply_latest(bronze: DataFrame | None, changes: DataFrame, keys: Sequence[str], strategy: str = "lookup",
+                 newer_by: Sequence[str] = ()) -> DataFrame:
+    """``changes`` (from ``latest_changes``) applied. ``newer_by``: a stored row that is later in these columns stays."""
     keys = list(keys)
-    payload = [c for c in feed.columns if c not in (op_col, seq_col, "_deleted")]
-    latest = latest_per_key(feed, keys, seq_col, tiebreak, nulls_first=False)
-    is_del = F.col(op_col) == F.lit(OP_DELETE)
-    changes = latest.select(*payload, F.col(seq_col).alias("_synced"), is_del.alias("_deleted"))
     if bronze is None:
         return changes
-    cols = payload + ["_synced", "_deleted"]
+    cols = [c for c in changes.columns if c not in ("_synced", "_deleted")] + ["_synced", "_deleted"]
     b = bronze.select(*cols).withColumn("__b", F.lit(True))
     c = changes.withColumn("__c", F.lit(True))
     has_b, has_c = F.col("b.__b").isNotNull(), F.col("c.__c").isNotNull()
+    if newer_by:
+        later = F.struct(*[F.col(f"b.{x}") for x in newer_by]) > F.struct(*[F.col(f"c.{x}") for x in newer_by])
+        has_c = has_c & ~(has_b & later)
     c_del = F.col("c._deleted")
     out = []
     for name in cols:
@@ -58,12 +74,10 @@ def apply_changes(bronze: DataFrame | None, feed: DataFrame, keys: Sequence[str]
             e = F.when(has_c & ~(c_del & has_b), c_).otherwise(b_)
         out.append(e.alias(name))
 
-    bs = with_null_salt(b, keys)
+    bs, cs = with_null_salt(b, keys), with_null_salt(c, keys)
     if strategy == "shuffle":
-        cs = with_null_salt(c, keys)
         return bs.alias("b").join(cs.alias("c"), key_match(keys, "b", "c"), "full_outer").select(*out)
     if strategy == "lookup":
-        cs = with_null_salt(stage(changes, "changes").withColumn("__c", F.lit(True)), keys)
         rewritten = bs.alias("b").join(cs.alias("c"), key_match(keys, "b", "c"), "left").select(*out)
         known = bs.select(*keys, SALT).alias("b")
         inserts = cs.alias("c").join(known, key_match(keys, "b", "c"), "left_anti").select(*cols)

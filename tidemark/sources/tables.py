@@ -17,14 +17,17 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-# Folder key of a version's data ("<key>=000042"); a multi-folder read drops the derived column.
+# Folder keys of a version's data ("<key>=000042") and of a key range in it; a read drops the derived columns.
 VERSION_KEY = "tm_version"
+RANGE = "tm_range"
 
 
 class ConcurrentCommit(RuntimeError):
@@ -78,16 +81,25 @@ class VersionedTable:
             return []
         return self.commit_info(n)["parts"]
 
-    def read(self, version: int | None = None) -> DataFrame | None:
+    def parts_without(self, ranges: list[int], version: int | None = None) -> list[str]:
+        """A version's folders outside some key ranges."""
+        gone = {f"{RANGE}={r}" for r in ranges}
+        return [p for p in self.parts(version) if p.rsplit("/", 1)[1] not in gone]
+
+    def read(self, version: int | None = None, ranges: list[int] | None = None) -> DataFrame | None:
+        """A version's rows; of some key ranges only, their folders alone are listed."""
         n = self.current_version() if version is None else version
         if n is None:
             return None
         info = self.commit_info(n)
-        schema = T.StructType.fromJson(info["schema"])
-        if not info["parts"]:
+        schema, parts = T.StructType.fromJson(info["schema"]), info["parts"]
+        if ranges is not None:
+            wanted = {f"{RANGE}={r}" for r in ranges}
+            parts = [p for p in parts if p.rsplit("/", 1)[1] in wanted]
+        if not parts:
             return self.spark.createDataFrame([], schema)
         # one scan with the committed schema: a column added by a later run (K7) is NULL in older files
-        return (self.spark.read.option("basePath", f"{self.path}/data").schema(schema).parquet(*info["parts"])
+        return (self.spark.read.option("basePath", f"{self.path}/data").schema(schema).parquet(*parts)
                 .select(*[F.col(f.name).alias(f.name, metadata=f.metadata) for f in schema.fields]))
 
     # --- writing -----------------------------------------------------------------------
@@ -102,34 +114,50 @@ class VersionedTable:
         return out
 
     def commit(self, df: DataFrame, run_id: str = "", batch_id: int | None = None,
-               partition_by: list[str] | None = None, observe: dict[str, Column] | None = None) -> int:
-        """Write ``df`` as the next version and publish it. A batch id already committed is a no-op.
-
-        ``observe`` maps names to aggregate expressions computed by the write job itself
-        (``DataFrame.observe``: no second pass) and stored with the commit.
+               partition_by: list[str] | None = None, observe: dict[str, Column] | None = None,
+               keep: list[str] | None = None, extra: dict | None = None, largest: tuple[str, ...] = (),
+               again: bool = False, base: int | None = None) -> int:
+        """Write ``df`` to a fresh folder and publish it, with the folders in ``keep``, as the next version.
+
+        A batch id already committed is a no-op (unless ``again``: a new layout of the same batch). ``observe`` maps
+        names to aggregate expressions computed by the write job itself (``DataFrame.observe``: no second pass) and
+        stored with the commit; those in ``largest`` never fall below the version before. Columns that only kept
+        folders hold stay in the schema. ``base`` is the version that ``df`` was made from (0: none): if another writer
+        has published since, the commit fails.
         """
-        cur = self.current_version()
-        if batch_id is not None and cur is not None:
-            done = self.commit_info(cur).get("batch_id")
-            if done is not None and batch_id <= done:
-                return cur
+        cur = self.current_version() if base is None else base
+        before = self.commit_info(cur) if cur else {}
+        done = before.get("batch_id")
+        if batch_id is not None and done is not None and batch_id <= done and not again:
+            return cur
         n = (cur or 0) + 1
         obs = None
         if observe:
             obs = Observation(f"commit-{n}-{uuid.uuid4().hex[:12]}")  # unique across concurrent runs
             df = df.observe(obs, *[e.alias(k) for k, e in observe.items()])
         folder = self._attempt(n)
-        w = df.write
         if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(folder)
-        info = {"version": n, "run_id": run_id, "batch_id": batch_id, "parts": [folder],
-                "schema": df.schema.jsonValue()}
+            df.write.partitionBy(*partition_by).parquet(folder)
+            parts = sorted(f"{folder}/{d}" for d in self._folders(folder))
+        else:
+            df.write.parquet(folder)
+            parts = [folder]
+        fields = [f for f in df.schema.fields if f.name != RANGE]
+        if keep:
+            older = T.StructType.fromJson(before["schema"])
+            fields += [f for f in older.fields if f.name not in df.schema.names]
+        info = {"version": n, "run_id": run_id, "batch_id": batch_id, "parts": [*(keep or []), *parts],
+                "schema": T.StructType(fields).jsonValue(), **(extra or {})}
         if obs is not None:
-            info["metrics"] = {k: (f"ts:{v.isoformat()}" if isinstance(v, dt.datetime) else v)
-                               for k, v in obs.get.items()}
+            found = {k: (f"ts:{v.isoformat()}" if isinstance(v, dt.datetime) else v) for k, v in obs.get.items()}
+            for k in largest:  # text of instants sorts like the instants
+                found[k] = max((x for x in (found[k], before.get("metrics", {}).get(k)) if x is not None), default=None)
+            info["metrics"] = found
         return self._publish(n, info)
 
+    def _folders(self, folder: str) -> list[str]:
+        return [st.getPath().getName() for st in self._fs.listStatus(self._Path(folder)) if st.isDirectory() and "=" in st.getPath().getName()]
+
     def commit_history(self, rows: DataFrame, run_id: str = "", batch_id: int | None = None) -> int:
         """Append-only history commit: write only this run's rows, partitioned by ``is_current``.
 
@@ -137,23 +165,8 @@ class VersionedTable:
         + this run's closed rows + this run's current slice. A run therefore writes
         O(current slice + changes), not O(whole history).
         """
-        cur = self.current_version()
-        if batch_id is not None and cur is not None:
-            done = self.commit_info(cur).get("batch_id")
-            if done is not None and batch_id <= done:
-                return cur
-        n = (cur or 0) + 1
-        folder = self._attempt(n)
-        rows.write.partitionBy("is_current").parquet(folder)
-        kept, schema = [], rows.schema
-        if cur:
-            kept = [p for p in self.parts(cur) if p.endswith("is_current=false")]
-            older = T.StructType.fromJson(self.commit_info(cur)["schema"])
-            schema = T.StructType(schema.fields + [f for f in older.fields if f.name not in schema.names])
-        new = [f"{folder}/is_current={flag}" for flag in ("false", "true")]
-        parts = kept + [p for p in new if self._fs.exists(self._Path(p))]
-        return self._publish(n, {"version": n, "run_id": run_id, "batch_id": batch_id, "parts": parts,
-                                 "schema": schema.jsonValue()})
+        closed = [p for p in self.parts() if p.endswith("is_current=false")]
+        return self.commit(rows, run_id, batch_id, partition_by=["is_current"], keep=closed)
 
     def _publish(self, n: int, info: dict) -> int:
         target = self._Path(self._commit_file(n))
@@ -179,15 +192,18 @@ class VersionedTable:
         return n
 
     def vacuum(self, keep: int = 2) -> list[int]:
-        """Delete data folders no longer referenced by the newest ``keep`` versions."""
-        live = {p for n in self.versions()[-keep:] for p in self.parts(n)} if keep else set()
+        """Delete data folders that the newest ``keep`` versions do not name, and the commits of older versions."""
+        old, new = (self.versions()[:-keep], self.versions()[-keep:]) if keep else (self.versions(), [])
+        live = {p for n in new for p in self.parts(n)}
         gone = []
-        for n in self.versions()[:-keep] if keep else self.versions():
+        for n in old:
             dead = [p for p in map(self._Path, set(self.parts(n)) - live) if self._fs.exists(p)]
             for p in dead:
                 self._fs.delete(p, True)
             if dead:
                 gone.append(n)
+            if new:
+                self._fs.delete(self._Path(self._commit_file(n)), False)
         return gone
 
 
@@ -199,17 +215,25 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     exact sizes. The folder is shared storage on a cluster, so a lost executor
     loses nothing.
     """
-    from tidemark.session import scratch_path
+    return _stage(df, name)[0]
 
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+
+@contextmanager
+def staged(df: DataFrame, name: str = "stage") -> Iterator[DataFrame]:
+    """``stage`` for a consumer that ends inside the block: the folder goes with it."""
+    out, path = _stage(df, name)
+    try:
+        yield out
+    finally:
+        remove_path(df.sparkSession, path)
 
 
-def staged_paths(df: DataFrame) -> list[str]:
-    """The folders a staged DataFrame reads (for removal once its consumer has committed)."""
-    return list(df.inputFiles())
+def _stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    from tidemark.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
