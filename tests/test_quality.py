@@ -3,9 +3,13 @@ from conftest import rows, ts
 
 from tidemark.operators.quality import (
     CheckFailed, check_column_type, check_rows, check_unique, check_unique_combination, enforce, freshness,
-    orphans, run_checks,
+    newest_day, orphans, run_checks, run_checks_once, update_unique,
 )
-from tidemark.specs import Check
+from tidemark.plans.models import run_model
+from tidemark.sources.bronze import land
+from tidemark.sources.ranges import ranges_changed, rewrite_ranges
+from tidemark.sources.tables import VersionedTable, staged
+from tidemark.specs import Check, Col, TableSpec
 
 
 def test_fk_single_and_composite(spark):
@@ -72,3 +76,82 @@ def test_suite_and_severity(spark):
     with pytest.raises(CheckFailed):
         enforce(run_checks("t", df, checks))
     assert enforce(run_checks("t", df, checks[3:]))[0]["status"] == "warn"  # warnings do not fail
+
+
+# ---- checks while writing, freshness by day, uniqueness by range --------------------------------------------
+
+GATED = TableSpec("out", "b", ("k",), (Col("k"), Col("v")), checks=(
+    Check("not_null", ("v",)), Check("expression", ("v",), "warn", "> 0"), Check("unique", ("k",))))
+
+
+def _rows(spark, values, day):
+    return spark.createDataFrame([(k, v, ts(f"2024-01-{day:02d}"), False) for k, v in values],
+                                 "k STRING, v INT, _synced TIMESTAMP_NTZ, _deleted BOOLEAN")
+
+
+def test_error_check_leaves_the_old_version_current(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path / "t"))
+    run_model(GATED, _rows(spark, [("a", 1), ("b", -1)], 1), t, "2024-01-01", "r1", checked=True)  # a warning passes
+    assert t.metrics()["check_expression_v_>0"] == 1
+    folders = set((tmp_path / "t" / "data").iterdir())
+    with pytest.raises(CheckFailed, match="out.not_null_v: 1"):
+        run_model(GATED, _rows(spark, [("a", None), ("c", 3)], 2), t, "2024-01-02", "r2", checked=True)
+    assert t.current_version() == 1 and {r["k"]: r["v"] for r in rows(t.read())} == {"a": 1, "b": -1}
+    assert set((tmp_path / "t" / "data").iterdir()) == folders  # nothing is left of the refused write
+    run_model(GATED, _rows(spark, [("a", 7), ("c", 3)], 2), t, "2024-01-02", "r3", checked=True)
+    assert {r["k"]: r["v"] for r in rows(t.read())} == {"a": 7, "b": -1, "c": 3}
+    with pytest.raises(CheckFailed):
+        run_model(GATED, _rows(spark, [("x", None)], 1), VersionedTable(spark, str(tmp_path / "u")), "2024-01-01", "r1", checked=True)
+    assert VersionedTable(spark, str(tmp_path / "u")).current_version() is None
+
+
+def test_checks_once_equal_the_suite_and_run_the_input_once(spark):
+    df = _rows(spark, [("a", 1), ("a", None), ("b", -1), (None, 2), (None, 3)], 1)
+    runs = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            runs.add(b.num_rows)
+            yield b
+    seen = df.coalesce(1).mapInArrow(count, df.schema)
+    checks = [*GATED.checks, Check("unique_combination", ("k", "v")), Check("column_type", ("v",), "warn", "bigint")]
+    want = rows(run_checks("t", df, checks), "check_name")
+    assert rows(run_checks_once("t", seen, checks), "check_name") == want
+    assert runs.value == 5
+    assert rows(run_checks_once("t", df, GATED.checks[:2]), "check_name") == rows(run_checks("t", df, GATED.checks[:2]), "check_name")
+
+
+def test_freshness_reads_the_newest_day_only(spark, tmp_path, capsys):
+    path = str(tmp_path / "landed")
+    for day in (1, 2, 9):
+        land(_rows(spark, [("a", day)], day), path)
+    land(spark.createDataFrame([("n", 1, None, False)], "k STRING, v INT, _synced TIMESTAMP_NTZ, _deleted BOOLEAN"), path)
+    df = newest_day(spark.read.parquet(path))
+    df.explain()
+    assert "PartitionFilters: [isnotnull(_sync_date" in capsys.readouterr().out
+    assert {r._sync_date.isoformat() for r in df.collect()} == {"2024-01-09"}
+    out = freshness(df, "s", "2024-01-09 02:00:00", 1, 4).first()
+    assert out.max_loaded_at == ts("2024-01-09") and out.status == "warn"
+
+
+def test_uniqueness_is_recounted_in_touched_ranges_only(spark, tmp_path):
+    t, state = VersionedTable(spark, str(tmp_path / "t")), VersionedTable(spark, str(tmp_path / "s"))
+    append = lambda stored, new: new if stored is None else stored.unionByName(new)
+
+    def add(values):
+        with staged(spark.createDataFrame(values, "a INT, b INT")) as batch:
+            rewrite_ranges(t, batch, "a", append, rows_per_range=20)
+        return {(r.a, r.b): r.n_records for r in update_unique(t, state, ["a", "b"]).collect()}
+
+    data = [(i, 0) for i in range(160)] + [(5, 0), (150, 0)]
+    assert add(data) == {(5, 0): 2, (150, 0): 2}
+    assert add([(151, 9)]) == {(5, 0): 2, (150, 0): 2}
+    before, counted = set(state.parts()), state.commit_info(state.current_version())["counted"]
+    assert add([(159, 0), (200, 1), (200, 1), (None, 1), (None, 1)]) == {(5, 0): 2, (150, 0): 2, (159, 0): 2, (200, 1): 2, (None, 1): 2}
+    assert before & set(state.parts()) and len(ranges_changed(t, counted)) < 4
+    assert add([(5, 0)])[5, 0] == 3
+    v = state.current_version()
+    update_unique(t, state, ["a", "b"])
+    assert state.current_version() == v  # nothing was rewritten since
+    with pytest.raises(ValueError):
+        update_unique(t, state, ["b", "a"])

@@ -6,16 +6,24 @@ all row-level predicates (not-null, expression, regex, positive, email) become
 conditional counters of ONE aggregation over the table; each uniqueness check is
 a single grouped count with partial aggregation before the shuffle. Only the
 one-row-per-check summary ever reaches the driver.
+
+The same counters can be observed while a table is written (``check_counters``): ``gate``
+then decides between write and publish, so the checks cost no scan of their own.
+Uniqueness over a table in key ranges is kept up to date per range (``update_unique``).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions.cleanse import EMAIL_TEST_PATTERN, java_anchored, ts_lit
+from tidemark.sources.bronze import SYNC_DATE
+from tidemark.sources.ranges import KeyRanges, ranges_changed
+from tidemark.sources.tables import RANGE, VersionedTable, stage
 from tidemark.specs import Check, ForeignKey
 
 SUMMARY_COLUMNS = ["table_name", "check_name", "severity", "failures", "status"]
@@ -98,6 +106,17 @@ def freshness(df: DataFrame, source: str, now, warn_hours: int, error_hours: int
                   age.alias("age_seconds"), status.alias("status"))
 
 
+def newest_day(df: DataFrame, loaded_at: str = "_synced") -> DataFrame:
+    """Landed bronze cut to the newest sync day: the latest ``loaded_at`` lies there, and no other folder is read.
+
+    The day comes from the partition values alone (a scan of no columns). Rows without a sync time have no day.
+    """
+    if SYNC_DATE not in df.columns or loaded_at != "_synced":
+        return df
+    day = df.agg(F.max(SYNC_DATE)).first()[0]
+    return df.filter(F.col(SYNC_DATE) == F.lit(day)) if day is not None else df
+
+
 # --- Q11 suites with severity routing -------------------------------------------------
 def _summary(table: str, name: str, severity: str, failures: Column) -> list[Column]:
     status = F.when(failures == 0, "pass").otherwise(F.lit(severity))
@@ -137,6 +156,65 @@ def run_checks(table: str, df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return out
 
 
+def check_counters(checks: Sequence[Check]) -> dict[str, Column]:
+    """Violations of the row-level checks as aggregates to observe, by check name."""
+    return {f"check_{c.name}": F.count_if(violation(c)) for c in checks if c.kind in ROW_LEVEL}
+
+
+def gate(table: str, checks: Sequence[Check], found: dict) -> None:
+    """Raises if a check of error severity among the observed counters failed."""
+    bad = [f"{table}.{c.name}: {found[f'check_{c.name}']}" for c in checks
+           if c.kind in ROW_LEVEL and c.severity == "error" and found[f"check_{c.name}"]]
+    if bad:
+        raise CheckFailed("; ".join(bad))
+
+
+def run_checks_once(table: str, df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """``run_checks`` for an input that is dear to compute: it is run once.
+
+    Its row-level violations are observed while the columns of the uniqueness checks are staged; those checks
+    read the staged columns.
+    """
+    wide = check_counters(checks)
+    held = sorted({c for k in checks if k.kind not in ROW_LEVEL for c in k.columns})
+    obs = Observation(f"checks-{uuid.uuid4().hex[:12]}")
+    counted = df.observe(obs, F.count(F.lit(1)).alias("rows"), *[e.alias(n) for n, e in wide.items()])
+    keys = stage(counted.select(*held), f"{table}-checks") if held else None
+    if keys is None:
+        counted.write.format("noop").mode("overwrite").save()
+    found = obs.get
+    rows = [(table, c.name, c.severity, found[f"check_{c.name}"], c.severity if found[f"check_{c.name}"] else "pass")
+            for c in checks if c.kind in ROW_LEVEL]
+    summary = df.sparkSession.createDataFrame(rows, "table_name string, check_name string, severity string, failures long, status string")
+    others = [c for c in checks if c.kind not in ROW_LEVEL]
+    return summary.unionByName(run_checks(table, keys, others)) if others else summary
+
+
+def update_unique(table: VersionedTable, state: VersionedTable, cols: Sequence[str]) -> DataFrame:
+    """Q4 kept up to date: the violations of ``check_unique_combination`` over a table in key ranges.
+
+    ``cols`` begin with the table's range key, so a duplicated tuple lies in one range. ``state`` holds the
+    violations per range and the version they were counted at; only ranges rewritten since are read again.
+    """
+    cols = list(cols)
+    current, done = table.current_version(), state.current_version()
+    info = table.commit_info(current)
+    ranges = KeyRanges.load(info["ranges"])
+    if ranges.key != cols[0]:
+        raise ValueError(f"uniqueness by range needs {ranges.key} as first column")
+    counted = state.commit_info(done)["counted"] if done else None
+    if counted != current:
+        # a version that vacuum removed cannot be compared with: everything is counted again
+        since = counted if counted in table.versions() else None
+        changed = ranges_changed(table, since)
+        gone = changed if since else None
+        found = check_unique_combination(table.read(current, changed), cols).withColumn(RANGE, ranges.column())
+        live = {p.rsplit("=", 1)[1] for p in table.parts()}
+        keep = [] if gone is None else [p for p in state.parts_without(gone) if p.rsplit("=", 1)[1] in live]
+        state.commit(found, partition_by=[RANGE], keep=keep, base=done or 0, extra={"counted": current})
+    return state.read()
+
+
 def run_fk_checks(tables: dict[str, DataFrame], fks: Sequence[ForeignKey]) -> DataFrame:
     parts = []
     for fk in fks:

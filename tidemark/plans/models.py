@@ -23,6 +23,7 @@ from tidemark.functions.cleanse import (
 )
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.merge import merge_upsert
+from tidemark.operators.quality import check_counters, gate
 from tidemark.functions.governance import tag_pii
 from tidemark.operators.scd2 import scd2_apply
 from tidemark.sources.bronze import SYNC_DATE, high_water_mark, incremental_filter
@@ -110,25 +111,26 @@ def snapshot_source(spec: SnapshotSpec, bronze: DataFrame) -> DataFrame:
 
 
 def upsert(spec: TableSpec, table: VersionedTable, updates: DataFrame, run_id: str, only_if_newer: str | None = None,
-           batch_id: int | None = None, rows_per_range: int = ROWS_PER_RANGE) -> int:
+           batch_id: int | None = None, rows_per_range: int = ROWS_PER_RANGE, checked: bool = False) -> int:
     """K1 into a ``VersionedTable``: merges a staged batch into the key ranges it meets; returns the new version.
 
-    ``only_if_newer`` names a column: a stored row gives way only to an update that is larger there.
+    ``only_if_newer`` names a column: a stored row gives way only to an update that is larger there. ``checked``
+    counts the spec's row-level checks while writing and publishes only if those of error severity hold (Q11).
     """
     def combine(stored: DataFrame | None, changes: DataFrame) -> DataFrame:
         merged = merge_upsert(stored, changes, spec.keys, spec.keep_on_update, only_if_newer=only_if_newer is not None,
                               order_col=only_if_newer or "_bronze_sync_timestamp")
         return tag_pii(merged, spec.pii_tags)  # the merge's expressions drop column metadata
 
-    version = rewrite_ranges(table, updates, spec.keys[0], combine, run_id, batch_id, output_metrics(),
-                             largest=("high_water_mark",), rows_per_range=rows_per_range)
+    version = rewrite_ranges(table, updates, spec.keys[0], combine, run_id, batch_id, {**output_metrics(), **counters(spec, checked)},
+                             largest=("high_water_mark",), rows_per_range=rows_per_range, gate=spec_gate(spec, checked))
     table.vacuum()
     return version
 
 
 def run_model(spec: TableSpec, bronze: DataFrame, table: VersionedTable, now, run_id: str,
               lookback_days: int = LOOKBACK_DAYS, dev_today=None, full_refresh: bool = False,
-              batch_id: int | None = None, rows_per_range: int = ROWS_PER_RANGE) -> int:
+              batch_id: int | None = None, rows_per_range: int = ROWS_PER_RANGE, checked: bool = False) -> int:
     """Incremental run of a keyed output into a ``VersionedTable``; returns the new version."""
     if full_refresh and not spec.allow_full_refresh:
         log.warning("%s: full refresh requested but disabled; running incrementally", spec.name)
@@ -136,14 +138,23 @@ def run_model(spec: TableSpec, bronze: DataFrame, table: VersionedTable, now, ru
     if full_refresh or table.current_version() is None:  # S9: the batch is the table
         updates = refine(spec, bronze, now, run_id, None, lookback_days, dev_today)
         with_range = tag_pii(updates, spec.pii_tags).withColumn(RANGE, KeyRanges.of(updates, spec.keys[0]).column())
-        version = table.commit(with_range, run_id=run_id, batch_id=batch_id, partition_by=[RANGE], observe=output_metrics(),
+        version = table.commit(with_range, run_id=run_id, batch_id=batch_id, partition_by=[RANGE],
+                               observe={**output_metrics(), **counters(spec, checked)}, gate=spec_gate(spec, checked),
                                extra={"ranges": KeyRanges.of(updates, spec.keys[0]).dump()})
         rows = table.metrics(version)["rows"]
         return split_ranges(table, [0], rows, rows_per_range, run_id) if rows > 2 * rows_per_range else version
     # the mark was observed while the current version was written; scan only if it is missing
     wm = table.metrics().get("high_water_mark") or high_water_mark(table.read())
     with staged(refine(spec, bronze, now, run_id, wm, lookback_days, dev_today), f"{spec.name}-updates") as updates:
-        return upsert(spec, table, updates, run_id, batch_id=batch_id, rows_per_range=rows_per_range)
+        return upsert(spec, table, updates, run_id, batch_id=batch_id, rows_per_range=rows_per_range, checked=checked)
+
+
+def counters(spec: TableSpec, checked: bool) -> dict[str, Column]:
+    return check_counters(spec.checks) if checked else {}
+
+
+def spec_gate(spec: TableSpec, checked: bool):
+    return (lambda found: gate(spec.name, spec.checks, found)) if checked else None
 
 
 def output_metrics() -> dict:  # noqa: N802 - a factory of Column expressions

@@ -578,3 +578,6 @@ SELECT t.user_id, l.event_id, l.event_type, l.value, l._synced, l._deleted,
 FROM told t JOIN one l ON l.user_id = t.user_id AND l._synced = t.live_at
 WHERE NOT t.void WINDOW v AS (PARTITION BY t.user_id ORDER BY t._synced)
 """
+
+ORACLE["q_unique_incremental"] = ORACLE["q_unique"]
+ORACLE["q_freshness_landed"] = _fresh("events", "events", "ts", 1, 4)

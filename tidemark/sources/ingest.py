@@ -128,8 +128,12 @@ def ingest_snapshot(copy: DataFrame, keys: Sequence[str], table: VersionedTable,
         first = copy.withColumn("op", F.lit("I")).withColumn(SYNCED, ts_lit(now))
         one = KeyRanges.of(copy, keys[0])
         return apply_batch(table, first, keys, run_id, extra={"digests": range_digests(copy, one, columns)}, **options)
+    before = table.commit_info(table.current_version())
     diff, digests = diff_against(table, copy, keys)
-    return apply_batch(table, diff.withColumn(SYNCED, ts_lit(now)), keys, run_id, extra={"digests": digests}, **options)
+    version = apply_batch(table, diff.withColumn(SYNCED, ts_lit(now)), keys, run_id, extra={"digests": digests}, **options)
+    if version == before["version"] and digests != before.get("digests"):  # ranges were split since the last copy
+        version = table.restate({"digests": digests})
+    return version
 
 
 # --- a whole landing area ------------------------------------------------------------------

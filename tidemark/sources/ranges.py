@@ -105,7 +105,8 @@ def split_ranges(table: VersionedTable, touched: list[int], rows: int, rows_per_
 
 def rewrite_ranges(table: VersionedTable, changes: DataFrame, key: str, combine: Callable[[DataFrame | None, DataFrame], DataFrame],
                    run_id: str = "", batch_id: int | None = None, observe: dict[str, Column] | None = None,
-                   largest: tuple[str, ...] = (), rows_per_range: int = ROWS_PER_RANGE, extra: dict | None = None) -> int:
+                   largest: tuple[str, ...] = (), rows_per_range: int = ROWS_PER_RANGE, extra: dict | None = None,
+                   gate: Callable[[dict], None] | None = None) -> int:
     """Publishes the version that ``changes`` lead to; returns it.
 
     ``combine(stored, changes)`` gives the new rows of the ranges that hold a changed key, from the rows stored
@@ -129,8 +130,14 @@ def rewrite_ranges(table: VersionedTable, changes: DataFrame, key: str, combine:
         stored = [r for r in touched if r != NO_KEY]
         new, keep = combine(table.read(current, stored), changes), table.parts_without(stored, current)
     version = table.commit(new.withColumn(RANGE, ranges.column()), run_id=run_id, batch_id=batch_id, partition_by=[RANGE],
-                           base=current or 0, observe=observe, keep=keep, extra={**(extra or {}), "ranges": ranges.dump()}, largest=largest)
+                           base=current or 0, observe=observe, keep=keep, extra={**(extra or {}), "ranges": ranges.dump()}, largest=largest, gate=gate)
     rows = table.metrics(version)["rows_written"]
     if rows > 2 * rows_per_range * len(touched) and len(ranges.ids) < MAX_RANGES:
         version = split_ranges(table, [r for r in touched if r != NO_KEY], rows, rows_per_range, run_id)
     return version
+
+
+def ranges_changed(table: VersionedTable, since: int | None) -> list[int]:
+    """Ranges whose folders are not those of version ``since`` (None: all ranges)."""
+    before = set(table.parts(since)) if since else set()
+    return sorted({int(p.rsplit("=", 1)[1]) for p in table.parts() if p not in before})

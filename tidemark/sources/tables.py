@@ -17,7 +17,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -116,14 +116,16 @@ class VersionedTable:
     def commit(self, df: DataFrame, run_id: str = "", batch_id: int | None = None,
                partition_by: list[str] | None = None, observe: dict[str, Column] | None = None,
                keep: list[str] | None = None, extra: dict | None = None, largest: tuple[str, ...] = (),
-               again: bool = False, base: int | None = None) -> int:
+               again: bool = False, base: int | None = None,
+               gate: Callable[[dict], None] | None = None) -> int:
         """Write ``df`` to a fresh folder and publish it, with the folders in ``keep``, as the next version.
 
         A batch id already committed is a no-op (unless ``again``: a new layout of the same batch). ``observe`` maps
         names to aggregate expressions computed by the write job itself (``DataFrame.observe``: no second pass) and
         stored with the commit; those in ``largest`` never fall below the version before. Columns that only kept
         folders hold stay in the schema. ``base`` is the version that ``df`` was made from (0: none): if another writer
-        has published since, the commit fails.
+        has published since, the commit fails. ``gate`` gets the observed values between write and publish; if it
+        raises, what was written is removed and the version before stays current.
         """
         cur = self.current_version() if base is None else base
         before = self.commit_info(cur) if cur else {}
@@ -153,11 +155,22 @@ class VersionedTable:
             for k in largest:  # text of instants sorts like the instants
                 found[k] = max((x for x in (found[k], before.get("metrics", {}).get(k)) if x is not None), default=None)
             info["metrics"] = found
+            if gate is not None:
+                try:
+                    gate(obs.get)
+                except Exception:
+                    self._fs.delete(self._Path(folder), True)
+                    raise
         return self._publish(n, info)
 
     def _folders(self, folder: str) -> list[str]:
         return [st.getPath().getName() for st in self._fs.listStatus(self._Path(folder)) if st.isDirectory() and "=" in st.getPath().getName()]
 
+    def restate(self, extra: dict) -> int:
+        """Publish the current version's folders again with further facts about them."""
+        cur = self.current_version()
+        return self._publish(cur + 1, {**self.commit_info(cur), **extra, "version": cur + 1})
+
     def commit_history(self, rows: DataFrame, run_id: str = "", batch_id: int | None = None) -> int:
         """Append-only history commit: write only this run's rows, partitioned by ``is_current``.
 
