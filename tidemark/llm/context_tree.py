@@ -6,26 +6,31 @@ its Krichevsky-Trofimov estimate with what its children say, half and half befor
 from 0 to ``depth`` weigh in by how well they predicted the whole training corpus. Training counts are fixed;
 scoring follows the path of contexts and mixes the estimates by the posterior weights.
 
-How it runs on Spark: texts are cut into blocks of bounded size. Every block sends its distinct byte grams
-(context and byte) and distinct words with their training counts; they are summed over the corpus by key.
-The grams' trees are worked out two depths at a time, grouped by the context at the upper one (bounded by the
-alphabet, not by the corpus); only the two shallowest levels, at most 65,536 nodes, go to the driver. The scored grams and word
-counts go back to exactly the blocks that hold them, and each block scores its texts. Nothing that grows
-with the corpus is broadcast or collected, and no count is cut off.
+How it runs on Spark: texts are cut into blocks of bounded size and kept bucketed by block. Every block sends its
+distinct byte grams (context and byte) and distinct words with their training counts to slots: a gram's slot
+follows from its nearest context bytes, so a slot holds whole subtrees below that depth. What is sent is sorted from
+the nearest context byte outwards, delta-coded and compressed (some three bytes a gram). A slot adds up the counts of
+all blocks, works out its subtrees and hands their roots on; the few depths above are worked out by grouped steps, and
+only the two shallowest levels, at most 65,536 nodes, go to the driver. What the shallower depths say comes back to the
+slots, and every slot answers each block with one number per gram or word, in the order in which the block sent them.
+Blocks then score their texts. Nothing that grows with the corpus is broadcast or collected, and no count is cut off.
 
 Null texts count as empty (one end symbol); a null id counts as training; repeated rows are scored each;
-an empty table gives an empty result; a corpus without training rows scores every bit one half.
+an empty table gives an empty result; a corpus without training rows scores every bit one half; a very long text is
+a block of its own, in memory; ties do not occur. Only the two named columns are read, so no other column can clash.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
+import zlib
 from collections import Counter
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +38,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from tidemark.llm.common import stage
+from tidemark.session import scratch_path
 
 DEPTH = 6  # contexts deep enough that their number grows with the corpus; grams of depth + 1 bytes fit a long up to 7
 BLOCK_BYTES = 8 << 20
@@ -157,104 +163,205 @@ def states_down(levels: list[Level], base: int, state: tuple[np.ndarray, ...]) -
     return state
 
 
-GROUP_BYTES = 2  # the depths of a tree are worked out so many at a time
-GROUPS, GROUP_ROWS = 1024, 1 << 16  # groups at least, rows a group otherwise
+# ---- what blocks and slots tell each other ------------------------------------------------------------------
 
+GRAMS, WORDS = 0, 1
+FIXED = 1 << 24  # log10 probabilities travel as integers of this part
 
-def gram_scores(total: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """``total(gram, n)`` -> (gram, value): log10 probability of every gram under the trees of those with n > 0.
 
-    Up: the nodes at every second depth are found from those two depths deeper, grouped by their context there
-    (some contexts a group, as many groups as rows need), so a context's group is bounded by the alphabet.
-    Down: what the shallower depths say is handed to the nodes in the same steps.
-    """
-    bases = list(range(GROUP_BYTES, max(depth, GROUP_BYTES + 1), GROUP_BYTES))[::-1]
-    columns = "node bigint, n0 double, n1 double, log_pw double"
-    values = ["n0", "n1", "log_pw"]
+def slot_depth(depth: int) -> int:
+    """Context bytes that decide a gram's slot; the trees below that depth lie in one slot."""
+    return 3 if depth > 4 else 2
+
+
+def slots_of(contexts: np.ndarray, width: int, slots: int) -> np.ndarray:
+    """Slot of contexts, by their ``width`` nearest bytes."""
+    near = (contexts & ((1 << 8 * width) - 1)).astype(np.uint64)
+    return ((near * _MIX >> np.uint64(32)) % np.uint64(slots)).astype(np.int32)
 
-    def grouped(df: DataFrame, name: str, width: int, n: int) -> DataFrame:
-        context = F.shiftright(name, 8).bitwiseAND(F.lit((1 << 8 * width) - 1))
-        return df.withColumn("g", F.pmod(F.xxhash64(context), F.lit(n)))
+
+def outwards(codes: np.ndarray, depth: int) -> np.ndarray:
+    """Codes with the nearest context byte in front and the symbol last; its own inverse but for the order of bytes."""
+    codes, out = codes.view(np.uint64), np.zeros(len(codes), dtype=np.uint64)
+    for i in [*range(1, depth + 1), 0]:
+        out = out << np.uint64(8) | codes >> np.uint64(8 * i) & np.uint64(0xFF)
+    return out
+
+
+def inwards(turned: np.ndarray, depth: int) -> np.ndarray:
+    out = np.zeros(len(turned), dtype=np.uint64)
+    for i in [*range(1, depth + 1), 0]:
+        out = out << np.uint64(8) | turned >> np.uint64(8 * i) & np.uint64(0xFF)
+    return out.view(np.int64)
+
+
+def squeeze(values: np.ndarray) -> bytes:
+    """Numbers of any width by byte planes, compressed."""
+    width = values.dtype.itemsize
+    return zstandard.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, width).T).tobytes(), 1)
+
+
+def unsqueeze(data: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), dtype=np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def in_slots(codes: np.ndarray, depth: int, slots: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(turned codes, slot of each, order of ``codes``) by slot, then outwards."""
+    turned, slot = outwards(codes, depth), slots_of(codes >> 8, slot_depth(depth), slots)
+    order = np.argsort(turned)
+    order = order[np.argsort(slot[order], kind="stable")]
+    return turned[order], slot[order], order
+
+
+def word_slot(word: bytes, slots: int) -> int:
+    return zlib.crc32(word) % slots
+
+
+PARTS = "slot int, block bigint, kind int, keys binary, counts binary"
+PARTS_ARROW = pa.schema([("slot", pa.int32()), ("block", pa.int64()), ("kind", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+
+
+def block_parts(block: int, held: list[bool], body: list[bytes], depth: int, slots: int) -> pa.RecordBatch:
+    """What one block sends: a row a slot for its grams and one for its words (those without training count 0)."""
+    words: Counter = Counter()
+    train = [t for h, t in zip(held, body) if not h]
+    for t in train:
+        words.update(t.split())
+        words[END_WORD] += 1
+    rest = [t for h, t in zip(held, body) if h]
+    for w in {w for t in rest for w in t.split()} | {END_WORD}:
+        words.setdefault(w, 0)
+    codes, n = np.unique(grams(train, depth)[0], return_counts=True)
+    other = np.setdiff1d(np.unique(grams(rest, depth)[0]), codes, assume_unique=True)
+    n = np.concatenate([n, np.zeros(len(other), dtype=n.dtype)]).astype("<u4")
+    turned, slot, order = in_slots(np.concatenate([codes, other]), depth, slots)
+    cuts = np.flatnonzero(np.diff(slot)) + 1
+    rows = [(int(s[0]), block, GRAMS, squeeze(np.diff(t, prepend=np.uint64(0))), squeeze(c))
+            for s, t, c in zip(np.split(slot, cuts), np.split(turned, cuts), np.split(n[order], cuts)) if len(s)]
+    by_slot: dict[int, list[bytes]] = {}
+    for w in sorted(words):
+        by_slot.setdefault(word_slot(w, slots), []).append(w)
+    rows += [(s, block, WORDS, zstandard.compress(b"\n".join(ws), 1), squeeze(np.array([words[w] for w in ws], dtype="<u4")))
+             for s, ws in by_slot.items()]
+    return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows), PARTS_ARROW)], schema=PARTS_ARROW)
+
+
+class Slot:
+    """The parts of one slot, added up."""
+
+    def __init__(self, parts: pa.Table, depth: int):
+        rows = list(zip(*(parts.column(c).to_pylist() for c in ("block", "kind", "keys", "counts"))))
+        self.grams = [(b, np.cumsum(unsqueeze(k, "<u8"), dtype=np.uint64), unsqueeze(n, "<u4")) for b, kind, k, n in rows if kind == GRAMS]
+        self.words = [(b, zstandard.decompress(k).split(b"\n"), unsqueeze(n, "<u4")) for b, kind, k, n in rows if kind == WORDS]
+        turned = np.concatenate([k for _, k, _ in self.grams]) if self.grams else np.zeros(0, dtype=np.uint64)
+        n = np.concatenate([n for *_, n in self.grams]).astype(np.int64) if self.grams else np.zeros(0, dtype=np.int64)
+        order = np.argsort(turned)
+        turned, n = turned[order], n[order]
+        first = np.flatnonzero(np.concatenate([[True], turned[1:] != turned[:-1]])) if len(turned) else np.zeros(0, dtype=np.int64)
+        self.turned = turned[first]
+        self.codes = inwards(self.turned, depth)
+        self.n = np.add.reduceat(n, first) if len(first) else n
+        self.total: Counter = Counter()
+        for _, ws, n in self.words:
+            for w, c in zip(ws, n.tolist()):
+                self.total[w] += c
+
+
+STATS = -1  # the node number of a slot's word statistics
+
+
+def model_answers(parts: DataFrame, depth: int, slots: int) -> tuple[DataFrame, int, int]:
+    """``(block, slot, kind, values)`` for every part, the training tokens and the distinct ones."""
+    base = slot_depth(depth)
+    node_columns = "node bigint, n0 double, n1 double, log_pw double"
+
+    def roots(table: pa.Table) -> pa.Table:
+        slot = Slot(table, depth)
+        cols = [[STATS], [float(sum(slot.total.values()))], [float(sum(c > 0 for c in slot.total.values()))], [0.0]]
+        if len(slot.codes):
+            root = levels_up(gram_level(slot.codes, slot.n), depth, base)[-1]
+            cols = [np.concatenate([a, b]) for a, b in zip(cols, (root.keys, root.n0, root.n1, root.log_pw))]
+        return pa.Table.from_arrays([pa.array(np.asarray(c), type=f.type) for c, f in zip(cols, nodes_arrow)], schema=nodes_arrow)
+
+    nodes_arrow = to_arrow_schema(StructType.fromDDL(node_columns))
+    found = stage(parts.groupBy("slot").applyInArrow(roots, node_columns), "ctw-nodes")
+    stats = found.where(F.col("node") == STATS).agg(F.coalesce(F.sum("n0"), F.lit(0.0)), F.coalesce(F.sum("n1"), F.lit(0.0))).first()
+    nodes = found.where(F.col("node") != STATS)
 
     def level_of(pdf: pd.DataFrame) -> Level:
-        """Nodes (node, n0, n1, log_pw) of one depth, or gram counts, as a level."""
-        if "gram" in pdf:
-            return gram_level(pdf["gram"].to_numpy(), pdf["n"].to_numpy())
         pdf = pdf.sort_values("node")
         level = Level(*(pdf[c].to_numpy() for c in ("node", "n0", "n1")), None)
         level.log_pw = pdf["log_pw"].to_numpy()
         return level
 
-    def roots(width: int, base: int):
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            root = levels_up(level_of(pdf), width, base)[-1]
-            return pd.DataFrame({"node": root.keys, "n0": root.n0, "n1": root.n1, "log_pw": root.log_pw})
-        return run
-
-    nodes, sizes, width, n = {depth: total}, {}, depth, total.count()
-    for base in bases:
-        sizes[base] = max(GROUPS, n // GROUP_ROWS)
-        name = "gram" if width == depth else "node"
-        nodes[base] = stage(grouped(nodes[width], name, base, sizes[base]).groupBy("g").applyInPandas(roots(width, base), columns),
-                            "ctw-nodes")
-        n, width = nodes[base].count(), base
+    def step_up(pdf: pd.DataFrame) -> pd.DataFrame:
+        root = level_from_children(level_of(pdf), base)
+        return pd.DataFrame({"node": root.keys, "n0": root.n0, "n1": root.n1, "log_pw": root.log_pw})
+
+    context2 = F.shiftright("node", 8).bitwiseAND(F.lit(0xFFFF))  # at most 256 contexts of three bytes each
+    two = nodes if base == 2 else stage(nodes.groupBy(context2.alias("c")).applyInPandas(step_up, node_columns), "ctw-nodes")
     # sums over the children of the 256 contexts of one byte: at most 65,536 rows
-    parent = F.col("node").bitwiseAND(F.lit(0xFFFF))
-    rows = nodes[width].groupBy(parent.alias("node")).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"),
-                                                          F.sum("log_pw").alias("below")).toPandas().sort_values("node")
+    rows = two.groupBy(F.col("node").bitwiseAND(F.lit(0xFFFF)).alias("node")).agg(
+        F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("log_pw").alias("below")).toPandas().sort_values("node")
     one = Level(*(rows[c].to_numpy() for c in ("node", "n0", "n1", "below")))
     zero = level_from_children(one, 1)
     start = (np.zeros(len(zero.keys)), np.zeros(len(zero.keys)), np.ones(len(zero.keys)))
     top_keys, top = one.keys, one.mixed(states_down([one, zero], 0, start))
 
     def below_top(keys: np.ndarray) -> tuple[np.ndarray, ...]:
-        return take(top, np.searchsorted(top_keys, parents(keys, GROUP_BYTES)))
-
-    def handed(pdf: pd.DataFrame) -> tuple[np.ndarray, ...]:
-        pdf = pdf.sort_values("node")
-        return tuple(pdf[c].to_numpy() for c in ("zero", "one", "rest"))
-
-    def down(width: int, base: int):
-        """What a group gives: the states of its nodes or, at full depth, the scores of its grams."""
-        def run(pdf: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
-            return result(pdf, levels_up(level_of(pdf), width, base), handed(state))
-
-        def first(pdf: pd.DataFrame) -> pd.DataFrame:
-            levels = levels_up(level_of(pdf), width, base)
-            return result(pdf, levels, below_top(levels[-1].keys))
-
-        def result(pdf: pd.DataFrame, levels: list[Level], state: tuple[np.ndarray, ...]) -> pd.DataFrame:
-            state = states_down(levels, base, state)
-            if width == depth:
-                return score(pdf["gram"].to_numpy(), levels[0], state)
-            return pd.DataFrame({"node": levels[0].keys, "zero": state[0], "one": state[1], "rest": state[2]})
-        return first if base == GROUP_BYTES else run
-
-    def score(codes: np.ndarray, deepest: Level, state: tuple[np.ndarray, ...]) -> pd.DataFrame:
-        zero, one, _ = deepest.mixed(state)
-        path, bits = bit_path(codes & 0xFF)
-        at = np.searchsorted(deepest.keys, ((codes >> 8)[:, None] << 8) | path)
-        return pd.DataFrame({"gram": codes, "value": np.log10(np.where(bits == 1, one[at], zero[at])).sum(axis=1)})
-
-    state = None
-    for base, width in zip(bases[::-1], [*bases[-2::-1], depth]):
-        name = "gram" if width == depth else "node"
-        run = down(width, base)
-        out = "gram bigint, value double" if width == depth else "node bigint, zero double, one double, rest double"
-        rows = grouped(nodes[width], name, base, sizes[base]).groupBy("g")
-        if state is None:
-            state = rows.applyInPandas(run, out)
-        else:
-            state = rows.cogroup(grouped(state, "node", base, sizes[base]).groupBy("g")).applyInPandas(run, out)
-        if width != depth:
-            state = stage(state, "ctw-states")
-    return state
+        return take(top, np.searchsorted(top_keys, parents(keys, 2)))
+
+    def answers(table: pa.Table, state) -> pa.Table:
+        """``state(keys)`` is what the shallower depths say at the slot's roots."""
+        slot = Slot(table, depth)
+        at = int(table.column("slot")[0].as_py()) if len(table) else 0
+        out = []
+        if len(slot.codes):
+            levels = levels_up(gram_level(slot.codes, slot.n), depth, base)
+            told = states_down(levels, base, state(levels[-1].keys))
+            p0, p1, _ = levels[0].mixed(told)
+            value = np.zeros(len(slot.codes))
+            for lo in range(0, len(slot.codes), 1 << 16):  # eight decisions a gram, some grams at a time
+                codes = slot.codes[lo:lo + (1 << 16)]
+                path, bits = bit_path(codes & 0xFF)
+                node = np.searchsorted(levels[0].keys, ((codes >> 8)[:, None] << 8) | path)
+                value[lo:lo + len(codes)] = np.log10(np.where(bits == 1, p1[node], p0[node])).sum(axis=1)
+            fixed = np.round(value * FIXED).astype("<i4")
+            out += [(b, at, GRAMS, squeeze(fixed[np.searchsorted(slot.turned, k)])) for b, k, _ in slot.grams]
+        out += [(b, at, WORDS, squeeze(np.array([slot.total[w] for w in ws], dtype="<u8"))) for b, ws, _ in slot.words]
+        cols = list(zip(*out)) or [()] * 4
+        return pa.Table.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, answer_arrow)], schema=answer_arrow)
+
+    answer_columns = "block bigint, slot int, kind int, data binary"
+    answer_arrow = to_arrow_schema(StructType.fromDDL(answer_columns))
+    if base == 2:
+        told = parts.groupBy("slot").applyInArrow(lambda t: answers(t, below_top), answer_columns)
+    else:
+        def step_down(pdf: pd.DataFrame) -> pd.DataFrame:
+            child = level_of(pdf)
+            levels = [child, level_from_children(child, base)]
+            state = states_down(levels, 2, below_top(levels[-1].keys))
+            return pd.DataFrame({"slot": slots_of(child.keys >> 8, base, slots), "node": child.keys, "zero": state[0],
+                                 "one": state[1], "rest": state[2]})
+
+        states = stage(nodes.groupBy(context2.alias("c")).applyInPandas(
+            step_down, "slot int, node bigint, zero double, one double, rest double"), "ctw-states")
+
+        def with_states(table: pa.Table, said: pa.Table) -> pa.Table:
+            keys = said.column("node").to_numpy()
+            order = np.argsort(keys)
+            told = tuple(said.column(c).to_numpy()[order] for c in ("zero", "one", "rest"))
+            return answers(table, lambda wanted: take(told, np.searchsorted(keys[order], wanted)))
+
+        told = parts.groupBy("slot").cogroup(states.groupBy("slot")).applyInArrow(with_states, answer_columns)
+    return told, int(stats[0]), int(stats[1])
 
 
 # ---- blocks -----------------------------------------------------------------------------------------------
 
 def in_blocks(docs: DataFrame, key: str, text: str, block_bytes: int) -> DataFrame:
-    """Staged (block, key, held_out, body): rows in the order read, blocks of about ``block_bytes``."""
+    """Kept (block, key, held_out, body): rows in the order read, blocks of about ``block_bytes``."""
     kind = docs.schema[key].dataType.simpleString()
     schema = StructType.fromDDL(f"block bigint, `{key}` {kind}, held_out boolean, body binary")
     arrow = to_arrow_schema(schema)
@@ -273,48 +380,22 @@ def in_blocks(docs: DataFrame, key: str, text: str, block_bytes: int) -> DataFra
             yield pa.RecordBatch.from_arrays([pa.array(blocks, type=pa.int64()), b.column(0), b.column(1),
                                               pa.array(body, type=arrow.field(3).type)], schema=arrow)
 
-    return stage(docs.select(key, (crc % 7 == 2).alias("held_out"), text).mapInArrow(run, schema), "ctw-blocks")
-
+    spark = docs.sparkSession
+    cut = docs.select(key, (crc % 7 == 2).alias("held_out"), text).mapInArrow(run, schema)
+    # bucketed by block in the shared folder: the texts are not shuffled when the answers join them
+    name = f"ctw_blocks_{uuid.uuid4().hex[:12]}"
+    (cut.write.option("compression", "zstd").option("path", scratch_path(spark, name))
+     .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").saveAsTable(name))
+    return spark.table(name)
 
-def block_counts(blocks: DataFrame, depth: int) -> DataFrame:
-    """(block, gram, word, n): the distinct grams and words of each block with their training counts."""
-    schema = StructType.fromDDL("block bigint, gram bigint, word binary, n bigint")
-    arrow = to_arrow_schema(schema)
-
-    def counted(block, held, body):
-        words = Counter()
-        train = [t for h, t in zip(held, body) if not h]
-        for t in train:
-            words.update(t.split())
-            words[END_WORD] += 1
-        codes, n = np.unique(grams(train, depth)[0], return_counts=True)
-        rest = [t for h, t in zip(held, body) if h]
-        for w in {w for t in rest for w in t.split()} | {END_WORD}:
-            words.setdefault(w, 0)
-        other = np.setdiff1d(np.unique(grams(rest, depth)[0]), codes, assume_unique=True)
-        gram = np.concatenate([codes, other])
-        gram_n = np.concatenate([n, np.zeros(len(other), dtype=np.int64)])
-        a, b = len(gram), len(words)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(a, block)), pa.array(gram), pa.nulls(a, arrow.field(2).type),
-                                          pa.array(gram_n)], schema=arrow)
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(b, block)), pa.nulls(b, pa.int64()),
-                                          pa.array(list(words), type=arrow.field(2).type),
-                                          pa.array(list(words.values()), type=pa.int64())], schema=arrow)
 
-    def run(batches):
-        at, held, body = None, [], []
-        for b in batches:
-            for block, h, t in zip(*(b.column(i).to_pylist() for i in range(3))):
-                if block != at and body:
-                    yield from counted(at, held, body)
-                    held, body = [], []
-                at = block
-                held.append(h)
-                body.append(t)
-        if body:
-            yield from counted(at, held, body)
+def all_parts(blocks: DataFrame, depth: int, slots: int) -> DataFrame:
+    """What the blocks send to the slots; the buckets bring a block's texts together."""
+    def run(texts: pa.Table) -> pa.Table:
+        block, held, body = (texts.column(c).to_pylist() for c in ("block", "held_out", "body"))
+        return pa.Table.from_batches([block_parts(block[0], held, body, depth, slots)])
 
-    return blocks.select("block", "held_out", "body").mapInArrow(run, schema)
+    return blocks.select("block", "held_out", "body").groupBy("block").applyInArrow(run, PARTS)
 
 
 def look_up(codes: np.ndarray, keys: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -332,37 +413,32 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int =
           block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row: key, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte."""
     blocks = in_blocks(docs, key, text, block_bytes)
-    counts = stage(block_counts(blocks, depth), "ctw-counts")
-    grams_, words = counts.where("gram is not null").select("block", "gram", "n"), counts.where("word is not null").select("block", "word", "n")
-    total_grams = stage(grams_.groupBy("gram").agg(F.sum("n").alias("n")), "ctw-grams")
-    total_words = stage(words.groupBy("word").agg(F.sum("n").cast("double").alias("value")), "ctw-words")
-    n_train, n_distinct = total_words.where("value > 0").agg(F.coalesce(F.sum("value"), F.lit(0.0)), F.count("*")).first()
-    n_train = int(n_train)
+    slots = max(64, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = stage(all_parts(blocks, depth, slots), "ctw-parts")
+    answers, n_train, n_distinct = model_answers(parts, depth, slots)
     denominator = float(n_train + n_distinct + 1)
-    scored = stage(gram_scores(total_grams, depth), "ctw-model")
-    none_gram, none_word = F.lit(None).cast("bigint").alias("gram"), F.lit(None).cast("binary").alias("word")
-    model = (grams_.select("block", "gram").join(scored, "gram").select("block", "gram", none_word, "value")
-             .unionByName(words.select("block", "word").join(total_words, "word").select("block", none_gram, "word", "value")))
     kind = docs.schema[key].dataType.simpleString()
     out = StructType.fromDDL(f"`{key}` {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
                              "base_score double, score double, bits_per_byte double")
     arrow = to_arrow_schema(out)
 
-    def run(texts: pa.Table, fetched: pa.Table) -> pa.Table:
-        is_gram = fetched.column("gram").is_valid()
-        g = fetched.filter(is_gram)
-        keys, values = g.column("gram").to_numpy(), g.column("value").to_numpy()
-        order = np.argsort(keys)
+    def run(texts: pa.Table, told: pa.Table) -> pa.Table:
         body = texts.column("body").to_pylist()
+        rows = sorted(zip(*(told.column(c).to_pylist() for c in ("kind", "slot", "data"))), key=lambda r: r[:2])
         codes, first = grams(body, depth)
-        lp = np.add.reduceat(look_up(codes, keys[order], values[order]), first) if len(body) else np.zeros(0)
-        w = fetched.filter(pa.compute.invert(is_gram))
-        index = {x: i for i, x in enumerate(w.column("word").to_pylist())}
-        c = w.column("value").to_numpy()
+        distinct = np.unique(codes)
+        values = np.empty(len(distinct))
+        values[in_slots(distinct, depth, slots)[2]] = np.concatenate([unsqueeze(d, "<i4") for k, _, d in rows if k == GRAMS]) / FIXED
+        lp = np.add.reduceat(look_up(codes, distinct, values), first) if len(body) else np.zeros(0)
+        tokens = [[END_WORD, *t.split()] for t in body]
+        by_slot: dict[int, list[bytes]] = {}
+        for w in sorted({w for t in tokens for w in t}):
+            by_slot.setdefault(word_slot(w, slots), []).append(w)
+        index = {w: i for i, w in enumerate(w for s in sorted(by_slot) for w in by_slot[s])}
+        c = np.concatenate([unsqueeze(d, "<u8") for k, _, d in rows if k == WORDS]).astype(np.float64)
         logs, known = np.log10((c + 1) / denominator), c > 0
-        tokens = [[index[END_WORD], *map(index.__getitem__, t.split())] for t in body]
         sizes = np.array([len(t) for t in tokens], dtype=np.int64)
-        flat = np.fromiter((i for t in tokens for i in t), dtype=np.int64, count=int(sizes.sum()))
+        flat = np.fromiter((index[w] for t in tokens for w in t), dtype=np.int64, count=int(sizes.sum()))
         start = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         n_bytes = np.array([len(t) + 1 for t in body])
         return pa.Table.from_arrays(
@@ -371,4 +447,4 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int =
              pa.array(np.add.reduceat(logs[flat], start)), pa.array(lp), pa.array(-lp / math.log10(2) / n_bytes)],
             schema=arrow)
 
-    return blocks.groupBy("block").cogroup(model.groupBy("block")).applyInArrow(run, out)
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, out)
