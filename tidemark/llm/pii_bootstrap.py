@@ -41,6 +41,7 @@ MIN_SUPPORT = 3       # distinct known instances of a pattern
 MIN_PATTERN = 0.8     # confidence of a pattern that may vote
 MIN_INSTANCE = 0.9    # 1 - product of (1 - confidence) over the patterns of an instance
 ROUNDS = 200          # rounds end by themselves when nothing is added; reaching this is an error
+WINDOW = 80           # characters looked at first for context words
 _MARK = r"[\[({<](?i:at|dot)[\])}>]"
 _ANCHOR = re.compile(rf"[\d@_]|\b[:/=+.]+\b|{_MARK}")
 _CHUNK = re.compile(r"\S+")
@@ -100,19 +101,32 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 class Words:
-    """The words of a text, found once; context words come by bisection, however far they are."""
+    """Context words of a text: from the characters close by, or, where these are too few, from an index of all words
+    that is made once."""
 
     def __init__(self, text: str):
-        spans = [m.span() for m in _WORDS.finditer(text)]
-        self.text, self.starts, self.ends = text, [a for a, _ in spans], [b for _, b in spans]
+        self.text, self.starts, self.ends = text, None, None
+
+    def _index(self) -> None:
+        if self.starts is None:
+            spans = [m.span() for m in _WORDS.finditer(self.text)]
+            self.starts, self.ends = [a for a, _ in spans], [b for _, b in spans]
 
     def before(self, at: int, n: int) -> list[str]:
         """The ``n`` nearest words before ``at``, lower-cased; a word over ``at`` is cut there."""
+        found = _WORDS.findall(self.text, max(0, at - WINDOW), at)
+        if len(found) > n or at <= WINDOW:  # the outermost of a window may be a fragment
+            return [w.lower() for w in found[-n:]]
+        self._index()
         i = bisect_left(self.starts, at)
         return [self.text[self.starts[j]:min(self.ends[j], at)].lower() for j in range(max(0, i - n), i)]
 
     def after(self, at: int) -> list[str]:
         """The nearest word behind ``at``, lower-cased; a word over ``at`` is cut there."""
+        found = _WORDS.search(self.text, at, at + WINDOW)
+        if found and found.end() < at + WINDOW:
+            return [found[0].lower()]
+        self._index()
         i = bisect_right(self.ends, at)
         return [self.text[max(self.starts[i], at):self.ends[i]].lower()] if i < len(self.ends) else []
 
@@ -197,7 +211,7 @@ def occurrences(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
 
     ``seq`` is where the sequence begins; ``whole`` is false for its parts.
     """
-    words = Words(text) if base or _ANCHOR.search(text) else None
+    words = Words(text)
     out = [{"s": s, "e": e, "kind": KINDS[k], "inst": text[s:e].lower(), "pats": patterns(words, s, e), "seq": s, "whole": True}
            for k, s, e in base]
     taken: list[tuple[int, int]] = []
