@@ -441,3 +441,44 @@ def test_pipeline_stages_on_edge_rows_and_nothing(spark):
             if name == "simhash_near_dedup" and rows:
                 assert sum(r.doc_id == 4 for r in out.collect()) == 1  # repeated rows: one stays
             assert n == 0 or rows
+
+
+def test_repair_goes_on_until_no_pair_pays():
+    rng = np.random.default_rng(7)
+    passage = rng.choice(np.arange(100, 40_000), 64, replace=False)
+    text = np.concatenate([np.concatenate([passage, [60]]) for _ in range(20)]).astype("<u4")
+    rules, body = repair_ids.compress(text)
+    lengths = repair_ids.lengths_of(rules)
+    assert len(body) <= 60 and lengths.max() >= 64  # 1300 ids
+    assert (repair_ids.expand(body, rules, lengths) == text).all()
+    one = np.full(5000, 7, dtype="<u4")
+    rules, body = repair_ids.compress(one)
+    assert len(rules) + len(body) < 40 and (repair_ids.expand(body, rules, repair_ids.lengths_of(rules)) == one).all()
+    # what is left has no pair that pays for a rule
+    for ids in (text, rng.choice(np.arange(3, 60), 50_000).astype("<u4")):
+        rules, body = repair_ids.compress(ids)
+        pairs = Counter(zip(body[:-1].tolist(), body[1:].tolist()))
+        uses = {p: repair_ids.paying_pairs(body, repair_ids.END_ID, 7) for p in list(pairs)[:1]}
+        assert all(len(at) == 0 for _, at, _ in uses.values())
+        assert (repair_ids.expand(body, rules, repair_ids.lengths_of(rules)) == ids).all()
+
+
+def test_repair_wide_symbols(monkeypatch):
+    rng = np.random.default_rng(8)
+    passages = [rng.choice(np.arange(100, 40_000), 200, replace=False) for _ in range(40)]
+    ids = np.concatenate([p for _ in range(30) for p in passages]).astype("<u4")
+    narrow = repair_ids.VOCABULARY + 50  # two bytes are full soon, and four pay: nearly everything repeats
+    rules, body = repair_ids.compress(ids, narrow=narrow)
+    assert len(rules) > 50 and (repair_ids.expand(body, rules, repair_ids.lengths_of(rules)) == ids).all()
+    monkeypatch.setattr(repair_ids, "NARROW", narrow)
+    monkeypatch.setattr(repair_ids.compress, "__defaults__", (repair_ids.VOCABULARY, repair_ids.END_ID, narrow))
+    docs = [np.append(p, [repair_ids.END_ID]).astype("<u4") for _ in range(30) for p in passages]
+    row = repair_ids._shard_row(0, 0, 0, list(range(len(docs))), [d.tobytes() for d in docs])
+    assert row["wide"]
+    for i in (0, 5, len(docs) - 1):
+        assert (repair_ids.read_document(row, i) == docs[i]).all()
+    got, ends = repair_ids.read_shard(row)
+    assert (got == np.concatenate(docs)).all() and len(ends) == len(docs)
+    # random ids repeat nothing: two bytes stay
+    noise = rng.integers(100, 40_000, 20_000).astype("<u4")
+    assert len(repair_ids.compress(noise, narrow=narrow)[0]) == 0

@@ -1,8 +1,9 @@
 """Token ids in binary shards under Re-Pair grammar compression.
 
 Documents are range-sorted by id and tokenized where they land. Each task cuts its run into shards of about
-``SHARD_IDS`` ids; a shard is compressed by itself: in every round its frequent adjacent pairs become
-nonterminals and are replaced, until no pair is frequent or the rounds are over. No pair holds the end id,
+``SHARD_IDS`` ids; a shard is compressed by itself: in every round all adjacent pairs that pay for a rule become
+nonterminals and are replaced, and rounds go on until no pair pays: a rule and its length take twelve bytes, every
+use saves a symbol. Symbols take two bytes while they fit and four afterwards, which must pay too. No pair holds the end id,
 so no nonterminal spans two documents, and any document can be decoded alone from its slice of the body. A shard is one row of a Parquet table:
 
     part, seq          the task and the shard's number in it; both ascend with the ids
@@ -35,44 +36,79 @@ from tidemark.session import scratch_path
 END_ID = 2
 VOCABULARY = 49_408
 SHARD_IDS = 1 << 20
-ROUNDS = 4
-PAIRS_PER_ROUND = 2048
-MIN_PAIR = 32  # a pair must occur so often in its shard to become a rule
-
-
-def compress(ids: np.ndarray, vocabulary: int = VOCABULARY, end: int = END_ID, rounds: int = ROUNDS,
-             per_round: int = PAIRS_PER_ROUND, min_pair: int = MIN_PAIR) -> tuple[np.ndarray, np.ndarray]:
+TOGETHER = 1 << 20  # characters of the documents that are tokenized together
+RULE_BYTES = 12
+NARROW = 1 << 16  # symbols that two bytes tell apart
+BUCKETS = 19  # bits; pairs are counted by hash before those that may pay are counted exactly
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def paying_pairs(seq: np.ndarray, end: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pairs, places, pair of each place): places to replace, no two overlapping, every pair used ``least`` times."""
+    codes = seq[:-1] << 32 | seq[1:]
+    may = (seq[:-1] != end) & (seq[1:] != end)
+    bucket = (codes.view(np.uint64) * _MIX >> np.uint64(64 - BUCKETS)).astype(np.int64)
+    at = np.flatnonzero(may & (np.bincount(bucket[may], minlength=1 << BUCKETS) >= least)[bucket])
+    pairs, of, n = np.unique(codes[at], return_inverse=True, return_counts=True)
+    n = np.where(pairs >> 32 == pairs & 0xFFFFFFFF, (n + 1) // 2, n)  # of a row of equal symbols half the pairs can go
+    keep = n[of] >= least
+    at, of = at[keep], of[keep]
+    # of pairs that overlap the more frequent one goes (or the later by code: the same one in every repetition)
+    rank = np.empty(len(pairs), dtype=np.int64)
+    rank[np.argsort(n, kind="stable")] = np.arange(len(pairs))
+    gone, chosen = np.zeros(len(seq) + 1, dtype=bool), []
+    while len(at):
+        mine, touch = rank[of], np.diff(at) == 1
+        top = np.ones(len(at), dtype=bool)
+        top[1:] &= ~touch | (mine[1:] >= mine[:-1])
+        top[:-1] &= ~touch | (mine[:-1] >= mine[1:])
+        # what still overlaps is a row of equal symbols: its first, third, ... pair
+        peak = np.flatnonzero(top)
+        first = np.ones(len(peak), dtype=bool)
+        first[1:] = np.diff(at[peak]) > 1
+        peak = peak[(at[peak] - at[peak][first][np.cumsum(first) - 1]) % 2 == 0]
+        chosen.append((at[peak], of[peak]))
+        gone[at[peak]] = gone[at[peak] + 1] = True
+        free = ~(gone[at] | gone[at + 1])
+        at, of = at[free], of[free]
+    if chosen:
+        at, of = (np.concatenate(x) for x in zip(*chosen))
+        order = np.argsort(at)
+        at, of = at[order], of[order]
+    uses = np.bincount(of, minlength=len(pairs))
+    keep = uses[of] >= least
+    return pairs, at[keep], of[keep]
+
+
+def compress(ids: np.ndarray, vocabulary: int = VOCABULARY, end: int = END_ID, narrow: int = NARROW) -> tuple[np.ndarray, np.ndarray]:
     """(rules, body): rules is an (n, 2) array of pairs, body the compressed symbols."""
     seq = ids.astype(np.int64)
     rules: list[np.ndarray] = []
-    n_rules = 0
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
-        codes = (seq[:-1] << 32) | seq[1:]
-        may = (seq[:-1] != end) & (seq[1:] != end)
-        pairs, counts = np.unique(codes[may], return_counts=True)
-        often = counts >= min_pair
-        pairs, counts = pairs[often], counts[often]
-        if not len(pairs):
+    n_rules, width = 0, 2 if vocabulary < narrow else 4
+    while len(seq) > 1:
+        pairs, at, of = paying_pairs(seq, end, RULE_BYTES // width + 1)
+        if not len(at):
             break
-        if len(pairs) > per_round:
-            pairs = np.sort(pairs[np.argsort(-counts, kind="stable")[:per_round]])
-        at = np.searchsorted(pairs, codes)
-        at[at == len(pairs)] = 0
-        hit = (pairs[at] == codes) & may
-        # neighbours that overlap: of every run of hits the first, third, ... are replaced
-        where = np.nonzero(hit)[0]
-        first = np.ones(len(where), dtype=bool)
-        first[1:] = np.diff(where) > 1
-        run = where[first][np.cumsum(first) - 1]
-        where = where[(where - run) % 2 == 0]
-        seq[where] = vocabulary + n_rules + at[where]
+        uses = np.bincount(of, minlength=len(pairs))
+        chosen = np.flatnonzero(uses)
+        room = narrow - vocabulary - n_rules
+        if width == 2 and len(chosen) > room:
+            if not room:  # every symbol of the body grows to four bytes: only where each is followed by one that pays
+                if 5 * len(at) < 2 * len(seq):
+                    break
+                width = 4
+            else:
+                chosen = np.sort(chosen[np.argsort(-uses[chosen], kind="stable")[:room]])
+        number = np.full(len(pairs), -1)
+        number[chosen] = np.arange(len(chosen))
+        new = number[of]
+        at, new = at[new >= 0], new[new >= 0]
+        seq[at] = vocabulary + n_rules + new
         keep = np.ones(len(seq), dtype=bool)
-        keep[where + 1] = False
+        keep[at + 1] = False
         seq = seq[keep]
-        rules.append(np.stack([pairs >> 32, pairs & 0xFFFFFFFF], axis=1))
-        n_rules += len(pairs)
+        rules.append(np.stack([pairs[chosen] >> 32, pairs[chosen] & 0xFFFFFFFF], axis=1))
+        n_rules += len(chosen)
     grammar = np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.int64)
     return grammar, seq
 
@@ -114,12 +150,25 @@ def _shard_row(part: int, seq: int, start: int, keys: list, ids: list[bytes]) ->
     if len(ends) != len(keys):  # the end id also stands inside texts: count the documents by their sizes
         done = np.cumsum(np.concatenate([np.ones(VOCABULARY, dtype=np.int64), lengths])[body])
         ends = np.searchsorted(done, np.cumsum(sizes)) + 1
-    wide = VOCABULARY + len(rules) > 1 << 16
+    wide = VOCABULARY + len(rules) > NARROW
     return {"part": part, "seq": seq, "start": start, "n_ids": len(flat), "rules": rules.astype("<u4").tobytes(),
             "lengths": lengths.astype("<u4").tobytes(), "body": body.astype("<u4" if wide else "<u2").tobytes(),
             "wide": wide, "ends": ends.astype("<u4").tobytes(), "keys": keys}
 
 
+def in_groups(rows, characters: int):
+    """Lists of rows (key, text) of about so many characters."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[1] or "")
+        if size >= characters:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def write_ids(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
               vocabulary: str | None = None) -> None:
     """Writes the shards of all rows in ascending ``key`` order (the sort also splits a hot key)."""
@@ -132,9 +181,10 @@ def write_ids(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text
         tok = word_tokenizer(vocabulary)
         part, seq, start, held, keys, ids = TaskContext.get().partitionId(), 0, 0, 0, [], []
         rest = (x for b in batches for x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
-        for k, t in rest:
+        told = (x for some in in_groups(rest, TOGETHER) for x in zip((k for k, _ in some), tok.many([t for _, t in some])))
+        for k, mine in told:
             keys.append(k)
-            ids.append(tok.ids(t) + end)
+            ids.append(mine + end)
             held += len(ids[-1]) // 4
             if held >= SHARD_IDS:
                 yield pa.RecordBatch.from_pylist([_shard_row(part, seq, start, keys, ids)], schema=arrow)

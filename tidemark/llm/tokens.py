@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import base64
 import re
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 
@@ -24,10 +24,12 @@ BYTE_SPECIALS = {"<|endoftext|>": 50256}
 WORD_SPECIALS = {"<|startoftext|>": 49406, "<|endoftext|>": 49407}
 
 MEMO = 800_000
-PART = 4096  # chunks looked up at once
+PART, PARTS = 4096, 64  # chunks looked up at once, and so many parts together
+TOGETHER = 1024  # new chunks tokenized in one call
 _PLAIN = bytes(c + 32 if 0x41 <= c <= 0x5A else 0x20 if 0x09 <= c <= 0x0D else c for c in range(256))
 # marks other than the apostrophe (which may begin a contraction), between plain letters, digits or spaces
-_MARKS = re.compile(rb"(?<=[0-9a-z ])[!-&(-/:-@\[-`{-~]+(?=[0-9a-z ]|\Z)")
+_MARK = rb"[!-&(-/:-@\[-`{-~]"
+_MARKS = re.compile(_MARK + rb"(?<=[0-9a-z ]" + _MARK + rb")" + _MARK + rb"*(?=[0-9a-z ]|\Z)")
 
 
 class ByteTokenizer:
@@ -61,32 +63,46 @@ class WordTokenizer:
         self.special = re.compile("(" + "|".join(map(re.escape, WORD_SPECIALS)) + ")")
         self.memo: dict[bytes, bytes] = {}
 
-    def _learn(self, chunks: list[bytes]) -> None:
-        missing = list({c for c in chunks if c not in self.memo})
-        if len(self.memo) + len(missing) > MEMO:
+    def _learn(self, chunks: set[bytes]) -> None:
+        """Adds chunks to the memo, many as one text (a call a chunk costs several times as much): offsets tell
+        whose an id is."""
+        if len(self.memo) + len(chunks) > MEMO:
             self.memo.clear()
-            missing = list(set(chunks))
-        batch = self.tokenizer.encode_batch_fast([c.decode("utf-8", "surrogatepass") for c in missing],
-                                                 add_special_tokens=False)
-        for c, e in zip(missing, batch):
-            self.memo[c] = np.array(e.ids, dtype="<u4").tobytes()
+        missing = list(chunks)
+        names = [c.decode("utf-8", "surrogatepass") for c in missing]
+        for lo in range(0, len(names), TOGETHER):
+            part = names[lo:lo + TOGETHER]
+            told = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            begin = np.cumsum([0, *(len(x) + 1 for x in part)])
+            of = np.searchsorted(begin, np.array([a for a, _ in told.offsets], dtype=np.int64), "right") - 1
+            cuts = np.searchsorted(of, np.arange(len(part) + 1)).tolist()
+            ids = np.array(told.ids, dtype="<u4").tobytes()
+            for c, a, b in zip(missing[lo:lo + TOGETHER], cuts, cuts[1:]):
+                self.memo[c] = ids[4 * a:4 * b]
 
     def ids(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if "<|" in text and self.special.search(text):
-            return b"".join(np.array([WORD_SPECIALS[x]], dtype="<u4").tobytes() if x in WORD_SPECIALS else self.ids(x)
-                            for x in self.special.split(text))
-        plain = text.encode("utf-8", "surrogatepass").translate(_PLAIN)
-        chunks = iter(_MARKS.sub(rb" \g<0> ", plain).split())
-        out = []
-        while part := list(islice(chunks, PART)):
-            try:
-                out.append(b"".join(map(self.memo.__getitem__, part)))
-            except KeyError:
-                self._learn(part)
-                out.append(b"".join(map(self.memo.__getitem__, part)))
-        return b"".join(out)
+        return self.many([text])[0]
+
+    def many(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of some texts; what none of them has met before is tokenized together."""
+        if any(t and "<|" in t and self.special.search(t) for t in texts):
+            if len(texts) > 1:
+                return [self.ids(t) for t in texts]
+            return [b"".join(np.array([WORD_SPECIALS[x]], dtype="<u4").tobytes() if x in WORD_SPECIALS else self.ids(x)
+                             for x in self.special.split(texts[0]))]
+        split = [_MARKS.sub(rb" \g<0> ", t.encode("utf-8", "surrogatepass").translate(_PLAIN)).split() if t else [] for t in texts]
+        out: list[list[bytes]] = [[] for _ in texts]
+        # some chunks at a time, so that the memo may be cleared in between
+        parts = ((i, chunks[lo:lo + PART]) for i, chunks in enumerate(split) for lo in range(0, len(chunks), PART))
+        while some := list(islice(parts, PARTS)):
+            missing = set(chain.from_iterable(c for _, c in some)).difference(self.memo)
+            if len(self.memo) + len(missing) > MEMO:
+                missing = set(chain.from_iterable(c for _, c in some))
+            if missing:
+                self._learn(missing)
+            for i, chunks in some:
+                out[i].append(b"".join(map(self.memo.__getitem__, chunks)))
+        return [b"".join(x) for x in out]
 
 
 def byte_tokenizer(path: str | None) -> ByteTokenizer:
