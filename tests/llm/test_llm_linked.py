@@ -482,3 +482,11 @@ def test_repair_wide_symbols(monkeypatch):
     # random ids repeat nothing: two bytes stay
     noise = rng.integers(100, 40_000, 20_000).astype("<u4")
     assert len(repair_ids.compress(noise, narrow=narrow)[0]) == 0
+
+
+def test_pipeline_stages_keep_columns_of_any_name(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("__row", F.col("doc_id") * 3).withColumn("kept", F.lit("mine"))
+    for name, step in corpus_pipeline.STAGES[:4]:
+        out = step(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        assert out.where("__row <> doc_id * 3 or kept <> 'mine'").count() == 0 and out.count() > 0, name

@@ -445,3 +445,12 @@ def test_entropy_spans_by_brute_force():
 def test_scans_of_empty_tables(spark):
     assert secret_scan.scan(frame(spark, [])).count() == 0
     assert license_rules.scan(frame(spark, [])).count() == 0
+
+
+def test_quality_rules_replace_columns_with_the_names_of_results(spark):
+    docs = frame(spark, EDGE).withColumn("kept", F.lit("mine")).withColumn("n_words", F.lit(-1)).withColumn("base_failed", F.lit(9))
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    got = quality_llr.quality_rules(docs, labels)
+    want = quality_llr.quality_rules(frame(spark, EDGE), labels)
+    assert set(got.columns) == set(want.columns)
+    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))

@@ -8,6 +8,12 @@ more pieces than gaps (or the reverse) meet, ranks decide who matches. All match
 at once, the gaps shrink, and the next round begins. When nothing fits any more, the largest remaining
 pieces open as many sequences as their tokens need. The rounds' matches are rank ranges; one join against
 that small table places every piece, so no row is moved more than once, whatever the number of rounds.
+That the sweep itself runs on the driver, over run lengths instead of rows, is a departure from a sweep over distributed
+gaps: it makes the same matches (equal pieces are interchangeable) from at most ``capacity`` numbers a side.
+
+Defined results: null and empty texts are one piece that holds the end id alone; repeated rows are placed each; an empty
+table gives an empty result; a very long text is cut into pieces, its ids in memory; which of equal pieces goes where is
+settled by their row numbers. Only the key and the text are read, so no other column can clash.
 """
 
 from __future__ import annotations

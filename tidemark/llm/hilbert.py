@@ -12,7 +12,8 @@ written in, and one count per task shifts them. The sort key ends with a unique
 hot value nor repeated rows can pile up in one task.
 
 Defined results: null dimensions count as the smallest value, null text has no bytes and checksum 0; null
-and repeated ids are rows like any other; an empty table gives an empty result.
+and repeated ids are rows like any other; an empty table gives an empty result; of a very long text only its size and
+checksum take part. Only the named columns are read, so no other column can clash.
 """
 
 from __future__ import annotations

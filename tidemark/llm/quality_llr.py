@@ -11,7 +11,8 @@ the ratio table, which is one array of ``buckets`` doubles (a scalar subquery),
 
 Defined results: null, empty and word-less texts have no n-grams, score null and fail the base rules;
 repeated rows and ties are judged each on its own; an empty table gives an empty result; with no
-trusted document every ratio is 0, every document scores 0 and only the base rules decide.
+trusted document every ratio is 0, every document scores 0 and only the base rules decide; very long texts are
+judged whole, a row's n-grams in memory; columns of the input with the name of a result are replaced by it.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ MIN_SCORE = -0.35
 #: Pseudo-count of every cell in both multinomials.
 SMOOTHING = 1.0
 
+RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "llr_score", "kept")
+
 # Fixed values of the base rules.
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -143,6 +146,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
                   buckets: int = BUCKETS, min_score: float = MIN_SCORE,
                   trusted_docs: int = TRUSTED_DOCS) -> DataFrame:
     """``docs`` with the base counts, base_failed, llr_score and kept added; every row judged, none dropped."""
+    docs = docs.drop(*RESULTS)
     ratios = ratio_table(docs, trusted_ids(labels, trusted_docs), key, text, buckets)
     scored = with_score(base_rules(docs, text), ratios, text, buckets)
     judged = scored.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("llr_score") >= min_score, F.lit(False)))

@@ -15,7 +15,8 @@ so no nonterminal spans two documents, and any document can be decoded alone fro
     keys               ids of the documents, ascending, nulls first
 
 Null and empty texts hold their end id alone; repeated ids are documents like any other (equal ids are
-ordered by text, equal rows are interchangeable); an empty table gives an empty table.
+ordered by text, equal rows are interchangeable); an empty table gives an empty table; a very long text is a shard of its
+own, in memory. Only the key and the text are read, so no other column can clash.
 """
 
 from __future__ import annotations

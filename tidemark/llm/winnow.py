@@ -14,7 +14,9 @@ fingerprints that no item can have before anything is shuffled; what passes carr
 neither texts nor items are read again.
 
 Null and word-less texts have no words and no hits; null and word-less items have no window. Repeated rows
-come out repeatedly (rows are told apart by a staged row id); an empty benchmark hits nothing.
+come out repeatedly (rows are told apart by a staged row id); an empty benchmark hits nothing, an empty table gives an
+empty result; very long texts are read whole, their words in memory; equal hashes in a window are settled by the leftmost.
+Only the named columns are read, so no other column can clash.
 """
 
 from __future__ import annotations
