@@ -17,7 +17,12 @@ from pyspark.sql import functions as F
 from tidemark.llm import best_fit, quality_llr, secret_scan, simhash_mih, winnow
 from tidemark.llm.common import read_table, stage, with_row_id
 
-ROW = "__row"
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``docs`` has it."""
+    while name in docs.columns:
+        name += "_"
+    return name
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,21 +34,23 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of fingerprints linked at 3 or fewer differing bits."""
-    rows = with_row_id(docs, ROW, "dedup-docs")
-    found = simhash_mih.near_duplicates(rows, key=ROW)
-    ids = found.join(rows.select(ROW, "doc_id"), ROW)
-    first = ids.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("m"))
+    row = free_name(docs, "__row")
+    rows = with_row_id(docs, row, "dedup-docs")
+    found = simhash_mih.near_duplicates(rows, key=row)
+    ids = found.join(rows.select(row, "doc_id"), row)
+    first = ids.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias("m"))
     # the dropped rows are the smaller side: whole texts are only shuffled when those are too many to broadcast
-    others = stage(ids.select(ROW).join(first.select(F.col(f"m.{ROW}").alias(ROW)), ROW, "left_anti"), "dedup-others")
-    return rows.join(others, ROW, "left_anti").drop(ROW)
+    others = stage(ids.select(row).join(first.select(F.col(f"m.{row}").alias(row)), row, "left_anti"), "dedup-others")
+    return rows.join(others, row, "left_anti").drop(row)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark window."""
-    rows = with_row_id(docs, ROW, "decontaminate-docs")
-    found = winnow.contamination(rows, read_table(spark, sf_dir, "benchmark"), key=ROW)
-    hit = stage(found.where("n_hit > 0").select(ROW), "decontaminate-hits")
-    return rows.join(hit, ROW, "left_anti").drop(ROW)
+    row = free_name(docs, "__row")
+    rows = with_row_id(docs, row, "decontaminate-docs")
+    found = winnow.contamination(rows, read_table(spark, sf_dir, "benchmark"), key=row)
+    hit = stage(found.where("n_hit > 0").select(row), "decontaminate-hits")
+    return rows.join(hit, row, "left_anti").drop(row)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
