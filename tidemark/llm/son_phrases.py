@@ -12,8 +12,7 @@ passes work on hashes in numpy: a task counts the hashed phrases of its texts an
 blocks (some three bytes a phrase), one for each slot of the hash space; a slot's blocks are added up shard by shard.
 The previous level is carried as a bit filter of a fixed size (``FILTER_BITS``). Filters and equal hashes can only let
 phrases through in excess, never lose one: what is returned rests on the last pass, which counts phrases as text.
-Rows are counted per group of documents before they leave a task, so a phrase in a third of all rows costs one row a
-group.
+Phrases are counted per task before they leave it, so one in a third of all rows costs no more than any other.
 
 Defined results: a null text has no words; a null lang reads ``und``; repeated rows count again; a table without
 frequent phrases gives no rows; ties in score and count are settled by the phrase's bytes; very long texts are hashed
@@ -23,6 +22,8 @@ read, so no other column can clash.
 
 from __future__ import annotations
 
+import zlib
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import groupby
 from operator import itemgetter
@@ -40,7 +41,8 @@ from tidemark.llm.common import stage
 LONGEST, MIN_COUNT, TOP, COVER = 5, 100, 2000, 100
 SHARDS = 4
 GROUP_BYTES = 8 << 20
-HELD = 1 << 22  # counted phrases a task holds before it sends them
+HELD = 1 << 22  # counted phrases a task holds before it sends them, as hashes and as text
+HELD_PHRASES = 1 << 19
 GRAM_BITS = 40  # of a hashed phrase
 BLOCK_BYTES = 1 << 20  # hashed at once
 FILTER_BITS = 26
@@ -109,7 +111,7 @@ class Group:
     def __init__(self, data: np.ndarray, bounds: np.ndarray, langs: list[str], hashes: list[WordHash]):
         kind = _CLASS[data]
         inside = kind == 0
-        self.data, self.langs = data, langs
+        self.data, self.low = data, None
         edge = np.zeros(len(data) + 1, dtype=bool)  # a document's first byte
         edge[bounds] = True
         begins, stops = inside.copy(), inside.copy()
@@ -126,9 +128,10 @@ class Group:
                  for h in hashes]
         self.hash = [_mix(h(data, self.starts, self.ends) ^ s[self.lang]) for h, s in zip(hashes, seeds)]
 
-    def text(self, at: int, words: int) -> str:
-        parts = (_LOWER[self.data[self.starts[i]:self.ends[i]]].tobytes() for i in range(at, at + words))
-        return b" ".join(parts).decode("utf-8", "surrogatepass")
+    def text(self, at: int, words: int) -> bytes:
+        if self.low is None:
+            self.low, self.first, self.last = _LOWER[self.data].tobytes(), self.starts.tolist(), self.ends.tolist()
+        return b" ".join([self.low[self.first[i]:self.last[i]] for i in range(at, at + words)])
 
 
 def _groups(batches: Iterator[pa.RecordBatch], hashes: list[WordHash]) -> Iterator[Group]:
@@ -199,21 +202,18 @@ def _added(gram: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return gram[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def _block(gram: np.ndarray, n: np.ndarray) -> bytes:
-    """Ascending grams of a slot and their counts: differences and counts by byte planes, compressed."""
-    steps = np.diff(gram, prepend=np.uint64(0)).astype("<u4")
-    planes = [np.ascontiguousarray(x.view(np.uint8).reshape(-1, 4).T) for x in (steps, np.minimum(n, 0xFFFFFFFF).astype("<u4"))]
-    return zstandard.compress(b"".join(x.tobytes() for x in planes), 1)
+def squeeze(values: np.ndarray) -> bytes:
+    """Numbers of any width by byte planes, compressed."""
+    return zstandard.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.dtype.itemsize).T).tobytes(), 1)
 
 
-def _unblock(block: bytes) -> tuple[np.ndarray, np.ndarray]:
-    planes = np.frombuffer(zstandard.decompress(block), dtype=np.uint8).reshape(2, 4, -1)
-    steps, n = (np.ascontiguousarray(x.T).view("<u4").ravel().astype(np.uint64) for x in planes)
-    return np.cumsum(steps, dtype=np.uint64), n.astype(np.int64)
+def unsqueeze(data: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), dtype=np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 def gram_blocks(docs: DataFrame, lang: str, text: str, shards: int, n: int, filters, slot_bits: int) -> DataFrame:
-    """``(slot, shard, block)``: hashed phrases of n words whose parts passed the filters, counted per task."""
+    """``(slot, shard, grams, counts)``: hashed phrases of n words whose parts passed the filters, counted per task."""
     def run(batches):
         shard = TaskContext.get().partitionId() % shards
         kept, held = filters.value, []
@@ -223,10 +223,11 @@ def gram_blocks(docs: DataFrame, lang: str, text: str, shards: int, n: int, filt
             slot = gram >> np.uint64(GRAM_BITS - slot_bits)
             cuts = np.flatnonzero(np.diff(slot)) + 1
             rest = gram & np.uint64((1 << GRAM_BITS - slot_bits) - 1)
-            blocks = [_block(g, c) for g, c in zip(np.split(rest, cuts), np.split(count, cuts))]
+            grams = [squeeze(np.diff(x, prepend=np.uint64(0)).astype("<u4")) for x in np.split(rest, cuts)]
+            counts = [squeeze(np.minimum(x, 0xFFFFFFFF).astype("<u4")) for x in np.split(count, cuts)]
             slots = slot[np.append(0, cuts)].astype(np.int32)
-            return pa.RecordBatch.from_arrays([pa.array(slots), pa.array([shard] * len(blocks), type=pa.int32()),
-                                               pa.array(blocks, type=pa.binary())], names=["slot", "shard", "block"])
+            return pa.RecordBatch.from_arrays([pa.array(slots), pa.array([shard] * len(slots), type=pa.int32()), pa.array(grams),
+                                               pa.array(counts)], names=["slot", "shard", "grams", "counts"])
 
         for g in _groups(batches, [WordHash(0)]):
             for k, _, grams in _levels(g, kept, n):
@@ -238,17 +239,18 @@ def gram_blocks(docs: DataFrame, lang: str, text: str, shards: int, n: int, filt
         if held:
             yield send()
 
-    return _texts(docs, lang, text).mapInArrow(run, "slot int, shard int, block binary")
+    return _texts(docs, lang, text).mapInArrow(run, "slot int, shard int, grams binary, counts binary")
 
 
 def frequent_grams(blocks: DataFrame, support: int, slot_bits: int) -> DataFrame:
     """``(gram)``: all that reach ``support`` in some shard."""
     def merge(batches):
-        rows = (r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(3))))
+        rows = (r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(4))))
         for slot, of_slot in groupby(rows, key=itemgetter(0)):
             found = []
             for _, of_shard in groupby(of_slot, key=itemgetter(1)):
-                parts = [_unblock(r[2]) for r in of_shard]
+                parts = [(np.cumsum(unsqueeze(g, "<u4"), dtype=np.uint64), unsqueeze(n, "<u4").astype(np.int64))
+                         for _, _, g, n in of_shard]
                 gram, n = _added(*(np.concatenate(x) for x in zip(*parts)))
                 found.append(gram[n >= support])
             gram = np.unique(np.concatenate(found)) | np.uint64(slot << GRAM_BITS - slot_bits)
@@ -257,24 +259,60 @@ def frequent_grams(blocks: DataFrame, support: int, slot_bits: int) -> DataFrame
     return blocks.repartition("slot").sortWithinPartitions("slot", "shard").mapInArrow(merge, "gram bigint")
 
 
-def phrase_totals(docs: DataFrame, lang: str, text: str, longest: int, filters) -> DataFrame:
-    """``(lang, phrase, words, n)``: the candidates as text, summed per group; the null phrase carries all words."""
-    names = ["lang", "phrase", "words", "n"]
+def phrase_blocks(docs: DataFrame, lang: str, text: str, longest: int, filters, slots: int) -> DataFrame:
+    """``(slot, lang, phrases, counts)``: the candidates as text, counted per task and sent sorted and compressed, one
+    block a language for each slot of their checksums; a block without phrases carries the language's words."""
+    names = ["slot", "lang", "phrases", "counts"]
+
+    def blocks(held: dict[str, Counter], sizes: Counter):
+        rows = [(0, x, None, squeeze(np.array([n], dtype="<i8"))) for x, n in sizes.items()]
+        for x, counter in held.items():
+            by_slot: dict[int, list[bytes]] = {}
+            for phrase in sorted(counter):
+                by_slot.setdefault(zlib.crc32(phrase) % slots, []).append(phrase)
+            rows += [(slot, x, zstandard.compress(b"\n".join(some), 1), squeeze(np.array([counter[p] for p in some], dtype="<i8")))
+                     for slot, some in by_slot.items()]
+        cols = list(zip(*rows)) or [()] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(
+            cols, (pa.int32(), pa.string(), pa.binary(), pa.binary()))], names=names)
 
     def run(batches):
-        kept = filters.value
+        kept, held, sizes = filters.value, defaultdict(Counter), Counter()
         for g in _groups(batches, [WordHash(i) for i in range(2)]):
-            sizes = np.bincount(g.lang, minlength=len(g.names))
-            cols = [list(g.names), [None] * len(sizes), [0] * len(sizes), sizes.tolist()]
+            for x, n in zip(g.names, np.bincount(g.lang, minlength=len(g.names)).tolist()):
+                sizes[x] += n
             for k, at, grams in _levels(g, kept, longest):
                 first, count = _runs(grams)
                 at = at[first]
-                for c, more in zip(cols, ([g.names[i] for i in g.lang[at]], [g.text(i, k) for i in at], [k] * len(at), count.tolist())):
-                    c += more
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(
-                cols, (pa.string(), pa.string(), pa.int32(), pa.int64()))], names=names)
+                for x, i, n in zip(g.lang[at].tolist(), at.tolist(), count.tolist()):
+                    held[g.names[x]][g.text(i, k)] += n
+            if sum(map(len, held.values())) > HELD_PHRASES:
+                yield blocks(held, sizes)
+                held, sizes = defaultdict(Counter), Counter()
+        yield blocks(held, sizes)
+
+    return _texts(docs, lang, text).mapInArrow(run, "slot int, lang string, phrases binary, counts binary")
 
-    return _texts(docs, lang, text).mapInArrow(run, "lang string, phrase string, words int, n bigint")
+
+def phrase_totals(blocks: DataFrame, min_count: int) -> DataFrame:
+    """``(lang, phrase, words, f)`` of all that reach ``min_count``; the null phrase carries a language's words."""
+    def merge(batches):
+        rows = (r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(4))))
+        for (_, lang), some in groupby(rows, key=itemgetter(0, 1)):
+            total: Counter = Counter()
+            for _, _, phrases, counts in some:
+                names = [None] if phrases is None else zstandard.decompress(phrases).split(b"\n")
+                for p, n in zip(names, unsqueeze(counts, "<i8").tolist()):
+                    total[p] += n
+            found = [(p, n) for p, n in total.items() if p is None or n >= min_count]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(found), type=pa.string()),
+                 pa.array([p and p.decode("utf-8", "surrogatepass") for p, _ in found], type=pa.string()),
+                 pa.array([0 if p is None else p.count(b" ") + 1 for p, _ in found], type=pa.int32()),
+                 pa.array([n for _, n in found], type=pa.int64())], names=["lang", "phrase", "words", "f"])
+
+    together = blocks.repartition("slot").sortWithinPartitions("slot", "lang")
+    return together.mapInArrow(merge, "lang string, phrase string, words int, f bigint")
 
 
 def gram_filter(grams: DataFrame) -> np.ndarray:
@@ -327,9 +365,8 @@ def frequent(docs: DataFrame, lang: str = "lang", text: str = "text", min_count:
     single words included, and ``(lang, n)`` with all word occurrences; staged."""
     filters = candidates(docs, lang, text, min_count, longest, shards)
     held = docs.sparkSession.sparkContext.broadcast(filters)
-    counted = (phrase_totals(docs, lang, text, len(filters), held).groupBy("lang", "phrase", "words")
-               .agg(F.sum("n").alias("f")).where(F.col("phrase").isNull() | (F.col("f") >= min_count)))
-    every = stage(counted, "son-phrases")
+    slots = 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    every = stage(phrase_totals(phrase_blocks(docs, lang, text, len(filters), held, slots), min_count), "son-phrases")
     return every.where("phrase is not null"), every.where("phrase is null").select("lang", F.col("f").alias("n"))
 
 
