@@ -79,6 +79,28 @@ QUERIES = {f.__name__: f for f in (
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE: dict[str, str] = {
+    "op4_winnowing": r"""
+        WITH documents_words AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        item_words AS (
+            SELECT item_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        item_places AS (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS s
+                        FROM item_words WHERE len(w) > 0),
+        windows AS (SELECT DISTINCT item_id, n, array_to_string(w[s:s + n - 1], ' ') AS g FROM item_places),
+        places AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s
+                   FROM documents_words, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n),
+        hits AS (SELECT p.doc_id, p.n, p.s, x.item_id FROM places p
+                 JOIN windows x ON x.n = p.n AND x.g = array_to_string(p.w[p.s:p.s + p.n - 1], ' ')),
+        hit_words AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS place FROM hits) GROUP BY doc_id),
+        hit_items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+                      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+        SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM documents_words d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)""",
     "op11_son_phrases": r"""
         WITH pieces AS (
             SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
