@@ -159,8 +159,3 @@ def email_structure_valid(col: str | Column) -> Column:
 def email_test_valid(col: str | Column) -> Column:
     """Generic-test form: NULL passes (returns NULL), otherwise the match result."""
     return _c(col).rlike(java_anchored(EMAIL_TEST_PATTERN))
-
-
-# --- X15 ---------------------------------------------------------------------
-def year_start(col: str | Column) -> Column:
-    return F.trunc(_c(col), "year")

@@ -16,6 +16,7 @@ from tidemark.plans.views import (
 )
 
 ACTIVE = "(_deleted = FALSE OR _deleted IS NULL)"
+# White space of the email scan, and the two email patterns of the contract.
 WS = r"[ \t\n\x0B\f\r]+"
 EMAIL_TEST = r"^[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}$"
 EMAIL_MACRO = r"^[a-zA-Z0-9._%+''-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"

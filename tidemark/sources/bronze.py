@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.cleanse import DEV_DAYS, LOOKBACK_DAYS, MIN_DATE, ts_lit, within_days
+from tidemark.functions.cleanse import LOOKBACK_DAYS, MIN_DATE, ts_lit
 
 SYNCED, DELETED = "_synced", "_deleted"
 # Partition column of landed bronze: the calendar day of the sync time.
@@ -83,11 +83,6 @@ def late_rows(src: DataFrame, target: DataFrame, now, lookback_days: int = LOOKB
     return src.filter(~incremental_filter(wm, now, lookback_days, synced) | F.col(synced).isNull())
 
 
-def limit_dates(df: DataFrame, col: str, today, days: int = DEV_DAYS, enabled: bool = True) -> DataFrame:
-    """S4 dev limiter: keep rows whose parsed date lies within ``days`` of ``today``."""
-    return df.filter(within_days(col, days, today)) if enabled else df
-
-
 def load_profile(tables: dict[str, DataFrame], synced: str = SYNCED) -> DataFrame:
     """A2/Q12: one row per table with its row count and latest sync time."""
     parts = []

@@ -118,7 +118,8 @@ class SnapshotSpec:
 
 
 # ---------------------------------------------------------------------------
-# Sources: 13 bronze tables. Types are inferred from use (see FIXTURES.md).
+# The 13 bronze tables with their names, columns, capture methods and limits. Types are inferred
+# from use (see FIXTURES.md).
 # ---------------------------------------------------------------------------
 _SYS = "_synced TIMESTAMP_NTZ, _deleted BOOLEAN"
 
@@ -182,7 +183,7 @@ def _keep(*names: str) -> tuple[Col, ...]:
 E, W = "error", "warn"
 
 # ---------------------------------------------------------------------------
-# The 10 keyed outputs
+# The 10 keyed outputs (M1-M10) with their keys, columns, filters and checks
 # ---------------------------------------------------------------------------
 MODELS: dict[str, TableSpec] = {m.name: m for m in [
     TableSpec(
@@ -269,7 +270,7 @@ MODELS: dict[str, TableSpec] = {m.name: m for m in [
 ]}
 
 # ---------------------------------------------------------------------------
-# The 3 history outputs
+# The 3 history outputs (M11-M13) with their keys, payloads and checks
 # ---------------------------------------------------------------------------
 SNAPSHOTS: dict[str, SnapshotSpec] = {s.name: s for s in [
     SnapshotSpec(
@@ -294,7 +295,7 @@ SNAPSHOTS: dict[str, SnapshotSpec] = {s.name: s for s in [
 ]}
 
 # ---------------------------------------------------------------------------
-# Referential assertions (5)
+# The referential assertions (5)
 # ---------------------------------------------------------------------------
 FOREIGN_KEYS: tuple[ForeignKey, ...] = (
     ForeignKey("air_waybill_fk_valid", "air_waybill", "flight_leg", ("flight_id",), ("flight_id",)),
