@@ -429,7 +429,11 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int =
         distinct = np.unique(codes)
         values = np.empty(len(distinct))
         values[in_slots(distinct, depth, slots)[2]] = np.concatenate([unsqueeze(d, "<i4") for k, _, d in rows if k == GRAMS]) / FIXED
-        lp = np.add.reduceat(look_up(codes, distinct, values), first) if len(body) else np.zeros(0)
+        each = np.empty(len(codes))
+        for lo in range(0, len(codes), 1 << 20):  # some at a time: the block's codes are large enough
+            each[lo:lo + (1 << 20)] = look_up(codes[lo:lo + (1 << 20)], distinct, values)
+        lp = np.add.reduceat(each, first) if len(body) else np.zeros(0)
+        del codes, each
         tokens = [[END_WORD, *t.split()] for t in body]
         by_slot: dict[int, list[bytes]] = {}
         for w in sorted({w for t in tokens for w in t}):
