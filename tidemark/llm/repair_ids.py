@@ -2,8 +2,8 @@
 
 Documents are range-sorted by id and tokenized where they land. Each task cuts its run into shards of about
 ``SHARD_IDS`` ids; a shard is compressed by itself: in every round all adjacent pairs that pay for a rule become
-nonterminals and are replaced, and rounds go on until no pair pays: a rule and its length take twelve bytes, every
-use saves a symbol. Symbols take two bytes while they fit and four afterwards, which must pay too. No pair holds the end id,
+nonterminals and are replaced, and rounds go on until no pair pays, or until a round saves less than one symbol in
+``STALLED``: a rule and its length take twelve bytes, every use saves a symbol. Symbols take two bytes while they fit and four afterwards, which must pay too. No pair holds the end id,
 so no nonterminal spans two documents, and any document can be decoded alone from its slice of the body. A shard is one row of a Parquet table:
 
     part, seq          the task and the shard's number in it; both ascend with the ids
@@ -39,24 +39,49 @@ VOCABULARY = 49_408
 SHARD_IDS = 1 << 20
 TOGETHER = 1 << 20  # characters of the documents that are tokenized together
 RULE_BYTES = 12
+STALLED = 1024
 NARROW = 1 << 16  # symbols that two bytes tell apart
 BUCKETS = 19  # bits; pairs are counted by hash before those that may pay are counted exactly
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def paying_pairs(seq: np.ndarray, end: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(pairs, places, pair of each place): places to replace, no two overlapping, every pair used ``least`` times."""
-    codes = seq[:-1] << 32 | seq[1:]
-    may = (seq[:-1] != end) & (seq[1:] != end)
-    bucket = (codes.view(np.uint64) * _MIX >> np.uint64(64 - BUCKETS)).astype(np.int64)
+def counted_pairs(codes: np.ndarray, may: np.ndarray, least: int, turn: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(pairs, their counts, places, pair of each place) of the pairs found ``least`` times.
+
+    With a ``turn`` pairs are told apart by a hash of that turn: of pairs that share a bucket one is seen, the others in
+    another turn. Without one all are seen, by sorting.
+    """
+    mix = np.uint64((int(_MIX) + 2 * (turn or 0)) & (1 << 64) - 1 | 1)
+    bucket = (codes.view(np.uint64) * mix >> np.uint64(64 - BUCKETS)).astype(np.int32)
     at = np.flatnonzero(may & (np.bincount(bucket[may], minlength=1 << BUCKETS) >= least)[bucket])
-    pairs, of, n = np.unique(codes[at], return_inverse=True, return_counts=True)
+    if turn is None:
+        pairs, of, n = np.unique(codes[at], return_inverse=True, return_counts=True)
+    else:
+        bucket, mine = bucket[at], codes[at]
+        seen = np.zeros(1 << BUCKETS, dtype=np.int64)
+        seen[bucket] = mine
+        keep = seen[bucket] == mine
+        at, bucket = at[keep], bucket[keep]
+        n = np.bincount(bucket, minlength=1 << BUCKETS)
+        used = np.flatnonzero(n >= least)
+        number = np.zeros(1 << BUCKETS, dtype=np.int32)
+        number[used] = np.arange(len(used), dtype=np.int32)
+        keep = n[bucket] >= least
+        at, of = at[keep], number[bucket[keep]]
+        pairs, n = seen[used], n[used]
     n = np.where(pairs >> 32 == pairs & 0xFFFFFFFF, (n + 1) // 2, n)  # of a row of equal symbols half the pairs can go
     keep = n[of] >= least
-    at, of = at[keep], of[keep]
+    return pairs, n, at[keep], of[keep]
+
+
+def paying_pairs(seq: np.ndarray, end: int, least: int, turn: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pairs, places, pair of each place): places to replace, no two overlapping, every pair used ``least`` times."""
+    codes = seq[:-1] << 32 | seq[1:]
+    may = (seq[:-1] != end) & (seq[1:] != end)
+    pairs, n, at, of = counted_pairs(codes, may, least, turn)
     # of pairs that overlap the more frequent one goes (or the later by code: the same one in every repetition)
-    rank = np.empty(len(pairs), dtype=np.int64)
-    rank[np.argsort(n, kind="stable")] = np.arange(len(pairs))
+    rank = np.empty(len(pairs), dtype=np.int32)
+    rank[np.argsort(n, kind="stable")] = np.arange(len(pairs), dtype=np.int32)
     gone, chosen = np.zeros(len(seq) + 1, dtype=bool), []
     while len(at):
         mine, touch = rank[of], np.diff(at) == 1
@@ -74,8 +99,6 @@ def paying_pairs(seq: np.ndarray, end: int, least: int) -> tuple[np.ndarray, np.
         at, of = at[free], of[free]
     if chosen:
         at, of = (np.concatenate(x) for x in zip(*chosen))
-        order = np.argsort(at)
-        at, of = at[order], of[order]
     uses = np.bincount(of, minlength=len(pairs))
     keep = uses[of] >= least
     return pairs, at[keep], of[keep]
@@ -85,11 +108,15 @@ def compress(ids: np.ndarray, vocabulary: int = VOCABULARY, end: int = END_ID, n
     """(rules, body): rules is an (n, 2) array of pairs, body the compressed symbols."""
     seq = ids.astype(np.int64)
     rules: list[np.ndarray] = []
-    n_rules, width = 0, 2 if vocabulary < narrow else 4
+    n_rules, width, turn = 0, 2 if vocabulary < narrow else 4, 0
     while len(seq) > 1:
-        pairs, at, of = paying_pairs(seq, end, RULE_BYTES // width + 1)
-        if not len(at):
+        pairs, at, of = paying_pairs(seq, end, RULE_BYTES // width + 1, turn)
+        if not len(at) and turn is not None:  # before the end, a look at all pairs
+            turn = None
+            continue
+        if STALLED * len(at) < len(seq) or not len(at):
             break
+        turn = len(rules) + 1
         uses = np.bincount(of, minlength=len(pairs))
         chosen = np.flatnonzero(uses)
         room = narrow - vocabulary - n_rules

@@ -52,6 +52,18 @@ class ByteTokenizer:
         return np.array(self.encoding.encode_ordinary(text), dtype="<u4")
 
 
+class Memo(dict):
+    """Ids by chunk; chunks that are asked for and not there are noted."""
+
+    def __init__(self):
+        super().__init__()
+        self.missed: set[bytes] = set()
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        self.missed.add(chunk)
+        return b""
+
+
 class WordTokenizer:
     """``ids(text)`` -> little-endian unsigned 32-bit ids as bytes."""
 
@@ -61,13 +73,11 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # split off beforehand: lower-casing must not make one
         self.special = re.compile("(" + "|".join(map(re.escape, WORD_SPECIALS)) + ")")
-        self.memo: dict[bytes, bytes] = {}
+        self.memo = Memo()
 
     def _learn(self, chunks: set[bytes]) -> None:
         """Adds chunks to the memo, many as one text (a call a chunk costs several times as much): offsets tell
         whose an id is."""
-        if len(self.memo) + len(chunks) > MEMO:
-            self.memo.clear()
         missing = list(chunks)
         names = [c.decode("utf-8", "surrogatepass") for c in missing]
         for lo in range(0, len(names), TOGETHER):
@@ -95,13 +105,16 @@ class WordTokenizer:
         # some chunks at a time, so that the memo may be cleared in between
         parts = ((i, chunks[lo:lo + PART]) for i, chunks in enumerate(split) for lo in range(0, len(chunks), PART))
         while some := list(islice(parts, PARTS)):
-            missing = set(chain.from_iterable(c for _, c in some)).difference(self.memo)
-            if len(self.memo) + len(missing) > MEMO:
-                missing = set(chain.from_iterable(c for _, c in some))
-            if missing:
+            self.memo.missed = set()
+            told = [b"".join(map(self.memo.__getitem__, c)) for _, c in some]
+            if missing := self.memo.missed:
+                if len(self.memo) + len(missing) > MEMO:
+                    self.memo.clear()
+                    missing = set(chain.from_iterable(c for _, c in some))
                 self._learn(missing)
-            for i, chunks in some:
-                out[i].append(b"".join(map(self.memo.__getitem__, chunks)))
+                told = [b"".join(map(self.memo.__getitem__, c)) for _, c in some]
+            for (i, _), ids in zip(some, told):
+                out[i].append(ids)
         return [b"".join(x) for x in out]
 
 
