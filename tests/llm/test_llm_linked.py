@@ -490,3 +490,14 @@ def test_pipeline_stages_keep_columns_of_any_name(spark):
         out = step(spark, docs, SF)
         assert out.columns == docs.columns, name
         assert out.where("__row <> doc_id * 3 or kept <> 'mine'").count() == 0 and out.count() > 0, name
+
+
+@pytest.mark.parametrize("bits", [2, 8, 22])
+def test_distinct_codes_whatever_collides(monkeypatch, bits):
+    monkeypatch.setattr(context_tree.Distinct, "BITS", bits)
+    codes = np.random.default_rng(bits).integers(-60, 60, 4000) * (1 << 55)
+    for some in (codes, codes[:1], codes[:0]):
+        got = context_tree.Distinct(some)
+        keys, n = np.unique(some, return_counts=True)
+        assert (got.keys == keys).all() and (got.counts == n).all()
+        assert (keys[got.find(some)] == some).all()

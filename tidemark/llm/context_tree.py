@@ -26,6 +26,7 @@ import math
 import uuid
 import zlib
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -45,7 +46,6 @@ BLOCK_BYTES = 8 << 20
 END = 0xFF  # no byte of UTF-8: end symbol, and what precedes a text
 END_WORD = b"\xff"
 BITS = 8
-SLOTS = 22
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -206,6 +206,41 @@ def unsqueeze(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
+class Distinct:
+    """Distinct codes, ascending, with their counts. Codes are told apart by a hash table; only those that lost their
+    place in it to another code are sorted."""
+
+    BITS = 22
+
+    def __init__(self, codes: np.ndarray):
+        slot = self._slot(codes)
+        self.seen = np.zeros(1 << self.BITS, dtype=np.int64)
+        self.seen[slot] = codes
+        same = self.seen[slot] == codes
+        n = np.bincount(slot[same], minlength=1 << self.BITS)
+        used = np.flatnonzero(n)
+        rest, rest_n = np.unique(codes[~same], return_counts=True)
+        keys = np.concatenate([self.seen[used], rest])
+        order = np.argsort(keys)
+        self.keys, self.counts = keys[order], np.concatenate([n[used], rest_n])[order]
+        self.place = np.zeros(1 << self.BITS, dtype=np.int32)  # of a slot's code among the keys
+        back = np.empty(len(order), dtype=np.int32)
+        back[order] = np.arange(len(order), dtype=np.int32)
+        self.place[used] = back[:len(used)]
+
+    @classmethod
+    def _slot(cls, codes: np.ndarray) -> np.ndarray:
+        return ((codes.view(np.uint64) * _MIX) >> np.uint64(64 - cls.BITS)).astype(np.int32)
+
+    def find(self, codes: np.ndarray) -> np.ndarray:
+        """Places of ``codes`` (every one is there) among the keys."""
+        slot = self._slot(codes)
+        at = self.place[slot]
+        lost = np.flatnonzero(self.seen[slot] != codes)
+        at[lost] = np.searchsorted(self.keys, codes[lost])
+        return at
+
+
 def in_slots(codes: np.ndarray, depth: int, slots: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(turned codes, slot of each, order of ``codes``) by slot, then outwards."""
     turned, slot = outwards(codes, depth), slots_of(codes >> 8, slot_depth(depth), slots)
@@ -232,9 +267,10 @@ def block_parts(block: int, held: list[bool], body: list[bytes], depth: int, slo
     rest = [t for h, t in zip(held, body) if h]
     for w in {w for t in rest for w in t.split()} | {END_WORD}:
         words.setdefault(w, 0)
-    codes, n = np.unique(grams(train, depth)[0], return_counts=True)
-    other = np.setdiff1d(np.unique(grams(rest, depth)[0]), codes, assume_unique=True)
-    n = np.concatenate([n, np.zeros(len(other), dtype=n.dtype)]).astype("<u4")
+    found = Distinct(grams(train, depth)[0])
+    codes = found.keys
+    other = np.setdiff1d(Distinct(grams(rest, depth)[0]).keys, codes, assume_unique=True)
+    n = np.concatenate([found.counts, np.zeros(len(other), dtype=np.int64)]).astype("<u4")
     turned, slot, order = in_slots(np.concatenate([codes, other]), depth, slots)
     cuts = np.flatnonzero(np.diff(slot)) + 1
     rows = [(int(s[0]), block, GRAMS, squeeze(np.diff(t, prepend=np.uint64(0))), squeeze(c))
@@ -398,17 +434,6 @@ def all_parts(blocks: DataFrame, depth: int, slots: int) -> DataFrame:
     return blocks.select("block", "held_out", "body").groupBy("block").applyInArrow(run, PARTS)
 
 
-def look_up(codes: np.ndarray, keys: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Values of ``codes`` among sorted ``keys`` (every code is there): a hash table first, then a search."""
-    slot = lambda x: ((x.astype(np.uint64) * _MIX) >> np.uint64(64 - SLOTS)).astype(np.int64)
-    table = np.zeros(1 << SLOTS, dtype=np.int32)
-    table[slot(keys)] = np.arange(len(keys), dtype=np.int32)
-    at = table[slot(codes)]
-    miss = np.nonzero(keys[at] != codes)[0]
-    at[miss] = np.searchsorted(keys, codes[miss])
-    return values[at]
-
-
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = DEPTH,
           block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row: key, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte."""
@@ -426,23 +451,23 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int =
         body = texts.column("body").to_pylist()
         rows = sorted(zip(*(told.column(c).to_pylist() for c in ("kind", "slot", "data"))), key=lambda r: r[:2])
         codes, first = grams(body, depth)
-        distinct = np.unique(codes)
-        values = np.empty(len(distinct))
-        values[in_slots(distinct, depth, slots)[2]] = np.concatenate([unsqueeze(d, "<i4") for k, _, d in rows if k == GRAMS]) / FIXED
+        distinct = Distinct(codes)
+        values = np.empty(len(distinct.keys))
+        values[in_slots(distinct.keys, depth, slots)[2]] = np.concatenate([unsqueeze(d, "<i4") for k, _, d in rows if k == GRAMS]) / FIXED
         each = np.empty(len(codes))
         for lo in range(0, len(codes), 1 << 20):  # some at a time: the block's codes are large enough
-            each[lo:lo + (1 << 20)] = look_up(codes[lo:lo + (1 << 20)], distinct, values)
+            each[lo:lo + (1 << 20)] = values[distinct.find(codes[lo:lo + (1 << 20)])]
         lp = np.add.reduceat(each, first) if len(body) else np.zeros(0)
-        del codes, each
+        del codes, each, distinct
         tokens = [[END_WORD, *t.split()] for t in body]
         by_slot: dict[int, list[bytes]] = {}
-        for w in sorted({w for t in tokens for w in t}):
+        for w in sorted(set(chain.from_iterable(tokens))):
             by_slot.setdefault(word_slot(w, slots), []).append(w)
         index = {w: i for i, w in enumerate(w for s in sorted(by_slot) for w in by_slot[s])}
         c = np.concatenate([unsqueeze(d, "<u8") for k, _, d in rows if k == WORDS]).astype(np.float64)
         logs, known = np.log10((c + 1) / denominator), c > 0
         sizes = np.array([len(t) for t in tokens], dtype=np.int64)
-        flat = np.fromiter((index[w] for t in tokens for w in t), dtype=np.int64, count=int(sizes.sum()))
+        flat = np.fromiter(map(index.__getitem__, chain.from_iterable(tokens)), dtype=np.int64, count=int(sizes.sum()))
         start = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         n_bytes = np.array([len(t) + 1 for t in body])
         return pa.Table.from_arrays(
