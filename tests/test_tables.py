@@ -1,3 +1,4 @@
+from collections import Counter
 
 import pytest
 
@@ -230,3 +231,25 @@ def test_writer_based_on_an_older_version_fails(spark, tmp_path, monkeypatch):
         with pytest.raises(ConcurrentCommit):
             rewrite_ranges(t, updates, "k", late, "r2")
     assert _state(t) == {("a", 1): 0, ("c", 1): 2}
+
+
+def test_added_rows_leave_stored_files_alone_and_first_layout_is_written_once(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path / "t"))
+
+    def add(values):
+        with staged(spark.createDataFrame(values, "k INT, v INT")) as batch:
+            return rewrite_ranges(t, batch, "k", None, rows_per_range=50, gather=True)
+
+    assert add([(i, 0) for i in range(400)]) == 1  # laid out in ranges before it is written, not written and then split
+    assert len(KeyRanges.load(t.commit_info(1)["ranges"]).ids) == 8
+    before, want = _files(t), [(i, 0) for i in range(400)]
+    add([(5, 1), (399, 1), (None, 1)])
+    after = _files(t)
+    assert before.items() <= after.items()
+    want += [(5, 1), (399, 1), (None, 1)]
+    for n in range(2, 20):  # folders of a range are put together before they are many
+        add([(5, n)])
+        want.append((5, n))
+    key = lambda kv: (kv[0] is None, kv)
+    assert sorted(((r.k, r.v) for r in t.read().collect()), key=key) == sorted(want, key=key)
+    assert max(Counter(p.rsplit("/", 1)[1] for p in t.parts()).values()) <= 16
