@@ -2,12 +2,14 @@
 
 import datetime as dt
 import decimal
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import types as T
 
 from tidemark.operators.quality import enforce, run_checks, run_fk_checks
 from tidemark.plans.models import refine, run_model, run_snapshot
+from tidemark.sources.ingest import SOURCE_KEYS
 from tidemark.sources.tables import VersionedTable
 from tidemark.specs import FOREIGN_KEYS, MODELS, SNAPSHOTS, SOURCES
 
@@ -106,3 +108,68 @@ def test_foreign_key_suite(spark):
     assert out["air_waybill_fk_valid"] == 0 and out["crew_assignment_fk_valid"] == 0
     assert out["work_order_fk_valid"] == 0
     assert out["ticket_coupon_fk_valid"] == 5  # coupon flight numbers are not leg numbers in the fixture
+
+
+def _messy(spark, source, run):
+    """Rows with hot, repeated and NULL keys, ties, deletes and updates."""
+    schema = T.StructType.fromDDL(SOURCES[source].schema_ddl)
+    data = []
+    for i in range(400):
+        k = 7 if i % 3 == 0 else i % 90 + (40 if run == 2 else 0)
+        row = [value(f, k, dt.datetime(2024, 1, run, i % 20)) for f in schema.fields]
+        at = {f.name: n for n, f in enumerate(schema.fields)}
+        row[at["_deleted"]] = None if i % 5 else i % 2 == 0
+        for key in (SOURCE_KEYS[source] if i % 11 == 0 else ())[-1:]:
+            row[at[key]] = None
+        for f in schema.fields:
+            if isinstance(f.dataType, T.DecimalType):
+                row[at[f.name]] = decimal.Decimal(i % 7)
+        data.append(tuple(row))
+    return spark.createDataFrame(data, schema)
+
+
+@pytest.mark.parametrize("name", ["crew_assignment", "ticket_coupon", "passenger_name_record", "airport_fees_history"])
+def test_runs_in_buckets_give_the_rows_of_shuffled_runs(spark, tmp_path, monkeypatch, name):
+    from tidemark.operators import dedup
+    spec = MODELS.get(name) or SNAPSHOTS[name]
+    run = run_model if name in MODELS else run_snapshot
+    first, second = _messy(spark, spec.source, 1), _messy(spark, spec.source, 2)
+    both, out = first.unionByName(second), []
+    made = []
+    real = dedup.key_shape
+
+    def shape(*a, **k):  # few keys would be shuffled: here they go to buckets, every second slot as a hot one
+        found = real(*a, **k)
+        made.append(found if many > 20 else replace(found, buckets=found.buckets or 3, hot=tuple(range(0, dedup.SLOTS, 2))))
+        return made[-1]
+
+    monkeypatch.setattr(dedup, "key_shape", shape)
+    for many in (10**9, 20):
+        monkeypatch.setattr(dedup, "BUCKET_ROWS", many)
+        table = VersionedTable(spark, str(tmp_path / f"t{many}"))
+        run(spec, first, table, "2024-01-02", "r1")
+        run(spec, both, table, "2024-01-03", "r2")
+        out.append(sorted(map(str, table.read().collect())))
+    assert out[0] == out[1] and len(out[0]) > 20
+    assert [bool(m.buckets) for m in made] == [False, False, True, True]
+    assert not [t for t in spark.catalog.listTables() if name in t.name]  # the copies are gone
+
+
+def test_runs_in_buckets_shuffle_no_rows(spark, tmp_path, monkeypatch):
+    from tidemark.operators import dedup
+    monkeypatch.setattr(dedup, "BUCKET_ROWS", 200)
+    plans = []
+    real = VersionedTable.commit
+    monkeypatch.setattr(VersionedTable, "commit", lambda self, df, *a, **k:
+                        plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(self, df, *a, **k))
+    spec, table = MODELS["crew_assignment"], VersionedTable(spark, str(tmp_path / "t"))
+    first = _messy(spark, spec.source, 1)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        run_model(spec, first, table, "2024-01-02", "r1")
+        run_model(spec, first.unionByName(_messy(spark, spec.source, 2)), table, "2024-01-03", "r2")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(plans) == 2 and "FullOuter" in plans[1]
+    assert not any("hashpartitioning" in p for p in plans)  # windows and joins read the buckets as they are
