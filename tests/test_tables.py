@@ -253,3 +253,52 @@ def test_added_rows_leave_stored_files_alone_and_first_layout_is_written_once(sp
     key = lambda kv: (kv[0] is None, kv)
     assert sorted(((r.k, r.v) for r in t.read().collect()), key=key) == sorted(want, key=key)
     assert max(Counter(p.rsplit("/", 1)[1] for p in t.parts()).values()) <= 16
+
+
+SPILLS = """
+import glob, json, sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import functions as F
+from tidemark.session import build_session
+from tidemark.sources import tables
+from tidemark.sources.ranges import KeyRanges
+w = {where!r}
+spark = build_session("local[1]", 4, "spills", {{"spark.eventLog.enabled": "true", "spark.eventLog.dir": "file://" + w + "/log",
+    "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false", "spark.sql.warehouse.dir": w + "/warehouse",
+    "spark.checkpoint.dir": w + "/ck", "spark.shuffle.spill.numElementsForceSpillThreshold": "500"}})
+rows = spark.range(0, 20000, 1, 1).select("id", F.lit("x").alias("v"))
+with tables.bucketed(rows, ["id"], 7) as kept:
+    assert spark.conf.get(tables.OPEN_FILES) == "0" and kept.count() == 20000
+ranges = KeyRanges.of(rows, "id").split([5000, 9000])
+t = tables.VersionedTable(spark, w + "/t")
+t.commit(rows.withColumn(tables.RANGE, ranges.column()), partition_by=[tables.RANGE], extra={{"ranges": ranges.dump()}})
+assert sorted(r.id for r in t.read().collect()) == list(range(20000)) and len(t.parts()) == 3
+spark.stop()
+tasks = [json.loads(x) for x in open(glob.glob(w + "/log/*")[0]) if '"SparkListenerTaskEnd"' in x]
+print("spilled", sum(x["Task Metrics"]["Memory Bytes Spilled"] for x in tasks))
+"""
+
+
+def test_rows_are_written_to_buckets_and_ranges_without_a_sort_that_spills(tmp_path):
+    import os
+    import subprocess
+    import sys
+    (tmp_path / "log").mkdir()
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {k: v for k, v in os.environ.items() if not k.startswith(("PYSPARK_GATEWAY", "SPARK_CONF"))}
+    out = subprocess.run([sys.executable, "-c", SPILLS.format(root=root, where=str(tmp_path))], cwd=tmp_path, env=env,
+                         capture_output=True, text=True, timeout=200)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert out.stdout.split()[-2:] == ["spilled", "0"]
+
+
+def test_open_files_are_shared_by_writes_side_by_side(spark):
+    from tidemark.sources.tables import MOST_OPEN, OPEN_FILES, files_open
+    before = spark.conf.get(OPEN_FILES, "0")
+    with files_open(spark, 5):
+        with files_open(spark, 40):
+            assert spark.conf.get(OPEN_FILES) == "41"
+            with files_open(spark, 10**6):
+                assert spark.conf.get(OPEN_FILES) == str(MOST_OPEN)
+        assert spark.conf.get(OPEN_FILES) == "6"
+    assert spark.conf.get(OPEN_FILES) == before
