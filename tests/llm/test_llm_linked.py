@@ -501,3 +501,20 @@ def test_distinct_codes_whatever_collides(monkeypatch, bits):
         keys, n = np.unique(some, return_counts=True)
         assert (got.keys == keys).all() and (got.counts == n).all()
         assert (keys[got.find(some)] == some).all()
+
+
+def test_new_chunks_are_numbers_in_the_memo_and_get_the_ids_of_the_library(monkeypatch):
+    from tokenizers import Tokenizer
+    path = tokens.public_path("word_bpe_49k.json")
+    tok, library = tokens.WordTokenizer(path), Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    texts = ["Élan vital, ÀÖØÞ naïve façade.", "3×4÷2 c'est l'été isn't we'll", "e\u0301tude ﬁn ǅ ß ÿ µ ª", None, "", "a" * 3000,
+             "x.\u0301y über-groß…»« 2024-01-02", " \t\n ", "élan VITAL"] * 3
+    want = [np.array(library.encode(t or "", add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    assert tok.many(texts) == want == [tok.ids(t) for t in texts]
+    # one pool of ids for all chunks instead of bytes for each
+    assert all(type(n) is int for n in tok.memo.values()) and len(tok.size) == len(tok.memo) and tok.size.sum() == len(tok.pool)
+    monkeypatch.setattr(tokens, "MEMO", 3)
+    monkeypatch.setattr(tokens, "PART", 2)
+    monkeypatch.setattr(tokens, "PARTS", 2)
+    assert tok.many(texts) == want

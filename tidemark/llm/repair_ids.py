@@ -38,6 +38,7 @@ END_ID = 2
 VOCABULARY = 49_408
 SHARD_IDS = 1 << 20
 TOGETHER = 1 << 20  # characters of the documents that are tokenized together
+ROWS = 256  # rows of a batch that are Python strings at once
 RULE_BYTES = 12
 STALLED = 1024
 NARROW = 1 << 16  # symbols that two bytes tell apart
@@ -208,7 +209,9 @@ def write_ids(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text
     def run(batches):
         tok = word_tokenizer(vocabulary)
         part, seq, start, held, keys, ids = TaskContext.get().partitionId(), 0, 0, 0, [], []
-        rest = (x for b in batches for x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+        # some rows at a time: a batch of Arrow as Python strings would take its room twice
+        some_rows = (b.slice(lo, ROWS) for b in batches for lo in range(0, b.num_rows, ROWS))
+        rest = (x for b in some_rows for x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
         told = (x for some in in_groups(rest, TOGETHER) for x in zip((k for k, _ in some), tok.many([t for _, t in some])))
         for k, mine in told:
             keys.append(k)

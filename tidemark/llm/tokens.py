@@ -25,10 +25,11 @@ WORD_SPECIALS = {"<|startoftext|>": 49406, "<|endoftext|>": 49407}
 
 MEMO = 800_000
 PART, PARTS = 4096, 64  # chunks looked up at once, and so many parts together
-TOGETHER = 1024  # new chunks tokenized in one call
+TOGETHER = 128  # new chunks tokenized in one call
 _PLAIN = bytes(c + 32 if 0x41 <= c <= 0x5A else 0x20 if 0x09 <= c <= 0x0D else c for c in range(256))
 # marks other than the apostrophe (which may begin a contraction), between plain letters, digits or spaces
 _MARK = rb"[!-&(-/:-@\[-`{-~]"
+_WORD = re.compile(rb"(?:[a-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF])+").fullmatch  # letters up to U+00FF
 _MARKS = re.compile(_MARK + rb"(?<=[0-9a-z ]" + _MARK + rb")" + _MARK + rb"*(?=[0-9a-z ]|\Z)")
 
 
@@ -53,42 +54,74 @@ class ByteTokenizer:
 
 
 class Memo(dict):
-    """Ids by chunk; chunks that are asked for and not there are noted."""
+    """Numbers of chunks in the order they are first met; the new ones are noted."""
 
     def __init__(self):
         super().__init__()
-        self.missed: set[bytes] = set()
+        self.new: list[bytes] = []
 
-    def __missing__(self, chunk: bytes) -> bytes:
-        self.missed.add(chunk)
-        return b""
+    def __missing__(self, chunk: bytes) -> int:
+        n = self[chunk] = len(self)
+        self.new.append(chunk)
+        return n
 
 
 class WordTokenizer:
     """``ids(text)`` -> little-endian unsigned 32-bit ids as bytes."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # split off beforehand: lower-casing must not make one
+        # letters alone are one word: nothing to compose or to split but the spaces between such chunks
+        self.words = Tokenizer.from_file(path)
+        self.words.normalizer = normalizers.Lowercase()
+        self.words.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.special = re.compile("(" + "|".join(map(re.escape, WORD_SPECIALS)) + ")")
-        self.memo = Memo()
-
-    def _learn(self, chunks: set[bytes]) -> None:
-        """Adds chunks to the memo, many as one text (a call a chunk costs several times as much): offsets tell
-        whose an id is."""
-        missing = list(chunks)
-        names = [c.decode("utf-8", "surrogatepass") for c in missing]
-        for lo in range(0, len(names), TOGETHER):
-            part = names[lo:lo + TOGETHER]
-            told = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            begin = np.cumsum([0, *(len(x) + 1 for x in part)])
-            of = np.searchsorted(begin, np.array([a for a, _ in told.offsets], dtype=np.int64), "right") - 1
-            cuts = np.searchsorted(of, np.arange(len(part) + 1)).tolist()
-            ids = np.array(told.ids, dtype="<u4").tobytes()
-            for c, a, b in zip(missing[lo:lo + TOGETHER], cuts, cuts[1:]):
-                self.memo[c] = ids[4 * a:4 * b]
+        self._forget()
+
+    def _forget(self) -> None:
+        """An empty memo: chunk ``i`` has the ``size[i]`` ids of the pool from ``first[i]`` on."""
+        self.memo, self.pool = Memo(), np.zeros(0, dtype="<u4")
+        self.first, self.size = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int32)
+
+    def _learn(self) -> None:
+        """Adds the ids of new chunks, many as one text (a call a chunk costs several times as much)."""
+        new, self.memo.new = self.memo.new, []
+        alone = np.fromiter((_WORD(c) is not None for c in new), dtype=bool, count=len(new))
+        size, pools = np.zeros(len(new), dtype=np.int32), [self.pool]
+        order = np.concatenate([np.flatnonzero(alone), np.flatnonzero(~alone)])
+        for which, at in ((True, order[:alone.sum()]), (False, order[alone.sum():])):
+            for lo in range(0, len(at), TOGETHER):
+                part = [new[i].decode("utf-8", "surrogatepass") for i in at[lo:lo + TOGETHER].tolist()]
+                text = " ".join(part)
+                if which:
+                    told = self.words.encode(text, add_special_tokens=False)
+                    of = np.array(told.word_ids, dtype=np.int64)
+                else:  # offsets tell whose an id is
+                    told = self.tokenizer.encode(text, add_special_tokens=False)
+                    begin = np.cumsum([0, *(len(x) + 1 for x in part)])
+                    of = np.searchsorted(begin, np.array([a for a, _ in told.offsets], dtype=np.int64), "right") - 1
+                pools.append(np.array(told.ids, dtype="<u4"))
+                size[at[lo:lo + TOGETHER]] = np.bincount(of, minlength=len(part))
+        first = np.empty(len(new), dtype=np.int32)
+        first[order] = len(self.pool) + np.cumsum(size[order]) - size[order]
+        self.pool = np.concatenate(pools)
+        self.first, self.size = np.concatenate([self.first, first]), np.concatenate([self.size, size])
+
+    def _ids_of(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of some chunks in a row, where each chunk's begin, and their end)."""
+        if len(self.memo) > MEMO:
+            self._forget()
+        of = np.fromiter(map(self.memo.__getitem__, chunks), dtype=np.int32, count=len(chunks))
+        if self.memo.new:
+            self._learn()
+        size = self.size[of]
+        at = np.zeros(len(of) + 1, dtype=np.int64)
+        np.cumsum(size, out=at[1:])
+        return self.pool[np.repeat(self.first[of] - at[:-1], size) + np.arange(at[-1])], at
 
     def ids(self, text: str | None) -> bytes:
         return self.many([text])[0]
@@ -105,16 +138,10 @@ class WordTokenizer:
         # some chunks at a time, so that the memo may be cleared in between
         parts = ((i, chunks[lo:lo + PART]) for i, chunks in enumerate(split) for lo in range(0, len(chunks), PART))
         while some := list(islice(parts, PARTS)):
-            self.memo.missed = set()
-            told = [b"".join(map(self.memo.__getitem__, c)) for _, c in some]
-            if missing := self.memo.missed:
-                if len(self.memo) + len(missing) > MEMO:
-                    self.memo.clear()
-                    missing = set(chain.from_iterable(c for _, c in some))
-                self._learn(missing)
-                told = [b"".join(map(self.memo.__getitem__, c)) for _, c in some]
-            for (i, _), ids in zip(some, told):
-                out[i].append(ids)
+            ids, at = self._ids_of(list(chain.from_iterable(c for _, c in some)))
+            ends = at[np.cumsum([len(c) for _, c in some])].tolist()
+            for (i, _), a, b in zip(some, [0, *ends], ends):
+                out[i].append(ids[a:b].tobytes())
         return [b"".join(x) for x in out]
 
 
