@@ -518,3 +518,36 @@ def test_new_chunks_are_numbers_in_the_memo_and_get_the_ids_of_the_library(monke
     monkeypatch.setattr(tokens, "PART", 2)
     monkeypatch.setattr(tokens, "PARTS", 2)
     assert tok.many(texts) == want
+
+
+def test_a_chunk_that_repeats_is_looked_up_once(monkeypatch):
+    from tokenizers import Tokenizer
+    asked = []
+
+    class Asked(tokens.Memo):
+        def __getitem__(self, chunk):
+            asked.append(chunk)
+            return super().__getitem__(chunk)
+
+    monkeypatch.setattr(tokens, "Memo", Asked)
+    path = tokens.public_path("word_bpe_49k.json")
+    tok, library = tokens.WordTokenizer(path), Tokenizer.from_file(path)
+    texts = ["the cat, the dog. 7 cats" * 50, "a dog (the cat)"] * 200
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts[:2]]
+    assert tok.many(texts) == want * 200
+    assert 0 < len(asked) == len(set(asked)) < 40  # of some 50,000 chunks
+
+
+@pytest.mark.parametrize("parts", [1, 256])
+def test_cuts_change_no_id_of_the_library(monkeypatch, parts):
+    from tokenizers import Tokenizer
+    monkeypatch.setattr(tokens, "PARTS", parts)
+    monkeypatch.setattr(tokens, "PART", 3 if parts == 1 else 4096)
+    path = tokens.public_path("word_bpe_49k.json")
+    tok, library = tokens.WordTokenizer(path), Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    rng = np.random.default_rng(17)
+    signs = list("abtSRELM019 ,.'<=>&-\"\t\n\x00\x1c\x7f\u00a0\u0301\u0338\u2028éÀ×ßǅ中😀")
+    texts = ["".join(rng.choice(signs, n)) for n in rng.integers(0, 40, 1500)]
+    want = [np.array(library.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    assert tok.many(texts) == want

@@ -37,7 +37,7 @@ from tidemark.session import scratch_path
 END_ID = 2
 VOCABULARY = 49_408
 SHARD_IDS = 1 << 20
-TOGETHER = 1 << 20  # characters of the documents that are tokenized together
+TOGETHER = 1 << 22  # characters of the documents that are tokenized together
 ROWS = 256  # rows of a batch that are Python strings at once
 RULE_BYTES = 12
 STALLED = 1024
@@ -46,40 +46,50 @@ BUCKETS = 19  # bits; pairs are counted by hash before those that may pay are co
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def counted_pairs(codes: np.ndarray, may: np.ndarray, least: int, turn: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(pairs, their counts, places, pair of each place) of the pairs found ``least`` times.
+def counted_pairs(codes: np.ndarray, at: np.ndarray, least: int, turn: int | None) -> tuple[np.ndarray, ...]:
+    """(pairs, their counts, places, pair of each place, places left) of the pairs found ``least`` times at places ``at``.
 
     With a ``turn`` pairs are told apart by a hash of that turn: of pairs that share a bucket one is seen, the others in
-    another turn. Without one all are seen, by sorting.
+    another turn. Without one all are seen, by sorting. Places that are not left hold pairs found less often.
     """
     mix = np.uint64((int(_MIX) + 2 * (turn or 0)) & (1 << 64) - 1 | 1)
-    bucket = (codes.view(np.uint64) * mix >> np.uint64(64 - BUCKETS)).astype(np.int32)
-    at = np.flatnonzero(may & (np.bincount(bucket[may], minlength=1 << BUCKETS) >= least)[bucket])
+    bucket = (codes.view(np.uint64) * mix >> np.uint64(64 - BUCKETS)).view(np.int64)
+    keep = np.flatnonzero((np.bincount(bucket, minlength=1 << BUCKETS) >= least)[bucket])
+    at, codes = at[keep], codes[keep]
     if turn is None:
-        pairs, of, n = np.unique(codes[at], return_inverse=True, return_counts=True)
+        pairs, of, n = np.unique(codes, return_inverse=True, return_counts=True)
+        hidden = at[:0]
     else:
-        bucket, mine = bucket[at], codes[at]
+        bucket = bucket[keep]
         seen = np.zeros(1 << BUCKETS, dtype=np.int64)
-        seen[bucket] = mine
-        keep = seen[bucket] == mine
-        at, bucket = at[keep], bucket[keep]
+        seen[bucket] = codes
+        same = seen[bucket] == codes
+        hidden, at, bucket = at[~same], at[same], bucket[same]
         n = np.bincount(bucket, minlength=1 << BUCKETS)
-        used = np.flatnonzero(n >= least)
+        used = np.flatnonzero(n)
         number = np.zeros(1 << BUCKETS, dtype=np.int32)
         number[used] = np.arange(len(used), dtype=np.int32)
-        keep = n[bucket] >= least
-        at, of = at[keep], number[bucket[keep]]
-        pairs, n = seen[used], n[used]
+        of, pairs, n = number[bucket], seen[used], n[used]
     n = np.where(pairs >> 32 == pairs & 0xFFFFFFFF, (n + 1) // 2, n)  # of a row of equal symbols half the pairs can go
-    keep = n[of] >= least
-    return pairs, n, at[keep], of[keep]
+    enough = n >= least
+    keep = enough[of]
+    at, of = at[keep], (np.cumsum(enough) - 1)[of[keep]]
+    return pairs[enough], n[enough], at, of, np.sort(np.concatenate([at, hidden])) if len(hidden) else at
 
 
-def paying_pairs(seq: np.ndarray, end: int, least: int, turn: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def paying_pairs(seq: np.ndarray, end: int, least: int, turn: int | None = None,
+                 places: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(pairs, places, pair of each place): places to replace, no two overlapping, every pair used ``least`` times."""
-    codes = seq[:-1] << 32 | seq[1:]
-    may = (seq[:-1] != end) & (seq[1:] != end)
-    pairs, n, at, of = counted_pairs(codes, may, least, turn)
+    return paying_places(seq, end, least, turn, places)[:3]
+
+
+def paying_places(seq: np.ndarray, end: int, least: int, turn: int | None = None,
+                  places: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """What ``paying_pairs`` gives, and the places that may still pay; only pairs at ``places`` (none: all) are counted."""
+    if places is None:
+        places = np.flatnonzero((seq[:-1] != end) & (seq[1:] != end))
+    codes = seq[places].astype(np.int64) << 32 | seq[places + 1]
+    pairs, n, at, of, left = counted_pairs(codes, places, least, turn)
     # of pairs that overlap the more frequent one goes (or the later by code: the same one in every repetition)
     rank = np.empty(len(pairs), dtype=np.int32)
     rank[np.argsort(n, kind="stable")] = np.arange(len(pairs), dtype=np.int32)
@@ -102,18 +112,22 @@ def paying_pairs(seq: np.ndarray, end: int, least: int, turn: int | None = None)
         at, of = (np.concatenate(x) for x in zip(*chosen))
     uses = np.bincount(of, minlength=len(pairs))
     keep = uses[of] >= least
-    return pairs, at[keep], of[keep]
+    return pairs, at[keep], of[keep], left
 
 
 def compress(ids: np.ndarray, vocabulary: int = VOCABULARY, end: int = END_ID, narrow: int = NARROW) -> tuple[np.ndarray, np.ndarray]:
-    """(rules, body): rules is an (n, 2) array of pairs, body the compressed symbols."""
-    seq = ids.astype(np.int64)
+    """(rules, body): rules is an (n, 2) array of pairs, body the compressed symbols.
+
+    A pair that was found too seldom never pays later on, for other rules only take places from it: after the first round
+    only the places of other pairs and those beside new symbols are counted.
+    """
+    seq, places = ids.astype(np.int64), None
     rules: list[np.ndarray] = []
     n_rules, width, turn = 0, 2 if vocabulary < narrow else 4, 0
     while len(seq) > 1:
-        pairs, at, of = paying_pairs(seq, end, RULE_BYTES // width + 1, turn)
+        pairs, at, of, left = paying_places(seq, end, RULE_BYTES // width + 1, turn, places)
         if not len(at) and turn is not None:  # before the end, a look at all pairs
-            turn = None
+            turn, places = None, left
             continue
         if STALLED * len(at) < len(seq) or not len(at):
             break
@@ -136,6 +150,14 @@ def compress(ids: np.ndarray, vocabulary: int = VOCABULARY, end: int = END_ID, n
         keep = np.ones(len(seq), dtype=bool)
         keep[at + 1] = False
         seq = seq[keep]
+        moved = np.cumsum(keep, dtype=np.int32) - 1
+        # what was left and stands yet, and the pairs before and behind a new symbol
+        open_ = np.zeros(len(seq) + 1, dtype=bool)
+        open_[moved[left[keep[left]]]] = True
+        at = moved[at]
+        open_[at] = open_[at - 1] = True  # before the first symbol: the last one, which is left out next
+        places = np.flatnonzero(open_[:len(seq) - 1])
+        places = places[(seq[places] != end) & (seq[places + 1] != end)]
         rules.append(np.stack([pairs[chosen] >> 32, pairs[chosen] & 0xFFFFFFFF], axis=1))
         n_rules += len(chosen)
     grammar = np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.int64)

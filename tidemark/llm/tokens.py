@@ -5,17 +5,17 @@ the same vocabulary gives the ids of the tokenizers file). A vocabulary's specia
 own ids, as the tokenizers library does by default; what stands between them is tokenized by itself. ``WordTokenizer`` uses the tokenizers library
 behind a memo: that vocabulary lower-cases, drops white space and never joins over it, so a text's ids are
 those of its white-space separated chunks in a row, and every distinct chunk is encoded once per memo. A
-space put between plain letters and marks changes no id and makes chunks repeat more often. The memo is
-bounded and only saves time.
+cut between plain letters and marks changes no id and makes chunks repeat more often. Arrow tells the distinct
+chunks of many texts apart, and only those are looked up. The memo is bounded and only saves time.
 """
 
 from __future__ import annotations
 
 import base64
 import re
-from itertools import chain, islice
 
 import numpy as np
+import pyarrow as pa
 
 from tidemark.llm.common import worker_cache
 
@@ -24,13 +24,42 @@ BYTE_SPECIALS = {"<|endoftext|>": 50256}
 WORD_SPECIALS = {"<|startoftext|>": 49406, "<|endoftext|>": 49407}
 
 MEMO = 800_000
-PART, PARTS = 4096, 64  # chunks looked up at once, and so many parts together
+PART, PARTS = 4096, 256  # chunks of a part, and parts looked up at once: every distinct chunk of them once
 TOGETHER = 128  # new chunks tokenized in one call
 _PLAIN = bytes(c + 32 if 0x41 <= c <= 0x5A else 0x20 if 0x09 <= c <= 0x0D else c for c in range(256))
-# marks other than the apostrophe (which may begin a contraction), between plain letters, digits or spaces
-_MARK = rb"[!-&(-/:-@\[-`{-~]"
-_WORD = re.compile(rb"(?:[a-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF])+").fullmatch  # letters up to U+00FF
-_MARKS = re.compile(_MARK + rb"(?<=[0-9a-z ]" + _MARK + rb")" + _MARK + rb"*(?=[0-9a-z ]|\Z)")
+_LETTER = np.array([0x61 <= c <= 0x7A for c in range(256)])
+_LATIN = np.array([0x80 <= c <= 0xBF and c not in (0x97, 0xB7) for c in range(256)])  # behind \xC3: letters up to U+00FF
+_MARK, _NEXT = 1, 2  # marks but the apostrophe (it may begin a contraction); plain letters, digits and spaces
+_KIND = np.array([_NEXT if chr(c) in "0123456789abcdefghijklmnopqrstuvwxyz " else _MARK if 0x21 <= c <= 0x7E and c != 0x27
+                  else 0 for c in range(256)], dtype=np.uint8)
+
+
+def cuts_of(raw: np.ndarray) -> np.ndarray:
+    """Where chunks begin: at every space, and at and behind runs of marks that stand between letters, digits or spaces."""
+    kind = _KIND[raw]
+    cut = raw == 0x20
+    mark = np.flatnonzero(kind == _MARK)
+    if len(mark):
+        edge = np.flatnonzero(np.diff(mark) > 1)
+        first, last = mark[np.concatenate([[0], edge + 1])], mark[np.concatenate([edge, [len(mark) - 1]])]
+        free = (first == 0) | (kind[first - 1] == _NEXT)
+        free &= (last == len(raw) - 1) | (kind[np.minimum(last + 1, len(raw) - 1)] == _NEXT)
+        cut[first[free]] = True
+        behind = last[free] + 1
+        cut[behind[behind < len(raw)]] = True
+    return np.flatnonzero(cut)
+
+
+def of_letters(lines: np.ndarray) -> np.ndarray:
+    """Whether each line (all end in \\n) is not empty and of letters up to U+00FF alone."""
+    lead = np.append(False, lines == 0xC3)
+    latin = _LATIN[lines] & lead[:-1]
+    fine = _LETTER[lines] | latin
+    fine[:-1] |= latin[1:]
+    end = np.flatnonzero(lines == 0x0A)
+    begin = np.append(0, end[:-1] + 1)
+    seen = np.append(0, np.cumsum(fine))
+    return (end > begin) & (seen[end] - seen[begin] == end - begin)
 
 
 class ByteTokenizer:
@@ -89,13 +118,16 @@ class WordTokenizer:
 
     def _learn(self) -> None:
         """Adds the ids of new chunks, many as one text (a call a chunk costs several times as much)."""
-        new, self.memo.new = self.memo.new, []
-        alone = np.fromiter((_WORD(c) is not None for c in new), dtype=bool, count=len(new))
+        # a chunk has no line ends, and at most one space, in front
+        lines = b"\n".join([b"", *self.memo.new, b""]).replace(b"\n ", b"\n")[1:]
+        new, self.memo.new = lines.decode("utf-8", "surrogatepass").split("\n")[:-1], []
+        alone = of_letters(np.frombuffer(lines, dtype=np.uint8))
         size, pools = np.zeros(len(new), dtype=np.int32), [self.pool]
         order = np.concatenate([np.flatnonzero(alone), np.flatnonzero(~alone)])
         for which, at in ((True, order[:alone.sum()]), (False, order[alone.sum():])):
+            chunks = [new[i] for i in at.tolist()]
             for lo in range(0, len(at), TOGETHER):
-                part = [new[i].decode("utf-8", "surrogatepass") for i in at[lo:lo + TOGETHER].tolist()]
+                part = chunks[lo:lo + TOGETHER]
                 text = " ".join(part)
                 if which:
                     told = self.words.encode(text, add_special_tokens=False)
@@ -111,13 +143,16 @@ class WordTokenizer:
         self.pool = np.concatenate(pools)
         self.first, self.size = np.concatenate([self.first, first]), np.concatenate([self.size, size])
 
-    def _ids_of(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def _ids_of(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of some chunks in a row, where each chunk's begin, and their end)."""
         if len(self.memo) > MEMO:
             self._forget()
-        of = np.fromiter(map(self.memo.__getitem__, chunks), dtype=np.int32, count=len(chunks))
+        told = chunks.dictionary_encode()
+        distinct = told.dictionary.to_numpy(zero_copy_only=False).tolist()
+        of = np.fromiter(map(self.memo.__getitem__, distinct), dtype=np.int32, count=len(distinct))
         if self.memo.new:
             self._learn()
+        of = of[told.indices.to_numpy()]
         size = self.size[of]
         at = np.zeros(len(of) + 1, dtype=np.int64)
         np.cumsum(size, out=at[1:])
@@ -133,16 +168,23 @@ class WordTokenizer:
                 return [self.ids(t) for t in texts]
             return [b"".join(np.array([WORD_SPECIALS[x]], dtype="<u4").tobytes() if x in WORD_SPECIALS else self.ids(x)
                              for x in self.special.split(texts[0]))]
-        split = [_MARKS.sub(rb" \g<0> ", t.encode("utf-8", "surrogatepass").translate(_PLAIN)).split() if t else [] for t in texts]
-        out: list[list[bytes]] = [[] for _ in texts]
-        # some chunks at a time, so that the memo may be cleared in between
-        parts = ((i, chunks[lo:lo + PART]) for i, chunks in enumerate(split) for lo in range(0, len(chunks), PART))
-        while some := list(islice(parts, PARTS)):
-            ids, at = self._ids_of(list(chain.from_iterable(c for _, c in some)))
-            ends = at[np.cumsum([len(c) for _, c in some])].tolist()
-            for (i, _), a, b in zip(some, [0, *ends], ends):
-                out[i].append(ids[a:b].tobytes())
-        return [b"".join(x) for x in out]
+        # every text begins with a space, which begins a chunk
+        body = [b" " + t.encode("utf-8", "surrogatepass") if t else b" " for t in texts]
+        raw = b"".join(body).translate(_PLAIN)
+        cut = cuts_of(np.frombuffer(raw, dtype=np.uint8))
+        begin = np.searchsorted(cut, np.cumsum([0, *map(len, body)]))  # the first chunk of every text, and their number
+        chunks = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cut), [
+            None, pa.py_buffer(np.append(cut, len(raw))), pa.py_buffer(raw)])
+        ids, ends = [], np.zeros(len(begin), dtype=np.int64)
+        total = 0
+        for lo in range(0, len(cut), PART * PARTS):  # some chunks at a time, so that the memo may be cleared in between
+            some, at = self._ids_of(chunks.slice(lo, PART * PARTS))
+            here = np.flatnonzero((begin > lo) & (begin <= lo + len(at) - 1))
+            ends[here] = total + at[begin[here] - lo]
+            ids.append(some)
+            total += len(some)
+        flat = np.concatenate(ids) if ids else self.pool[:0]
+        return [flat[a:b].tobytes() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
 
 def byte_tokenizer(path: str | None) -> ByteTokenizer:
