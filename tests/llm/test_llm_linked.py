@@ -551,3 +551,41 @@ def test_cuts_change_no_id_of_the_library(monkeypatch, parts):
     texts = ["".join(rng.choice(signs, n)) for n in rng.integers(0, 40, 1500)]
     want = [np.array(library.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
     assert tok.many(texts) == want
+
+
+@pytest.mark.parametrize("depth", [2, 4, 6])
+def test_blocks_count_grams_by_one_sort_and_by_a_table_alike(monkeypatch, depth):
+    rng = np.random.default_rng(depth)
+    few = [bytes(rng.choice(list(b"ab \n\xc3\xa9"), n)) for n in rng.integers(0, 60, 300)] + [b"", b" ", b"a  b\t"]
+    many = [bytes(rng.integers(0, 255, n, dtype=np.uint8)) for n in rng.integers(0, 60, 300)]
+    for body in (few, many, few[:1], [b""]):
+        held = (rng.random(len(body)) < 0.3).tolist()
+        sent = context_tree.sent_grams(held, body, depth, 64)
+        answered = rng.integers(-1000, 0, len(sent[0])) / 8
+        sums = context_tree.text_sums(body, depth, 64, answered)
+        with monkeypatch.context() as m:
+            m.setattr(context_tree.Tagged, "of", lambda *a: None)
+            assert all((x == y).all() for x, y in zip(sent, context_tree.sent_grams(held, body, depth, 64)))
+            assert (sums == context_tree.text_sums(body, depth, 64, answered)).all()
+        pad = b"\xff" * depth  # by hand: context, nearest byte first, and symbol
+        by_hand = [Counter((pad + t + b"\xff")[i:i + depth + 1] for i in range(len(t) + 1)) for t in body]
+        train = sum((c for c, h in zip(by_hand, held) if not h), Counter())
+        codes = context_tree.inwards(sent[0], depth)
+        got = {int(c).to_bytes(8, "big")[7 - depth:]: int(n) for c, n in zip(codes, sent[2])}
+        assert got == {g: train[g] for c in by_hand for g in c}
+        value = dict(zip(got, answered))
+        assert sums.tolist() == [sum(n * value[g] for g, n in c.items()) for c in by_hand]
+        found, at, sizes = context_tree.words_of(body)
+        assert [found[i] for i in at] == [w for t in body for w in t.split()] and sizes.tolist() == [len(t.split()) for t in body]
+
+
+def test_texts_are_scored_without_a_table_of_their_grams(monkeypatch):
+    def fail(*a):
+        raise AssertionError("a table of all grams")
+
+    monkeypatch.setattr(context_tree.Distinct, "__init__", fail)
+    body = ["the cat sat on the mat é ".encode() * n for n in range(40)]
+    part = context_tree.block_parts(0, [i % 7 == 2 for i in range(40)], body, 6, 64)
+    grams = sum(len(context_tree.unsqueeze(n, "<u4")) for k, n in zip(part["kind"].to_pylist(), part["counts"].to_pylist()) if k == 0)
+    sums = context_tree.text_sums(body, 6, 64, np.full(grams, -1.0))
+    assert sums.tolist() == [-1.0 - len(t) for t in body]

@@ -13,7 +13,8 @@ the nearest context byte outwards, delta-coded and compressed (some three bytes
 all blocks, works out its subtrees and hands their roots on; the few depths above are worked out by grouped steps, and
 only the two shallowest levels, at most 65,536 nodes, go to the driver. What the shallower depths say comes back to the
 slots, and every slot answers each block with one number per gram or word, in the order in which the block sent them.
-Blocks then score their texts. Nothing that grows with the corpus is broadcast or collected, and no count is cut off.
+Blocks then score their texts. A block's grams are told apart by one sort of numbers that hold a gram and its text.
+Nothing that grows with the corpus is broadcast or collected, and no count is cut off.
 
 Null texts count as empty (one end symbol); a null id counts as training; repeated rows are scored each;
 an empty table gives an empty result; a corpus without training rows scores every bit one half; a very long text is
@@ -26,7 +27,6 @@ import math
 import uuid
 import zlib
 from collections import Counter
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -249,6 +249,125 @@ def in_slots(codes: np.ndarray, depth: int, slots: int) -> tuple[np.ndarray, np.
     return turned[order], slot[order], order
 
 
+class Tagged:
+    """Every gram of some texts with its text's tag, by one sort of numbers that hold both.
+
+    A gram is a number to the base of how many different bytes the texts have, the nearest context byte in front, the
+    symbol last, then the tag's bits: the grams come outwards in order, equal ones beside each other, with no table to
+    look anything up in.
+    """
+
+    def __init__(self, raw: np.ndarray, sizes: np.ndarray, tags: np.ndarray, depth: int, present: np.ndarray, shift: int):
+        self.depth, self.present, self.base, self.shift = depth, present, np.uint64(len(present)), shift
+        dense = np.zeros(256, dtype=np.uint8)
+        dense[present] = np.arange(len(present), dtype=np.uint8)
+        dense, n = dense[raw], len(raw) - depth
+        full = np.zeros(n, dtype=np.uint64)
+        for k in [*range(1, depth + 1), 0]:
+            full *= self.base
+            full += dense[depth - k:depth - k + n]
+        full <<= np.uint64(shift)
+        full |= np.repeat(tags.astype(np.uint64), sizes + depth)
+        behind = np.cumsum(sizes + depth)
+        for k in range(1, depth):  # the padding behind an end symbol, which nobody predicts: to the end and off
+            full[behind - k] = np.uint64(np.iinfo(np.uint64).max)
+        full.sort()
+        self.full = full[:n - len(sizes) * (depth - 1)]
+        codes = self.full >> np.uint64(shift)
+        self.first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+        self.keys = codes[self.first]
+        self.counts = np.diff(self.first, append=len(codes))
+
+    @classmethod
+    def of(cls, texts: list[bytes], tags: np.ndarray, depth: int) -> Tagged | None:
+        """None where 63 bits don't hold a gram and a tag, and without texts."""
+        if not texts:
+            return None
+        pad = bytes([END]) * depth
+        raw = np.frombuffer(pad + pad.join(texts) + pad, dtype=np.uint8)
+        present = np.flatnonzero(np.bincount(raw, minlength=256))
+        shift = int(tags.max()).bit_length()
+        if (len(present) ** (depth + 1) - 1).bit_length() + shift > 63:
+            return None
+        return cls(raw, np.array([len(t) for t in texts], dtype=np.int64), tags, depth, present, shift)
+
+    def tags(self) -> np.ndarray:
+        return (self.full & np.uint64((1 << self.shift) - 1)).view(np.int64)
+
+    def bytes_of(self, values: np.ndarray, n: int) -> list[np.ndarray]:
+        """The ``n`` bytes of each value, the first in front."""
+        out = []
+        for _ in range(n):
+            rest = values // self.base
+            out.append(self.present[(values - rest * self.base).view(np.int64)])
+            values = rest
+        return out[::-1]
+
+    def turned(self) -> np.ndarray:
+        """The distinct grams as ``outwards`` has them."""
+        out = np.zeros(len(self.keys), dtype=np.uint64)
+        for x in self.bytes_of(self.keys, self.depth + 1):
+            out = out << np.uint64(8) | x.astype(np.uint64)
+        return out
+
+    def in_slots(self, slots: int) -> tuple[np.ndarray, np.ndarray]:
+        """(slot of each, order) of the distinct grams by slot, then outwards: runs of near contexts move as they are."""
+        base = slot_depth(self.depth)
+        near = self.keys // np.uint64(len(self.present) ** (self.depth + 1 - base))
+        first = np.flatnonzero(np.concatenate([[True], near[1:] != near[:-1]]))
+        context = sum(x << 8 * k for k, x in enumerate(self.bytes_of(near[first], base)))
+        slot, n = slots_of(context, base, slots), np.diff(first, append=len(near))
+        order = np.argsort(slot, kind="stable")
+        n = n[order]
+        return np.repeat(slot[order], n), np.repeat(first[order] - (np.cumsum(n) - n), n) + np.arange(len(near))
+
+
+def sent_grams(held: list[bool], body: list[bytes], depth: int, slots: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(turned codes, slot of each, training count) of a block's distinct grams by slot, then outwards."""
+    if told := Tagged.of(body, np.array(held, dtype=np.int64), depth):
+        out = np.add.reduceat(told.tags(), told.first)
+        slot, order = told.in_slots(slots)
+        return told.turned()[order], slot, (told.counts - out)[order].astype("<u4")
+    found = Distinct(grams([t for h, t in zip(held, body) if not h], depth)[0])
+    other = np.setdiff1d(Distinct(grams([t for h, t in zip(held, body) if h], depth)[0]).keys, found.keys, assume_unique=True)
+    n = np.concatenate([found.counts, np.zeros(len(other), dtype=np.int64)]).astype("<u4")
+    turned, slot, order = in_slots(np.concatenate([found.keys, other]), depth, slots)
+    return turned, slot, n[order]
+
+
+def text_sums(body: list[bytes], depth: int, slots: int, answered: np.ndarray) -> np.ndarray:
+    """Per text, the sum of what was answered to its grams; the answers are in the order of ``sent_grams``."""
+    values = np.empty(len(answered))
+    if told := Tagged.of(body, np.arange(len(body)), depth):
+        values[told.in_slots(slots)[1]] = answered
+        return np.bincount(told.tags(), weights=np.repeat(values, told.counts), minlength=len(body))
+    codes, first = grams(body, depth)
+    distinct = Distinct(codes)
+    values[in_slots(distinct.keys, depth, slots)[2]] = answered
+    each = np.empty(len(codes))
+    for lo in range(0, len(codes), 1 << 20):  # some at a time: the block's codes are large enough
+        each[lo:lo + (1 << 20)] = values[distinct.find(codes[lo:lo + (1 << 20)])]
+    return np.add.reduceat(each, first) if len(body) else np.zeros(0)
+
+
+_SPACED = bytes(0x20 if 0x09 <= c <= 0x0D else c for c in range(256))
+
+
+def words_of(body: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(distinct words, number of every word in a row, words of each text) by bytes alone; without the end words."""
+    raw = np.frombuffer(b" ".join([b"", *body, b""]).translate(_SPACED), dtype=np.uint8)
+    space = raw == 0x20
+    begins = ~space[1:] & space[:-1]
+    ends = np.cumsum([0, *(len(t) + 1 for t in body)])
+    sizes = np.diff(np.searchsorted(np.flatnonzero(begins), ends))
+    raw = raw[1:][~(space[1:] & space[:-1])]  # every word and one space
+    cut = np.flatnonzero(raw == 0x20) + 1
+    told = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cut), [
+        None, pa.py_buffer(np.append(0, cut)), pa.py_buffer(raw)]).dictionary_encode()
+    return (b"".join(told.dictionary.to_numpy(zero_copy_only=False).tolist()).split(b" ")[:-1],
+            told.indices.to_numpy().astype(np.int64), sizes)
+
+
 def word_slot(word: bytes, slots: int) -> int:
     return zlib.crc32(word) % slots
 
@@ -259,22 +378,14 @@ PARTS_ARROW = pa.schema([("slot", pa.int32()), ("block", pa.int64()), ("kind", p
 
 def block_parts(block: int, held: list[bool], body: list[bytes], depth: int, slots: int) -> pa.RecordBatch:
     """What one block sends: a row a slot for its grams and one for its words (those without training count 0)."""
-    words: Counter = Counter()
-    train = [t for h, t in zip(held, body) if not h]
-    for t in train:
-        words.update(t.split())
-        words[END_WORD] += 1
-    rest = [t for h, t in zip(held, body) if h]
-    for w in {w for t in rest for w in t.split()} | {END_WORD}:
-        words.setdefault(w, 0)
-    found = Distinct(grams(train, depth)[0])
-    codes = found.keys
-    other = np.setdiff1d(Distinct(grams(rest, depth)[0]).keys, codes, assume_unique=True)
-    n = np.concatenate([found.counts, np.zeros(len(other), dtype=np.int64)]).astype("<u4")
-    turned, slot, order = in_slots(np.concatenate([codes, other]), depth, slots)
+    found, at, sizes = words_of(body)
+    n = np.bincount(at[np.repeat(~np.array(held, dtype=bool), sizes)], minlength=len(found))
+    words = dict(zip(found, n.tolist()))
+    words[END_WORD] = len(held) - sum(held)
+    turned, slot, n = sent_grams(held, body, depth, slots)
     cuts = np.flatnonzero(np.diff(slot)) + 1
     rows = [(int(s[0]), block, GRAMS, squeeze(np.diff(t, prepend=np.uint64(0))), squeeze(c))
-            for s, t, c in zip(np.split(slot, cuts), np.split(turned, cuts), np.split(n[order], cuts)) if len(s)]
+            for s, t, c in zip(np.split(slot, cuts), np.split(turned, cuts), np.split(n, cuts)) if len(s)]
     by_slot: dict[int, list[bytes]] = {}
     for w in sorted(words):
         by_slot.setdefault(word_slot(w, slots), []).append(w)
@@ -450,30 +561,24 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int =
     def run(texts: pa.Table, told: pa.Table) -> pa.Table:
         body = texts.column("body").to_pylist()
         rows = sorted(zip(*(told.column(c).to_pylist() for c in ("kind", "slot", "data"))), key=lambda r: r[:2])
-        codes, first = grams(body, depth)
-        distinct = Distinct(codes)
-        values = np.empty(len(distinct.keys))
-        values[in_slots(distinct.keys, depth, slots)[2]] = np.concatenate([unsqueeze(d, "<i4") for k, _, d in rows if k == GRAMS]) / FIXED
-        each = np.empty(len(codes))
-        for lo in range(0, len(codes), 1 << 20):  # some at a time: the block's codes are large enough
-            each[lo:lo + (1 << 20)] = values[distinct.find(codes[lo:lo + (1 << 20)])]
-        lp = np.add.reduceat(each, first) if len(body) else np.zeros(0)
-        del codes, each, distinct
-        tokens = [[END_WORD, *t.split()] for t in body]
+        lp = text_sums(body, depth, slots, np.concatenate([unsqueeze(d, "<i4") for k, _, d in rows if k == GRAMS]) / FIXED)
+        found, at, sizes = words_of(body)
+        found.append(END_WORD)
         by_slot: dict[int, list[bytes]] = {}
-        for w in sorted(set(chain.from_iterable(tokens))):
+        for w in sorted(found):
             by_slot.setdefault(word_slot(w, slots), []).append(w)
         index = {w: i for i, w in enumerate(w for s in sorted(by_slot) for w in by_slot[s])}
         c = np.concatenate([unsqueeze(d, "<u8") for k, _, d in rows if k == WORDS]).astype(np.float64)
+        c = c[np.fromiter(map(index.__getitem__, found), dtype=np.int64, count=len(found))]
         logs, known = np.log10((c + 1) / denominator), c > 0
-        sizes = np.array([len(t) for t in tokens], dtype=np.int64)
-        flat = np.fromiter(map(index.__getitem__, chain.from_iterable(tokens)), dtype=np.int64, count=int(sizes.sum()))
-        start = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        of = np.repeat(np.arange(len(body)), sizes)
+        base = np.bincount(of, weights=logs[at], minlength=len(body)) + logs[-1]
+        n_known = np.bincount(of, weights=known[at], minlength=len(body)).astype(np.int64) + int(known[-1])
         n_bytes = np.array([len(t) + 1 for t in body])
         return pa.Table.from_arrays(
-            [texts.column(key).cast(arrow.field(0).type), texts.column("held_out"), pa.array(sizes),
-             pa.array(np.add.reduceat(known[flat].astype(np.int64), start)), pa.array(np.full(len(body), n_train)),
-             pa.array(np.add.reduceat(logs[flat], start)), pa.array(lp), pa.array(-lp / math.log10(2) / n_bytes)],
+            [texts.column(key).cast(arrow.field(0).type), texts.column("held_out"), pa.array(sizes + 1),
+             pa.array(n_known), pa.array(np.full(len(body), n_train)),
+             pa.array(base), pa.array(lp), pa.array(-lp / math.log10(2) / n_bytes)],
             schema=arrow)
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, out)
