@@ -589,3 +589,19 @@ def test_texts_are_scored_without_a_table_of_their_grams(monkeypatch):
     grams = sum(len(context_tree.unsqueeze(n, "<u4")) for k, n in zip(part["kind"].to_pylist(), part["counts"].to_pylist()) if k == 0)
     sums = context_tree.text_sums(body, 6, 64, np.full(grams, -1.0))
     assert sums.tolist() == [-1.0 - len(t) for t in body]
+
+
+def test_pairs_are_counted_exactly_whatever_their_width():
+    rng = np.random.default_rng(23)
+    for big in (1, 1 << 27):  # pairs and places in one number, and each in its own
+        seq = rng.integers(0, 12, 5000) * big
+        for places in (None, np.sort(rng.choice(4999, 2000, replace=False))):
+            some = np.arange(4999) if places is None else places
+            some = some[(seq[some] != 2 * big) & (seq[some + 1] != 2 * big)]
+            want = Counter(zip(seq[some].tolist(), seq[some + 1].tolist()))
+            want = {p: (n + 1) // 2 if p[0] == p[1] else n for p, n in want.items()}
+            pairs, n, at, of = repair_ids.counted_pairs(seq, 2 * big, 20, some if places is not None else None)
+            got = list(zip((pairs >> 32).tolist(), (pairs & 0xFFFFFFFF).tolist()))
+            assert dict(zip(got, n.tolist())) == {p: k for p, k in want.items() if k >= 20}
+            assert [(i, got[k]) for i, k in zip(at.tolist(), of.tolist())] == [
+                (i, p) for i, p in zip(some.tolist(), zip(seq[some].tolist(), seq[some + 1].tolist())) if want[p] >= 20]

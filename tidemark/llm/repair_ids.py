@@ -42,54 +42,51 @@ ROWS = 256  # rows of a batch that are Python strings at once
 RULE_BYTES = 12
 STALLED = 1024
 NARROW = 1 << 16  # symbols that two bytes tell apart
-BUCKETS = 19  # bits; pairs are counted by hash before those that may pay are counted exactly
-_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def counted_pairs(codes: np.ndarray, at: np.ndarray, least: int, turn: int | None) -> tuple[np.ndarray, ...]:
-    """(pairs, their counts, places, pair of each place, places left) of the pairs found ``least`` times at places ``at``.
+def counted_pairs(seq: np.ndarray, end: int, least: int, places: np.ndarray | None) -> tuple[np.ndarray, ...]:
+    """(pairs, their counts, places, pair of each place) of the pairs found ``least`` times at ``places`` (none: all).
 
-    With a ``turn`` pairs are told apart by a hash of that turn: of pairs that share a bucket one is seen, the others in
-    another turn. Without one all are seen, by sorting. Places that are not left hold pairs found less often.
+    Pairs and their places are sorted as one number, or by the pairs where 62 bits don't hold both.
     """
-    mix = np.uint64((int(_MIX) + 2 * (turn or 0)) & (1 << 64) - 1 | 1)
-    bucket = (codes.view(np.uint64) * mix >> np.uint64(64 - BUCKETS)).view(np.int64)
-    keep = np.flatnonzero((np.bincount(bucket, minlength=1 << BUCKETS) >= least)[bucket])
-    at, codes = at[keep], codes[keep]
-    if turn is None:
-        pairs, of, n = np.unique(codes, return_inverse=True, return_counts=True)
-        hidden = at[:0]
+    symbol, bits = int(seq.max()).bit_length(), len(seq).bit_length()
+    if places is None and 2 * symbol + bits <= 62:  # all at once: pairs with the end id go to the end and off
+        both = (seq[:-1] << symbol | seq[1:]) << bits | np.arange(len(seq) - 1)
+        ends = np.flatnonzero(seq == end)
+        both[ends[ends < len(both)]] = both[ends[ends > 0] - 1] = np.iinfo(np.int64).max
+        both.sort()
+        both = both[:np.searchsorted(both, np.iinfo(np.int64).max)]
     else:
-        bucket = bucket[keep]
-        seen = np.zeros(1 << BUCKETS, dtype=np.int64)
-        seen[bucket] = codes
-        same = seen[bucket] == codes
-        hidden, at, bucket = at[~same], at[same], bucket[same]
-        n = np.bincount(bucket, minlength=1 << BUCKETS)
-        used = np.flatnonzero(n)
-        number = np.zeros(1 << BUCKETS, dtype=np.int32)
-        number[used] = np.arange(len(used), dtype=np.int32)
-        of, pairs, n = number[bucket], seen[used], n[used]
-    n = np.where(pairs >> 32 == pairs & 0xFFFFFFFF, (n + 1) // 2, n)  # of a row of equal symbols half the pairs can go
+        if places is None:
+            places = np.flatnonzero((seq[:-1] != end) & (seq[1:] != end))
+        codes = seq[places] << symbol | seq[places + 1]
+        both = np.sort(codes << bits | places) if 2 * symbol + bits <= 62 else None
+    if both is not None:
+        codes, places = both >> bits, both & (1 << bits) - 1
+    else:
+        order = np.argsort(codes, kind="stable")
+        codes, places = codes[order], places[order]
+    first = np.flatnonzero(np.concatenate([codes[:1] >= 0, codes[1:] != codes[:-1]]))
+    size = np.diff(first, append=len(codes))
+    left, right = codes[first] >> symbol, codes[first] & (1 << symbol) - 1
+    n = np.where(left == right, (size + 1) // 2, size)  # of a row of equal symbols half the pairs can go
     enough = n >= least
-    keep = enough[of]
-    at, of = at[keep], (np.cumsum(enough) - 1)[of[keep]]
-    return pairs[enough], n[enough], at, of, np.sort(np.concatenate([at, hidden])) if len(hidden) else at
+    of = np.repeat(np.where(enough, np.cumsum(enough) - 1, -1).astype(np.int32), size)
+    pair_at = np.full(len(seq), -1, dtype=np.int32)
+    pair_at[places] = of
+    at = np.flatnonzero(pair_at >= 0)
+    return (left << 32 | right)[enough], n[enough], at, pair_at[at]
 
 
-def paying_pairs(seq: np.ndarray, end: int, least: int, turn: int | None = None,
-                 places: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def paying_pairs(seq: np.ndarray, end: int, least: int, places: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(pairs, places, pair of each place): places to replace, no two overlapping, every pair used ``least`` times."""
-    return paying_places(seq, end, least, turn, places)[:3]
+    return paying_places(seq, end, least, places)[:3]
 
 
-def paying_places(seq: np.ndarray, end: int, least: int, turn: int | None = None,
-                  places: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+def paying_places(seq: np.ndarray, end: int, least: int, places: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """What ``paying_pairs`` gives, and the places that may still pay; only pairs at ``places`` (none: all) are counted."""
-    if places is None:
-        places = np.flatnonzero((seq[:-1] != end) & (seq[1:] != end))
-    codes = seq[places].astype(np.int64) << 32 | seq[places + 1]
-    pairs, n, at, of, left = counted_pairs(codes, places, least, turn)
+    pairs, n, at, of = counted_pairs(seq, end, least, places)
+    left = at
     # of pairs that overlap the more frequent one goes (or the later by code: the same one in every repetition)
     rank = np.empty(len(pairs), dtype=np.int32)
     rank[np.argsort(n, kind="stable")] = np.arange(len(pairs), dtype=np.int32)
@@ -123,15 +120,11 @@ def compress(ids: np.ndarray, vocabulary: int = VOCABULARY, end: int = END_ID, n
     """
     seq, places = ids.astype(np.int64), None
     rules: list[np.ndarray] = []
-    n_rules, width, turn = 0, 2 if vocabulary < narrow else 4, 0
+    n_rules, width = 0, 2 if vocabulary < narrow else 4
     while len(seq) > 1:
-        pairs, at, of, left = paying_places(seq, end, RULE_BYTES // width + 1, turn, places)
-        if not len(at) and turn is not None:  # before the end, a look at all pairs
-            turn, places = None, left
-            continue
+        pairs, at, of, left = paying_places(seq, end, RULE_BYTES // width + 1, places)
         if STALLED * len(at) < len(seq) or not len(at):
             break
-        turn = len(rules) + 1
         uses = np.bincount(of, minlength=len(pairs))
         chosen = np.flatnonzero(uses)
         room = narrow - vocabulary - n_rules
