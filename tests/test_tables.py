@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.plans.models import refine, run_model, upsert
+from tidemark.sources import tables
 from tidemark.sources.ranges import KeyRanges, rewrite_ranges
 from tidemark.sources.tables import ConcurrentCommit, VersionedTable, staged
 from tidemark.specs import Col, TableSpec
@@ -302,3 +303,43 @@ def test_open_files_are_shared_by_writes_side_by_side(spark):
                 assert spark.conf.get(OPEN_FILES) == "10"  # no room for a million: those rows are sorted
         assert spark.conf.get(OPEN_FILES) == "6"
     assert spark.conf.get(OPEN_FILES) == before
+
+
+def test_files_of_buckets_and_ranges_do_not_grow_with_the_input_tasks(spark, tmp_path):
+    rows = spark.range(0, 4000, 1, 60).select("id", F.lit("x").alias("v"))
+    few = 2 * spark.sparkContext.defaultParallelism
+    for gather in (False, True):
+        with tables.bucketed(rows, ["id"], 5, gather=gather) as kept:
+            assert len(kept.inputFiles()) <= few * 5  # not 60 tasks x 5 buckets
+            assert sorted(r.id for r in kept.collect()) == list(range(4000))
+            plan = kept.groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
+            assert "hashpartitioning" not in plan
+    ranges = KeyRanges.of(rows, "id").split([1000, 2500])
+    scattered = rows.withColumn("id", F.pmod(F.col("id") * 7, F.lit(4000)))
+    t = VersionedTable(spark, str(tmp_path / "t"))
+    t.commit(scattered.withColumn(tables.RANGE, ranges.column()), partition_by=[tables.RANGE], extra={"ranges": ranges.dump()})
+    assert len(t.read().inputFiles()) <= few * 3  # not 60 tasks x 3 ranges
+    assert sorted(r.id for r in t.read().collect()) == list(range(4000))
+
+
+def test_columns_whose_values_differ_are_written_without_a_dictionary(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+    rows = spark.range(0, 3000, 1, 2).select(F.concat(F.lit("k-"), "id").alias("k"), (F.col("id") % 7).alias("n"), F.lit(None).cast("string").alias("e"))
+    plain, row_bytes = tables.head_facts(rows)
+    assert plain == ("k",) and 32 <= row_bytes <= 64
+    assert tables.head_facts(rows.limit(0))[0] == ()
+    t = VersionedTable(spark, str(tmp_path / "t"))
+    t.commit(rows, plain=plain)
+    for f in glob.glob(str(tmp_path / "t/data/*/*.parquet")):
+        used = {c["path_in_schema"]: c["encodings"] for c in pq.read_metadata(f).to_dict()["row_groups"][0]["columns"]}
+        assert not any("DICTIONARY" in e for e in used["k"]) and any("DICTIONARY" in e for e in used["n"])
+    assert t.read().exceptAll(rows).count() == 0 and t.read().count() == 3000
+
+
+def test_rows_that_a_task_cannot_hold_are_not_sorted(spark):
+    room = tables.file_room(spark)
+    assert tables.fits_sort(spark, room // 200, 100) and not tables.fits_sort(spark, room // 100, 100)
+    found = spark.range(0, 100, 1, 3).select(tables.row_index().alias("i")).agg(F.max("i")).first()[0]
+    assert found + 1 == 34  # the largest of three tasks
