@@ -173,3 +173,18 @@ def test_runs_in_buckets_shuffle_no_rows(spark, tmp_path, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert len(plans) == 2 and "FullOuter" in plans[1]
     assert not any("hashpartitioning" in p for p in plans)  # windows and joins read the buckets as they are
+
+
+def test_runs_in_many_buckets_write_by_few_tasks(spark, tmp_path, monkeypatch):
+    from tidemark.operators import dedup
+    monkeypatch.setattr(dedup, "BUCKET_ROWS", 20)
+    tasks, made, few = [], [], 2 * spark.sparkContext.defaultParallelism
+    real, shape = VersionedTable.commit, dedup.key_shape
+    monkeypatch.setattr(VersionedTable, "commit", lambda self, df, *a, **k: tasks.append(df.rdd.getNumPartitions()) or real(self, df, *a, **k))
+    monkeypatch.setattr(dedup, "key_shape", lambda *a, **k: made.append(replace(shape(*a, **k), buckets=30)) or made[-1])
+    spec, table = MODELS["crew_assignment"], VersionedTable(spark, str(tmp_path / "t"))
+    first, second = _messy(spark, spec.source, 1), _messy(spark, spec.source, 2)
+    run_model(spec, first, table, "2024-01-02", "r1")
+    run_model(spec, first.unionByName(second), table, "2024-01-03", "r2")
+    # one task a bucket before; the joined rows, and those with a NULL key of either side, each by few tasks of their own
+    assert tasks[0] <= few and few < tasks[1] <= 3 * few
